@@ -119,18 +119,23 @@ def _stacked(df: DataFrame, columns: dict[str, Column], *keep: Column) -> DataFr
 
 
 def exact_quantiles(
-    df: DataFrame, probabilities: dict[str, Sequence[float]]
+    df: DataFrame,
+    probabilities: dict[str, Sequence[float]],
+    clip_upper: dict[str, float] | None = None,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several columns with one sort.
 
-    Equal values are folded before the sort, so a hot value costs one row.
+    Equal values are folded before the sort, so a hot value costs one row. With
+    clip_upper={"c": p} the quantiles of c are those of the column clipped at its own
+    p-quantile.
     """
+    clip_upper = clip_upper or {}
     histogram = (
         _stacked(df, {name: F.col(name) for name in probabilities})
         .groupBy("metric", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    levels = sorted({p for ps in probabilities.values() for p in ps})
+    levels = {p for ps in probabilities.values() for p in ps} | set(clip_upper.values())
 
     def wanted(n: int) -> list[int]:
         return [f((n - 1) * p) for p in levels for f in (math.floor, math.ceil)]
@@ -139,14 +144,18 @@ def exact_quantiles(
     result: dict[str, list[float | None]] = {}
     for name, ps in probabilities.items():
         n, rows = picked.get(name, (0, {}))
-        result[name] = []
-        for p in ps:
-            if n == 0:
-                result[name].append(None)
-                continue
-            at = (n - 1) * p
-            low, high = rows[math.floor(at)]["value"], rows[math.ceil(at)]["value"]
-            result[name].append(low + (high - low) * (at - math.floor(at)))
+        if n == 0:
+            result[name] = [None] * len(ps)
+            continue
+
+        def at(p: float, top: float = math.inf) -> float:
+            place = (n - 1) * p
+            low = min(rows[math.floor(place)]["value"], top)
+            high = min(rows[math.ceil(place)]["value"], top)
+            return low + (high - low) * (place - math.floor(place))
+
+        top = at(clip_upper[name]) if name in clip_upper else math.inf
+        result[name] = [at(p, top) for p in ps]
     return result
 
 
@@ -188,7 +197,7 @@ def with_tiles(
 def score_by_edges(value: Column, edges: Sequence[float | None]) -> Column:
     """1 + number of inner edges strictly below the value (right-closed bins, ties collapse)."""
     score = F.lit(1)
-    for edge in edges:
+    for edge in (e for e in edges if e is not None):
         score = score + (value.cast("double") > F.lit(edge)).cast("int")
     return score.cast("bigint")
 

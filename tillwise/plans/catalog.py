@@ -6,10 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators import facts
+from ..functions import calendar as cal
+from ..functions import geo, labels, text
+from ..functions.rounding import round_half_up
+from ..operators import (
+    anomaly,
+    churn,
+    cohort,
+    facts,
+    forecast,
+    isolation_forest,
+    kpis,
+    quality,
+    rfm,
+    sentiment,
+    trailing,
+)
+from ..schemas import FOREIGN_KEYS, MONEY, PRIMARY_KEYS
+from ..session import materialize, scratch_path, with_rocksdb
+from ..sources import files
 from ..sources.star import Commerce
-from . import oracles, reports
+from ..sources.tables import Tables
+from ..streaming import events as stream_events
+from ..streaming import scoring, sinks, windows
+from . import analysis_oracles, oracles, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,4 +124,778 @@ def _customer_orders(t):
     )
 
 
-ORACLES: dict[str, str] = {name: oracles.with_views(sql) for name, sql in oracles.REPORTS.items()}
+
+
+# --- tables and files -------------------------------------------------------------
+
+
+@query("scan_csv_roundtrip")
+def _scan_csv_roundtrip(t):
+    path = scratch_path(t.spark, "items-csv")
+    files.write_csv(t.order_items, path)
+    schema = "order_id bigint, order_item_id int, product_id bigint, seller_id bigint, " \
+        "price decimal(12,2), freight_value decimal(12,2)"
+    return plain(files.read_csv(t.spark, path, T._parse_datatype_string(schema)))
+
+
+@query("table_load_clean")
+def _table_load_clean(t):
+    path = scratch_path(t.spark, "headers-csv")
+    files.write_csv(
+        t.payments.select(
+            F.col("order_id").alias("Order ID"),
+            F.col("payment_type").alias(" Payment Type"),
+            F.col("payment_value").alias("Payment Value "),
+        ),
+        path,
+    )
+    store = Tables(t.spark)
+    store.load_csv("loaded_payments", path)
+    return store.get("loaded_payments").select(
+        F.col("order_id").cast("bigint"), "payment_type", F.col("payment_value").cast("double")
+    )
+
+
+@query("table_replace")
+def _table_replace(t):
+    store = Tables(t.spark)
+    store.replace("mix", facts.payment_mix(t.payments))
+    store.replace("mix", store.get("mix").withColumn("count", F.col("count") * 2))
+    return plain(store.get("mix", "payment_type, count, total_value"))
+
+
+@query("table_select")
+def _table_select(t):
+    store = Tables(t.spark)
+    store.replace("order_table", t.orders.drop("order_delivered_customer_date"))
+    return plain(
+        store.get(
+            "order_table",
+            "order_id, customer_id, order_status",
+            where="order_status = 'delivered'",
+            order_by="customer_id DESC, order_id",
+            limit=100,
+        )
+    )
+
+
+@query("sql_param_query")
+def _sql_param_query(t):
+    t.register_views()
+    return plain(
+        Tables(t.spark).query(
+            "SELECT order_status, payment_type, count(*) AS n, sum(payment_value) AS total "
+            "FROM orders JOIN payments USING (order_id) "
+            "WHERE order_status = ? AND payment_value >= ? GROUP BY ALL",
+            ["delivered", 100000],
+        )
+    )
+
+
+@query("dq_report")
+def _dq_report(t):
+    tables = {name: getattr(t, name) for name in (
+        "orders", "customers", "order_items", "payments", "reviews", "products", "sellers"
+    )}
+    return quality.quality_report(tables, PRIMARY_KEYS, FOREIGN_KEYS)
+
+
+# --- scalar functions -------------------------------------------------------------
+
+
+@query("calendar_features")
+def _calendar_features(t):
+    day = F.to_date("order_purchase_timestamp")
+    extra = {
+        "week_start": cal.week_of(day), "month_start": cal.month_of(day),
+        "week_end": cal.week_ending_sunday(day), "month_end": F.last_day(day),
+    }
+    return t.orders.select(
+        "order_id", *[c.alias(n) for n, c in {**cal.series_calendar(day), **extra}.items()]
+    )
+
+
+@query("cyclic_features")
+def _cyclic_features(t):
+    day = F.col("order_purchase_timestamp")
+    waves = cal.cyclic(F.month(day), F.weekday(day))
+    return t.orders.select(
+        "order_id", *[round_half_up(c, 9).alias(n) for n, c in waves.items()]
+    )
+
+
+@query("delivery_days")
+def _delivery_days(t):
+    bought, arrived = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
+    return t.orders.where(arrived.isNotNull()).select(
+        "order_id", cal.whole_days(arrived, bought).alias("delivery_days")
+    )
+
+
+@query("safe_date_parse")
+def _safe_date_parse(t):
+    """Dates written as text, some of them unreadable."""
+    written = t.orders.select(
+        "order_id",
+        F.when(F.col("order_id") % 7 == 0, "unknown")
+        .when(F.col("order_id") % 11 == 0, "1997-02-30")
+        .otherwise(F.date_format("order_purchase_timestamp", "yyyy-MM-dd"))
+        .alias("text"),
+    )
+    return written.select("order_id", F.expr("try_cast(text AS DATE)").alias("parsed"))
+
+
+@query("json_event_parse")
+def _json_event_parse(t):
+    made = t.events.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.lit(None).cast("string").alias("order_id"),
+        F.col("customer_id").cast("string").alias("customer_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        "revenue",
+        "category",
+        F.get_json_object("props", "$.k").alias("channel"),
+    )
+    parsed = stream_events.parse_events(stream_events.to_json_events(made))
+    return parsed.select(
+        F.col("event_id").cast("bigint"),
+        F.col("customer_id").cast("bigint"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"),
+        F.col("revenue").cast("double"),
+        "category",
+        F.col("channel").cast("bigint").alias("k"),
+    )
+
+
+@query("severity_labels")
+def _severity_labels(t):
+    return anomaly.z_score(facts.daily_series(t)).select(
+        "date", labels.severity(F.col("z_score")).alias("severity")
+    )
+
+
+@query("sql_functions")
+def _sql_functions(t):
+    labels.register_sql_functions(t.spark)
+    t.orders.select("order_id").createOrReplaceTempView("order_keys")
+    return t.spark.sql(
+        """SELECT order_id, severity(order_id % 61 / 10D) AS severity,
+                  rfm_segment(CAST(order_id % 5 + 1 AS INT), CAST(order_id div 5 % 5 + 1 AS INT)) AS segment,
+                  churn_risk(order_id % 11 / 10D) AS risk, sentiment_band(order_id % 21 / 10D - 1) AS band
+           FROM order_keys"""
+    )
+
+
+@query("tokenize")
+def _tokenize(t):
+    return (
+        t.review_texts.select(F.explode(text.tokens(F.col("review_comment_message"))).alias("word"))
+        .groupBy("word")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
+@query("state_geo")
+def _state_geo(t):
+    """State revenue with coordinates; states missing from the lookup get 0."""
+    places = t.raw("nation").where("n_nationkey % 2 = 0").select(
+        F.col("n_name").alias("state"),
+        (F.col("n_nationkey") * 1.5 - 20.0).alias("lat"),
+        (F.col("n_nationkey") * -2.0).alias("lon"),
+    )
+    return plain(geo.with_coordinates(facts.state_revenue(t).drop("log_revenue"), places))
+
+
+# --- customers --------------------------------------------------------------------
+
+
+@query("rfm_base")
+def _rfm_base(t):
+    return plain(rfm.rfm_base(t))
+
+
+@query("rfm_base_rows")
+def _rfm_base_rows(t):
+    return plain(rfm.rfm_base(t, grain="rows"))
+
+
+@query("rfm_scores")
+def _rfm_scores(t):
+    base = materialize(rfm.rfm_base(t), "rfm")
+    return rfm.with_scores(base).select("customer_id", "R_score", "F_score", "M_score")
+
+
+@query("rfm_segments")
+def _rfm_segments(t):
+    return rfm.rfm_segments(t).select(
+        "customer_id", "RFM_score", round_half_up(F.col("RFM_avg"), 6).alias("RFM_avg"), "segment"
+    )
+
+
+@query("rfm_segment_filter")
+def _rfm_segment_filter(t):
+    return plain(
+        rfm.in_segment(rfm.rfm_segments(t), "Champions").select(
+            "customer_id", "recency", "frequency", "monetary"
+        )
+    )
+
+
+@query("rfm_segment_summary")
+def _rfm_segment_summary(t):
+    return rfm.segment_summary(rfm.rfm_segments(t))
+
+
+@query("rfm_rank_quintile")
+def _rfm_rank_quintile(t):
+    base = materialize(rfm.rfm_base(t), "rfm")
+    return rfm.rank_quintiles(base).select(
+        "customer_id", "r_quintile", "f_quintile", "m_quintile"
+    )
+
+
+@query("rfm_clusters")
+def _rfm_clusters(t):
+    return plain(
+        rfm.cluster(rfm.rfm_segments(t)).select(
+            "customer_id", "recency", "frequency", "monetary", "cluster", "cluster_label"
+        )
+    )
+
+
+@query("next_best_action")
+def _next_best_action(t):
+    return rfm.with_actions(rfm.rfm_segments(t)).select(
+        "customer_id", "segment", "recommended_action", "next_best_action"
+    )
+
+
+@query("cohort_retention")
+def _cohort_retention(t):
+    return cohort.cohort_retention(cohort.cohort_activity(t))
+
+
+@query("cohort_pivot")
+def _cohort_pivot(t):
+    long = cohort.cohort_retention(cohort.cohort_activity(t))
+    return cohort.to_matrix(long, "retention", range(24), "m{}")
+
+
+@query("cohort_heatmap")
+def _cohort_heatmap(t):
+    return cohort.heatmap(cohort.cohort_retention(cohort.cohort_activity(t)))
+
+
+@query("cohort_ltv")
+def _cohort_ltv(t):
+    long = cohort.cohort_ltv(cohort.cohort_activity(t))
+    return cohort.to_matrix(long, "ltv", range(12), "LTV_M{}")
+
+
+@query("cohort_summary")
+def _cohort_summary(t):
+    return cohort.summary(cohort.cohort_retention(cohort.cohort_activity(t)))
+
+
+@query("churn_features")
+def _churn_features(t):
+    features = churn.churn_features(t).join(churn.distinct_categories(t), "customer_id", "left")
+    floats = ("purchase_frequency", "avg_inter_order_days", "avg_order_value", "avg_review")
+    return features.withColumns({c: round_half_up(F.col(c), 6) for c in floats})
+
+
+@query("churn_model_metrics")
+def _churn_model_metrics(t):
+    return plain(churn.churn_model(churn.churn_features(t))[1])
+
+
+@query("churn_scores")
+def _churn_scores(t):
+    features = materialize(churn.churn_features(t), "churn-features")
+    return churn.churn_scores(churn.fit_boosted(features), features)
+
+
+@query("churn_rf_metrics")
+def _churn_rf_metrics(t):
+    return plain(churn.forest_metrics(churn.churn_features(t)))
+
+
+@query("churn_attribution")
+def _churn_attribution(t):
+    return churn.churn_attribution(churn.churn_features(t)).select(
+        "customer_id", "churn_probability", "churn_risk",
+        F.array_join("top_positive_factors", ",").alias("top_positive_factors"),
+        F.array_join("top_negative_factors", ",").alias("top_negative_factors"),
+        "next_best_action",
+    )
+
+
+@query("churn_attribution_summary")
+def _churn_attribution_summary(t):
+    return churn.attribution_summary(churn.churn_attribution(churn.churn_features(t)))
+
+
+@query("churn_heuristic")
+def _churn_heuristic(t):
+    return churn.heuristic_impacts(rfm.rfm_base(t)).select(
+        "customer_id", "recency_impact", "frequency_impact", "monetary_impact"
+    )
+
+
+@query("customer_detail")
+def _customer_detail(t):
+    return churn.customer_detail(facts.order_facts(t), rfm.rfm_segments(t))
+
+
+# --- headline numbers -------------------------------------------------------------
+
+
+@query("kpi_summary")
+def _kpi_summary(t):
+    daily = materialize(facts.daily_series(t), "daily")
+    out = kpis.kpi_summary(daily, facts.order_facts(t), rfm.rfm_segments(t), anomaly.detect(daily))
+    floats = ("avg_order_value", "repeat_rate_pct", "avg_ltv", "total_revenue")
+    return out.withColumns({c: round_half_up(F.col(c), 2) for c in floats})
+
+
+@query("monthly_churn_rate")
+def _monthly_churn_rate(t):
+    return kpis.monthly_churn_rate(t)
+
+
+@query("period_comparison")
+def _period_comparison(t):
+    return kpis.period_comparison(facts.daily_series(t))
+
+
+@query("what_if_grid")
+def _what_if_grid(t):
+    grid = kpis.what_if(facts.daily_series(t), range(-20, 51, 10), range(-30, 51, 10))
+    return plain(forecast.rounded(grid, 2, "projected_revenue", "delta"))
+
+
+@query("insights")
+def _insights(t):
+    daily = facts.daily_series(t)
+    states = facts.state_revenue(t).select("state", "revenue")
+    return plain(kpis.insights(daily, states, rfm.segment_summary(rfm.rfm_segments(t))))
+
+
+# --- anomalies --------------------------------------------------------------------
+
+
+def _detected(t, **options):
+    return anomaly.detect(facts.daily_series(t), **options)
+
+
+@query("rolling_features")
+def _rolling_features(t):
+    rolled = anomaly.rolling_features(facts.daily_series(t))
+    floats = ("rolling_mean", "rolling_std", "rolling_median", "revenue_change_pct")
+    return forecast.rounded(rolled.drop("avg_order_value"), 3, *floats)
+
+
+@query("anomaly_zscore")
+def _anomaly_zscore(t):
+    scored = anomaly.z_score(facts.daily_series(t))
+    return scored.select(
+        "date", round_half_up(F.col("z_score"), 6).alias("z_score"), "anomaly_zscore"
+    )
+
+
+@query("anomaly_iqr")
+def _anomaly_iqr(t):
+    fenced = anomaly.iqr_fences(facts.daily_series(t))
+    return forecast.rounded(fenced, 3, "iqr_lower", "iqr_upper").select(
+        "date", "iqr_lower", "iqr_upper", "anomaly_iqr"
+    )
+
+
+@query("anomaly_control_chart")
+def _anomaly_control_chart(t):
+    chart = anomaly.control_chart(anomaly.rolling_features(facts.daily_series(t)))
+    return forecast.rounded(chart, 3, "ucl", "lcl").select("date", "ucl", "lcl", "anomaly_cc")
+
+
+@query("anomaly_control_chart_strict")
+def _anomaly_control_chart_strict(t):
+    """Limits from the days before, so that a day cannot widen its own limits."""
+    rolled = anomaly.rolling_features(facts.daily_series(t), exclude_current=True)
+    return forecast.rounded(anomaly.control_chart(rolled), 3, "ucl", "lcl").select(
+        "date", "ucl", "lcl", "anomaly_cc"
+    )
+
+
+@query("anomaly_iforest")
+def _anomaly_iforest(t):
+    inputs = ["total_revenue", "total_orders", "avg_order_value"]
+    return isolation_forest.isolation_forest(facts.daily_series(t), inputs)
+
+
+@query("anomaly_ensemble")
+def _anomaly_ensemble(t):
+    return forecast.rounded(_detected(t), 6, "z_score").select(
+        "date", "z_score", "anomaly_votes", "is_anomaly", "anomaly_type", "anomaly_severity"
+    )
+
+
+@query("anomaly_ensemble_with_forest")
+def _anomaly_ensemble_with_forest(t):
+    return _detected(t, contamination=0.05).select(
+        "date", "anomaly_votes", "is_anomaly", "anomaly_type", "anomaly_severity", "iforest_score"
+    )
+
+
+# A lower threshold than the default 2.5 flags more days of the smooth test series.
+_SENSITIVE = {"threshold": 1.5}
+
+
+def _votes_of_one(t):
+    """Days on which the z-score method alone fires, so that reports have rows."""
+    scored = anomaly.rolling_features(facts.daily_series(t))
+    return anomaly.vote_and_classify(
+        anomaly.z_score(scored, **_SENSITIVE), ["anomaly_zscore"], need=1
+    )
+
+
+@query("anomaly_report")
+def _anomaly_report(t):
+    report = anomaly.anomaly_report(_votes_of_one(t))
+    report = forecast.rounded(report, 3, "revenue_change_pct", "anomaly_magnitude")
+    return forecast.rounded(report, 6, "z_score", "confidence")
+
+
+@query("recent_alerts")
+def _recent_alerts(t):
+    return forecast.rounded(anomaly.recent_alerts(_votes_of_one(t)), 6, "z_score")
+
+
+@query("anomaly_days_semi")
+def _anomaly_days_semi(t):
+    daily = materialize(facts.daily_series(t), "daily")
+    scored = anomaly.vote_and_classify(
+        anomaly.z_score(anomaly.rolling_features(daily), **_SENSITIVE), ["anomaly_zscore"], need=1
+    )
+    return anomaly.flagged_days(daily, scored, "spike").select("date", "total_revenue")
+
+
+def _causes(t):
+    flagged = materialize(_votes_of_one(t), "flagged")
+    days = anomaly.dimension_days(t)
+    return flagged, anomaly.root_cause(days, flagged.where("is_anomaly").select("date"))
+
+
+@query("root_cause")
+def _root_cause(t):
+    return forecast.rounded(_causes(t)[1], 3, "prior_avg_revenue", "delta")
+
+
+@query("anomaly_alerts")
+def _anomaly_alerts(t):
+    alerts = anomaly.anomaly_alerts(*_causes(t))
+    return forecast.rounded(alerts, 3, "revenue_impact", "driver_delta")
+
+
+# --- forecasts --------------------------------------------------------------------
+
+
+@query("ts_features")
+def _ts_features(t):
+    rows = forecast.ts_features(facts.daily_series(t)).drop("avg_order_value", "total_orders")
+    floats = [c for c in rows.columns if c.startswith(("roll_", "mom_"))]
+    waves = [c for c in rows.columns if c.endswith(("_sin", "_cos"))]
+    return forecast.rounded(forecast.rounded(rows, 3, *floats), 9, *waves)
+
+
+@query("naive_forecast")
+def _naive_forecast(t):
+    out = forecast.naive_forecast(facts.daily_series(t))
+    return plain(forecast.rounded(out, 3, "forecast", "lower", "upper"))
+
+
+@query("seasonal_forecast")
+def _seasonal_forecast(t):
+    out = forecast.seasonal_forecast(facts.daily_series(t))
+    return plain(forecast.rounded(out, 3, "forecast", "lower", "upper"))
+
+
+@query("segment_seasonal_forecast")
+def _segment_seasonal_forecast(t):
+    """One series per customer segment."""
+    paid = t.orders.select("order_id", "customer_id", "order_purchase_timestamp").join(
+        facts.payments_per_order(t.payments), "order_id"
+    )
+    series = (
+        paid.join(t.customers.select("customer_id", "customer_segment"), "customer_id")
+        .groupBy("customer_segment", F.to_date("order_purchase_timestamp").alias("date"))
+        .agg(F.sum("paid").cast("double").alias("total_revenue"))
+    )
+    out = forecast.seasonal_forecast(series, series=["customer_segment"])
+    return plain(forecast.rounded(out, 3, "forecast", "lower", "upper"))
+
+
+def _backtested(t):
+    train, test = forecast.split_last(materialize(facts.daily_series(t), "daily"))
+    return forecast.backtest(
+        test,
+        {"naive": forecast.naive_forecast(train), "seasonal": forecast.seasonal_forecast(train)},
+    )
+
+
+@query("backtest")
+def _backtest(t):
+    return plain(forecast.rounded(_backtested(t), 3, "naive", "seasonal"))
+
+
+@query("backtest_metrics")
+def _backtest_metrics(t):
+    out = forecast.backtest_metrics(_backtested(t), ["naive", "seasonal"])
+    return forecast.rounded(out, 3, "mae", "rmse", "mape")
+
+
+@query("forecast_summary")
+def _forecast_summary(t):
+    daily = materialize(facts.daily_series(t), "daily")
+    train, test = forecast.split_last(daily)
+    compared = forecast.backtest(test, {"seasonal": forecast.seasonal_forecast(train)})
+    metrics = forecast.backtest_metrics(compared, ["seasonal"])
+    out = forecast.forecast_summary(forecast.seasonal_forecast(daily), metrics)
+    return forecast.rounded(out, 3, *out.columns)
+
+
+@query("gbt_forecast_metrics")
+def _gbt_forecast_metrics(t):
+    return forecast.boosted_metrics(facts.daily_series(t))[1]
+
+
+@query("gbt_forecast")
+def _gbt_forecast(t):
+    return plain(forecast.boosted_forecast(facts.daily_series(t)))
+
+
+@query("ensemble_forecast")
+def _ensemble_forecast(t):
+    daily = materialize(facts.daily_series(t), "daily")
+    return plain(
+        forecast.ensemble(forecast.seasonal_forecast(daily), forecast.boosted_forecast(daily))
+    )
+
+
+# --- sentiment --------------------------------------------------------------------
+
+# Frequent words of the test texts, which hardly contain any word of the default lexicon.
+CORPUS_LEXICON = text.Lexicon(
+    positive=("that", "for", "with", "la", "der"),
+    negative=("was", "are", "en", "die"),
+    intensifiers={"in": 1.5, "is": 2.0},
+    negators=("it", "de", "not"),
+)
+
+
+@query("score_sentiment")
+def _score_sentiment(t):
+    return t.reviews.select(
+        "review_id", "order_id", F.col("review_score").cast("bigint").alias("review_score"),
+        sentiment.score_sentiment(F.col("review_score")).alias("sentiment_score"),
+    ).where(F.col("review_score").isNotNull())
+
+
+def _analyzed(t, lexicon):
+    return sentiment.analyze_reviews(t.review_texts, lexicon=lexicon)
+
+
+@query("text_sentiment")
+def _text_sentiment(t):
+    score = text.text_sentiment(F.col("review_comment_message"))
+    return t.review_texts.select("review_id", round_half_up(score, 6).alias("text_sentiment"))
+
+
+@query("text_sentiment_corpus")
+def _text_sentiment_corpus(t):
+    score = text.text_sentiment(F.col("review_comment_message"), CORPUS_LEXICON)
+    return t.review_texts.select("review_id", round_half_up(score, 6).alias("text_sentiment"))
+
+
+@query("combined_sentiment")
+def _combined_sentiment(t):
+    return _analyzed(t, CORPUS_LEXICON).select(
+        "review_id",
+        round_half_up(F.col("combined_sentiment"), 6).alias("combined_sentiment"),
+        "sentiment_category",
+    )
+
+
+@query("sentiment_trend")
+def _sentiment_trend(t):
+    trend = sentiment.sentiment_trend(_analyzed(t, CORPUS_LEXICON))
+    return forecast.rounded(
+        trend, 6, "avg_sentiment", "avg_score_sentiment", "avg_text_sentiment"
+    )
+
+
+@query("score_sentiment_trend")
+def _score_sentiment_trend(t):
+    """Monthly trend over the scored reviews of the orders."""
+    trend = sentiment.sentiment_trend(sentiment.analyze_reviews(t.reviews), "M")
+    return trend.select("period", "avg_score_sentiment", "review_count")
+
+
+@query("top_keywords")
+def _top_keywords(t):
+    analyzed = _analyzed(t, CORPUS_LEXICON)
+    sides = [
+        sentiment.top_keywords(analyzed, kind, lexicon=CORPUS_LEXICON).select(
+            F.lit(kind).alias("kind"), "keyword", "count"
+        )
+        for kind in ("positive", "negative")
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+@query("sentiment_summary")
+def _sentiment_summary(t):
+    out = sentiment.sentiment_summary(_analyzed(t, CORPUS_LEXICON))
+    return out.withColumn("category_distribution", F.to_json("category_distribution"))
+
+
+# --- events -----------------------------------------------------------------------
+
+
+@query("event_history")
+def _event_history(t):
+    return plain(trailing.event_history(t))
+
+
+@query("window_kpis")
+def _window_kpis(t):
+    return plain(trailing.window_kpis(t.events))
+
+
+@query("window_top3")
+def _window_top3(t):
+    return plain(trailing.window_top(t.events, "category"))
+
+
+@query("trailing_per_event")
+def _trailing_per_event(t):
+    return plain(
+        trailing.trailing_per_event(t.events.drop("props", "category", "customer_id"))
+    )
+
+
+@query("event_zscore")
+def _event_zscore(t):
+    return plain(trailing.event_zscore(t.events.drop("props", "category")))
+
+
+@query("spike_last25")
+def _spike_last25(t):
+    scored = trailing.event_zscore(t.events.drop("props", "category"))
+    return trailing.running_event_totals(scored).select(
+        "event_id", "spikes_last", "running_events", "running_revenue", "running_anomalies"
+    )
+
+
+def _event_stream(t):
+    """The recorded events as a stream, with event time in UTC."""
+    raw = t.raw("events")
+    replay = stream_events.read_event_files(t.spark, f"{t.folder}/events.parquet*", raw.schema)
+    return replay.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("user_id").alias("customer_id"),
+        F.col("event_type").alias("category"),
+        F.col("value").cast(MONEY).alias("revenue"),
+    )
+
+
+@query("stream_window_kpis")
+def _stream_window_kpis(t):
+    stream = windows.stream_window_kpis(_event_stream(t))
+    path = sinks.run_available(stream, "stream-kpis")
+    return plain(sinks.read_output(t.spark, path, stream.schema))
+
+
+@query("stream_top3")
+def _stream_top3(t):
+    counts = windows.stream_key_counts(_event_stream(t), "category")
+    path = scratch_path(t.spark, "stream-top")
+    write = sinks.parquet_sink(path)
+    sinks.run_available(
+        counts, "stream-top", handler=lambda b, e: write(windows.rank_closed_windows(b), e)
+    )
+    return plain(t.spark.read.parquet(path).drop("epoch"))
+
+
+@query("stream_dedupe")
+def _stream_dedupe(t):
+    """Every event arrives twice; one of each must remain."""
+    once = _event_stream(t)
+    twice = once.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+    stream = stream_events.deduplicated(twice)
+    path = sinks.run_available(stream, "stream-dedupe")
+    return plain(sinks.read_output(t.spark, path, stream.schema))
+
+
+@query("stream_daily_kpis")
+def _stream_daily_kpis(t):
+    stream = windows.stream_daily_kpis(_event_stream(t))
+    path = scratch_path(t.spark, "stream-days")
+
+    def merge(batch, epoch):
+        before = None if epoch == 0 else t.spark.read.parquet(f"{path}/{epoch - 1}")
+        windows.merge_daily(before, batch).write.mode("overwrite").parquet(f"{path}/{epoch}")
+        last["epoch"] = epoch
+
+    last: dict[str, int] = {}
+    sinks.run_available(stream, "stream-days", mode="update", handler=merge)
+    return t.spark.read.parquet(f"{path}/{last['epoch']}")
+
+
+@query("stream_fanout")
+def _stream_fanout(t):
+    """Two working sinks and a failing one; returns what each working sink received."""
+    path = scratch_path(t.spark, "fanout")
+
+    def broken(batch, epoch):
+        raise RuntimeError("this sink is down")
+
+    sinks.run_available(
+        _event_stream(t),
+        "fanout",
+        handler=sinks.fan_out(
+            {
+                "down": broken,
+                "all": sinks.parquet_sink(f"{path}/all"),
+                "large": lambda b, e: sinks.parquet_sink(f"{path}/large")(
+                    b.where("revenue > 100"), e
+                ),
+            }
+        ),
+    )
+    parts = [
+        t.spark.read.parquet(f"{path}/{name}").select(
+            F.lit(name).alias("sink"), "event_id", F.col("revenue").cast("double").alias("revenue")
+        )
+        for name in ("all", "large")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("stream_event_zscore")
+def _stream_event_zscore(t):
+    with_rocksdb(t.spark)
+    stream = scoring.stream_event_zscore(_event_stream(t))
+    path = sinks.run_available(stream, "stream-scores")
+    return plain(sinks.read_output(t.spark, path, stream.schema))
+
+
+ORACLES: dict[str, str] = {
+    name: oracles.with_views(sql)
+    for name, sql in {
+        **oracles.REPORTS,
+        **analysis_oracles.build(
+            text.Lexicon(), CORPUS_LEXICON, text.STOPWORDS, labels.SEGMENT_ACTIONS
+        ),
+    }.items()
+}
