@@ -37,17 +37,21 @@ def _merged() -> list[Column]:
     ]
 
 
+def _spread(n: Column, s: Column, q: Column) -> Column:
+    """Population deviation; the decimal difference is exact, so nothing cancels."""
+    return F.sqrt((n * q - s * s).cast("double")) / n.cast("double")
+
+
 def _kpis(window_seconds: int) -> dict[str, Column]:
     """KPI columns from the folded measures; the deviation is that of the population."""
-    n, s, q = (F.col(c).cast("double") for c in ("n", "s", "q"))
-    variance = F.greatest(q / n - (s / n) * (s / n), F.lit(0.0))
+    n, s = F.col("n").cast("double"), F.col("s").cast("double")
     return {
         "event_count": F.col("n").cast("bigint"),
         "total_revenue": F.col("s").cast("double"),
         "avg_revenue": round_half_up(s / n, 2),
         "max_revenue": F.col("hi").cast("double"),
         "min_revenue": F.col("lo").cast("double"),
-        "std_revenue": round_half_up(F.sqrt(variance), 2),
+        "std_revenue": round_half_up(_spread(F.col("n"), F.col("s"), F.col("q")), 2),
         "events_per_min": round_half_up(n / F.lit(window_seconds / 60.0), 2),
     }
 
@@ -222,15 +226,16 @@ def event_zscore(
         return {
             "history_count": F.count("revenue").over(frame),
             "_s": F.sum("revenue").over(frame),
-            "_sd": F.stddev_pop(value).over(frame),
+            "_q": F.sum(F.col("revenue") * F.col("revenue")).over(frame),
         }
 
     framed = framed_over_rows(
         ordered, history, aggregates, [key], include_current=False, chunk_rows=chunk_rows
     )
     n = F.col("history_count")
-    columns = _z_columns(n, ratio(F.col("_s"), n), F.col("_sd"), value, threshold)
-    return framed.withColumns(columns).drop("_s", "_sd", "row_index")
+    spread = _spread(n, F.col("_s"), F.col("_q"))
+    columns = _z_columns(n, ratio(F.col("_s"), n), spread, value, threshold)
+    return framed.withColumns(columns).drop("_s", "_q", "row_index")
 
 
 def running_event_totals(

@@ -121,7 +121,7 @@ def seasonal(source: str, name: str, key: str = "") -> str:
 
 SPLIT = """
 sp AS (SELECT *, row_number() OVER (ORDER BY date DESC) AS age FROM v_series),
-tr AS (SELECT * FROM sp WHERE age > 30),
+tr AS (SELECT * EXCLUDE (age) FROM sp WHERE age > 30),
 te AS (SELECT *, 31 - age AS step FROM sp WHERE age <= 30)"""
 BACKTEST = f"""{SPLIT},{naive('tr', 'nf')},{seasonal('tr', 'sf')},
 bt AS (SELECT te.date, step, total_revenue, nf.forecast AS naive, sf.forecast AS seasonal FROM te JOIN nf USING (step) JOIN sf USING (step))"""
@@ -160,8 +160,9 @@ BAND = """CASE WHEN cb >= 0.5 THEN 'Very Positive' WHEN cb >= 0.2 THEN 'Positive
   WHEN cb >= -0.5 THEN 'Negative' ELSE 'Very Negative' END"""
 
 EVENT_Z = f"""
+ezc AS (SELECT event_id, ts, customer_id, revenue, CAST(revenue*100 AS HUGEINT) AS c FROM v_events),
 ez0 AS (SELECT event_id, ts, customer_id, revenue, count(*) OVER w AS history_count, sum(revenue) OVER w AS s,
-    stddev_pop({d('revenue')}) OVER w AS sd FROM v_events
+    sqrt(CAST((count(*) OVER w)*(sum(c*c) OVER w) - (sum(c) OVER w)*(sum(c) OVER w) AS DOUBLE)/1e4)/CAST(count(*) OVER w AS DOUBLE) AS sd FROM ezc
     WINDOW w AS (PARTITION BY customer_id ORDER BY ts, event_id ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING)),
 ez1 AS (SELECT *, CASE WHEN history_count > 0 THEN ({d('revenue')} - {div('s', 'history_count')})
     / greatest(CASE WHEN history_count > 1 THEN sd ELSE 1 END, 0.01e0) ELSE 0 END AS z FROM ez0),
@@ -175,8 +176,16 @@ def event_kpis(seconds: int) -> str:
   {r('sd', 2)} AS std_revenue, {r('pm', 2)} AS events_per_min"""
 
 
+
+
+def spread(n: str, cents: str, over: str = "") -> str:
+    """Population deviation from whole cents."""
+    c = f"CAST({cents}*100 AS HUGEINT)"
+    return f"sqrt(CAST({n}*sum({c}*{c}){over} - (sum({c}){over})*(sum({c}){over}) AS DOUBLE)/1e4)/CAST({n} AS DOUBLE)"
+
+
 FOLD = f"""count(*) AS n, {d('sum(revenue)')} AS s, {div('sum(revenue)', 'count(*)')} AS a, {d('max(revenue)')} AS hi,
-  {d('min(revenue)')} AS lo, stddev_pop({d('revenue')}) AS sd, count(*)/5e0 AS pm"""
+  {d('min(revenue)')} AS lo, {spread('count(*)', 'revenue')} AS sd, count(*)/5e0 AS pm"""
 PANES = """SELECT *, time_bucket(INTERVAL 1 MINUTE, ts) - to_seconds(60*k) AS window_start FROM v_events, (SELECT unnest(range(5)) AS k)"""
 CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM v_events)"
 
@@ -403,7 +412,7 @@ k AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC
 k AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, key) AS rank FROM g) SELECT window_start, key, count, rank FROM k WHERE rank <= 3""",
         "trailing_per_event": f"""WITH t AS (SELECT event_id, ts, {d('revenue')} AS revenue, count(*) OVER w AS n, {d('sum(revenue) OVER w')} AS s,
    {div('sum(revenue) OVER w', 'count(*) OVER w')} AS a, {d('max(revenue) OVER w')} AS hi, {d('min(revenue) OVER w')} AS lo,
-   stddev_pop({d('revenue')}) OVER w AS sd, (count(*) OVER w)/5e0 AS pm FROM v_events
+   {spread('(count(*) OVER w)', 'revenue', ' OVER w')} AS sd, (count(*) OVER w)/5e0 AS pm FROM v_events
    WINDOW w AS (ORDER BY ts RANGE BETWEEN INTERVAL 299999999 MICROSECONDS PRECEDING AND CURRENT ROW))
 SELECT event_id, ts, revenue, {event_kpis(300)} FROM t""",
         "event_zscore": f"WITH {EVENT_Z} SELECT * FROM ez",

@@ -25,7 +25,7 @@ from ..operators import (
     trailing,
 )
 from ..schemas import FOREIGN_KEYS, MONEY, PRIMARY_KEYS
-from ..session import materialize, scratch_path, with_rocksdb
+from ..session import materialize, scratch_path
 from ..sources import files
 from ..sources.star import Commerce
 from ..sources.tables import Tables
@@ -884,7 +884,6 @@ def _stream_fanout(t):
 
 @query("stream_event_zscore")
 def _stream_event_zscore(t):
-    with_rocksdb(t.spark)
     stream = scoring.stream_event_zscore(_event_stream(t))
     path = sinks.run_available(stream, "stream-scores")
     return plain(sinks.read_output(t.spark, path, stream.schema))

@@ -70,12 +70,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def with_rocksdb(spark: SparkSession) -> SparkSession:
-    """Keyed state needs the RocksDB store; it also keeps large state off the heap."""
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    return spark

@@ -1,6 +1,7 @@
 """Per-event scores with keyed state.
 
-Each key keeps its last revenues (a bounded list) and forgets them after a quiet time.
+Each key keeps its last revenues (a bounded list) and forgets them after a quiet time,
+measured in event time.
 Rows are taken in arrival order, one Arrow batch at a time, so a busy key never has to
 be gathered; the micro-batch size is bounded at the source.
 """
@@ -9,66 +10,73 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 OUTPUT = (
     "customer_id bigint, event_id bigint, ts timestamp, revenue double, history_count bigint, "
     "z_score double, is_spike boolean, is_drop boolean, is_anomaly boolean"
 )
+STATE = "revenues array<double>"
 
 
-def _processor(history: int, threshold: float, ttl_ms: int) -> StatefulProcessor:
-    class Scorer(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.recent = handle.getValueState("recent", "revenues array<double>", ttl_ms)
+def _scorer(history: int, threshold: float, quiet_ms: int):
+    def score(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        import numpy as np
 
-        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-            import numpy as np
-            import pandas as pd
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen = list(state.get[0]) if state.exists else []
+        newest = 0
+        for batch in batches:
+            batch = batch.sort_values(["ts", "event_id"])
+            values = batch["revenue"].to_numpy(dtype=float)
+            known = np.concatenate([np.array(seen, dtype=float), values])
+            counts, scores = [], []
+            for i, value in enumerate(values, start=len(seen)):
+                past = known[max(0, i - history) : i]
+                spread = past.std() if len(past) > 1 else 1.0
+                mean = past.mean() if len(past) else value
+                counts.append(len(past))
+                scores.append((value - mean) / max(spread, 0.01))
+            seen = known[-history:].tolist()
+            newest = max(newest, int(batch["ts"].max().timestamp() * 1000))
+            z = np.array(scores)
+            yield pd.DataFrame(
+                {
+                    "customer_id": key[0],
+                    "event_id": batch["event_id"].to_numpy(),
+                    "ts": batch["ts"].to_numpy(),
+                    "revenue": values,
+                    "history_count": counts,
+                    "z_score": np.sign(z) * np.floor(np.abs(z) * 1000 + 0.5) / 1000,
+                    "is_spike": z > threshold,
+                    "is_drop": z < -threshold,
+                    "is_anomaly": np.abs(z) > threshold,
+                }
+            )
+        state.update((seen,))
+        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + quiet_ms)
 
-            seen = list(self.recent.get()[0]) if self.recent.exists() else []
-            for batch in rows:
-                batch = batch.sort_values(["ts", "event_id"])
-                counts, scores = [], []
-                for value in batch["revenue"].astype(float):
-                    counts.append(len(seen))
-                    spread = float(np.std(seen)) if len(seen) > 1 else 1.0
-                    mean = float(np.mean(seen)) if seen else value
-                    scores.append((value - mean) / max(spread, 0.01))
-                    seen = [*seen, value][-history:]
-                z = np.array(scores)
-                yield pd.DataFrame(
-                    {
-                        "customer_id": key[0],
-                        "event_id": batch["event_id"].to_numpy(),
-                        "ts": batch["ts"].to_numpy(),
-                        "revenue": batch["revenue"].astype(float).to_numpy(),
-                        "history_count": counts,
-                        "z_score": np.sign(z) * np.floor(np.abs(z) * 1000 + 0.5) / 1000,
-                        "is_spike": z > threshold,
-                        "is_drop": z < -threshold,
-                        "is_anomaly": np.abs(z) > threshold,
-                    }
-                )
-            self.recent.update((seen,))
-
-        def close(self) -> None:
-            pass
-
-    return Scorer()
+    return score
 
 
 def stream_event_zscore(
-    events: DataFrame, history: int = 50, threshold: float = 2.5, ttl_ms: int = 86_400_000
+    events: DataFrame,
+    history: int = 50,
+    threshold: float = 2.5,
+    quiet_ms: int = 7 * 86_400_000,
+    delay: str = "10 minutes",
 ) -> DataFrame:
-    """Scores per customer; needs the RocksDB state store provider."""
+    """Score of each event against the last `history` events of its customer."""
     return (
-        events.select("customer_id", "event_id", "ts", "revenue")
+        events.withWatermark("ts", delay)
+        .selectExpr("customer_id", "event_id", "ts", "CAST(revenue AS DOUBLE) AS revenue")
         .groupBy("customer_id")
-        .transformWithStateInPandas(
-            statefulProcessor=_processor(history, threshold, ttl_ms),
+        .applyInPandasWithState(
+            _scorer(history, threshold, quiet_ms),
             outputStructType=OUTPUT,
+            stateStructType=STATE,
             outputMode="append",
-            timeMode="processingTime",
+            timeoutConf="EventTimeTimeout",
         )
     )
