@@ -150,14 +150,16 @@ def cluster(rfm: DataFrame, k: int | None = None, k_range=range(2, 9), seed: int
     scaled = scaler.fit(vectors).transform(vectors).drop("_raw", *logs)
     scaled = materialize(scaled, "rfm-scaled")
 
-    def fitted(n: int) -> DataFrame:
-        model = KMeans(k=n, seed=seed, featuresCol="_x", predictionCol="cluster").fit(scaled)
-        return model.transform(scaled)
+    def fitted(n: int):
+        return KMeans(k=n, seed=seed, featuresCol="_x", predictionCol="cluster").fit(scaled)
 
     if k is None:
         judge = ClusteringEvaluator(featuresCol="_x", predictionCol="cluster")
-        k = max(k_range, key=lambda n: judge.evaluate(fitted(n)))
-    clustered = fitted(k)
+        models = [fitted(n) for n in k_range]
+        model = max(models, key=lambda m: judge.evaluate(m.transform(scaled)))
+    else:
+        model = fitted(k)
+    clustered = model.transform(scaled)
     order = Window.orderBy(F.desc("_mean"), "cluster")  # k rows
     rank = F.row_number().over(order)
     level = F.when(rank == 1, "High").when(rank == 2, "Mid").otherwise("Low")
