@@ -62,16 +62,19 @@ def text_sentiment(text: Column, lexicon: Lexicon = Lexicon()) -> Column:
     """
 
     def weight_of(word: Column) -> Column:
-        found = F.lit(None).cast("double")
+        found = F.lit(1.0)
         for entry, weight in lexicon.intensifiers.items():
             found = F.when(word == entry, F.lit(weight)).otherwise(found)
         return found
 
-    def state(total: Column, weight: Column, negated: Column) -> Column:
-        return F.struct(total.alias("total"), weight.alias("weight"), negated.alias("negated"))
+    def state(total: Column, weight: Column, negated: Column, words: Column) -> Column:
+        return F.struct(
+            total.alias("total"), weight.alias("weight"), negated.alias("negated"),
+            words.alias("words"),
+        )
 
     def step(acc: Column, word: Column) -> Column:
-        boost = weight_of(word)
+        seen = acc["words"] + 1
         polarity = (
             F.when(word.isin(*lexicon.positive), 1.0)
             .when(word.isin(*lexicon.negative), -1.0)
@@ -80,15 +83,20 @@ def text_sentiment(text: Column, lexicon: Lexicon = Lexicon()) -> Column:
         flip = F.when(acc["negated"], F.lit(-0.5)).otherwise(F.lit(1.0))
         gained = acc["total"] + polarity * acc["weight"] * flip
         return (
-            F.when(boost.isNotNull(), state(acc["total"], boost, acc["negated"]))
+            F.when(
+                word.isin(*lexicon.intensifiers),
+                state(acc["total"], weight_of(word), acc["negated"], seen),
+            )
             .when(
-                word.isin(*lexicon.negators), state(acc["total"], acc["weight"], F.lit(True))
+                word.isin(*lexicon.negators),
+                state(acc["total"], acc["weight"], F.lit(True), seen),
             )
-            .otherwise(state(gained, F.lit(1.0), F.lit(False)))
+            .otherwise(state(gained, F.lit(1.0), F.lit(False), seen))
         )
 
-    words = tokens(F.coalesce(text, F.lit("")))
-    start = state(F.lit(0.0), F.lit(1.0), F.lit(False))
-    total = F.aggregate(words, start, step, lambda acc: acc["total"])
-    length = F.greatest(F.sqrt(F.size(words).cast("double")), F.lit(1.0))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), total / length))
+    def finish(acc: Column) -> Column:
+        length = F.greatest(F.sqrt(acc["words"].cast("double")), F.lit(1.0))
+        return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), acc["total"] / length))
+
+    start = state(F.lit(0.0), F.lit(1.0), F.lit(False), F.lit(0))
+    return F.aggregate(tokens(F.coalesce(text, F.lit(""))), start, step, finish)

@@ -205,28 +205,44 @@ def score_by_edges(value: Column, edges: Sequence[float | None]) -> Column:
 def ranks_among(df: DataFrame, targets: dict[str, Sequence[float]]) -> dict[str, list[dict]]:
     """For each target value: how many rows are greater, smaller, or NULL in that column.
 
-    One pass of conditional counts; meant for a short list of targets (a top-k report).
+    One pass: every row is reduced to its place among the (few) targets, and only the
+    counts per place are exchanged. Meant for a short list of targets (a top-k report).
     """
-    counts = [F.count(F.lit(1)).alias("_all")]
+    ladders = {name: sorted(set(values)) for name, values in targets.items()}
+    places = []
+    for name, ladder in ladders.items():
+        number, steps = F.col(name).cast("double"), F.array(*[F.lit(float(v)) for v in ladder])
+        places.append(
+            F.struct(
+                F.lit(name).alias("metric"),
+                number.isNull().alias("missing"),
+                F.size(F.filter(steps, lambda t: t < number)).alias("above"),  # noqa: B023
+                F.size(F.filter(steps, lambda t: t <= number)).alias("reached"),  # noqa: B023
+            )
+        )
+    counts = (
+        df.select(F.explode(F.array(*places)).alias("_p"))
+        .groupBy("_p")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("_p.*", "n")
+        .collect()
+    )
+    result: dict[str, list[dict]] = {}
     for name, values in targets.items():
-        number = F.col(name).cast("double")
-        counts.append(F.count_if(F.col(name).isNull()).alias(f"{name}_null"))
-        for i, value in enumerate(values):
-            counts.append(F.count_if(number > F.lit(value)).alias(f"{name}_gt_{i}"))
-            counts.append(F.count_if(number < F.lit(value)).alias(f"{name}_lt_{i}"))
-    row = df.agg(*counts).first()
-    return {
-        name: [
-            {
-                "greater": row[f"{name}_gt_{i}"],
-                "smaller": row[f"{name}_lt_{i}"],
-                "nulls": row[f"{name}_null"],
-                "all": row["_all"],
-            }
-            for i in range(len(values))
-        ]
-        for name, values in targets.items()
-    }
+        rows = [r for r in counts if r["metric"] == name]
+        known = [r for r in rows if not r["missing"]]
+        result[name] = []
+        for value in values:
+            step = ladders[name].index(value)
+            result[name].append(
+                {
+                    "greater": sum(r["n"] for r in known if r["above"] > step),
+                    "smaller": sum(r["n"] for r in known if r["reached"] <= step),
+                    "nulls": sum(r["n"] for r in rows if r["missing"]),
+                    "all": sum(r["n"] for r in rows),
+                }
+            )
+    return result
 
 
 def framed_over_rows(

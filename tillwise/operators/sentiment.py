@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import week_ending_sunday
@@ -77,6 +77,29 @@ def sentiment_trend(
     )
 
 
+def _keyword_counts(
+    analyzed: DataFrame, side: Column, text_cols: Sequence[str] | None, lexicon: Lexicon
+) -> DataFrame:
+    """Word counts per side; words are counted map-side first, so frequent words do not
+    travel row by row."""
+    text_cols = text_columns(analyzed) if text_cols is None else list(text_cols)
+    text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
+    ignored = sorted({*STOPWORDS, *lexicon.positive, *lexicon.negative})
+    return (
+        analyzed.select(side.alias("kind"), text.alias("_text"))
+        .where(F.col("kind").isNotNull())
+        .select("kind", F.explode(keyword_tokens(F.col("_text"))).alias("keyword"))
+        .where(~F.col("keyword").isin(*ignored))
+        .groupBy("kind", "keyword")
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
+
+
+def _side() -> Column:
+    c = F.col("combined_sentiment")
+    return F.when(c > 0.3, "positive").when(c < -0.3, "negative")
+
+
 def top_keywords(
     analyzed: DataFrame,
     kind: str = "positive",
@@ -84,22 +107,25 @@ def top_keywords(
     text_cols: Sequence[str] | None = None,
     lexicon: Lexicon = Lexicon(),
 ) -> DataFrame:
-    """Most frequent words of clearly positive or negative reviews.
+    """Most frequent words of clearly positive or clearly negative reviews."""
+    side = F.when(_side() == kind, F.lit(kind))
+    counts = _keyword_counts(analyzed, side, text_cols, lexicon)
+    return counts.drop("kind").orderBy(F.desc("count"), "keyword").limit(n)
 
-    Words are counted map-side first, so frequent words do not travel row by row.
-    """
-    text_cols = text_columns(analyzed) if text_cols is None else list(text_cols)
-    side = F.col("combined_sentiment")
-    kept = analyzed.where(side > 0.3 if kind == "positive" else side < -0.3)
-    text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
-    ignored = sorted({*STOPWORDS, *lexicon.positive, *lexicon.negative})
+
+def top_keywords_by_side(
+    analyzed: DataFrame,
+    n: int = 20,
+    text_cols: Sequence[str] | None = None,
+    lexicon: Lexicon = Lexicon(),
+) -> DataFrame:
+    """Both lists with one pass over the texts."""
+    best = Window.partitionBy("kind").orderBy(F.desc("count"), "keyword")
     return (
-        kept.select(F.explode(keyword_tokens(text)).alias("keyword"))
-        .where(~F.col("keyword").isin(*ignored))
-        .groupBy("keyword")
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "keyword")
-        .limit(n)
+        _keyword_counts(analyzed, _side(), text_cols, lexicon)
+        .withColumn("_rank", F.row_number().over(best))
+        .where(F.col("_rank") <= n)
+        .drop("_rank")
     )
 
 

@@ -746,14 +746,7 @@ def _score_sentiment_trend(t):
 
 @query("top_keywords")
 def _top_keywords(t):
-    analyzed = _analyzed(t, CORPUS_LEXICON)
-    sides = [
-        sentiment.top_keywords(analyzed, kind, lexicon=CORPUS_LEXICON).select(
-            F.lit(kind).alias("kind"), "keyword", "count"
-        )
-        for kind in ("positive", "negative")
-    ]
-    return sides[0].unionByName(sides[1])
+    return sentiment.top_keywords_by_side(_analyzed(t, CORPUS_LEXICON), lexicon=CORPUS_LEXICON)
 
 
 @query("sentiment_summary")

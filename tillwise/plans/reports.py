@@ -281,26 +281,39 @@ def cohort_lifetime_value(tables) -> DataFrame:
 
 
 def seller_metrics(tables) -> DataFrame:
-    """Totals per seller. Several reviews on an order weigh its items, as a row join would."""
+    """Totals per seller. Several reviews on an order weigh its items, as a row join would.
+
+    Orders and months are counted by folding seller x order to seller x month to seller:
+    the first fold keeps the order partitioning of the join and needs no exchange. Only
+    the different products need a distinct count of their own.
+    """
     scores = reviews_per_order(tables.reviews)
     weight = F.greatest(F.coalesce("n_reviews", F.lit(0)), F.lit(1))
-    sold = (
-        tables.order_items.select("order_id", "product_id", "seller_id", "price")
-        .join(delivered(tables).select("order_id", "order_purchase_timestamp"), "order_id")
-        .join(scores, "order_id", "left")
-    )
-    totals = sold.groupBy("seller_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.countDistinct("product_id").alias("unique_products"),
-        F.sum(F.col("price") * weight).alias("total_revenue"),
-        F.sum(weight).alias("_rows"),
-        F.sum("score_sum").alias("_score_sum"),
-        F.sum("n_scores").alias("_scores"),
-        # a set of months stays small, a third distinct count would copy every item again
-        F.size(F.collect_set(month_of(F.col("order_purchase_timestamp"))))
-        .cast("bigint")
-        .alias("active_months"),
+    sold = tables.order_items.select("order_id", "product_id", "seller_id", "price").join(
+        delivered(tables).select("order_id", "order_purchase_timestamp"), "order_id"
+    )
+    month = month_of(F.col("order_purchase_timestamp")).alias("_month")
+    per_order = (
+        sold.join(scores, "order_id", "left")
+        .groupBy("seller_id", "order_id", month)
+        .agg(
+            F.sum(F.col("price") * weight).alias("_revenue"),
+            F.sum(weight).alias("_rows"),
+            F.sum("score_sum").alias("_score_sum"),
+            F.sum("n_scores").alias("_scores"),
+        )
+    )
+    add_up = [F.sum(c).alias(c) for c in ("_revenue", "_rows", "_score_sum", "_scores")]
+    per_month = per_order.groupBy("seller_id", "_month").agg(
+        F.count(F.lit(1)).alias("_orders"), *add_up
+    )
+    per_seller = per_month.groupBy("seller_id").agg(
+        F.sum("_orders").alias("total_orders"), F.count(F.lit(1)).alias("active_months"), *add_up
+    )
+    products = sold.groupBy("seller_id").agg(
+        F.countDistinct("product_id").alias("unique_products")
     )
+    totals = per_seller.withColumnRenamed("_revenue", "total_revenue").join(products, "seller_id")
     return totals.join(tables.sellers, "seller_id").select(
         "seller_id",
         "seller_city",

@@ -148,6 +148,13 @@ class Commerce:
             )
         )
 
+    def texts(self) -> DataFrame:
+        """The documents, spread out if they come in fewer files than there are cores
+        (text work is heavy per row; with many files nothing is shuffled)."""
+        documents = self.raw("documents")
+        cores = self.spark.sparkContext.defaultParallelism
+        return documents.repartition(cores) if len(documents.inputFiles()) < cores else documents
+
     @cached_property
     def review_texts(self) -> DataFrame:
         score = (
@@ -157,7 +164,7 @@ class Commerce:
         )
         day = (F.col("doc_id") % 366).cast("int")
         return (
-            self.raw("documents")
+            self.texts()
             .join(self.raw("labels"), "doc_id", "left")
             .select(
                 F.col("doc_id").alias("review_id"),
