@@ -35,10 +35,21 @@ def months_apart(later: Column, earlier: Column) -> Column:
     ).cast("bigint")
 
 
+def micros(ts: Column) -> Column:
+    """Microseconds since 1970, also for timestamps without zone (read as UTC)."""
+    return F.unix_micros(ts.cast("timestamp"))
+
+
+def instant(value) -> Column:
+    """A literal point in time. Without zone, so that it compares with either timestamp
+    type without casting the column, and the filter can reach the scan."""
+    return F.lit(value).cast("timestamp_ntz")
+
+
 def whole_days(later: Column, earlier: Column) -> Column:
     """Elapsed time in days, rounded down (also for negative spans)."""
     return F.floor(
-        (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(float(MICROS_PER_DAY))
+        (micros(later) - micros(earlier)) / F.lit(float(MICROS_PER_DAY))
     ).cast("bigint")
 
 

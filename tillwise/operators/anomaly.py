@@ -169,7 +169,8 @@ def dimension_days(tables) -> DataFrame:
     """Revenue per day for each state, payment type and product category.
 
     State and payment type use the order value once per order (and payment type);
-    category uses item prices.
+    category uses item prices. Days are folded per customer and per product before those
+    tables are joined.
     """
     value = item_value_per_order(tables.order_items)
     orders = tables.orders.select("order_id", "customer_id", "order_purchase_timestamp")
@@ -177,21 +178,25 @@ def dimension_days(tables) -> DataFrame:
     facts = orders.join(value, "order_id", "left").select(
         "order_id", "customer_id", date.alias("date"), order_value().alias("_value")
     )
-    by_state = facts.join(
-        tables.customers.select("customer_id", "customer_state"), "customer_id", "left"
-    ).select("date", F.lit("customer_state").alias("dimension"),
-             F.col("customer_state").alias("value"), "_value")
+    by_state = (
+        facts.groupBy("date", "customer_id")
+        .agg(F.sum("_value").alias("_value"))
+        .join(tables.customers.select("customer_id", "customer_state"), "customer_id", "left")
+        .select("date", F.lit("customer_state").alias("dimension"),
+                F.col("customer_state").alias("value"), "_value")
+    )
     by_type = facts.join(
         tables.payments.select("order_id", "payment_type").distinct(), "order_id"
     ).select("date", F.lit("payment_type").alias("dimension"),
              F.col("payment_type").alias("value"), "_value")
     by_category = (
         tables.order_items.select("order_id", "product_id", "price")
-        .join(tables.products.select("product_id", "product_category_name"), "product_id")
         .join(orders, "order_id")
-        .select(date.alias("date"), F.lit("product_category").alias("dimension"),
-                F.col("product_category_name").alias("value"),
-                F.col("price").cast("decimal(23,2)").alias("_value"))
+        .groupBy(date.alias("date"), "product_id")
+        .agg(F.sum("price").alias("_value"))
+        .join(tables.products.select("product_id", "product_category_name"), "product_id")
+        .select("date", F.lit("product_category").alias("dimension"),
+                F.col("product_category_name").alias("value"), "_value")
     )
     rolled = [
         part.where(F.col("value").isNotNull())

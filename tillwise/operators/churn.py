@@ -17,7 +17,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import whole_days
+from ..functions.calendar import instant, whole_days
 from ..functions.labels import churn_risk, churn_risk_five, next_best_action, retention_action
 from ..functions.rounding import ratio, round_half_up
 from ..session import materialize
@@ -43,7 +43,7 @@ def churn_features(tables, reference=None, inactive_days: int = 90) -> DataFrame
     """
     if reference is None:
         reference = tables.orders.agg(F.max("order_purchase_timestamp")).first()[0]
-    now = F.lit(reference).cast("timestamp")
+    now = instant(reference)
     copies = F.greatest(F.coalesce("n_reviews", F.lit(0)), F.lit(1))
     rows = F.greatest(F.coalesce("n_payments", F.lit(0)), F.lit(1)) * copies
     orders = (

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import day_of, month_of, order_calendar, whole_days
+from ..functions.calendar import day_of, instant, month_of, order_calendar, whole_days
 from ..functions.rounding import ratio
 
 
@@ -51,20 +51,13 @@ def order_value() -> Column:
     return F.coalesce("revenue", zero) + F.coalesce("freight", zero)
 
 
-def order_facts(tables, with_customers: bool = False) -> DataFrame:
+def order_facts(tables) -> DataFrame:
     """One row per order: value, payment and review rollups, fan-out weight.
 
     All inputs are hash-partitioned on order_id, so each table is shuffled once.
     """
-    orders = tables.orders
-    if with_customers:
-        orders = orders.join(
-            tables.customers.select("customer_id", "customer_unique_id", "customer_state"),
-            "customer_id",
-            "left",
-        )
     facts = (
-        orders.join(item_value_per_order(tables.order_items), "order_id", "left")
+        tables.orders.join(item_value_per_order(tables.order_items), "order_id", "left")
         .join(payments_per_order(tables.payments), "order_id", "left")
         .join(reviews_per_order(tables.reviews), "order_id", "left")
     )
@@ -110,11 +103,22 @@ def master_dataset(tables, grain: str = "rows") -> DataFrame:
     )
 
 
-def daily_revenue(tables, statuses: Sequence[str] | None = ("delivered",)) -> DataFrame:
+def _orders_with(tables, statuses: Sequence[str] | None, start=None, end=None) -> DataFrame:
+    """Orders of some statuses and (inclusive) days; both filters reach the scan."""
+    orders = tables.orders if statuses is None else tables.orders_in(*statuses)
+    bought = F.col("order_purchase_timestamp")
+    if start is not None:
+        orders = orders.where(bought >= instant(start))
+    if end is not None:
+        orders = orders.where(bought < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
+    return orders
+
+
+def daily_revenue(
+    tables, statuses: Sequence[str] | None = ("delivered",), start=None, end=None
+) -> DataFrame:
     """Daily series: distinct orders, revenue, mean per payment row and per order, customers."""
-    orders = tables.orders
-    if statuses is not None:
-        orders = orders.where(F.col("order_status").isin(*statuses))
+    orders = _orders_with(tables, statuses, start, end)
     paid = orders.select("order_id", "customer_id", "order_purchase_timestamp").join(
         payments_per_order(tables.payments), "order_id"
     )
@@ -137,11 +141,11 @@ def daily_revenue(tables, statuses: Sequence[str] | None = ("delivered",)) -> Da
     )
 
 
-def daily_series(tables, statuses: Sequence[str] | None = ("delivered",)) -> DataFrame:
+def daily_series(
+    tables, statuses: Sequence[str] | None = ("delivered",), start=None, end=None
+) -> DataFrame:
     """The three measures the models use, without the distinct customer count."""
-    orders = tables.orders
-    if statuses is not None:
-        orders = orders.where(F.col("order_status").isin(*statuses))
+    orders = _orders_with(tables, statuses, start, end)
     paid = orders.select("order_id", "order_purchase_timestamp").join(
         payments_per_order(tables.payments), "order_id"
     )
@@ -162,7 +166,7 @@ def daily_series(tables, statuses: Sequence[str] | None = ("delivered",)) -> Dat
 
 
 def between_dates(df: DataFrame, column: str, start=None, end=None) -> DataFrame:
-    """Inclusive date range; a missing bound does not filter."""
+    """Inclusive range on a date column; a missing bound does not filter."""
     if start is not None:
         df = df.where(F.col(column) >= F.lit(start).cast("date"))
     if end is not None:
@@ -218,15 +222,25 @@ def top_products(tables, n: int = 10) -> DataFrame:
 
 
 def state_revenue(tables, grain: str = "order") -> DataFrame:
-    """Order value and distinct customers per state, with the log scale used for maps."""
-    facts = order_facts(tables, with_customers=True)
-    weight = F.col("row_multiplicity") if grain == "rows" else F.lit(1)
-    return (
-        facts.groupBy(F.col("customer_state").alias("state"))
-        .agg(
-            F.sum(F.col("total_order_value") * weight).alias("revenue"),
-            F.countDistinct("customer_id").alias("customers"),
+    """Order value and distinct customers per state, with the log scale used for maps.
+
+    Orders are folded per customer before the customers are joined, so a busy customer
+    is one row there.
+    """
+    if grain == "rows":
+        facts = order_facts(tables)
+        value = F.col("total_order_value") * F.col("row_multiplicity")
+    else:
+        facts = tables.orders.select("order_id", "customer_id").join(
+            item_value_per_order(tables.order_items), "order_id", "left"
         )
+        value = order_value()
+    return (
+        facts.groupBy("customer_id")
+        .agg(F.sum(value).alias("_value"))
+        .join(tables.customers.select("customer_id", "customer_state"), "customer_id", "left")
+        .groupBy(F.col("customer_state").alias("state"))
+        .agg(F.sum("_value").alias("revenue"), F.count("customer_id").alias("customers"))
         .withColumn("log_revenue", F.log1p(F.col("revenue").cast("double")))
     )
 

@@ -8,7 +8,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import whole_days
+from ..functions.calendar import instant, whole_days
 from ..functions.labels import next_best_action, rfm_segment, segment_action
 from ..functions.rounding import ratio, round_half_up, share_pct
 from ..session import materialize
@@ -26,13 +26,12 @@ def rfm_base(tables, reference=None, grain: str = "order") -> DataFrame:
     """
     if reference is None:
         reference = tables.orders.agg(F.max("order_purchase_timestamp")).first()[0]
-    delivered = F.col("order_status") == "delivered"
     if grain == "rows":
-        facts = order_facts(tables).where(delivered)
+        facts = order_facts(tables).where(F.col("order_status") == "delivered")
         value = F.col("total_order_value") * F.col("row_multiplicity")
     else:
         facts = (
-            tables.orders.where(delivered)
+            tables.orders_in("delivered")
             .select("order_id", "customer_id", "order_purchase_timestamp")
             .join(item_value_per_order(tables.order_items), "order_id", "left")
         )
@@ -45,7 +44,7 @@ def rfm_base(tables, reference=None, grain: str = "order") -> DataFrame:
             F.sum(value).alias("monetary"),
         )
         .withColumn(
-            "recency", whole_days(F.lit(reference).cast("timestamp"), F.col("last_purchase"))
+            "recency", whole_days(instant(reference), F.col("last_purchase"))
         )
     )
 

@@ -83,7 +83,7 @@ for _name, _report in {
 
 @query("daily_revenue_range")
 def _daily_revenue_range(t):
-    return facts.between_dates(facts.daily_series(t), "date", "1996-01-01", "1996-12-31")
+    return facts.daily_series(t, start="1996-01-01", end="1996-12-31")
 
 
 @query("master_dataset")

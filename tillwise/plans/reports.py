@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import day_of, month_of, months_apart, week_of, whole_days
+from ..functions.calendar import day_of, instant, month_of, months_apart, week_of, whole_days
 from ..functions.rounding import ratio, round_half_up, share_pct
 from ..operators.facts import daily_revenue, payments_per_order, reviews_per_order
 from ..operators.ordering import ranks_among, with_tiles
@@ -28,7 +28,7 @@ def _mean_over(column: str, frame) -> Column:
 
 
 def delivered(tables) -> DataFrame:
-    return tables.orders.where(F.col("order_status") == "delivered")
+    return tables.orders_in("delivered")
 
 
 def latest_purchase(tables):
@@ -72,17 +72,26 @@ def daily_revenue_moving_averages(tables) -> DataFrame:
 
 
 def _customer_totals(tables) -> DataFrame:
-    """Last purchase, orders and payments of every customer with a paid delivered order."""
+    """Last purchase, orders and payments of every customer with a paid delivered order.
+
+    Orders are folded per customer_id before the customers are joined.
+    """
     return (
         delivered(tables)
         .select("order_id", "customer_id", "order_purchase_timestamp")
         .join(payments_per_order(tables.payments), "order_id")
+        .groupBy("customer_id")
+        .agg(
+            F.max("order_purchase_timestamp").alias("_last"),
+            F.count(F.lit(1)).alias("_orders"),
+            F.sum("paid").alias("_paid"),
+        )
         .join(tables.customers.select("customer_id", "customer_unique_id"), "customer_id")
         .groupBy("customer_unique_id")
         .agg(
-            F.max("order_purchase_timestamp").alias("last_purchase"),
-            F.count(F.lit(1)).alias("frequency"),
-            F.sum("paid").alias("monetary"),
+            F.max("_last").alias("last_purchase"),
+            F.sum("_orders").alias("frequency"),
+            F.sum("_paid").alias("monetary"),
         )
     )
 
@@ -93,7 +102,7 @@ def rfm_by_tiles(tables, as_of=None) -> DataFrame:
     raw = materialize(
         _customer_totals(tables).select(
             F.col("customer_unique_id").alias("customer_id"),
-            whole_days(F.lit(as_of).cast("timestamp"), F.col("last_purchase")).alias("recency"),
+            whole_days(instant(as_of), F.col("last_purchase")).alias("recency"),
             "frequency",
             "monetary",
         ),
@@ -135,31 +144,31 @@ def rfm_by_tiles(tables, as_of=None) -> DataFrame:
     )
 
 
-def _customer_months(orders: DataFrame, *measures: Column) -> DataFrame:
-    """One row per customer and month with the customer's first month.
+def _customer_months(tables, orders: DataFrame, *sums: str) -> DataFrame:
+    """One row per (unique) customer and month with the customer's first month.
 
-    Orders are folded to months first, so the window per customer sees at most one row
-    per calendar month however many orders the customer has.
+    Orders are folded to customer x month before the customers are joined, so neither the
+    join nor the window per customer sees more than one row per calendar month and id.
     """
-    months = orders.groupBy(
-        "customer_unique_id", month_of(F.col("order_purchase_timestamp")).alias("order_month")
-    ).agg(F.count(F.lit(1)).alias("_orders"), *measures)
+    month = month_of(F.col("order_purchase_timestamp")).alias("order_month")
+    add_up = [F.sum(c).alias(c) for c in sums]
+    months = (
+        orders.groupBy("customer_id", month)
+        .agg(F.count(F.lit(1)).alias("_orders"), *add_up)
+        .join(tables.customers.select("customer_id", "customer_unique_id"), "customer_id")
+        .groupBy("customer_unique_id", "order_month")
+        .agg(F.sum("_orders").alias("_orders"), *add_up)
+    )
     own = Window.partitionBy("customer_unique_id")
     return months.withColumn("cohort_month", F.min("order_month").over(own)).withColumn(
         "period", months_apart(F.col("order_month"), F.col("cohort_month"))
     )
 
 
-def _with_customer(orders: DataFrame, tables) -> DataFrame:
-    return orders.join(tables.customers.select("customer_id", "customer_unique_id"), "customer_id")
-
-
 def cohort_retention_report(tables, max_period: int = 12) -> DataFrame:
     """Report 3: customers of a first-month cohort that are active n months later."""
     active = _customer_months(
-        _with_customer(
-            delivered(tables).select("customer_id", "order_purchase_timestamp"), tables
-        )
+        tables, delivered(tables).select("customer_id", "order_purchase_timestamp")
     )
     counts = active.groupBy("cohort_month", "period").agg(F.count(F.lit(1)).alias("customers"))
     own = Window.partitionBy("cohort_month")
@@ -179,7 +188,7 @@ def cohort_retention_report(tables, max_period: int = 12) -> DataFrame:
 
 def zscore_report(tables) -> DataFrame:
     """Report 4: days scored against the global mean and deviation."""
-    orders = tables.orders.where(F.col("order_status").isin("delivered", "shipped"))
+    orders = tables.orders_in("delivered", "shipped")
     days = (
         orders.select("order_id", "order_purchase_timestamp")
         .join(payments_per_order(tables.payments), "order_id")
@@ -218,7 +227,7 @@ def zscore_report(tables) -> DataFrame:
 
 def category_weekly_drops(tables, n: int = 20) -> DataFrame:
     """Report 5: the worst week-over-week drops per category."""
-    orders = tables.orders.where(F.col("order_status").isin("delivered", "shipped"))
+    orders = tables.orders_in("delivered", "shipped")
     weekly = (
         tables.order_items.select("order_id", "product_id", "price")
         .join(tables.products.select("product_id", "product_category_name"), "product_id")
@@ -255,15 +264,14 @@ def category_weekly_drops(tables, n: int = 20) -> DataFrame:
 
 def cohort_lifetime_value(tables) -> DataFrame:
     """Report 6: cumulative payments per initial cohort member."""
-    paid = _with_customer(
+    paid = (
         delivered(tables)
         .select("order_id", "customer_id", "order_purchase_timestamp")
-        .join(payments_per_order(tables.payments), "order_id"),
-        tables,
+        .join(payments_per_order(tables.payments), "order_id")
     )
-    months = _customer_months(paid, F.sum("paid").alias("_paid"))
+    months = _customer_months(tables, paid, "paid")
     monthly = months.groupBy("cohort_month", F.col("period").alias("months_since_first")).agg(
-        F.count(F.lit(1)).alias("active_customers"), F.sum("_paid").alias("_revenue")
+        F.count(F.lit(1)).alias("active_customers"), F.sum("paid").alias("_revenue")
     )
     own = Window.partitionBy("cohort_month")
     running = own.orderBy("months_since_first").rowsBetween(BEFORE, 0)
@@ -420,19 +428,23 @@ def geographic_revenue(tables) -> DataFrame:
         .join(reviews_per_order(tables.reviews), "order_id", "left")
     )
     copies = F.greatest(F.coalesce("n_reviews", F.lit(0)), F.lit(1))
+    per_customer = orders.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("_orders"),
+        F.sum(F.col("paid") * copies).alias("_paid"),
+        F.sum(F.col("n_payments") * copies).alias("_rows"),
+        F.sum(F.col("score_sum") * F.col("n_payments")).alias("_score"),
+        F.sum(F.col("n_scores") * F.col("n_payments")).alias("_scores"),
+    )
     states = (
-        orders.join(
+        per_customer.join(
             tables.customers.select("customer_id", "customer_unique_id", "customer_state"),
             "customer_id",
         )
         .groupBy("customer_state")
         .agg(
-            F.count(F.lit(1)).alias("total_orders"),
+            F.sum("_orders").alias("total_orders"),
             F.countDistinct("customer_unique_id").alias("unique_customers"),
-            F.sum(F.col("paid") * copies).alias("_paid"),
-            F.sum(F.col("n_payments") * copies).alias("_rows"),
-            F.sum(F.col("score_sum") * F.col("n_payments")).alias("_score"),
-            F.sum(F.col("n_scores") * F.col("n_payments")).alias("_scores"),
+            *[F.sum(c).alias(c) for c in ("_paid", "_rows", "_score", "_scores")],
         )
     )
     everything = Window.partitionBy()
@@ -455,9 +467,10 @@ def geographic_revenue(tables) -> DataFrame:
 def realtime_kpis(tables, as_of=None) -> DataFrame:
     """Report 10: last hour, today and month to date, in one pass over the current month."""
     as_of = as_of or latest_purchase(tables)
-    now = F.lit(as_of).cast("timestamp")
+    now = instant(as_of)
     bought = F.col("order_purchase_timestamp")
-    first_needed = F.least(F.date_trunc("month", now), now - F.expr("INTERVAL '1' HOUR"))
+    month_start = F.trunc(F.to_date(now), "MM").cast("timestamp_ntz")
+    first_needed = F.least(month_start, now - F.expr("INTERVAL '1' HOUR"))
     recent = (
         tables.orders.where(bought >= first_needed)
         .select("order_id", "customer_id", "order_purchase_timestamp")
@@ -484,5 +497,5 @@ def realtime_kpis(tables, as_of=None) -> DataFrame:
         "orders_mtd",
         _dbl("_m").alias("revenue_mtd"),
         "customers_mtd",
-        now.cast("timestamp_ntz").alias("snapshot_time"),
+        now.alias("snapshot_time"),
     )

@@ -6,7 +6,6 @@ the order in which partitions arrive; timestamps are read as UTC.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import MONEY
 from ..session import apply_settings
+from .model import CommerceTables
 
 STATUS = {"F": "delivered", "O": "shipped", "P": "processing"}
 
@@ -22,15 +22,12 @@ def _money(column: str) -> Column:
     return F.col(column).cast(MONEY)
 
 
-@dataclass
-class Commerce:
+class Commerce(CommerceTables):
     """The commerce tables of one data folder."""
 
-    spark: SparkSession
-    folder: str
-
-    def __post_init__(self) -> None:
-        apply_settings(self.spark)
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = apply_settings(spark)
+        self.folder = folder
 
     def raw(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
@@ -52,29 +49,38 @@ class Commerce:
             )
         )
 
-    @cached_property
-    def orders(self) -> DataFrame:
+    def _orders(self, stored: DataFrame) -> DataFrame:
         status = F.col("o_orderstatus")
-        named = F.when(status == "F", "delivered").when(status == "O", "shipped")
+        *most, (_, last) = STATUS.items()
+        named = F.when(status == most[0][0], most[0][1])
+        for code, name in most[1:]:
+            named = named.when(status == code, name)
         shipped = (
             self.raw("lineitem")
             .groupBy("l_orderkey")
             .agg(F.max("l_shipdate").alias("_last_ship"))
         )
         return (
-            self.raw("orders")
-            .join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+            stored.join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
             .select(
                 F.col("o_orderkey").alias("order_id"),
                 F.col("o_custkey").alias("customer_id"),
-                named.otherwise("processing").alias("order_status"),
-                F.col("o_orderdate").cast("timestamp").alias("order_purchase_timestamp"),
-                F.when(status == "F", F.col("_last_ship").cast("timestamp")).alias(
-                    "order_delivered_customer_date"
-                ),
+                named.otherwise(last).alias("order_status"),
+                # left without zone: a cast would keep time filters away from the scan
+                F.col("o_orderdate").alias("order_purchase_timestamp"),
+                F.when(status == "F", F.col("_last_ship")).alias("order_delivered_customer_date"),
             )
         )
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._orders(self.raw("orders"))
+
+    def orders_in(self, *statuses: str) -> DataFrame:
+        """Orders of some statuses; the stored codes are filtered, so the scan can skip."""
+        codes = [code for code, name in STATUS.items() if name in statuses]
+        return self._orders(self.raw("orders").where(F.col("o_orderstatus").isin(*codes)))
+
     @cached_property
     def order_items(self) -> DataFrame:
         tax = F.col("l_tax").cast("decimal(4,2)")
@@ -143,7 +149,7 @@ class Commerce:
             .select(
                 key.alias("review_id"),
                 key.alias("order_id"),
-                (1 + F.floor(key / 5) % 5).cast("int").alias("review_score"),
+                F.expr("1 + (o_orderkey div 5) % 5").cast("int").alias("review_score"),
                 F.date_add(F.to_date("o_orderdate"), 10).alias("review_creation_date"),
             )
         )
@@ -184,11 +190,3 @@ class Commerce:
             _money("value").alias("revenue"),
             "props",
         )
-
-    def register_views(self) -> None:
-        """Expose the tables to spark.sql."""
-        for name in (
-            "customers", "orders", "order_items", "payments",
-            "products", "sellers", "reviews", "review_texts", "events",
-        ):
-            getattr(self, name).createOrReplaceTempView(name)
