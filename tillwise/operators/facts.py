@@ -76,9 +76,8 @@ def master_dataset(tables, grain: str = "rows") -> DataFrame:
     grain="rows": one row per order x payment x review (left joins).
     grain="order": payments and reviews folded to one row per order.
     """
-    base = tables.orders.join(tables.customers, "customer_id", "left").join(
-        items_per_order(tables.order_items), "order_id", "left"
-    )
+    # all joins on order_id share one partitioning; customers come last
+    base = tables.orders.join(items_per_order(tables.order_items), "order_id", "left")
     if grain == "rows":
         wide = base.join(
             tables.payments.select(
@@ -94,7 +93,7 @@ def master_dataset(tables, grain: str = "rows") -> DataFrame:
     else:
         raise ValueError(f"unknown grain {grain!r}")
     bought = F.col("order_purchase_timestamp")
-    return wide.withColumns(
+    return wide.join(tables.customers, "customer_id", "left").withColumns(
         {
             **order_calendar(bought),
             "total_order_value": order_value(),
