@@ -119,7 +119,7 @@ def boosted_metrics(
     calendar and lags only (nothing that is unknown on the forecast day).
     """
     inputs = [*CALENDAR, *HISTORY]
-    rows = ts_features(daily).dropna(subset=HISTORY)
+    rows = materialize(ts_features(daily), "boosted-features").dropna(subset=HISTORY)
     rows = rows.withColumns(
         {
             "_row": F.row_number().over(Window.orderBy("date")),
@@ -163,7 +163,15 @@ def boosted_forecast(
                 Window.partitionBy(*series).orderBy(F.desc("date"))
             ) == 1,
         }
-    ).dropna(subset=HISTORY)
+    )
+    # Written before it is filtered: planning the long feature expressions through the
+    # filters takes longer than computing them. The window of a single series is one
+    # task, so its rows are spread before they are multiplied.
+    history = (
+        materialize(history, "forecast-history")
+        .dropna(subset=HISTORY)
+        .repartition(daily.sparkSession.sparkContext.defaultParallelism)
+    )
     rows = (
         history.select(*series, "date", "_last", *HISTORY, F.explode("_ahead").alias("_a"))
         .select("*", "_a.*")
