@@ -72,6 +72,7 @@ for _name, _report in {
     "q8_payment_running": reports.payment_running_totals,
     "q9_geo_revenue": reports.geographic_revenue,
     "q10_realtime_kpis": reports.realtime_kpis,
+    "geo_revenue": reports.geographic_revenue,
     "daily_revenue": lambda t: plain(facts.daily_revenue(t)),
     "category_month_revenue": lambda t: plain(facts.category_month_revenue(t)),
     "category_revenue_top": lambda t: plain(facts.category_revenue_top(t)),
@@ -81,6 +82,14 @@ for _name, _report in {
     query(_name)(_report)
 
 
+@query("seller_performance")
+def _seller_performance(t):
+    """The totals of every seller, before the ranking of report 7."""
+    return forecast.rounded(
+        reports.seller_metrics(t), 2, "avg_item_price", "avg_review_score"
+    )
+
+
 @query("daily_revenue_range")
 def _daily_revenue_range(t):
     return facts.daily_series(t, start="1996-01-01", end="1996-12-31")

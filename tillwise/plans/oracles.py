@@ -194,6 +194,14 @@ g AS (SELECT count(*) FILTER (h) AS oh, sum(paid) FILTER (h) AS ph, sum(n_paymen
 x AS (SELECT *, {div('ph', 'nh')} AS aov FROM g)
 SELECT oh AS orders_last_hour, {d('ph')} AS revenue_last_hour, {r('aov', 2)} AS aov_last_hour, ot AS orders_today,
   {d('pt')} AS revenue_today, om AS orders_mtd, {d('pm')} AS revenue_mtd, cm AS customers_mtd, snapshot_time FROM x""",
+    "seller_performance": f"""
+WITH m AS (SELECT seller_id, seller_city, seller_state, seller_rating, count(DISTINCT order_id) AS total_orders,
+   count(DISTINCT product_id) AS unique_products, {d('sum(price)')} AS total_revenue, {div('sum(price)', 'count(*)')} AS aip,
+   {div('sum(review_score)', 'count(review_score)')} AS ars, count(DISTINCT order_month) AS active_months
+  FROM v_items JOIN v_orders USING (order_id) JOIN v_sellers USING (seller_id) LEFT JOIN v_reviews USING (order_id)
+  WHERE order_status = 'delivered' GROUP BY 1, 2, 3, 4)
+SELECT seller_id, seller_city, seller_state, seller_rating, total_orders, unique_products, total_revenue, {r('aip', 2)} AS avg_item_price,
+  {r('ars', 2)} AS avg_review_score, active_months FROM m""",
     "daily_revenue_range": f"""
 SELECT date, total_revenue, total_orders, avg_order_value FROM v_series WHERE date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'""",
     "master_dataset": f"""
@@ -234,3 +242,5 @@ SELECT o.order_id, o.order_status, o.order_purchase_timestamp, p.payment_type, {
 FROM v_orders o LEFT JOIN v_value v USING (order_id) LEFT JOIN v_payments p USING (order_id) LEFT JOIN v_reviews w USING (order_id)
 WHERE o.customer_id = 42""",
 }
+
+REPORTS["geo_revenue"] = REPORTS["q9_geo_revenue"]

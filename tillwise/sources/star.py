@@ -155,11 +155,12 @@ class Commerce(CommerceTables):
         )
 
     def texts(self) -> DataFrame:
-        """The documents, spread out if they come in fewer files than there are cores
-        (text work is heavy per row; with many files nothing is shuffled)."""
+        """The documents. A single file may be a single row group and so a single task;
+        it is spread out, as text work is heavy per row. Several files are not shuffled."""
         documents = self.raw("documents")
-        cores = self.spark.sparkContext.defaultParallelism
-        return documents.repartition(cores) if len(documents.inputFiles()) < cores else documents
+        if len(documents.inputFiles()) > 1:
+            return documents
+        return documents.repartition(self.spark.sparkContext.defaultParallelism)
 
     @cached_property
     def review_texts(self) -> DataFrame:

@@ -34,6 +34,7 @@ class Tables:
         version = scratch_path(self.spark, f"{name}").rsplit("/", 1)[-1]
         path = f"{self.root}/{version}"
         df.write.parquet(path)
+        self.spark.catalog.dropTempView(name)  # a view of that name would hide the table
         self.spark.sql(f"DROP TABLE IF EXISTS `{name}`")
         self.spark.catalog.createTable(name, path=path, source="parquet")
 

@@ -59,7 +59,7 @@ def read_kafka(
     group: str | None = None,
     max_offsets: int = 5_000_000,
 ) -> DataFrame:
-    """Events of a topic, newest first subscribers only; needs the Kafka package on the cluster."""
+    """Events of a topic from now on; needs the Kafka package on the cluster."""
     reader = spark.readStream.format("kafka").option("maxOffsetsPerTrigger", max_offsets)
     return parse_events(reader.options(**kafka_options(servers, topic, group)).load())
 
