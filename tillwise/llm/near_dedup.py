@@ -6,10 +6,11 @@ and drops pairs far below the limit, and the full sets decide.
 
 Long lists are not expanded into all pairs. A document most of whose retained hashes lie in long lists
 (a member of a large group of copies) is looked up under several combinations of retained hashes instead;
-in a large group with one combination every member is first compared with the group's smallest member, and
-after the components of those links are known, members outside the largest component are compared with
-all others of the group. So every pair that shares a short list or a combination is either compared or already
-connected.
+in a large group with one combination every member is first compared with the group's smallest member. After the
+components of those links are known, members outside a group's largest component are compared with a few of its
+members, and those that stay outside with every other member that the counts of their common shingles
+allow: a document cannot reach the similarity with shingles that no other member has. So every pair that shares a
+short list or a combination is compared, already connected, or too far apart by its counts.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tillwise.llm.common import as_bytes, small_batches
 from tillwise.llm.components import connected_components
+from tillwise.llm.word_hashes import word_hashes
 from tillwise.session import materialize
 
 SHINGLE = 5
@@ -39,18 +41,8 @@ LONG_LISTS = 8
 COMBINATIONS, COMBINED = 32, 4
 #: A pair goes on if this share of its union's sketch is common: five deviations below the limit.
 SKETCH_SHARE = 0.48
-
-_hashes: dict[bytes, int] = {}
-
-
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_hashes) > 500_000:
-        _hashes.clear()
-    for w in words:
-        if w not in _hashes:
-            _hashes[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
+#: Members of a large component that the others of its groups are compared with, in turns.
+LEADERS, TURNS = 12, 2
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -63,7 +55,7 @@ def shingle_set(text: bytes, width: int = SHINGLE) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.empty(0, np.int64)
-    h = _word_hashes(words)
+    h = word_hashes(words)
     n = min(width, len(h))
     out = np.full(len(h) - n + 1, n, np.uint64)
     with np.errstate(over="ignore"):
@@ -134,24 +126,25 @@ def _combinations(sketch: Column) -> Column:
     """Keys of the smallest retained hashes under COMBINATIONS orders."""
 
     def key(seed: int) -> Column:
-        order = F.array_sort(F.transform(sketch, lambda v: F.struct(F.xxhash64(v, F.lit(seed)).alias("o"), v.alias("v"))))
+        order = F.sort_array(F.transform(sketch, lambda v: F.struct(F.xxhash64(v, F.lit(seed)).alias("o"), v.alias("v"))))
         return F.xxhash64(F.lit(seed), F.slice(order, 1, COMBINED)["v"])
 
     return F.array(*(key(s) for s in range(COMBINATIONS)))
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes whose full sets reach the similarity."""
+def _verified(pairs: DataFrame, reps: DataFrame, percent: int, sets: DataFrame | None, docs: DataFrame, width: int) -> DataFrame:
+    """Pairs (a, b) of nodes whose full sets reach the similarity; without sets (node, shingles) those needed are read."""
     small = reps.select("node", "sketch")
     left = small.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
     right = small.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, RETAINED)
+    union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, RETAINED)
     common = F.size(F.array_intersect("sa", "sb"))
     shared = F.when(common == 0, 0).otherwise(F.size(F.array_intersect(union, F.array_intersect("sa", "sb"))))
     likely = pairs.join(left, "a").join(right, "b").where(shared >= SKETCH_SHARE * F.size(union)).select("a", "b")
     likely = materialize(likely, "near-likely")
-    nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(reps.select("node", "doc_id"), "node")
-    sets = materialize(full_sets(docs, nodes, width), "near-sets")
+    if sets is None:
+        nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        sets = materialize(full_sets(docs, nodes.join(reps.select("node", "doc_id"), "node"), width), "near-sets")
     both = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
     )
@@ -193,18 +186,29 @@ def near_duplicates(
         F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("lead")
     ).where("size > 1")
     few_pairs = _pairs_within(keyed.join(groups.where(F.col("size") <= short).select("key"), "key"), "key", percent)
-    large = keyed.join(groups.where(F.col("size") > short), "key")
+    large = materialize(keyed.join(groups.where(F.col("size") > short), "key"), "near-large")
     stars = large.where(F.col("node") != F.col("lead.node")).where(_fits(F.col("n"), F.col("lead.n"), percent)).select(
         F.col("lead.node").alias("a"), F.col("node").alias("b")
     )
     pairs = materialize(short_pairs.union(few_pairs).union(stars).distinct(), "near-pairs")
-    links = _verified(pairs, reps, docs, width, percent)
+    links = _verified(pairs, reps, percent, None, docs, width)
     found = connected_components(links, "near-components")
 
-    rest = _outside(large.select("key", "node", "n"), found, percent)
-    more = materialize(rest.join(pairs, ["a", "b"], "left_anti"), "near-rest")
-    if more.limit(1).count():
-        links = links.union(_verified(more, reps, docs, width, percent))
+    large = large.select("key", "node", "n")
+    sets = counts = None
+    for turn in range(TURNS + 1):
+        members = _open_members(large, found)
+        if not members.limit(1).count():
+            break
+        members = materialize(members, "near-open")
+        if sets is None:
+            nodes = members.select("node").distinct().join(reps.select("node", "doc_id"), "node")
+            sets = materialize(full_sets(docs, nodes, width), "near-open-sets")
+            counts = materialize(_common_counts(sets), "near-common")
+        members = members.join(counts, "node").where(100 * F.col("common") >= percent * F.col("n"))
+        pairs = _to_leaders(members, found, turn, percent) if turn < TURNS else _outside(members, percent)
+        more = _verified(materialize(pairs, "near-pairs"), reps, percent, sets, docs, width)
+        links = links.union(more)
         found = connected_components(links, "near-components")
 
     ids = reps.join(found.withColumnRenamed("component", "root"), "node", "left").select(
@@ -219,17 +223,45 @@ def near_duplicates(
     )
 
 
-def _outside(large: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs within large groups between a member outside the group's largest component and any other member."""
+def _open_members(large: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, node, n, component, main) of the members of groups with several components; main is the largest."""
     members = large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     parts = members.groupBy("key", "component").agg(F.count("*").alias("size"))
     main = parts.groupBy("key").agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("parts"))
-    open_keys = main.where("parts > 1").select("key", F.col("main.component").alias("main"))
-    open_members = members.join(open_keys, "key")
-    x = open_members.where("component <> main").select(
-        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx")
+    return members.join(main.where("parts > 1").select("key", F.col("main.component").alias("main")), "key")
+
+
+def _common_counts(sets: DataFrame) -> DataFrame:
+    """(node, common): how many of a set's shingles any other set holds."""
+    values = sets.select("node", F.explode("shingles").alias("value"))
+    shared = values.groupBy("value").agg(F.count("*").alias("holders")).where("holders > 1")
+    return values.join(shared.select("value"), "value", "left_semi").groupBy("node").agg(F.count("*").alias("common"))
+
+
+def _to_leaders(members: DataFrame, found: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of members outside their group's largest component with a few members of it."""
+    x = members.where("component <> main").select("node", "n", "main").distinct()
+    inside = members.where("component = main").select("main", "node", "n").distinct()
+    drawn = [
+        F.min(F.struct(F.xxhash64("node", F.lit(turn * LEADERS + i)).alias("o"), "node", "n")).alias(f"l{i}") for i in range(LEADERS)
+    ]
+    leaders = inside.groupBy("main").agg(*drawn).select("main", F.explode(F.array(*(f"l{i}" for i in range(LEADERS)))).alias("lead"))
+    return x.join(leaders, "main").where(_fits(F.col("n"), F.col("lead.n"), percent)).select(
+        F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")
+    ).distinct()
+
+
+def _outside(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs within groups between a member outside the largest component and any other, as far as their counts allow."""
+    x = members.where("component <> main").select(
+        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("common").alias("sx")
+    )
+    y = members.select(
+        "key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), F.col("common").alias("sy")
     )
-    y = open_members.select("key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    return x.join(y, "key").where((F.col("cx") != F.col("cy")) & _fits("nx", "ny", percent)).select(
+    # what only one of the two holds is in their union, and not in what they share
+    union = F.greatest(F.col("nx") + F.col("ny") - F.col("sy"), F.col("ny") + F.col("nx") - F.col("sx"))
+    near = 100 * F.least("sx", "sy") >= percent * union
+    return x.join(y, "key").where((F.col("cx") != F.col("cy")) & near).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
     ).distinct()
