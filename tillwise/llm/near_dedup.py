@@ -265,3 +265,14 @@ def _outside(members: DataFrame, percent: int) -> DataFrame:
     return x.join(y, "key").where((F.col("cx") != F.col("cy")) & near).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
     ).distinct()
+
+
+def keep(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs that are kept, with all their columns: of each group the row with the smallest id.
+
+    Of rows repeated with that id one stays. Rows without an id are kept, as no other row can stand for them.
+    """
+    found = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.where("doc_id is not null")
+    kept = named.join(found, named["doc_id"].cast("long") == found["kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id is null"))

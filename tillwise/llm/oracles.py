@@ -17,3 +17,46 @@ least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN least ON least.x = sets.doc_id
 """
+
+EXACT_TOPK = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+ AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+ FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+_REST = "CASE WHEN instr({u}, '://') > 0 THEN substr({u}, instr({u}, '://') + 3) ELSE '' END"
+_HOST = "coalesce(translate(regexp_extract(" + _REST + ", '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
+_PATH = "coalesce(regexp_extract(" + _REST + ", '^[^/?#]*([^?#]*)', 1), '')"
+_KEY = "CASE WHEN " + _HOST + " <> '' THEN " + _HOST + " || regexp_extract(" + _REST + ", '^[^/?#]*([^#]*)', 1) END"
+_VALUE = """trim(replace(regexp_replace(regexp_extract(tag, '(?is)\\s{n}\\s*=\\s*("[^"]*"|''[^'']*''|[^\\s"''>]+)', 1),
+ '^["'']|["'']$', '', 'g'), '&amp;', '&'))"""
+URL_FILTERS = f"""
+WITH RECURSIVE tags AS (SELECT url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\s[^>]*>')) AS tag FROM pages
+ WHERE url IS NOT NULL),
+targets AS (SELECT url, CASE WHEN lower({_VALUE.format(n="rel")}) = 'canonical' THEN {_VALUE.format(n="href")}
+ WHEN lower({_VALUE.format(n="http-equiv")}) = 'refresh'
+ THEN trim(regexp_extract({_VALUE.format(n="content")}, '(?i)url\\s*=\\s*["'']?([^"'']*)', 1)) END AS t FROM tags),
+links AS (SELECT url, CASE WHEN t = '' OR t LIKE '#%' THEN NULL WHEN t LIKE '%://%' THEN t WHEN t LIKE '//%' THEN 'http:' || t
+ WHEN t LIKE '/%' THEN 'http://' || {_HOST.format(u="url")} || t
+ ELSE 'http://' || {_HOST.format(u="url")} || regexp_replace('/' || regexp_extract({_PATH.format(u="url")}, '^/?(.*)$', 1), '[^/]*$', '') || t
+ END AS t FROM targets),
+one_way AS (SELECT {_KEY.format(u="url")} AS a, {_KEY.format(u="t")} AS b FROM links),
+edges AS (SELECT a, b FROM one_way WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT b, a FROM one_way
+ WHERE a IS NOT NULL AND b IS NOT NULL),
+reach(x, y) AS (SELECT a, b FROM edges UNION SELECT r.x, e.b FROM reach r JOIN edges e ON e.a = r.y),
+rules(h, p, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+ ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+blocked AS (SELECT DISTINCT x FROM (SELECT x, arg_max(verdict, length(h) + length(p)) AS v, y FROM reach, rules
+ WHERE (split_part(split_part(y, '/', 1), '?', 1) = h OR split_part(split_part(y, '/', 1), '?', 1) LIKE '%.' || h)
+ AND starts_with(regexp_extract(y, '^[^/?#]*([^?#]*)', 1), p) GROUP BY x, y) WHERE v = 'block'),
+parts AS (SELECT row_number() OVER () AS i, page_id, {_HOST.format(u="url")} AS host, {_PATH.format(u="url")} AS path,
+ {_KEY.format(u="url")} AS k FROM pages),
+own AS (SELECT i, arg_max(h || p, length(h) + length(p)) AS rule, arg_max(verdict, length(h) + length(p)) AS verdict
+ FROM parts, rules WHERE (host = h OR host LIKE '%.' || h) AND starts_with(path, p) GROUP BY i)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN k IN (SELECT x FROM blocked) THEN 'block' END, 'allow') AS verdict
+FROM parts LEFT JOIN own USING (i)
+"""
