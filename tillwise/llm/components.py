@@ -8,22 +8,28 @@ from pyspark.sql import functions as F
 from tillwise.session import materialize
 
 
-def _contract(edges: DataFrame, upward: bool) -> DataFrame:
-    """One star step on edges (a, b) with a > b.
-
-    upward links each larger neighbour of a node to the smallest of its neighbourhood; otherwise the
-    smaller neighbours and the node itself are linked to it.
-    """
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if upward else edges
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Link each larger neighbour of a node to the smallest of its neighbourhood; edges (a, b) have a > b."""
+    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    joined = both.join(least, "a")
-    if upward:
-        out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        out = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            least.select("a", F.col("m").alias("b"))
-        )
-    return out.where("a <> b").distinct()
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Link a node and its smaller neighbours to the smallest of them."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    lower = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return lower.union(least.select("a", F.col("m").alias("b"))).distinct()
+
+
+def _open_nodes(edges: DataFrame) -> int:
+    """Nodes that are not yet the middle or an end of one star."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+    )).alias("e")).select("e.*")
+    sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return sums.where("up > 1 or (up = 1 and down = 1)").count()
 
 
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
@@ -36,14 +42,10 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
     now = edges.where("a is not null and b is not null and a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    now = materialize(now.distinct(), label)
-    mark = None
     while True:
-        now = materialize(_contract(_contract(now, True), False), label)
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark or not seen[0]:
+        now = materialize(_small_star(_large_star(now)), label)
+        if not _open_nodes(now):
             break
-        mark = tuple(seen)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -42,7 +42,7 @@ COMBINATIONS, COMBINED = 32, 4
 #: A pair goes on if this share of its union's sketch is common: five deviations below the limit.
 SKETCH_SHARE = 0.48
 #: Members of a large component that the others of its groups are compared with, in turns.
-LEADERS, TURNS = 12, 2
+LEADERS = 24
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -194,22 +194,16 @@ def near_duplicates(
     links = _verified(pairs, reps, percent, None, docs, width)
     found = connected_components(links, "near-components")
 
-    large = large.select("key", "node", "n")
-    sets = counts = None
-    for turn in range(TURNS + 1):
-        members = _open_members(large, found)
-        if not members.limit(1).count():
-            break
-        members = materialize(members, "near-open")
-        if sets is None:
-            nodes = members.select("node").distinct().join(reps.select("node", "doc_id"), "node")
-            sets = materialize(full_sets(docs, nodes, width), "near-open-sets")
-            counts = materialize(_common_counts(sets), "near-common")
-        members = members.join(counts, "node").where(100 * F.col("common") >= percent * F.col("n"))
-        pairs = _to_leaders(members, found, turn, percent) if turn < TURNS else _outside(members, percent)
-        more = _verified(materialize(pairs, "near-pairs"), reps, percent, sets, docs, width)
-        links = links.union(more)
-        found = connected_components(links, "near-components")
+    members = materialize(_open_members(large.select("key", "node", "n"), found), "near-open")
+    if members.limit(1).count():
+        nodes = members.select("node").distinct().join(reps.select("node", "doc_id"), "node")
+        sets = materialize(full_sets(docs, nodes, width), "near-open-sets")
+        able = members.join(_common_counts(sets), "node").where(100 * F.col("common") >= percent * F.col("n"))
+        able = materialize(able, "near-able")
+        led = _verified(materialize(_to_leaders(able, percent), "near-pairs"), reps, percent, sets, docs, width)
+        able = _still_outside(able, led, found)
+        rest = _verified(materialize(_outside(able, percent), "near-pairs"), reps, percent, sets, docs, width)
+        found = connected_components(links.union(led).union(rest), "near-components")
 
     ids = reps.join(found.withColumnRenamed("component", "root"), "node", "left").select(
         "node", "doc_id", F.coalesce("root", "node").alias("root")
@@ -238,22 +232,29 @@ def _common_counts(sets: DataFrame) -> DataFrame:
     return values.join(shared.select("value"), "value", "left_semi").groupBy("node").agg(F.count("*").alias("common"))
 
 
-def _to_leaders(members: DataFrame, found: DataFrame, turn: int, percent: int) -> DataFrame:
+def _to_leaders(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of members outside their group's largest component with a few members of it."""
     x = members.where("component <> main").select("node", "n", "main").distinct()
     inside = members.where("component = main").select("main", "node", "n").distinct()
-    drawn = [
-        F.min(F.struct(F.xxhash64("node", F.lit(turn * LEADERS + i)).alias("o"), "node", "n")).alias(f"l{i}") for i in range(LEADERS)
-    ]
+    drawn = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("o"), "node", "n")).alias(f"l{i}") for i in range(LEADERS)]
     leaders = inside.groupBy("main").agg(*drawn).select("main", F.explode(F.array(*(f"l{i}" for i in range(LEADERS)))).alias("lead"))
     return x.join(leaders, "main").where(_fits(F.col("n"), F.col("lead.n"), percent)).select(
         F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")
     ).distinct()
 
 
+def _still_outside(members: DataFrame, led: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with outside: neither in their group's largest component nor linked with a leader of it."""
+    ends = led.select("a", "b").union(led.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    ends = ends.join(found.select(F.col("node").alias("b"), "component"), "b", "left")
+    joined = ends.select(F.col("a").alias("node"), F.coalesce("component", "b").alias("main"), F.lit(True).alias("joined")).distinct()
+    inside = (F.col("component") == F.col("main")) | F.coalesce("joined", F.lit(False))
+    return members.join(joined, ["node", "main"], "left").withColumn("outside", ~inside)
+
+
 def _outside(members: DataFrame, percent: int) -> DataFrame:
     """Pairs within groups between a member outside the largest component and any other, as far as their counts allow."""
-    x = members.where("component <> main").select(
+    x = members.where("outside").select(
         "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("common").alias("sx")
     )
     y = members.select(
