@@ -143,12 +143,13 @@ def learn_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, ch
     out = {}
     for s in strata:
         for rule, grid in GRIDS.items():
-            at_least = lambda good, step: sum(table.get((s, rule, good, i), 0) for i in range(step, len(grid) + 1))  # noqa: E731, B023
-            n, passed = at_least(1, 0), 0
-            while passed < len(grid) and n and binomial_tail(at_least(1, passed + 1), n, share) <= level:
+            # a document that reaches i of the cutoffs reaches the i strictest
+            caught = lambda good, i: sum(table.get((s, rule, good, step), 0) for step in range(len(grid) - i, len(grid) + 1))  # noqa: E731, B023
+            n, passed = caught(1, len(grid)), 0
+            while passed < len(grid) and n and binomial_tail(caught(1, passed), n, share) <= level:
                 passed += 1
-            if passed and at_least(0, passed):
-                out[s, rule] = grid[next(i for i in range(1, passed + 1) if at_least(0, i) == at_least(0, passed)) - 1]
+            if passed and caught(0, passed - 1):
+                out[s, rule] = grid[next(i for i in range(passed) if caught(0, i) == caught(0, passed - 1))]
     return out
 
 
