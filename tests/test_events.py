@@ -168,12 +168,15 @@ def test_stream_dedupe_and_late_data(spark):
 
 
 def test_daily_merge_and_kpis(spark):
+    path = scratch_path(spark, "t-days")
+    write = sinks.parquet_sink(path)
     first = spark.createDataFrame(
         [(dt.date(2024, 1, 1), 2, 5.0), (dt.date(2024, 1, 2), 1, 1.0)],
         "day date, orders bigint, revenue double",
     )
-    update = spark.createDataFrame([(dt.date(2024, 1, 2), 4, 8.0)], first.schema)
-    merged = windows.merge_daily(windows.merge_daily(None, first), update)
+    write(first, 0)
+    write(spark.createDataFrame([(dt.date(2024, 1, 2), 4, 8.0)], first.schema), 1)
+    merged = sinks.newest_rows(spark, path, ["day"])
     now = windows.kpis_as_of(merged, dt.date(2024, 1, 2)).first()
     assert tuple(now) == (4, 8.0, 6, 13.0)
     empty = windows.kpis_as_of(merged, dt.date(2024, 2, 1)).first()
@@ -191,6 +194,49 @@ def test_fan_out_survives_a_broken_sink(spark):
     assert got == [(7, 5)]
 
 
+def test_failed_epochs_are_kept_and_redelivered(spark):
+    got = []
+
+    def broken(batch, epoch):
+        raise RuntimeError("down")
+
+    base = scratch_path(spark, "failures")
+    deliver = sinks.fan_out({"broken": broken}, base)
+    deliver(spark.range(5), 7)
+    deliver(spark.range(2), 8)
+    assert sinks.failed_epochs(spark, base, "broken") == [7, 8]
+    assert sinks.redeliver(spark, base, "broken", lambda b, e: got.append((e, b.count()))) == [7, 8]
+    assert got == [(7, 5), (8, 2)] and sinks.failed_epochs(spark, base, "broken") == []
+
+
+def test_events_without_revenue(spark):
+    """They have no score and no part in the history, and keep their trailing window."""
+    at = lambda s: START + dt.timedelta(seconds=s)
+    values = [10, None, 11, 500]
+    rows = [(i, at(i), 1, "a", None if v is None else Decimal(v)) for i, v in enumerate(values)]
+    path = scratch_path(spark, "nulls")
+    df = spark.createDataFrame(rows, SCHEMA)
+    df.coalesce(1).write.json(path)
+    stream = scoring.stream_event_zscore(replay(spark, path, df.schema), history=5, delay="1 day")
+    out = sinks.read_output(spark, sinks.run_available(stream, "t-null"), stream.schema)
+    got = {r["event_id"]: r for r in out.collect()}
+    assert got[1]["z_score"] is None or got[1]["z_score"] != got[1]["z_score"]
+    assert got[1]["anomaly_severity"] is None and not got[1]["is_anomaly"]
+    assert [got[i]["history_count"] for i in range(4)] == [0, 1, 1, 2]
+    assert got[3]["is_spike"] and got[3]["anomaly_severity"] == "critical"
+    windowed = {r["event_id"]: r for r in trailing.trailing_per_event(df, 4).collect()}
+    assert [windowed[i]["event_count"] for i in range(4)] == [1, 1, 2, 3]
+
+
+def test_a_stream_goes_on_where_it_stopped(spark):
+    path, base = scratch_path(spark, "resumed"), scratch_path(spark, "resumed-out")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for i in range(2):
+        spark.createDataFrame([(i, START, 1, "a", Decimal(1))], SCHEMA).coalesce(1).write.mode("append").json(path)
+        out = sinks.run_available(replay(spark, path, schema).select("event_id"), "resumed", base=base)
+        assert sorted(r[0] for r in spark.read.parquet(out).collect()) == list(range(i + 1))
+
+
 def test_json_round_trip(spark):
     raw = spark.createDataFrame(
         [('{"event_id":"E1","timestamp":"2024-01-01T00:00:01.5","revenue":9.99,"channel":"web"}',), ("broken",)],

@@ -87,6 +87,24 @@ def test_tables(spark, shop, tmp_path):
     assert {r["sentiment_score"] for r in store.review_sentiment().collect()} == {1.0, 0.0, -1.0}
 
 
+def test_typed_tables_and_sql_columns(spark, tmp_path):
+    store = Tables(spark)
+    (tmp_path / "a.csv").write_text("date,total_revenue,is_anomaly\n2024-01-01,5.0,true\n2024-01-02,6.0,false\n")
+    store.load_csv("anomaly_detection", str(tmp_path / "a.csv"))
+    assert store.anomalies().count() == 1 and store.anomalies(only_anomalies=False).count() == 2
+    assert store.get("anomaly_detection", limit=0).count() == 0
+    got = store.get("anomaly_detection", "round(greatest(cast(total_revenue AS double), abs(-5.5)), 2) AS x, 'a,b' AS y", order_by="x")
+    assert [tuple(r) for r in got.collect()] == [(5.5, "a,b"), (6.0, "a,b")]
+
+
+def test_replace_keeps_one_folder(spark, tmp_path):
+    store = Tables(spark, str(tmp_path / "tables"))
+    for i in range(3):
+        store.replace("versions", spark.range(i + 1) if i == 0 else store.get("versions").union(spark.range(1)))
+    assert store.get("versions").count() == 3
+    assert len(list((tmp_path / "tables").iterdir())) == 1
+
+
 def test_quality_report_finds_defects(spark, shop):
     frames = {
         "orders": shop.orders.unionByName(shop.orders.limit(1)),

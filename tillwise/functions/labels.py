@@ -118,18 +118,31 @@ def churn_risk_five(p: Column) -> Column:
     )
 
 
+# which driver a model's feature stands for, by parts of its name
+DRIVERS = {
+    "recency": ("recency", "days"),
+    "frequency": ("frequency", "order_count"),
+    "monetary": ("monetary", "revenue", "value"),
+}
+# The action for the strongest driver of a likely churn.
+DRIVER_ACTIONS = {
+    "recency": "Win-back campaign - time-sensitive discount",
+    "frequency": "Engagement campaign - new product recommendations",
+    "monetary": "VIP treatment - exclusive offers",
+}
+
+
 def retention_action(p: Column, top_factor: Column) -> Column:
     """Action by churn probability; above 0.7 the strongest factor decides."""
     factor = F.lower(F.coalesce(top_factor, F.lit("")))
-    return (
+    action = (
         F.when(p < 0.3, "Maintain engagement - send newsletter")
         .when(p < 0.5, "Monitor closely - check recent activity")
         .when(p < 0.7, "Proactive outreach - personalized offer")
-        .when(factor.contains("recency"), "Win-back campaign - time-sensitive discount")
-        .when(factor.contains("frequency"), "Engagement campaign - new product recommendations")
-        .when(factor.contains("monetary"), "VIP treatment - exclusive offers")
-        .otherwise("Urgent win-back - personal contact recommended")
     )
+    for driver, parts in DRIVERS.items():
+        action = action.when(factor.rlike("|".join(parts)), DRIVER_ACTIONS[driver])
+    return action.otherwise("Urgent win-back - personal contact recommended")
 
 
 def sentiment_band(score: Column) -> Column:

@@ -7,6 +7,7 @@ statistics are window aggregates over the one computed series: the orders are re
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import day_of
 from ..functions.labels import severity
 from ..functions.rounding import round_half_up
+from ..session import materialize
 from .facts import item_value_per_order, order_value
 
 VOTES = ["anomaly_zscore", "anomaly_iqr", "anomaly_cc", "anomaly_iforest"]
@@ -165,16 +167,39 @@ def flagged_days(daily: DataFrame, detected: DataFrame, kind: str) -> DataFrame:
     return daily.join(dates, "date", "left_semi")
 
 
-def dimension_days(tables) -> DataFrame:
+def _asked_days(dates: DataFrame, window_days: int) -> DataFrame:
+    """Each date with itself and its predecessors: (anomaly_date, _back, date)."""
+    return dates.select(
+        F.col("date").alias("anomaly_date"),
+        F.explode(F.sequence(F.lit(0), F.lit(window_days))).alias("_back"),
+    ).withColumn("date", F.date_sub("anomaly_date", F.col("_back")))
+
+
+def dimension_days(tables, dates: DataFrame | None = None, window_days: int = 7) -> DataFrame:
     """Revenue per day for each state, payment type and product category.
 
     State and payment type use the order value once per order (and payment type);
     category uses item prices. Days are folded per customer and per product before those
-    tables are joined.
+    tables are joined. With dates (one row each, bounded by the calendar) only those days and the
+    window_days before them are computed: their first and last day reach the scan of the orders, and
+    items are read once, for these orders only.
     """
-    value = item_value_per_order(tables.order_items)
+    moment = F.col("order_purchase_timestamp")
+    date = day_of(moment)
     orders = tables.orders.select("order_id", "customer_id", "order_purchase_timestamp")
-    date = day_of(F.col("order_purchase_timestamp"))
+    items = tables.order_items.select("order_id", "product_id", "price", "freight_value")
+    if dates is not None:
+        asked = _asked_days(dates, window_days).select("date").distinct()
+        first, last = asked.agg(F.min("date"), F.max("date")).first()
+        if first is None:
+            orders = orders.where(F.lit(False))
+        else:
+            until = F.lit(last + dt.timedelta(days=1)).cast("timestamp_ntz")
+            orders = orders.where((moment >= F.lit(first).cast("timestamp_ntz")) & (moment < until))
+            # days of a calendar
+            orders = orders.join(F.broadcast(asked), date == F.col("date"), "left_semi")
+        items = materialize(items.join(orders.select("order_id"), "order_id", "left_semi"), "asked-items")
+    value = item_value_per_order(items)
     facts = orders.join(value, "order_id", "left").select(
         "order_id", "customer_id", date.alias("date"), order_value().alias("_value")
     )
@@ -190,7 +215,7 @@ def dimension_days(tables) -> DataFrame:
     ).select("date", F.lit("payment_type").alias("dimension"),
              F.col("payment_type").alias("value"), "_value")
     by_category = (
-        tables.order_items.select("order_id", "product_id", "price")
+        items.select("order_id", "product_id", "price")
         .join(orders, "order_id")
         .groupBy(date.alias("date"), "product_id")
         .agg(F.sum("price").alias("_value"))
@@ -213,10 +238,7 @@ def root_cause(days: DataFrame, dates: DataFrame, window_days: int = 7) -> DataF
     Each date asks for itself and its `window_days` predecessors, so the day table
     (already rolled up) is met by an equi join and both sums come from one aggregation.
     """
-    asked = dates.select(
-        F.col("date").alias("anomaly_date"),
-        F.explode(F.sequence(F.lit(0), F.lit(window_days))).alias("_back"),
-    ).withColumn("date", F.date_sub("anomaly_date", F.col("_back")))
+    asked = _asked_days(dates, window_days)
     zero = F.lit(0).cast("decimal(33,2)")
     today = F.coalesce(F.sum(F.when(F.col("_back") == 0, F.col("revenue"))), zero)
     prior = F.coalesce(F.sum(F.when(F.col("_back") > 0, F.col("revenue"))), zero)

@@ -128,15 +128,15 @@ def trailing_per_event(
     The window is cut at slice borders: the rest of the oldest slice + whole slices +
     the own slice so far. Rows are distinct instants (equal instants are folded), so a
     group holds at most two slices of microseconds and a hot minute is spread over its
-    slices. Whole slices are met in blocks of bounded length.
+    slices. Whole slices are met in blocks of bounded length. Events without revenue add
+    nothing, and have the KPIs of their instant like any other; events without a time have none.
     """
     wide = window_seconds // slice_seconds
     if window_seconds % slice_seconds or wide < 2:
         raise ValueError("the window must be at least two whole slices")
     slice_us = slice_seconds * MICROS
     instants = (
-        events.where(F.col("revenue").isNotNull())
-        .groupBy(F.unix_micros(ts).alias("t"))
+        events.groupBy(F.unix_micros(ts).alias("t"))
         .agg(*_folded(F.col("revenue")))
         .withColumn("slice", F.floor(F.col("t") / F.lit(slice_us)).cast("bigint"))
     )
@@ -194,7 +194,7 @@ def trailing_per_event(
     total["hi"] = F.greatest("a_hi", "b_hi", "c_hi")
     per_instant = whole.select(F.col("x").alias("t"), *[c.alias(m) for m, c in total.items()])
     kpis = per_instant.select("t", *[c.alias(k) for k, c in _kpis(window_seconds).items()])
-    return events.withColumn("t", F.unix_micros(ts)).join(kpis, "t").drop("t")
+    return events.withColumn("t", F.unix_micros(ts)).join(kpis, "t", "left").drop("t")
 
 
 def _z_columns(count: Column, mean: Column, spread: Column, value: Column, threshold: float):

@@ -74,10 +74,18 @@ zs AS (SELECT avg(total_revenue) AS mu, greatest(stddev_samp(total_revenue), 1e0
     quantile_cont(total_revenue, 0.25) AS q1, quantile_cont(total_revenue, 0.75) AS q3 FROM v_series),
 zz AS (SELECT rl.*, (total_revenue - mu)/sg AS z, q1 - 1.5e0*(q3-q1) AS lo, q3 + 1.5e0*(q3-q1) AS hi, m + 3*sd AS ucl, m - 3*sd AS lcl FROM rl, zs)
 """
-FLAGGED = f"""
-fl AS (SELECT *, abs(z) > 1.5 AS is_anomaly, CASE WHEN NOT abs(z) > 1.5 THEN 'normal' WHEN z > 0 THEN 'spike' ELSE 'drop' END AS anomaly_type,
+
+
+def flagged(fires: str) -> str:
+    return f"""
+fl AS (SELECT *, {fires} AS is_anomaly, CASE WHEN NOT {fires} THEN 'normal' WHEN z > 0 THEN 'spike' ELSE 'drop' END AS anomaly_type,
     {SEVERITY.format(z='z')} AS anomaly_severity, abs(total_revenue - m) AS mag, least(0.95e0, 0.5e0 + abs(z)/10e0) AS conf FROM zz)
 """
+
+
+VOTES = """CAST(abs(z) > 2.5 AS BIGINT) + CAST(total_revenue < lo OR total_revenue > hi AS BIGINT)
+   + CAST(coalesce(total_revenue > ucl OR total_revenue < greatest(lcl, 0), false) AS BIGINT)"""
+FLAGS = {"": flagged(f"(({VOTES}) >= 2)"), "_sensitive": flagged("(abs(z) > 1.5)")}
 CAUSES = f"""
 dd AS (
   SELECT order_day AS date, 'customer_state' AS dimension, customer_state AS value, sum(total_order_value) AS revenue
@@ -96,6 +104,25 @@ rc AS (SELECT *, row_number() OVER (PARTITION BY anomaly_date, dimension ORDER B
 """
 
 
+def anomaly_twins() -> dict[str, str]:
+    """The reports on the default votes and on the sensitive setting."""
+    out = {}
+    for name, flags in FLAGS.items():
+        out |= {
+            f"anomaly_report{name}": f"""WITH {ROLLED}, {ZSCORE}, {flags} SELECT date, total_revenue, {r('chg', 3)} AS revenue_change_pct, {r('z', 6)} AS z_score, anomaly_type,
+  anomaly_severity, {r('mag', 3)} AS anomaly_magnitude, is_anomaly, {r('conf', 6)} AS confidence FROM fl WHERE is_anomaly""",
+            f"recent_alerts{name}": f"""WITH {ROLLED}, {ZSCORE}, {flags} SELECT date, total_revenue, {r('z', 6)} AS z_score, anomaly_type, anomaly_severity
+FROM fl WHERE is_anomaly ORDER BY date DESC LIMIT 3""",
+            f"anomaly_days_semi{name}": f"WITH {ROLLED}, {ZSCORE}, {flags} SELECT date, total_revenue FROM v_series WHERE date IN (SELECT date FROM fl WHERE anomaly_type = 'spike')",
+            f"root_cause{name}": f"""WITH {ROLLED}, {ZSCORE}, {flags}, {CAUSES} SELECT anomaly_date, dimension, value, anomaly_revenue, {r('prior', 3)} AS prior_avg_revenue,
+  {r('delta', 3)} AS delta, {r('dp', 1)} AS delta_pct, position FROM rc""",
+            f"anomaly_alerts{name}": f"""WITH {ROLLED}, {ZSCORE}, {flags}, {CAUSES} SELECT date, upper(anomaly_type) AS anomaly_type, anomaly_severity AS severity,
+  {r('mag', 3)} AS revenue_impact, value AS top_driver, {r('delta', 3)} AS driver_delta
+FROM fl LEFT JOIN rc ON anomaly_date = date AND dimension = 'customer_state' AND position = 1 WHERE is_anomaly""",
+        }
+    return out
+
+
 def naive(source: str, name: str) -> str:
     return f"""
 {name} AS (SELECT step, CAST(e + CAST(step AS INTEGER) AS DATE) AS date, y AS forecast, greatest(y - 1.28e0*sd, 0) AS lower, y + 1.28e0*sd AS upper
@@ -187,7 +214,6 @@ def spread(n: str, cents: str, over: str = "") -> str:
 FOLD = f"""count(*) AS n, {d('sum(revenue)')} AS s, {div('sum(revenue)', 'count(*)')} AS a, {d('max(revenue)')} AS hi,
   {d('min(revenue)')} AS lo, {spread('count(*)', 'revenue')} AS sd, count(*)/5e0 AS pm"""
 PANES = """SELECT *, time_bucket(INTERVAL 1 MINUTE, ts) - to_seconds(60*k) AS window_start FROM v_events, (SELECT unnest(range(5)) AS k)"""
-CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM v_events)"
 
 
 def build(default_lexicon, corpus_lexicon, stopwords, actions) -> dict[str, str]:
@@ -350,20 +376,13 @@ UNION ALL SELECT 3, 'Largest segment: ' || segment || ' (' || n || ' customers)'
   coalesce(total_revenue > ucl OR total_revenue < greatest(lcl, 0), false) AS anomaly_cc FROM zz""",
         "anomaly_control_chart_strict": f"""WITH {rolled('7 PRECEDING AND 1 PRECEDING')}, {ZSCORE} SELECT date, {r('ucl', 3)} AS ucl, {r('lcl', 3)} AS lcl,
   coalesce(total_revenue > ucl OR total_revenue < greatest(lcl, 0), false) AS anomaly_cc FROM zz""",
-        "anomaly_ensemble": f"""WITH {ROLLED}, {ZSCORE}, v AS (SELECT *, CAST(abs(z) > 2.5 AS BIGINT) + CAST(total_revenue < lo OR total_revenue > hi AS BIGINT)
-   + CAST(coalesce(total_revenue > ucl OR total_revenue < greatest(lcl, 0), false) AS BIGINT) AS votes FROM zz)
+        "anomaly_ensemble": f"""WITH {ROLLED}, {ZSCORE}, v AS (SELECT *, {VOTES} AS votes FROM zz)
 SELECT date, {r('z', 6)} AS z_score, votes AS anomaly_votes, votes >= 2 AS is_anomaly,
   CASE WHEN votes < 2 THEN 'normal' WHEN z > 0 THEN 'spike' ELSE 'drop' END AS anomaly_type, {SEVERITY.format(z='z')} AS anomaly_severity FROM v""",
-        "anomaly_report": f"""WITH {ROLLED}, {ZSCORE}, {FLAGGED} SELECT date, total_revenue, {r('chg', 3)} AS revenue_change_pct, {r('z', 6)} AS z_score, anomaly_type,
-  anomaly_severity, {r('mag', 3)} AS anomaly_magnitude, is_anomaly, {r('conf', 6)} AS confidence FROM fl WHERE is_anomaly""",
-        "recent_alerts": f"""WITH {ROLLED}, {ZSCORE}, {FLAGGED} SELECT date, total_revenue, {r('z', 6)} AS z_score, anomaly_type, anomaly_severity
-FROM fl WHERE is_anomaly ORDER BY date DESC LIMIT 3""",
-        "anomaly_days_semi": f"WITH {ROLLED}, {ZSCORE}, {FLAGGED} SELECT date, total_revenue FROM v_series WHERE date IN (SELECT date FROM fl WHERE anomaly_type = 'spike')",
-        "root_cause": f"""WITH {ROLLED}, {ZSCORE}, {FLAGGED}, {CAUSES} SELECT anomaly_date, dimension, value, anomaly_revenue, {r('prior', 3)} AS prior_avg_revenue,
-  {r('delta', 3)} AS delta, {r('dp', 1)} AS delta_pct, position FROM rc""",
-        "anomaly_alerts": f"""WITH {ROLLED}, {ZSCORE}, {FLAGGED}, {CAUSES} SELECT date, upper(anomaly_type) AS anomaly_type, anomaly_severity AS severity,
-  {r('mag', 3)} AS revenue_impact, value AS top_driver, {r('delta', 3)} AS driver_delta
-FROM fl LEFT JOIN rc ON anomaly_date = date AND dimension = 'customer_state' AND position = 1 WHERE is_anomaly""",
+        **anomaly_twins(),
+        "tables_list": "SELECT * FROM (VALUES ('anomaly_detection'), ('daily_revenue'), ('revenue_forecast'), ('root_cause')) AS t(name)",
+        "table_anomalies": f"WITH {ROLLED}, {ZSCORE}, v AS (SELECT *, {VOTES} AS votes FROM zz) SELECT date, votes AS anomaly_votes, votes >= 2 AS is_anomaly FROM v",
+        "table_forecast": f"WITH {seasonal('v_series', 'sf')} SELECT step, date, {r('forecast', 3)} AS forecast, {r('lower', 3)} AS lower, {r('upper', 3)} AS upper FROM sf",
         "ts_features": f"""WITH f AS (SELECT date, total_revenue, {', '.join(f'{x} AS {n}' for n, x in history.items())}, {', '.join(rolls + moms)}
   FROM v_series WINDOW o AS (ORDER BY date), {', '.join(frames)})
 SELECT date, total_revenue, {calendar}, {wave_columns}, {', '.join(history)}, {rounded_rolls} FROM f""",
@@ -372,10 +391,10 @@ SELECT date, total_revenue, {calendar}, {wave_columns}, {', '.join(history)}, {r
         "segment_seasonal_forecast": f"""WITH sg AS (SELECT customer_segment, order_day AS date, {d('sum(paid)')} AS total_revenue
   FROM v_orders JOIN v_paid USING (order_id) JOIN v_customers USING (customer_id) GROUP BY 1, 2), {seasonal('sg', 'sf', 'customer_segment')}
 SELECT customer_segment, step, date, {r('forecast', 3)} AS forecast, {r('lower', 3)} AS lower, {r('upper', 3)} AS upper FROM sf""",
-        "backtest": f"WITH {BACKTEST} SELECT date, step, total_revenue, {r('naive', 3)} AS naive, {r('seasonal', 3)} AS seasonal FROM bt",
-        "backtest_metrics": f"""WITH {BACKTEST}, mt AS ({metrics('naive')} UNION ALL {metrics('seasonal')})
+        "backtest_baselines": f"WITH {BACKTEST} SELECT date, step, total_revenue, {r('naive', 3)} AS naive, {r('seasonal', 3)} AS seasonal FROM bt",
+        "backtest_baselines_metrics": f"""WITH {BACKTEST}, mt AS ({metrics('naive')} UNION ALL {metrics('seasonal')})
 SELECT model, {r('a', 3)} AS mae, {r('b', 3)} AS rmse, {r('c', 3)} AS mape FROM mt""",
-        "forecast_summary": f"""WITH {BACKTEST}, mt AS ({metrics('seasonal')}), {seasonal('v_series', 'ff')},
+        "forecast_summary_seasonal": f"""WITH {BACKTEST}, mt AS ({metrics('seasonal')}), {seasonal('v_series', 'ff')},
 x AS (SELECT sum(forecast) FILTER (step <= 7) AS a7, sum(forecast) AS a30 FROM ff), y AS (SELECT 100e0 - c AS acc FROM mt)
 SELECT {r('a7', 3)} AS next_7_days, {r('a30', 3)} AS next_30_days, {r('acc', 3)} AS accuracy_pct FROM x, y""",
         "score_sentiment": f"SELECT review_id, order_id, review_score, ({d('review_score')} - 3e0)/2e0 AS sentiment_score FROM v_reviews",
@@ -405,10 +424,10 @@ FROM v_orders o JOIN c USING (order_id) LEFT JOIN v_payments USING (order_id) LE
         "window_kpis": f"""WITH e AS ({PANES}), g AS (SELECT window_start, {FOLD} FROM e GROUP BY 1)
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, {event_kpis(300)} FROM g""",
         "stream_window_kpis": f"""WITH e AS ({PANES}), g AS (SELECT window_start, {FOLD} FROM e GROUP BY 1)
-SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, {event_kpis(300)} FROM g WHERE window_start + INTERVAL 5 MINUTE <= {CLOSED}""",
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, {event_kpis(300)} FROM g""",
         "window_top3": f"""WITH e AS ({PANES}), g AS (SELECT window_start, category AS key, count(*) AS count FROM e GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, key) AS rank FROM g) SELECT window_start, key, count, rank FROM k WHERE rank <= 3""",
-        "stream_top3": f"""WITH e AS ({PANES}), g AS (SELECT window_start, category AS key, count(*) AS count FROM e WHERE window_start + INTERVAL 5 MINUTE <= {CLOSED} GROUP BY 1, 2),
+        "stream_top3": f"""WITH e AS ({PANES}), g AS (SELECT window_start, category AS key, count(*) AS count FROM e GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, key) AS rank FROM g) SELECT window_start, key, count, rank FROM k WHERE rank <= 3""",
         "trailing_per_event": f"""WITH t AS (SELECT event_id, ts, {d('revenue')} AS revenue, count(*) OVER w AS n, {d('sum(revenue) OVER w')} AS s,
    {div('sum(revenue) OVER w', 'count(*) OVER w')} AS a, {d('max(revenue) OVER w')} AS hi, {d('min(revenue) OVER w')} AS lo,
@@ -421,6 +440,14 @@ SELECT event_id, ts, revenue, {event_kpis(300)} FROM t""",
   CAST(sum(is_anomaly::BIGINT) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_anomalies FROM ez""",
         "stream_dedupe": f"SELECT event_id, ts, customer_id, category, {d('revenue')} AS revenue FROM v_events",
         "stream_daily_kpis": f"SELECT CAST(ts AS DATE) AS day, count(*) AS orders, {d('sum(revenue)')} AS revenue FROM v_events GROUP BY 1",
+        "stream_event_zscore": f"WITH {EVENT_Z} SELECT * FROM ez",
+        "stream_top_states_60s": """WITH g AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, customer_state AS key, count(*) AS count
+   FROM v_events JOIN v_customers USING (customer_id) GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, key) AS rank FROM g) SELECT window_start, key, count, rank FROM k WHERE rank <= 3""",
+        "stream_kpis_as_of": f"""WITH m AS (SELECT CAST(max(ts) AS DATE) AS today FROM v_events), e AS (SELECT CAST(ts AS DATE) AS day, revenue, today FROM v_events, m
+   WHERE date_trunc('month', ts) = date_trunc('month', today))
+SELECT count(*) FILTER (day = today) AS orders_today, {d('sum(revenue) FILTER (day = today)')} AS revenue_today, count(*) AS orders_mtd, {d('sum(revenue)')} AS revenue_mtd FROM e""",
         "stream_fanout": f"""SELECT 'all' AS sink, event_id, {d('revenue')} AS revenue FROM v_events
-UNION ALL SELECT 'large', event_id, {d('revenue')} FROM v_events WHERE revenue > 100""",
+UNION ALL SELECT 'large', event_id, {d('revenue')} FROM v_events WHERE revenue > 100
+UNION ALL SELECT 'down', event_id, {d('revenue')} FROM v_events""",
     }

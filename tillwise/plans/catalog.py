@@ -31,7 +31,7 @@ from ..sources.star import Commerce
 from ..sources.tables import Tables
 from ..streaming import events as stream_events
 from ..streaming import scoring, sinks, windows
-from . import analysis_oracles, oracles, reports
+from . import analysis_oracles, layers, oracles, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -201,6 +201,33 @@ def _sql_param_query(t):
     )
 
 
+def _published(t):
+    """The daily results of a batch run, named in the table catalogue."""
+    store = Tables(t.spark)
+    out = layers.Output(scratch_path(t.spark, "published"), store)
+    out.save("daily_revenue", facts.daily_series(t))
+    layers.anomalies(t, out, contamination=None)
+    out.save("revenue_forecast", forecast.seasonal_forecast(out.load(t.spark, "daily_revenue")))
+    return store
+
+
+@query("tables_list")
+def _tables_list(t):
+    own = ("anomaly_detection", "daily_revenue", "revenue_forecast", "root_cause")
+    names = [(n,) for n in _published(t).names() if n in own]
+    return t.spark.createDataFrame(names, "name string")
+
+
+@query("table_anomalies")
+def _table_anomalies(t):
+    return _published(t).anomalies(only_anomalies=False).select("date", "anomaly_votes", "is_anomaly")
+
+
+@query("table_forecast")
+def _table_forecast(t):
+    return plain(forecast.rounded(_published(t).forecast(), 3, "forecast", "lower", "upper"))
+
+
 @query("dq_report")
 def _dq_report(t):
     tables = {name: getattr(t, name) for name in (
@@ -413,20 +440,15 @@ def _churn_features(t):
     return features.withColumns({c: round_half_up(F.col(c), 6) for c in floats})
 
 
-# The model functions default to 200 and 300 trees. Each tree is a chain of small jobs whose
-# fixed cost dominates on test data, so the named queries grow fewer trees, faster learning.
-FEWER_TREES = {"trees": 40, "rate": 0.2}
-
-
 @query("churn_model_metrics")
 def _churn_model_metrics(t):
-    return plain(churn.churn_model(churn.churn_features(t), **FEWER_TREES)[1])
+    return plain(churn.churn_model(churn.churn_features(t))[1])
 
 
 @query("churn_scores")
 def _churn_scores(t):
     features = materialize(churn.churn_features(t), "churn-features")
-    return churn.churn_scores(churn.fit_boosted(features, **FEWER_TREES), features)
+    return churn.churn_scores(churn.fit_boosted(features), features)
 
 
 @query("churn_rf_metrics")
@@ -560,54 +582,48 @@ def _anomaly_ensemble_with_forest(t):
     )
 
 
-# A lower threshold than the default 2.5 flags more days of the smooth test series.
-_SENSITIVE = {"threshold": 1.5}
-
-
-def _votes_of_one(t):
-    """Days on which the z-score method alone fires, so that reports have rows."""
+# Few days of the smooth test series reach the default votes, so the reports also run on a
+# sensitive setting: the z-score alone, from 1.5 deviations on.
+def _sensitive(t):
     scored = anomaly.rolling_features(facts.daily_series(t))
     return anomaly.vote_and_classify(
-        anomaly.z_score(scored, **_SENSITIVE), ["anomaly_zscore"], need=1
+        anomaly.z_score(scored, threshold=1.5), ["anomaly_zscore"], need=1
     )
 
 
-@query("anomaly_report")
-def _anomaly_report(t):
-    report = anomaly.anomaly_report(_votes_of_one(t))
-    report = forecast.rounded(report, 3, "revenue_change_pct", "anomaly_magnitude")
+def _report(scored):
+    report = forecast.rounded(anomaly.anomaly_report(scored), 3, "revenue_change_pct", "anomaly_magnitude")
     return forecast.rounded(report, 6, "z_score", "confidence")
 
 
-@query("recent_alerts")
-def _recent_alerts(t):
-    return forecast.rounded(anomaly.recent_alerts(_votes_of_one(t)), 6, "z_score")
+def _alerts(scored):
+    return forecast.rounded(anomaly.recent_alerts(scored), 6, "z_score")
 
 
-@query("anomaly_days_semi")
-def _anomaly_days_semi(t):
-    daily = materialize(facts.daily_series(t), "daily")
-    scored = anomaly.vote_and_classify(
-        anomaly.z_score(anomaly.rolling_features(daily), **_SENSITIVE), ["anomaly_zscore"], need=1
-    )
-    return anomaly.flagged_days(daily, scored, "spike").select("date", "total_revenue")
+def _flagged_days(t, scored):
+    return anomaly.flagged_days(facts.daily_series(t), scored, "spike").select("date", "total_revenue")
+
 
+def _causes(t, scored):
+    flagged = materialize(scored, "flagged")
+    days = flagged.where("is_anomaly").select("date")
+    return flagged, anomaly.root_cause(anomaly.dimension_days(t, days), days)
 
-def _causes(t):
-    flagged = materialize(_votes_of_one(t), "flagged")
-    days = anomaly.dimension_days(t)
-    return flagged, anomaly.root_cause(days, flagged.where("is_anomaly").select("date"))
 
+def _causes_rounded(t, scored):
+    return forecast.rounded(_causes(t, scored)[1], 3, "prior_avg_revenue", "delta")
 
-@query("root_cause")
-def _root_cause(t):
-    return forecast.rounded(_causes(t)[1], 3, "prior_avg_revenue", "delta")
 
+def _alert_table(t, scored):
+    return forecast.rounded(anomaly.anomaly_alerts(*_causes(t, scored)), 3, "revenue_impact", "driver_delta")
 
-@query("anomaly_alerts")
-def _anomaly_alerts(t):
-    alerts = anomaly.anomaly_alerts(*_causes(t))
-    return forecast.rounded(alerts, 3, "revenue_impact", "driver_delta")
+
+for _name, _days in (("", _detected), ("_sensitive", _sensitive)):
+    query(f"anomaly_report{_name}")(lambda t, days=_days: _report(days(t)))
+    query(f"recent_alerts{_name}")(lambda t, days=_days: _alerts(days(t)))
+    query(f"anomaly_days_semi{_name}")(lambda t, days=_days: _flagged_days(t, days(t)))
+    query(f"root_cause{_name}")(lambda t, days=_days: _causes_rounded(t, days(t)))
+    query(f"anomaly_alerts{_name}")(lambda t, days=_days: _alert_table(t, days(t)))
 
 
 # --- forecasts --------------------------------------------------------------------
@@ -648,7 +664,7 @@ def _segment_seasonal_forecast(t):
     return plain(forecast.rounded(out, 3, "forecast", "lower", "upper"))
 
 
-def _backtested(t):
+def _baselines(t):
     train, test = forecast.split_last(materialize(facts.daily_series(t), "daily"))
     return forecast.backtest(
         test,
@@ -656,41 +672,73 @@ def _backtested(t):
     )
 
 
+@query("backtest_baselines")
+def _backtest_baselines(t):
+    return plain(forecast.rounded(_baselines(t), 3, "naive", "seasonal"))
+
+
+@query("backtest_baselines_metrics")
+def _backtest_baselines_metrics(t):
+    out = forecast.backtest_metrics(_baselines(t), ["naive", "seasonal"])
+    return forecast.rounded(out, 3, "mae", "rmse", "mape")
+
+
+@query("forecast_summary_seasonal")
+def _forecast_summary_seasonal(t):
+    daily = materialize(facts.daily_series(t), "daily")
+    train, test = forecast.split_last(daily)
+    compared = forecast.backtest(test, {"seasonal": forecast.seasonal_forecast(train)})
+    metrics = forecast.backtest_metrics(compared, ["seasonal"])
+    out = forecast.forecast_summary(forecast.seasonal_forecast(daily), metrics)
+    return forecast.rounded(out, 3, *out.columns)
+
+
+FORECASTS = ["seasonal_forecast", "boosted_forecast", "ensemble_forecast"]
+
+
+def _combined(daily):
+    return forecast.ensemble(forecast.seasonal_forecast(daily), forecast.boosted_forecast(daily))
+
+
+def _backtested(t):
+    train, test = forecast.split_last(materialize(facts.daily_series(t), "daily"))
+    tried = materialize(_combined(train), "backtest-forecasts")
+    return forecast.backtest(test, {c: tried.withColumn("forecast", F.col(c)) for c in FORECASTS})
+
+
 @query("backtest")
 def _backtest(t):
-    return plain(forecast.rounded(_backtested(t), 3, "naive", "seasonal"))
+    return plain(forecast.rounded(_backtested(t), 3, *FORECASTS))
 
 
 @query("backtest_metrics")
 def _backtest_metrics(t):
-    out = forecast.backtest_metrics(_backtested(t), ["naive", "seasonal"])
+    out = forecast.backtest_metrics(_backtested(t), FORECASTS)
     return forecast.rounded(out, 3, "mae", "rmse", "mape")
 
 
 @query("forecast_summary")
 def _forecast_summary(t):
     daily = materialize(facts.daily_series(t), "daily")
-    train, test = forecast.split_last(daily)
-    compared = forecast.backtest(test, {"seasonal": forecast.seasonal_forecast(train)})
-    metrics = forecast.backtest_metrics(compared, ["seasonal"])
-    out = forecast.forecast_summary(forecast.seasonal_forecast(daily), metrics)
+    metrics = forecast.backtest_metrics(_backtested(t), ["ensemble_forecast"])
+    out = forecast.forecast_summary(_combined(daily), metrics, "ensemble_forecast")
     return forecast.rounded(out, 3, *out.columns)
 
 
 @query("gbt_forecast_metrics")
 def _gbt_forecast_metrics(t):
-    return forecast.boosted_metrics(facts.daily_series(t), **FEWER_TREES)[1]
+    return forecast.boosted_metrics(facts.daily_series(t))[1]
 
 
 @query("gbt_forecast")
 def _gbt_forecast(t):
-    return plain(forecast.boosted_forecast(facts.daily_series(t), **FEWER_TREES))
+    return plain(forecast.boosted_forecast(facts.daily_series(t)))
 
 
 @query("ensemble_forecast")
 def _ensemble_forecast(t):
     daily = materialize(facts.daily_series(t), "daily")
-    boosted = forecast.boosted_forecast(daily, **FEWER_TREES)
+    boosted = forecast.boosted_forecast(daily)
     return plain(forecast.ensemble(forecast.seasonal_forecast(daily), boosted))
 
 
@@ -806,7 +854,11 @@ def _event_stream(t):
     """The recorded events as a stream, with event time in UTC."""
     raw = t.raw("events")
     replay = stream_events.read_event_files(t.spark, f"{t.folder}/events.parquet*", raw.schema)
-    return replay.select(
+    return _as_events(replay)
+
+
+def _as_events(raw):
+    return raw.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("user_id").alias("customer_id"),
@@ -815,22 +867,48 @@ def _event_stream(t):
     )
 
 
+def _late_event_stream(t, files=4):
+    """The events as several files in the order of time but for up to six minutes, one micro-batch each."""
+    path = scratch_path(t.spark, "late-events")
+    raw = t.raw("events")
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 7 * F.lit(60_000_000)
+    raw = materialize(raw.withColumn("_at", arrival), "late-events")
+    cuts = raw.approxQuantile("_at", [i / files for i in range(1, files)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = raw if low is None else raw.where(F.col("_at") >= low)
+        part = part if high is None else part.where(F.col("_at") < high)
+        part.drop("_at").coalesce(1).write.mode("append").parquet(path)
+    return _as_events(
+        stream_events.read_event_files(t.spark, path, raw.drop("_at").schema, max_files=1)
+    )
+
+
+def _run_updates(t, stream, keys):
+    """A stream in update mode, and the last state of every key."""
+    path = scratch_path(t.spark, "stream-states")
+    sinks.run_available(stream, "stream", mode="update", handler=sinks.parquet_sink(path))
+    return sinks.newest_rows(t.spark, path, keys)
+
+
 @query("stream_window_kpis")
 def _stream_window_kpis(t):
-    stream = windows.stream_window_kpis(_event_stream(t))
-    path = sinks.run_available(stream, "stream-kpis")
-    return plain(sinks.read_output(t.spark, path, stream.schema))
+    stream = windows.stream_window_kpis(_late_event_stream(t))
+    return plain(_run_updates(t, stream, ["window_start"]))
 
 
 @query("stream_top3")
 def _stream_top3(t):
-    counts = windows.stream_key_counts(_event_stream(t), "category")
-    path = scratch_path(t.spark, "stream-top")
-    write = sinks.parquet_sink(path)
-    sinks.run_available(
-        counts, "stream-top", handler=lambda b, e: write(windows.rank_closed_windows(b), e)
-    )
-    return plain(t.spark.read.parquet(path).drop("epoch"))
+    counts = windows.stream_key_counts(_late_event_stream(t), "category")
+    return plain(windows.rank_windows(_run_updates(t, counts, ["window_start", "key"])))
+
+
+@query("stream_top_states_60s")
+def _stream_top_states(t):
+    """Top states of each minute; the state comes from the customers, a static table."""
+    places = t.customers.select("customer_id", F.col("customer_state").alias("state"))
+    events = _late_event_stream(t).join(places, "customer_id")
+    counts = windows.stream_key_counts(events, "state", 60, 60)
+    return plain(windows.rank_windows(_run_updates(t, counts, ["window_start", "key"])))
 
 
 @query("stream_dedupe")
@@ -845,22 +923,19 @@ def _stream_dedupe(t):
 
 @query("stream_daily_kpis")
 def _stream_daily_kpis(t):
-    stream = windows.stream_daily_kpis(_event_stream(t))
-    path = scratch_path(t.spark, "stream-days")
+    return _run_updates(t, windows.stream_daily_kpis(_late_event_stream(t)), ["day"])
 
-    def merge(batch, epoch):
-        before = None if epoch == 0 else t.spark.read.parquet(f"{path}/{epoch - 1}")
-        windows.merge_daily(before, batch).write.mode("overwrite").parquet(f"{path}/{epoch}")
-        last["epoch"] = epoch
 
-    last: dict[str, int] = {}
-    sinks.run_available(stream, "stream-days", mode="update", handler=merge)
-    return t.spark.read.parquet(f"{path}/{last['epoch']}")
+@query("stream_kpis_as_of")
+def _stream_kpis_as_of(t):
+    """Today and month to date on the last day of the stream."""
+    days = materialize(_stream_daily_kpis(t), "stream-days")
+    return windows.kpis_as_of(days, days.agg(F.max("day")).first()[0])
 
 
 @query("stream_fanout")
 def _stream_fanout(t):
-    """Two working sinks and a failing one; returns what each working sink received."""
+    """Two working sinks and one that gets its epochs later; returns what each received."""
     path = scratch_path(t.spark, "fanout")
 
     def broken(batch, epoch):
@@ -876,16 +951,18 @@ def _stream_fanout(t):
                 "large": lambda b, e: sinks.parquet_sink(f"{path}/large")(
                     b.where("revenue > 100"), e
                 ),
-            }
+            },
+            f"{path}/failures",
         ),
     )
+    sinks.redeliver(t.spark, f"{path}/failures", "down", sinks.parquet_sink(f"{path}/down"))
     parts = [
         t.spark.read.parquet(f"{path}/{name}").select(
             F.lit(name).alias("sink"), "event_id", F.col("revenue").cast("double").alias("revenue")
         )
-        for name in ("all", "large")
+        for name in ("all", "large", "down")
     ]
-    return parts[0].unionByName(parts[1])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("stream_event_zscore")

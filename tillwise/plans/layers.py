@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import anomaly, churn, cohort, facts, forecast, rfm, sentiment
 from ..sources.files import write_csv, write_parquet
+from ..sources.tables import Tables
 
 log = logging.getLogger(__name__)
 
@@ -24,6 +25,7 @@ class Output:
     """Named results below a folder, as parquet (or CSV for small report tables)."""
 
     folder: str
+    store: Tables | None = None  # where results are named as tables, if anywhere
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -31,6 +33,8 @@ class Output:
     def save(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         write_parquet(df, self.path(name), partition_by)
         log.info("wrote %s", name)
+        if self.store is not None:
+            self.store.attach(name, self.path(name))
         return self.load(df.sparkSession, name)
 
     def export(self, name: str, df: DataFrame) -> None:
@@ -58,7 +62,7 @@ def anomalies(tables, out: Output, contamination: float | None = 0.05) -> None:
     daily = out.load(tables.spark, "daily_revenue")
     detected = out.save("anomaly_detection", anomaly.detect(daily, contamination=contamination))
     flagged = detected.where("is_anomaly").select("date")
-    causes = out.save("root_cause", anomaly.root_cause(anomaly.dimension_days(tables), flagged))
+    causes = out.save("root_cause", anomaly.root_cause(anomaly.dimension_days(tables, flagged), flagged))
     out.export("anomaly_alerts", anomaly.anomaly_alerts(detected, causes))
 
 

@@ -68,7 +68,7 @@ def daily_revenue_moving_averages(tables) -> DataFrame:
         round_half_up(growth(F.col("_prev")), 2).alias("pct_change"),
         _dbl("_running").alias("cumulative_revenue"),
         round_half_up(growth(F.col("_week_ago")), 2).alias("wow_growth_pct"),
-    )
+    ).orderBy("order_date")
 
 
 def _customer_totals(tables) -> DataFrame:
@@ -112,7 +112,7 @@ def rfm_by_tiles(tables, as_of=None) -> DataFrame:
         raw,
         5,
         "customer_id",
-        {"r_score": -F.col("recency"), "f_score": F.col("frequency"), "m_score": F.col("monetary")},
+        {"r_score": -F.col("recency"), "f_score": F.col("frequency")},
     )
     r, f = F.col("r_score"), F.col("f_score")
     segment = (
@@ -141,7 +141,7 @@ def rfm_by_tiles(tables, as_of=None) -> DataFrame:
         round_half_up(share_pct(F.col("_m"), F.sum("_m").over(everything)), 1).alias(
             "revenue_share_pct"
         ),
-    )
+    ).orderBy(F.desc("total_revenue"), "segment")
 
 
 def _customer_months(tables, orders: DataFrame, *sums: str) -> DataFrame:
@@ -183,7 +183,7 @@ def cohort_retention_report(tables, max_period: int = 12) -> DataFrame:
         round_half_up(share_pct(F.col("customers"), F.col("cohort_size")), 1).alias(
             "retention_rate_pct"
         ),
-    )
+    ).orderBy("cohort_month", "period")
 
 
 def zscore_report(tables) -> DataFrame:
@@ -222,7 +222,7 @@ def zscore_report(tables) -> DataFrame:
         .alias("severity"),
         F.when(z > 2.0, "SPIKE").when(z < -2.0, "DROP").otherwise("NORMAL").alias("anomaly_type"),
         (F.abs(z) > 2.0).alias("is_anomaly"),
-    )
+    ).orderBy("dt")
 
 
 def category_weekly_drops(tables, n: int = 20) -> DataFrame:
@@ -285,7 +285,7 @@ def cohort_lifetime_value(tables) -> DataFrame:
         round_half_up(ratio(F.sum("_revenue").over(running), F.col("cohort_size")), 2).alias(
             "cumulative_ltv"
         ),
-    )
+    ).orderBy("cohort_month", "months_since_first")
 
 
 def seller_metrics(tables) -> DataFrame:
@@ -386,7 +386,7 @@ def seller_performance(tables, n: int = 50) -> DataFrame:
         "revenue_rank",
         "review_rank",
         round_half_up(F.col("_pct") * 100.0, 1).alias("revenue_percentile"),
-    )
+    ).orderBy("revenue_rank", "seller_id")
 
 
 def payment_running_totals(tables) -> DataFrame:
@@ -416,7 +416,7 @@ def payment_running_totals(tables) -> DataFrame:
         round_half_up(share_pct(F.col("_value"), F.sum("_value").over(of_month)), 1).alias(
             "monthly_share_pct"
         ),
-    )
+    ).orderBy("payment_type", "month")
 
 
 def geographic_revenue(tables) -> DataFrame:
@@ -461,7 +461,7 @@ def geographic_revenue(tables) -> DataFrame:
         round_half_up(ratio(F.col("total_orders"), F.col("unique_customers")), 2).alias(
             "orders_per_customer"
         ),
-    )
+    ).orderBy(F.desc("total_revenue"), "customer_state")
 
 
 def realtime_kpis(tables, as_of=None) -> DataFrame:
@@ -471,11 +471,12 @@ def realtime_kpis(tables, as_of=None) -> DataFrame:
     bought = F.col("order_purchase_timestamp")
     month_start = F.trunc(F.to_date(now), "MM").cast("timestamp_ntz")
     first_needed = F.least(month_start, now - F.expr("INTERVAL '1' HOUR"))
-    recent = (
-        tables.orders.where(bought >= first_needed)
-        .select("order_id", "customer_id", "order_purchase_timestamp")
-        .join(payments_per_order(tables.payments), "order_id")
+    recent = tables.orders.where(bought >= first_needed).select(
+        "order_id", "customer_id", "order_purchase_timestamp"
     )
+    # the month's orders thin out the payments before they are folded
+    paid = tables.payments.join(recent.select("order_id"), "order_id", "left_semi")
+    recent = recent.join(payments_per_order(paid), "order_id")
     hour = bought >= now - F.expr("INTERVAL '1' HOUR")
     today = day_of(bought) == F.to_date(now)
     month = month_of(bought) == F.trunc(F.to_date(now), "MM")

@@ -57,6 +57,30 @@ DATASETS: dict[str, T.StructType] = {
     ),
 }
 
+B, DAY = T.BooleanType(), T.DateType()
+
+# the batch run's results, as far as a table read back from text needs types
+DERIVED: dict[str, T.StructType] = {
+    "anomaly_detection": _struct(
+        ("date", DAY), ("total_revenue", D), ("total_orders", L), ("avg_order_value", D),
+        ("rolling_mean", D), ("rolling_std", D), ("z_score", D), ("anomaly_zscore", B), ("anomaly_iqr", B),
+        ("anomaly_cc", B), ("anomaly_votes", L), ("is_anomaly", B), ("anomaly_type", S),
+        ("anomaly_magnitude", D), ("anomaly_severity", S),
+    ),
+    "revenue_forecast": _struct(
+        ("step", L), ("date", DAY), ("seasonal_forecast", D), ("boosted_forecast", D),
+        ("ensemble_forecast", D), ("lower_80", D), ("upper_80", D),
+    ),
+    "rfm_segments": _struct(
+        ("customer_id", S), ("recency", L), ("frequency", L), ("monetary", D), ("R_score", L), ("F_score", L),
+        ("M_score", L), ("segment", S),
+    ),
+    "cohort_retention": _struct(
+        ("cohort_month", DAY), ("period", L), ("cohort_size", L), ("customers", L), ("retention", D),
+    ),
+    "churn_predictions": _struct(("customer_id", S), ("churn_probability", D), ("churn_risk", S)),
+}
+
 PRIMARY_KEYS = {
     "orders": ["order_id"],
     "customers": ["customer_id"],

@@ -29,6 +29,17 @@ class CommerceTables:
     def orders_in(self, *statuses: str) -> DataFrame:
         return self.orders.where(F.col("order_status").isin(*statuses))
 
+    def of_customer(self, customer_id) -> CommerceTables:
+        """The tables with one customer's orders, and of the tables by order only their rows."""
+        orders = self.orders.where(F.col("customer_id") == F.lit(customer_id))
+        return self._narrowed(orders, orders.select("order_id"))
+
+    def _narrowed(self, orders: DataFrame, ids: DataFrame) -> CommerceTables:
+        frames = {name: getattr(self, name) for name in ("customers", "products", "sellers") if hasattr(self, name)}
+        for name in ("order_items", "payments", "reviews"):
+            frames[name] = getattr(self, name).join(ids, "order_id", "left_semi")
+        return CommerceTables(self.spark, {**frames, "orders": orders})
+
     def register_views(self) -> None:
         """Expose the tables to spark.sql."""
         for name in TABLES:

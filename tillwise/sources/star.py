@@ -49,14 +49,14 @@ class Commerce(CommerceTables):
             )
         )
 
-    def _orders(self, stored: DataFrame) -> DataFrame:
+    def _orders(self, stored: DataFrame, items: DataFrame | None = None) -> DataFrame:
         status = F.col("o_orderstatus")
         *most, (_, last) = STATUS.items()
         named = F.when(status == most[0][0], most[0][1])
         for code, name in most[1:]:
             named = named.when(status == code, name)
         shipped = (
-            self.raw("lineitem")
+            (self.raw("lineitem") if items is None else items)
             .groupBy("l_orderkey")
             .agg(F.max("l_shipdate").alias("_last_ship"))
         )
@@ -77,9 +77,24 @@ class Commerce(CommerceTables):
         return self._orders(self.raw("orders"))
 
     def orders_in(self, *statuses: str) -> DataFrame:
-        """Orders of some statuses; the stored codes are filtered, so the scan can skip."""
-        codes = [code for code, name in STATUS.items() if name in statuses]
-        return self._orders(self.raw("orders").where(F.col("o_orderstatus").isin(*codes)))
+        """Orders of some statuses; the stored codes are filtered, so the scan can skip.
+
+        Unknown and null codes count as the last status, here as in orders."""
+        *most, (_, last) = STATUS.items()
+        status = F.col("o_orderstatus")
+        if last in statuses:
+            others = [code for code, name in most if name not in statuses]
+            wanted = status.isNull() | ~status.isin(*others)
+        else:
+            wanted = status.isin(*(code for code, name in most if name in statuses))
+        return self._orders(self.raw("orders").where(wanted))
+
+    def of_customer(self, customer_id) -> CommerceTables:
+        stored = self.raw("orders").where(F.col("o_custkey") == F.lit(customer_id))
+        ids = stored.select(F.col("o_orderkey").alias("order_id"))
+        keys = ids.withColumnRenamed("order_id", "l_orderkey")
+        items = self.raw("lineitem").join(keys, "l_orderkey", "left_semi")
+        return self._narrowed(self._orders(stored, items), ids)
 
     @cached_property
     def order_items(self) -> DataFrame:
@@ -154,13 +169,10 @@ class Commerce(CommerceTables):
             )
         )
 
-    def texts(self) -> DataFrame:
-        """The documents. A single file may be a single row group and so a single task;
-        it is spread out, as text work is heavy per row. Several files are not shuffled."""
+    def texts(self, parts: int | None = None) -> DataFrame:
+        """The documents; parts spreads them first, for a caller who knows that they lie in one row group."""
         documents = self.raw("documents")
-        if len(documents.inputFiles()) > 1:
-            return documents
-        return documents.repartition(self.spark.sparkContext.defaultParallelism)
+        return documents if parts is None else documents.repartition(parts)
 
     @cached_property
     def review_texts(self) -> DataFrame:

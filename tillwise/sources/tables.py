@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..schemas import DATASETS, DERIVED
 from ..session import scratch_path
-from .files import read_csv
+from .files import MULTI_LINE, read_csv
 
 
 def clean_name(name: str) -> str:
@@ -27,20 +28,31 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str | None = None) -> None:
         self.spark = spark
         self.root = root or scratch_path(spark, "tables")
+        self._written: dict[str, str] = {}
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Overwrite a table. The rows go to a new folder first, so a table can be
-        replaced by a query on itself and readers never see a half-written state."""
-        version = scratch_path(self.spark, f"{name}").rsplit("/", 1)[-1]
-        path = f"{self.root}/{version}"
+        """Overwrite a table. The rows go to a new folder first; then the name, a view over its newest
+        folder, is switched in one step, so there is always a table, also for a query on itself. At the end the
+        folder that this object wrote before is removed."""
+        path = f"{self.root}/{scratch_path(self.spark, name).rsplit('/', 1)[-1]}"
         df.write.parquet(path)
         self.spark.catalog.dropTempView(name)  # a view of that name would hide the table
-        self.spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-        self.spark.catalog.createTable(name, path=path, source="parquet")
-
-    def load_csv(self, name: str, path: str) -> None:
-        """One CSV file as a table with cleaned column names."""
-        self.replace(name, with_clean_names(read_csv(self.spark, path)))
+        if self.spark.catalog.tableExists(name) and self.spark.catalog.getTable(name).tableType != "VIEW":
+            self.spark.sql(f"DROP TABLE `{name}`")
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM parquet.`{path}`")
+        old, self._written[name] = self._written.get(name), path
+        if old:
+            _remove(self.spark, old)
+
+    def attach(self, name: str, path: str) -> None:
+        """Name parquet files that something else wrote, and owns."""
+        self.spark.catalog.dropTempView(name)
+        self.spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM parquet.`{path}`")
+
+    def load_csv(self, name: str, path: str, schema: StructType | None = None) -> None:
+        """One CSV file as a table with cleaned column names, typed as declared for the name or by schema."""
+        schema = schema or DATASETS.get(name) or DERIVED.get(name)
+        self.replace(name, with_clean_names(read_csv(self.spark, path, schema, multi_line=name in MULTI_LINE)))
 
     def load_all(self, frames: Mapping[str, DataFrame]) -> None:
         for name, df in frames.items():
@@ -60,15 +72,11 @@ class Tables:
         order_by: str | None = None,
         limit: int | None = None,
     ) -> DataFrame:
-        """Columns, filter, order and limit on one table."""
-        df = self.spark.table(name)
-        if where:
-            df = df.where(where)
-        if order_by:
-            df = df.orderBy(*[_order_term(term) for term in _split_terms(order_by)])
-        if limit:
-            df = df.limit(limit)
-        return df.selectExpr(*_split_terms(columns))
+        """Columns, filter, order and limit on one table; the texts are SQL, read by Spark's parser."""
+        sql = f"SELECT {columns} FROM `{name}`"
+        sql += f" WHERE {where}" if where else ""
+        sql += f" ORDER BY {order_by}" if order_by else ""
+        return self.spark.sql(sql + (f" LIMIT {int(limit)}" if limit is not None else ""))
 
     def names(self) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables() if not t.isTemporary)
@@ -109,15 +117,7 @@ class Tables:
         )
 
 
-def _split_terms(text: str) -> list[str]:
-    """Comma-separated terms, commas inside parentheses kept."""
-    return [t.strip() for t in re.split(r",(?![^()]*\))", text)]
-
-
-def _order_term(term: str):
-    name, _, direction = term.rpartition(" ")
-    if direction.lower() == "desc":
-        return F.expr(name).desc()
-    if direction.lower() == "asc":
-        return F.expr(name).asc()
-    return F.expr(term)
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete one folder in whatever store holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

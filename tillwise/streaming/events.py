@@ -33,12 +33,16 @@ def to_json_events(events: DataFrame) -> DataFrame:
 
 
 def read_event_files(
-    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", max_files: int = 100
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
+    max_files: int | None = 100, max_bytes: str | None = None,
 ) -> DataFrame:
-    """Replay of recorded events; `max_files` bounds the size of a micro-batch."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).format(fmt).load(path)
-    )
+    """Replay of recorded events; `max_files`, or else `max_bytes`, bounds the size of a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    elif max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.format(fmt).load(path)
 
 
 def kafka_options(servers: str, topic: str, group: str | None = None) -> dict[str, str]:

@@ -2,8 +2,9 @@
 
 Each key keeps its last revenues (a bounded list) and forgets them after a quiet time,
 measured in event time.
-Rows are taken in arrival order, one Arrow batch at a time, so a busy key never has to
-be gathered; the micro-batch size is bounded at the source.
+A key's events of one micro-batch are scored in the order of time, however they arrive in Arrow
+batches; the source bounds a micro-batch by files and bytes. Events without revenue get no score and are
+no part of the history.
 """
 
 from collections.abc import Iterator
@@ -13,8 +14,10 @@ from pyspark.sql import DataFrame
 
 OUTPUT = (
     "customer_id bigint, event_id bigint, ts timestamp, revenue double, history_count bigint, "
-    "z_score double, is_spike boolean, is_drop boolean, is_anomaly boolean"
+    "z_score double, is_spike boolean, is_drop boolean, is_anomaly boolean, anomaly_severity string"
 )
+# Upper borders of the severity bands.
+SEVERITY_BANDS = [(2.0, "none"), (2.5, "low"), (3.5, "medium"), (5.0, "high")]
 STATE = "revenues array<double>"
 
 
@@ -25,35 +28,42 @@ def _scorer(history: int, threshold: float, quiet_ms: int):
         if state.hasTimedOut:
             state.remove()
             return
-        seen = list(state.get[0]) if state.exists else []
-        newest = 0
-        for batch in batches:
-            batch = batch.sort_values(["ts", "event_id"])
-            values = batch["revenue"].to_numpy(dtype=float)
-            known = np.concatenate([np.array(seen, dtype=float), values])
-            counts, scores = [], []
-            for i, value in enumerate(values, start=len(seen)):
-                past = known[max(0, i - history) : i]
-                spread = past.std() if len(past) > 1 else 1.0
-                mean = past.mean() if len(past) else value
-                counts.append(len(past))
-                scores.append((value - mean) / max(spread, 0.01))
-            seen = known[-history:].tolist()
-            newest = max(newest, int(batch["ts"].max().timestamp() * 1000))
-            z = np.array(scores)
-            yield pd.DataFrame(
-                {
-                    "customer_id": key[0],
-                    "event_id": batch["event_id"].to_numpy(),
-                    "ts": batch["ts"].to_numpy(),
-                    "revenue": values,
-                    "history_count": counts,
-                    "z_score": np.sign(z) * np.floor(np.abs(z) * 1000 + 0.5) / 1000,
-                    "is_spike": z > threshold,
-                    "is_drop": z < -threshold,
-                    "is_anomaly": np.abs(z) > threshold,
-                }
-            )
+        seen = np.array(state.get[0] if state.exists else [], dtype=float)
+        rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
+        values = rows["revenue"].to_numpy(dtype=float)
+        there = ~np.isnan(values)
+        known = np.concatenate([seen, values[there]])
+        # events before each one, without those that have no revenue
+        before = len(seen) + np.cumsum(there) - there
+        counts = np.minimum(before, history)
+        total = np.maximum(counts, 1)
+        # sums over whole cents are exact, as long as their squares fit
+        cents = np.rint(known * 100)
+        kind = np.int64 if not len(cents) or np.abs(cents).max() < 1e8 else np.longdouble
+        padded = np.concatenate([np.zeros(history), cents]).astype(kind)
+        past = np.lib.stride_tricks.sliding_window_view(padded, history)[before]
+        first, second = past.sum(1), (past * past).sum(1)
+        mean = np.where(counts > 0, first / 100.0 / total, values)
+        spread = np.sqrt(np.maximum(total * second - first * first, 0) / 1e4) / total
+        z = (values - mean) / np.maximum(np.where(counts > 1, spread, 1.0), 0.01)
+        size = np.abs(z)
+        bands = np.select([size < b for b, _ in SEVERITY_BANDS], [n for _, n in SEVERITY_BANDS], "critical")
+        yield pd.DataFrame(
+            {
+                "customer_id": key[0],
+                "event_id": rows["event_id"].to_numpy(),
+                "ts": rows["ts"].to_numpy(),
+                "revenue": values,
+                "history_count": counts,
+                "z_score": np.sign(z) * np.floor(size * 1000 + 0.5) / 1000,
+                "is_spike": z > threshold,
+                "is_drop": z < -threshold,
+                "is_anomaly": size > threshold,
+                "anomaly_severity": np.where(there, bands, None),
+            }
+        )
+        seen = known[-history:].tolist()
+        newest = int(rows["ts"].max().timestamp() * 1000)
         state.update((seen,))
         state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + quiet_ms)
 

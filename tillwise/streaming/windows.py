@@ -15,7 +15,8 @@ def stream_window_kpis(
     delay: str = "10 minutes",
     ts: str = "ts",
 ) -> DataFrame:
-    """Sliding-window KPIs; a window is emitted once the watermark has passed its end."""
+    """Sliding-window KPIs. In append mode a window is emitted once the watermark has passed its end;
+    in update mode also before, each time it changes (`sinks.newest_rows` then keeps its last state)."""
     spans = F.window(ts, f"{window_seconds} seconds", f"{slide_seconds} seconds")
     return (
         events.withWatermark(ts, delay)
@@ -37,7 +38,8 @@ def stream_key_counts(
     delay: str = "10 minutes",
     ts: str = "ts",
 ) -> DataFrame:
-    """Closed (window, key, count) rows; `rank_closed_windows` picks the top keys."""
+    """(window, key, count) rows: closed ones in append mode, changed ones in update mode.
+    `rank_windows` picks the top keys."""
     spans = F.window(ts, f"{window_seconds} seconds", f"{slide_seconds} seconds")
     return (
         events.withWatermark(ts, delay)
@@ -47,16 +49,12 @@ def stream_key_counts(
     )
 
 
-def rank_closed_windows(batch: DataFrame, n: int = 3) -> DataFrame:
-    """Top keys per window of a micro-batch.
-
-    In append mode all keys of a window close in the same micro-batch, so a batch rank
-    inside foreachBatch sees the whole window.
-    """
+def rank_windows(counts: DataFrame, n: int = 3) -> DataFrame:
+    """Top keys per window; counts must hold all keys of each of its windows."""
     from pyspark.sql import Window
 
     best = Window.partitionBy("window_start").orderBy(F.desc("count"), "key")
-    return batch.withColumn("rank", F.row_number().over(best).cast("bigint")).where(
+    return counts.withColumn("rank", F.row_number().over(best).cast("bigint")).where(
         F.col("rank") <= n
     )
 
@@ -73,13 +71,6 @@ def stream_daily_kpis(events: DataFrame, delay: str = "1 day", ts: str = "ts") -
     )
 
 
-def merge_daily(current: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Replace the days a micro-batch brings; other days stay."""
-    if current is None:
-        return batch
-    return current.join(batch.select("day"), "day", "left_anti").unionByName(batch)
-
-
 def kpis_as_of(days: DataFrame, as_of) -> DataFrame:
     """Today and month to date from the daily table."""
     today = F.lit(as_of).cast("date")
