@@ -9,7 +9,8 @@ Long lists are not expanded into all pairs. A document most of whose retained ha
 in a large group with one combination every member is first compared with the group's smallest member. After the
 components of those links are known, members outside a group's largest component are compared with a few of its
 members, and those that stay outside with every other member that the counts of their common shingles
-allow: a document cannot reach the similarity with shingles that no other member has. So every pair that shares a
+allow (a document cannot reach the similarity with shingles that no other member has), within a join that puts out
+the links alone. So every pair that shares a
 short list or a combination is compared, already connected, or too far apart by its counts.
 """
 
@@ -202,7 +203,7 @@ def near_duplicates(
         able = materialize(able, "near-able")
         led = _verified(materialize(_to_leaders(able, percent), "near-pairs"), reps, percent, sets, docs, width)
         able = _still_outside(able, led, found)
-        rest = _verified(materialize(_outside(able, percent), "near-pairs"), reps, percent, sets, docs, width)
+        rest = materialize(_outside_links(able, sets, percent), "near-links")
         found = connected_components(links.union(led).union(rest), "near-components")
 
     ids = reps.join(found.withColumnRenamed("component", "root"), "node", "left").select(
@@ -252,18 +253,29 @@ def _still_outside(members: DataFrame, led: DataFrame, found: DataFrame) -> Data
     return members.join(joined, ["node", "main"], "left").withColumn("outside", ~inside)
 
 
-def _outside(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs within groups between a member outside the largest component and any other, as far as their counts allow."""
-    x = members.where("outside").select(
-        "key", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("common").alias("sx")
+def _outside_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members outside a group's largest component and any others of the groups with that component.
+
+    The join compares counts, then whole sets, and puts out the links alone.
+    """
+    rows = members.groupBy("main", "node").agg(
+        *(F.first(c).alias(c) for c in ("n", "common", "component")), F.max("outside").alias("outside")
+    ).join(sets, "node")
+    x = rows.where("outside").select(
+        "main", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("common").alias("sx"),
+        F.col("shingles").alias("ax"),
     )
-    y = members.select(
-        "key", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), F.col("common").alias("sy")
+    y = rows.select(
+        "main", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), F.col("common").alias("sy"),
+        F.col("shingles").alias("ay"), F.col("outside").alias("oy"),
     )
     # what only one of the two holds is in their union, and not in what they share
     union = F.greatest(F.col("nx") + F.col("ny") - F.col("sy"), F.col("ny") + F.col("nx") - F.col("sx"))
     near = 100 * F.least("sx", "sy") >= percent * union
-    return x.join(y, "key").where((F.col("cx") != F.col("cy")) & near).select(
+    once = ~F.col("oy") | (F.col("x") < F.col("y"))
+    inter = F.size(F.array_intersect("ax", "ay"))
+    linked = 100 * inter >= percent * (F.size("ax") + F.size("ay") - inter)
+    return x.join(y, [x["main"] == y["main"], (F.col("cx") != F.col("cy")) & once & near & linked]).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
     ).distinct()
 
