@@ -36,6 +36,6 @@ def test_large_components_and_few_candidates(spark):
     rows = [(0, [1e9, 1.0]), (1, [-2e9, 3.0]), (2, [1e9, 0.5])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = topk.exact_topk(vectors, vectors.where("vec_id = 0"), 5).collect()
-    clipped = [(q, r, i, max(-(2**63), min(2**63 - 1, s))) for q, r, i, s in brute(rows, rows[:1], 5)]
+    clipped = [(q, r, i, max(-topk.CUT, min(topk.CUT, s))) for q, r, i, s in brute(rows, rows[:1], 5)]
     assert sorted(map(tuple, got)) == clipped
     assert topk.exact_topk(vectors.limit(0), vectors.limit(0), 5).count() == 0

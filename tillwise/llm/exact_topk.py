@@ -24,6 +24,8 @@ BINS = 64
 QUERY_ROWS, CANDIDATE_ROWS = 256, 2048
 #: A range is narrow enough when at most this many times k scores lie above its lower end.
 NEAR = 8
+#: Scores beyond it, either way, are cut to it.
+CUT = 2**60
 BLOCK = "block string, dim int, ids binary, data binary, top long"
 STATE = "block string, lo binary, hi binary, above binary, open long"
 
@@ -80,9 +82,9 @@ def _scores(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     q, c = _longs(row["data"]).reshape(-1, row["dim"]), _longs(row["cdata"]).reshape(-1, row["dim"])
     if row["top"] * row["ctop"] * row["dim"] < 2**53:
         scores = (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
-    else:  # beyond a double's whole numbers: exact, and cut to a long
+    else:  # beyond a double's whole numbers: exact, and cut
         product = q.astype(object) @ c.astype(object).T
-        scores = np.clip(product, -(2**63), 2**63 - 1).astype(np.int64)
+        scores = np.clip(product, -CUT, CUT).astype(np.int64)
     ids = _longs(row["cids"])
     return scores, _longs(row["ids"])[:, None] != ids[None, :], ids
 
@@ -173,14 +175,14 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     Both have vec_id and embedding, any more columns are ignored. A candidate with the query's own id is left out;
     queries repeated with one id are answered each for itself, repeated candidates count each. Vectors
-    meet only vectors of their own length. Components beyond a long are cut to it, and so are scores.
+    meet only vectors of their own length. Components beyond a long are cut to it, scores to CUT.
     Without queries or candidates the result is empty.
     """
     q = materialize(_blocks(integer_vectors(queries), QUERY_ROWS), "topk-queries")
     c = materialize(_blocks(integer_vectors(vectors), CANDIDATE_ROWS), "topk-candidates")
     c = c.select(F.col("dim").alias("cdim"), F.col("ids").alias("cids"), F.col("data").alias("cdata"), F.col("top").alias("ctop"))
     bound = c.agg(F.max("ctop"), F.max("cdim")).first()
-    limit = min((bound[0] or 0) * (bound[1] or 0) * (q.agg(F.max("top")).first()[0] or 0) + 1, 2**61)
+    limit = min((bound[0] or 0) * (bound[1] or 0) * (q.agg(F.max("top")).first()[0] or 0) + 1, CUT)
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
