@@ -76,10 +76,11 @@ def kpis_as_of(days: DataFrame, as_of) -> DataFrame:
     today = F.lit(as_of).cast("date")
     month = F.trunc("day", "MM") == F.trunc(today, "MM")
     is_today = F.col("day") == today
+    money = F.col("revenue").cast("decimal(23,2)")  # days add up exactly
     kept = days.where(month & (F.col("day") <= today))
     return kept.agg(
         F.coalesce(F.sum(F.when(is_today, F.col("orders"))), F.lit(0)).alias("orders_today"),
-        F.sum(F.when(is_today, F.col("revenue"))).alias("revenue_today"),
+        F.sum(F.when(is_today, money)).cast("double").alias("revenue_today"),
         F.coalesce(F.sum("orders"), F.lit(0)).alias("orders_mtd"),
-        F.sum("revenue").alias("revenue_mtd"),
+        F.sum(money).cast("double").alias("revenue_mtd"),
     )
