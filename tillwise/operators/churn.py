@@ -185,14 +185,14 @@ def churn_scores(model, features: DataFrame, columns: Sequence[str] = FEATURES)
     )
 
 
-def forest_metrics(
+def fit_forest(
     features: DataFrame,
     columns: Sequence[str] = FEATURES,
     trees: int = 100,
     depth: int = 10,
     seed: int = 42,
-) -> DataFrame:
-    """Class-balanced random forest on 80 % of the customers, judged on the other 20 %."""
+) -> tuple[object, DataFrame]:
+    """Class-balanced random forest on 80 % of the customers (part 0 is left out); with the training rows."""
     training = _stratified(_training(features, columns), 5, seed)
     shares = training.where(F.col("_part") > 0).groupBy("label").count().collect()
     total = sum(row["count"] for row in shares)
@@ -204,10 +204,17 @@ def forest_metrics(
     forest = RandomForestClassifier(
         numTrees=trees, maxDepth=depth, seed=seed, weightCol="_weight", labelCol="label"
     )
-    fit_rows, test_rows = (weighted.where(F.col("_part") > 0), weighted.where(F.col("_part") == 0))
-    model = Pipeline(stages=[*_stages(columns), forest]).fit(fit_rows)
-    auc = BinaryClassificationEvaluator(labelCol="label").evaluate(model.transform(test_rows))
-    return training.agg(
+    fit_rows = weighted.where(F.col("_part") > 0)
+    # trees do not mind the centred features, which attribution needs
+    return Pipeline(stages=[*_stages(columns, with_mean=True), forest]).fit(fit_rows), weighted
+
+
+def forest_metrics(features: DataFrame, columns: Sequence[str] = FEATURES, **forest) -> DataFrame:
+    """The forest, judged on the customers left out."""
+    model, rows = fit_forest(features, columns, **forest)
+    judged = model.transform(rows.where(F.col("_part") == 0))
+    auc = BinaryClassificationEvaluator(labelCol="label").evaluate(judged)
+    return rows.agg(
         F.lit(round(auc, 4)).alias("auc"),
         F.lit(len(columns)).alias("n_features"),
         F.count_if(F.col("_part") > 0).alias("n_train"),
@@ -215,6 +222,16 @@ def forest_metrics(
     )
 
 
+def forest_attribution(
+    features: DataFrame, columns: Sequence[str] = FEATURES, top: int = 5, **forest
+) -> DataFrame:
+    """Contribution of every feature by the forest that `forest_metrics` judges: its importance times
+    the standardised value, for every customer."""
+    model, rows = fit_forest(features, columns, **forest)
+    weights = [float(w) for w in model.stages[-1].featureImportances.toArray()]
+    return _attributed(model.transform(rows), columns, weights, top)
+
+
 def churn_attribution(
     features: DataFrame, columns: Sequence[str] = FEATURES, top: int = 5
 ) -> DataFrame:
@@ -228,11 +245,16 @@ def churn_attribution(
         stages=[*_stages(columns, with_mean=True), LogisticRegression(labelCol="label", regParam=0.01)]
     ).fit(training)
     coefficients = [float(c) for c in model.stages[-1].coefficients]
+    return _attributed(model.transform(training), columns, coefficients, top)
+
+
+def _attributed(scored: DataFrame, columns: Sequence[str], weights: Sequence[float], top: int) -> DataFrame:
+    """Contributions weight x standardised value, the largest first, with bands and actions."""
     z = vector_to_array("features")
     parts = F.array(
         *[
             F.struct(
-                F.lit(name).alias("feature"), (z[i] * F.lit(coefficients[i])).alias("contribution")
+                F.lit(name).alias("feature"), (z[i] * F.lit(weights[i])).alias("contribution")
             )
             for i, name in enumerate(columns)
         ]
@@ -245,8 +267,7 @@ def churn_attribution(
     )
     p = F.col("_p")
     return (
-        model.transform(training)
-        .select("customer_id", vector_to_array("probability")[1].alias("_p"), by_size.alias("_parts"))
+        scored.select("customer_id", vector_to_array("probability")[1].alias("_p"), by_size.alias("_parts"))
         .select(
             "customer_id",
             F.round(p, 4).alias("churn_probability"),

@@ -456,9 +456,14 @@ def _churn_rf_metrics(t):
     return plain(churn.forest_metrics(churn.churn_features(t)))
 
 
-@query("churn_attribution")
-def _churn_attribution(t):
-    return churn.churn_attribution(churn.churn_features(t)).select(
+@query("churn_feature_importance")
+def _churn_feature_importance(t):
+    features = materialize(churn.churn_features(t), "churn-features")
+    return churn.feature_importance(t.spark, churn.fit_boosted(features))
+
+
+def _attribution_columns(attribution):
+    return attribution.select(
         "customer_id", "churn_probability", "churn_risk",
         F.array_join("top_positive_factors", ",").alias("top_positive_factors"),
         F.array_join("top_negative_factors", ",").alias("top_negative_factors"),
@@ -466,6 +471,16 @@ def _churn_attribution(t):
     )
 
 
+@query("churn_attribution")
+def _churn_attribution(t):
+    return _attribution_columns(churn.churn_attribution(churn.churn_features(t)))
+
+
+@query("churn_forest_attribution")
+def _churn_forest_attribution(t):
+    return _attribution_columns(churn.forest_attribution(churn.churn_features(t)))
+
+
 @query("churn_attribution_summary")
 def _churn_attribution_summary(t):
     return churn.attribution_summary(churn.churn_attribution(churn.churn_features(t)))
@@ -730,6 +745,12 @@ def _gbt_forecast_metrics(t):
     return forecast.boosted_metrics(facts.daily_series(t))[1]
 
 
+@query("gbt_feature_importance")
+def _gbt_feature_importance(t):
+    model, _ = forecast.boosted_metrics(facts.daily_series(t))
+    return churn.feature_importance(t.spark, model, [*forecast.CALENDAR, *forecast.HISTORY])
+
+
 @query("gbt_forecast")
 def _gbt_forecast(t):
     return plain(forecast.boosted_forecast(facts.daily_series(t)))
