@@ -1,4 +1,8 @@
-"""A small causal self-attention model over token classes, in numpy: loss, gradients and scores of batched windows."""
+"""A small causal self-attention model over token classes, in numpy: loss, gradients and scores of batched windows.
+
+The classes lie in groups of equal size: a token's group is predicted first, then its class among the group's, so a
+token costs two short softmaxes instead of one over all classes.
+"""
 
 from __future__ import annotations
 
@@ -7,24 +11,35 @@ import numpy as np
 #: Positions of a window, and how many of its last ones are predicted; the others are context that an
 #: earlier window has predicted.
 WINDOW, STEP = 32, 16
-WIDTH = 32
-NAMES = ("embed", "place", "query", "key", "value", "out", "bias")
+WIDTH = 24
+#: Windows whose attention is computed at once.
+PART = 40
+NAMES = ("embed", "place", "query", "key", "value", "out", "bias", "inner", "inner_bias")
 
 Params = dict[str, np.ndarray]
 
 
+def groups_of(classes: int) -> int:
+    """How many groups: the largest divisor of the number of classes that is at most its root."""
+    return next(g for g in range(int(classes**0.5), 0, -1) if classes % g == 0)
+
+
 def shapes(classes: int) -> dict[str, tuple[int, ...]]:
+    groups = groups_of(classes)
     return {
         "embed": (classes + 1, WIDTH), "place": (WINDOW, WIDTH), "query": (WIDTH, WIDTH), "key": (WIDTH, WIDTH),
-        "value": (WIDTH, WIDTH), "out": (WIDTH, classes), "bias": (classes,),
+        "value": (WIDTH, WIDTH), "out": (WIDTH, groups), "bias": (groups,),
+        "inner": (groups, WIDTH, classes // groups), "inner_bias": (groups, classes // groups),
     }
 
 
 def initial(class_share: np.ndarray, seed: int = 7) -> Params:
-    """Small random weights; the bias alone predicts the classes' shares."""
+    """Small random weights; the biases alone predict the classes' shares."""
     rng = np.random.default_rng(seed)
     params = {k: (0.1 * rng.standard_normal(s)).astype(np.float32) for k, s in shapes(len(class_share)).items()}
-    params["bias"] = np.log(class_share).astype(np.float32)
+    share = class_share.reshape(params["inner_bias"].shape)
+    params["bias"] = np.log(share.sum(1)).astype(np.float32)
+    params["inner_bias"] = np.log(share / share.sum(1, keepdims=True)).astype(np.float32)
     return params
 
 
@@ -59,52 +74,82 @@ def gather(classes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, doc: np
     return np.where(real, x, begin), real, classes[at[:, -STEP:]], real[:, -STEP:]
 
 
-_AHEAD = np.arange(WINDOW)[None, :] > (WINDOW - STEP + np.arange(STEP))[:, None]
+_PAST = np.arange(WINDOW)[None, :] <= (WINDOW - STEP + np.arange(STEP))[:, None]
+#: Logits are cut here, which keeps their exponentials within single precision without a search for the largest.
+LIMIT = 60
+
+
+def _softmax(logits: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
+    """Over the last axis, in place; the sums are products with ones, which are faster over short axes."""
+    np.clip(logits, -LIMIT, LIMIT, out=logits)
+    np.exp(logits, out=logits)
+    if mask is not None:
+        logits *= mask
+    logits /= (logits @ np.ones(logits.shape[-1], logits.dtype))[..., None]
+    return logits
 
 
 def _forward(p: Params, x: np.ndarray, real: np.ndarray):
-    h = p["embed"][x] + p["place"]
+    h = p["embed"][x]
+    h += p["place"]
     ask = h[:, -STEP:]
     q, k, v = ask @ p["query"], h @ p["key"], h @ p["value"]
-    s = q @ k.transpose(0, 2, 1) / np.float32(WIDTH**0.5)
-    s = np.where(_AHEAD | ~real[:, None, :], np.float32(-1e9), s)
-    s -= s.max(2, keepdims=True)
-    a = np.exp(s)
-    a /= a.sum(2, keepdims=True)
-    top = ask + a @ v
-    logits = top @ p["out"]
-    logits += p["bias"]
-    logits -= logits.max(2, keepdims=True)
-    return h, ask, q, k, v, a, top, logits
+    s = q @ k.transpose(0, 2, 1)
+    s /= np.float32(WIDTH**0.5)
+    a = _softmax(s, _PAST & real[:, None, :] | ~real[:, -STEP:, None])
+    return h, ask, q, k, v, a, ask + a @ v
+
+
+def _by_group(group: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Each group with the rows whose target is in it."""
+    order = np.argsort(group, kind="stable")
+    found, starts = np.unique(group[order], return_index=True)
+    return list(zip(found.tolist(), np.split(order, starts[1:]), strict=True))
 
 
 def log_shares(p: Params, x: np.ndarray, real: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log probability of each target class."""
-    logits = _forward(p, x, real)[-1]
-    own = np.take_along_axis(logits, target[..., None].astype(np.int64), 2)[..., 0]
-    return own - np.log(np.exp(logits, out=logits).sum(2))
+    # few windows at a time for the attention, whose parts then stay in a processor's cache, many for the groups
+    parts = [_forward(p, x[i : i + PART], real[i : i + PART])[-1] for i in range(0, len(x), PART)]
+    top = np.concatenate(parts).reshape(-1, p["out"].shape[0])
+    group, member = np.divmod(target.ravel(), p["inner_bias"].shape[1])
+    share = _softmax(top @ p["out"] + p["bias"])[np.arange(len(top)), group]
+    for g, rows in _by_group(group):
+        inner = _softmax(top[rows] @ p["inner"][g] + p["inner_bias"][g])
+        share[rows] *= inner[np.arange(len(rows)), member[rows]]
+    return np.log(np.maximum(share, 1e-30)).reshape(target.shape)
 
 
 def gradients(p: Params, x: np.ndarray, real: np.ndarray, target: np.ndarray, valid: np.ndarray) -> Params:
     """Gradients of the mean cross entropy over the valid targets."""
-    h, ask, q, k, v, a, top, logits = _forward(p, x, real)
-    share = np.exp(logits)
-    share /= share.sum(2, keepdims=True)
-    np.put_along_axis(share, target[..., None].astype(np.int64), np.take_along_axis(share, target[..., None].astype(np.int64), 2) - 1, 2)
-    d = share * (valid[..., None] / np.float32(max(1, valid.sum())))
+    h, ask, q, k, v, a, top = _forward(p, x, real)
+    width = top.shape[2]
+    flat_top, weight = top.reshape(-1, width), valid.ravel() / top.dtype.type(max(1, valid.sum()))
+    group, member = np.divmod(target.ravel(), p["inner_bias"].shape[1])
+    d = _softmax(flat_top @ p["out"] + p["bias"])
+    d[np.arange(len(d)), group] -= 1
+    d *= weight[:, None]
+    out = {"out": flat_top.T @ d, "bias": d.sum(0), "inner": np.zeros_like(p["inner"]), "inner_bias": np.zeros_like(p["inner_bias"])}
     d_top = d @ p["out"].T
+    for g, rows in _by_group(group):
+        d = _softmax(flat_top[rows] @ p["inner"][g] + p["inner_bias"][g])
+        d[np.arange(len(rows)), member[rows]] -= 1
+        d *= weight[rows, None]
+        out["inner"][g], out["inner_bias"][g] = flat_top[rows].T @ d, d.sum(0)
+        d_top[rows] += d @ p["inner"][g].T
+    d_top = d_top.reshape(top.shape)
     d_a = d_top @ v.transpose(0, 2, 1)
-    d_s = a * (d_a - (d_a * a).sum(2, keepdims=True)) / np.float32(WIDTH**0.5)
+    d_s = a * (d_a - (d_a * a).sum(2, keepdims=True)) / top.dtype.type(width**0.5)
     d_q, d_k, d_v = d_s @ k, d_s.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ d_top
     d_h = d_k @ p["key"].T + d_v @ p["value"].T
     d_h[:, -STEP:] += d_top + d_q @ p["query"].T
     d_h *= real[..., None]
     embed = np.zeros_like(p["embed"])
-    np.add.at(embed, x.ravel(), d_h.reshape(-1, WIDTH))
-    return {
-        "embed": embed, "place": d_h.sum(0),
-        "query": np.tensordot(ask, d_q, ([0, 1], [0, 1])), "key": np.tensordot(h, d_k, ([0, 1], [0, 1])),
-        "value": np.tensordot(h, d_v, ([0, 1], [0, 1])), "out": np.tensordot(top, d, ([0, 1], [0, 1])), "bias": d.sum((0, 1)),
+    np.add.at(embed, x.ravel(), d_h.reshape(-1, width))
+    flat_ask, flat_h = ask.reshape(-1, width), h.reshape(-1, width)
+    return out | {
+        "embed": embed, "place": d_h.sum(0), "query": flat_ask.T @ d_q.reshape(-1, width),
+        "key": flat_h.T @ d_k.reshape(-1, width), "value": flat_h.T @ d_v.reshape(-1, width),
     }
 
 

@@ -27,11 +27,11 @@ from tillwise.session import materialize
 
 #: Text of a block, and words of one range of hashes.
 BLOCK_BYTES, RANGE_WORDS = 8 << 20, 500_000
-CLASSES, OWN_CLASS = 512, 448
+CLASSES, OWN_CLASS = 1024, 960
 #: One window in so many is trained on; rounds of averaging; windows of a step.
-EVERY, ROUNDS, BATCH, RATE = 24, 3, 32, 0.01
-#: Windows scored at once; their logits stay in a processor's cache.
-SCORED = 48
+EVERY, ROUNDS, BATCH, RATE = 40, 3, 64, 0.015
+#: Windows scored at once.
+SCORED = 720
 BLOCK = (
     "block long, doc_ids array<long>, held array<boolean>, words array<long>, counts array<long>, "
     "doc_words binary, n_words array<long>, ids binary, n_ids array<long>"
@@ -196,7 +196,7 @@ def _train(blocks: DataFrame, class_of: np.ndarray, start: np.ndarray, classes:
                 n, held = np.asarray(row["n_ids"]), np.asarray(row["held"], bool)
                 x = class_of[_unpack(row["ids"], np.uint32)]
                 doc, first, number = attention.windows(n)
-                salt = (row["block"] + round_ * 5) % EVERY
+                salt = (int(n.sum()) + round_ * 5) % EVERY
                 taken = np.flatnonzero(~held[doc] & ((number + doc + salt) % EVERY == 0))
                 taken = np.random.default_rng(round_).permutation(taken)
                 for i in range(0, len(taken), BATCH):

@@ -91,6 +91,8 @@ def _hits(docs: DataFrame, patterns: list[str], keys: list[str]) -> DataFrame:
     own = hash(tuple(patterns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if own not in _known:
+            _known.clear()
         known = _known.setdefault(own, {})
         for b in small_batches(batches, "text"):
             if len(known) > 500_000:
