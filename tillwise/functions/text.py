@@ -17,6 +17,7 @@ POSITIVE_WORDS = [
     "melhor", "feliz", "satisfeito", "recomendo", "qualidade", "rápido",
     "lindo", "incrível", "fantástico", "top", "show", "demais",
 ]
+# As above, negative.
 NEGATIVE_WORDS = [
     "bad", "terrible", "awful", "horrible", "worst", "hate", "disappointed",
     "poor", "slow", "late", "damaged", "broken", "wrong", "never", "not",
@@ -24,11 +25,14 @@ NEGATIVE_WORDS = [
     "pobre", "lento", "atrasado", "danificado", "quebrado", "errado",
     "nunca", "não", "problema", "defeito", "atraso", "demora",
 ]
+# Factors of intensifying words.
 INTENSIFIERS = {
     "very": 1.5, "really": 1.5, "extremely": 2.0, "absolutely": 2.0,
     "muito": 1.5, "extremamente": 2.0, "totalmente": 2.0, "demais": 1.5,
 }
+# Negating words.
 NEGATORS = ["not", "no", "never", "don't", "doesn't", "won't", "não", "nunca", "jamais"]
+# Words that are no keywords.
 STOPWORDS = [
     "this", "that", "with", "have", "from", "they", "will", "would",
     "there", "their", "what", "about", "more", "when", "were", "very",

@@ -35,7 +35,9 @@ def _tree_samples(
     """`size` rows per tree (all rows, if there are fewer), drawn by hash.
 
     Rows are thinned to about three samples per tree before they are multiplied, so the
-    exchanged data does not grow with the number of rows.
+    exchanged data does not grow with the number of rows. Only the smallest draws, which thinning keeps, can be
+    among a tree's `size` rows; that fewer than a third of the expected rows are left does not happen in practice
+    (18 deviations at the usual 256 rows).
     """
     keep = min(1.0, 3.0 * size / max(points.count(), 1))
     modulus = 1_000_000_007

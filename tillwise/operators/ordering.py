@@ -261,6 +261,8 @@ def framed_over_rows(
     however the keys are distributed. For keyed frames the total order must start with
     the keys: the rows of a key are then neighbours and the carried rows are all it needs.
     """
+    if preceding > chunk_rows:
+        raise ValueError("a frame may not be longer than a chunk, which only gets rows of the chunk before")
     chunk = F.floor(F.col(index) / F.lit(chunk_rows)).cast("bigint")
     carries = (F.col(index) % chunk_rows) >= (chunk_rows - preceding)
     copies = F.when(carries, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))

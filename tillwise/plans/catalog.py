@@ -144,7 +144,7 @@ def _scan_csv_roundtrip(t):
     files.write_csv(t.order_items, path)
     schema = "order_id bigint, order_item_id int, product_id bigint, seller_id bigint, " \
         "price decimal(12,2), freight_value decimal(12,2)"
-    return plain(files.read_csv(t.spark, path, T._parse_datatype_string(schema)))
+    return plain(files.read_csv(t.spark, path, T.StructType.fromDDL(schema)))
 
 
 @query("table_load_clean")

@@ -52,8 +52,9 @@ def write_table(
     extra: Mapping[str, str] | None = None,
 ) -> None:
     """Replace a table; `connections` bounds the number of open database sessions."""
+    # coalesce would squeeze the work before the write as well
     (
-        df.coalesce(connections)
+        df.repartition(connections)
         .write.format("jdbc")
         .options(**jdbc_options(uri), **(extra or {}))
         .option("dbtable", table)
