@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tillwise.llm.common import bind
 from tillwise.llm.components import connected_components
+from tillwise.session import materialize
 
 #: Rules of the registered query: (host, path, verdict).
 RULES = [
@@ -103,7 +104,8 @@ def judge_urls(
     if redirects is not None:
         links = links.union(redirects.select("source", "target"))
     edges = links.select(page_key(F.col("source")).alias("a"), page_key(F.col("target")).alias("b"))
-    same = connected_components(edges, "url-aliases")
+    # written once: the components read their edges several times, and these come from whole pages
+    same = connected_components(materialize(edges.distinct(), "url-edges"), "url-aliases")
     full = F.concat(F.lit("http://"), F.col("node"))
     judged = same.withColumn("own", rule_of(host_of(full), path_of(full), rules))
     blocked = judged.where(F.col("own.verdict") == "block").select("component").distinct()
