@@ -78,6 +78,10 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text."""
+        return self.looked_up(texts)[0]
+
+    def looked_up(self, texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of each text, and the places of its words in the memory."""
         if len(self.index) > REMEMBERED:
             self._clear()
         split = [self.split(t) for t in texts]
@@ -87,8 +91,10 @@ class WordEncoder:
         begin, count = self.start[at], self.start[at + 1] - self.start[at]
         total = np.concatenate([[0], np.cumsum(count)])
         flat = self.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], count)]
-        edges = total[np.concatenate([[0], np.cumsum([len(x) for x in split])])]
-        return [flat[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
+        edges = total[ends]
+        ids = [flat[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        return ids, [at[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def encoder(path: str) -> WordEncoder:
