@@ -24,6 +24,14 @@ _WORDS = re.compile(rb" *[^ ]+| +")
 _codecs: dict[str, Codec] = {}
 
 
+def _split(text: bytes) -> list[bytes]:
+    """Words, each with the spaces before it; spaces at the end are a word."""
+    text = text.replace(MARK.encode(), b" ")
+    if text[:1] == b" " and b"  " not in text and text[-1:] != b" ":
+        return [b" " + w for w in text[1:].split(b" ")]
+    return _WORDS.findall(text)
+
+
 class _CheckedWords(WordEncoder):
     """Words whose ids were decoded again once; good tells by place which came back whole."""
 
@@ -57,7 +65,7 @@ class Codec:
             bare: Tokenizer = model.tokenizer()
             bare.normalizer = normalizers.Replace(" ", MARK)
             # a mark in the text itself is a space to the model, so it is one here
-            self.words = _CheckedWords(bare, lambda t: _WORDS.findall(t.replace(MARK.encode(), b" ")))
+            self.words = _CheckedWords(bare, _split)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if self.words is not None:
