@@ -87,3 +87,21 @@ def test_classes_and_empty(spark):
     classes = lm_scoring.deal_classes(np.arange(2000)[::-1], 64, 48)
     assert classes[:48].tolist() == list(range(48)) and set(classes) == set(range(64))
     assert lm_scoring.score_documents(spark.createDataFrame([], "doc_id long, text string"), *ARGS).count() == 0
+
+
+def test_rounds_train_on_every_window_once():
+    rng = np.random.default_rng(3)
+    lengths = np.concatenate([rng.integers(1, 30, 200), [639, 640, 5000]])
+    held = rng.random(len(lengths)) < 0.2
+    doc, _, number = attention.windows(lengths)
+    taken = np.concatenate([lm_scoring._windows_of_round(held, doc, number, r) for r in range(lm_scoring.ROUNDS)])
+    assert sorted(taken) == np.flatnonzero(~held[doc]).tolist()
+
+
+def test_one_short_document_is_trained_on(spark):
+    ids = lm_scoring._pack(np.array([5, 6, 7, 50256], np.uint32))
+    df = spark.createDataFrame([(1, [False], [4], ids)], "block long, held array<boolean>, n_ids array<long>, ids binary")
+    class_of = lm_scoring.deal_classes(np.arange(50257)[::-1], 64, 48)
+    start = attention.flat(attention.initial(np.full(64, 1 / 64))).astype(float)
+    rounds = [lm_scoring._train(df, class_of, start, 64, r) for r in range(lm_scoring.ROUNDS)]
+    assert sum(not np.array_equal(r, start) for r in rounds) == 1

@@ -4,8 +4,8 @@ Documents are cut into blocks of bounded text once: each block keeps its distinc
 training documents, which words each document holds, and its subword ids. Counting and looking up words
 is one grouping by ranges of word hashes, so a frequent word costs one number a block. The ids' counts over all
 training documents deal the ids to classes; the attention model predicts a token's class from the classes before it, and
-the token's share within its class comes from the counts. Tasks train on windows taken at a fixed rate from every
-training document and their parameters are averaged, weighted by windows, round after round.
+the token's share within its class comes from the counts. Tasks train on the windows of every training document, each
+window in one of the rounds, and their parameters are averaged, weighted by windows, round after round.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from tillwise.session import materialize
 #: Text of a block, and words of one range of hashes.
 BLOCK_BYTES, RANGE_WORDS = 8 << 20, 500_000
 CLASSES, OWN_CLASS = 1024, 960
-#: One window in so many is trained on; rounds of averaging; windows of a step.
-EVERY, ROUNDS, BATCH, RATE = 40, 3, 64, 0.015
+#: Rounds of averaging, which share out the windows; windows of a step.
+ROUNDS, BATCH, RATE = 3, 64, 0.015
 #: Windows scored at once.
 SCORED = 720
 BLOCK = (
@@ -186,6 +186,11 @@ def deal_classes(counts: np.ndarray, classes: int = CLASSES, own: int = OWN_CLAS
     return out
 
 
+def _windows_of_round(held: np.ndarray, doc: np.ndarray, number: np.ndarray, round_: int) -> np.ndarray:
+    """Places of the windows that a round trains on: the rounds together take every window of every training document once."""
+    return np.flatnonzero(~held[doc] & ((number + doc) % ROUNDS == round_))
+
+
 def _train(blocks: DataFrame, class_of: np.ndarray, start: np.ndarray, classes: int, round_: int) -> np.ndarray:
     """Parameters after one round: every task trains from start on its blocks' windows, and the results are averaged."""
 
@@ -196,9 +201,7 @@ def _train(blocks: DataFrame, class_of: np.ndarray, start: np.ndarray, classes:
                 n, held = np.asarray(row["n_ids"]), np.asarray(row["held"], bool)
                 x = class_of[_unpack(row["ids"], np.uint32)]
                 doc, first, number = attention.windows(n)
-                salt = (int(n.sum()) + round_ * 5) % EVERY
-                taken = np.flatnonzero(~held[doc] & ((number + doc + salt) % EVERY == 0))
-                taken = np.random.default_rng(round_).permutation(taken)
+                taken = np.random.default_rng(round_).permutation(_windows_of_round(held, doc, number, round_))
                 for i in range(0, len(taken), BATCH):
                     t = taken[i : i + BATCH]
                     adam.update(attention.gradients(adam.params, *attention.gather(x, np.cumsum(n) - n, n, doc[t], first[t], classes)))
