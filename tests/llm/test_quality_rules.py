@@ -42,6 +42,19 @@ def test_cutoffs_reject_junk_and_keep_good(spark):
     assert {r["doc_id"] for r in q.keep(df.drop("quality"), labels).collect()} == {i for i, k in kept.items() if k[0]}
 
 
+def test_small_language_is_not_judged_by_rows_without_language(spark):
+    rows = [(i, f"{WORDS} number {i}", None, 1) for i in range(3000)]
+    rows += [(10_000 + i, f"{WORDS.upper()} NUMBER {i}", None, 0) for i in range(100)]
+    rows += [(20_000 + i, f"{WORDS.upper()} CAPITALS {i}", "xx", 1) for i in range(50)]  # good, and too few for a cutoff
+    rows += [(30_000, f"{WORDS.upper()} UNLABELLED", "xx", None), (30_001, f"{WORDS.upper()} UNLABELLED", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    labels = df.select("doc_id", "quality")
+    kept = {r["doc_id"]: r["kept"] for r in q.judge(df.drop("quality"), labels).collect()}
+    assert all(kept[20_000 + i] for i in range(50)) and kept[30_000]
+    assert not kept[30_001] and not any(kept[10_000 + i] for i in range(100))
+    assert {r["doc_id"] for r in q.keep(df.drop("quality"), labels).collect()} == {i for i, k in kept.items() if k}
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert q.judge(docs, spark.createDataFrame([], "doc_id long, quality int")).count() == 0

@@ -117,11 +117,13 @@ def _beta_part(a: float, b: float, x: float) -> float:
     return front * out
 
 
-def learn_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, chance: float = CHANCE) -> dict[tuple[str, str], float]:
-    """Cutoff by (stratum, rule) from measured (doc_id, lang, rules) and labels (doc_id, quality).
+def learn_cutoffs(
+    measured: DataFrame, labels: DataFrame, risk: float = RISK, chance: float = CHANCE
+) -> tuple[dict[tuple[str, str], float], list[str]]:
+    """Cutoff by (stratum, rule) from measured (doc_id, lang, rules) and labels (doc_id, quality), and the languages with a stratum.
 
     Labels without id or quality are ignored; an id labelled twice counts as bad if any label says so. Stratum
-    "" holds the languages without one of their own and null.
+    "" holds the languages without one of their own and null. A language with a stratum may have no cutoff in it.
     """
     judged = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("good"))
     known = measured.where("doc_id is not null").join(judged, "doc_id")
@@ -150,12 +152,11 @@ def learn_cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, ch
                 passed += 1
             if passed and caught(0, passed - 1):
                 out[s, rule] = grid[next(i for i in range(passed) if caught(0, i) == caught(0, passed - 1))]
-    return out
+    return out, sorted(x for x in largest if x)
 
 
-def _verdict(rows: DataFrame, cutoffs: dict[tuple[str, str], float]) -> DataFrame:
-    """base_failed, failed_rules and kept for rows with text features and lang."""
-    own = sorted({s for s, _ in cutoffs if s})
+def _verdict(rows: DataFrame, cutoffs: dict[tuple[str, str], float], own: list[str]) -> DataFrame:
+    """base_failed, failed_rules and kept for rows with text features and lang; own are the languages with a stratum."""
     stratum = F.when(F.col("lang").isin(own), F.col("lang")).otherwise("") if own else F.lit("")
     fails = [
         F.when((stratum == s) & (F.col(f"rules.{rule}") >= cut), F.lit(rule)) for (s, rule), cut in sorted(cutoffs.items())
@@ -176,12 +177,12 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, chance: float
     measured = materialize(
         text_features(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"), ["doc_id", "lang"]), "quality"
     )
-    return _verdict(measured, learn_cutoffs(measured, labels, risk, chance)).drop("lang", "rules")
+    return _verdict(measured, *learn_cutoffs(measured, labels, risk, chance)).drop("lang", "rules")
 
 
 def keep(docs: DataFrame, labels: DataFrame, risk: float = RISK, chance: float = CHANCE) -> DataFrame:
     """The rows of docs that are kept, with all their columns (none of them named row)."""
     whole = docs.select("doc_id", "text", "lang", F.struct(*docs.columns).alias("row"))
     measured = materialize(text_features(whole, ["doc_id", "lang", "row"]), "quality")
-    cutoffs = learn_cutoffs(measured.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "rules"), labels, risk, chance)
-    return _verdict(measured, cutoffs).where("kept").select("row.*")
+    learnt = learn_cutoffs(measured.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "rules"), labels, risk, chance)
+    return _verdict(measured, *learnt).where("kept").select("row.*")
