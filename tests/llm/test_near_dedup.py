@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm import brute
@@ -38,6 +39,29 @@ def test_matches_brute_force(spark):
     assert got == want
 
 
+def test_small_sets_in_long_lists_match_brute_force(spark):
+    rng = random.Random(8)
+    docs = []
+    for size in (7, 8, 9, 10, 13):
+        text = [f"s{size}x{i}" for i in range(size)]
+        docs += [" ".join(text), " ".join([*text, "more"]), " ".join(["first", *text])]
+        docs += [" ".join([*text, *(f"t{rng.randrange(10**9)}" for _ in range(40))]) for _ in range(12)]
+    docs = list(enumerate(docs, start=1))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(df, short=6).collect()}
+    assert got == brute.near_duplicates(docs)
+    assert got[2] == (4, 1)
+
+
+def test_set_and_itself_plus_a_third_share_a_key():
+    rng = np.random.default_rng(6)
+    for n in (75, 150, 1500):
+        for _ in range(200):
+            whole = np.unique(rng.integers(-(2**63), 2**63, n * 4 // 3))
+            part = np.sort(rng.permutation(whole)[: len(whole) * 3 // 4 + 1])
+            assert np.isin(near_dedup.combination_keys(part), near_dedup.combination_keys(whole)).any()
+
+
 def test_null_and_repeated_ids(spark):
     rows = [(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (2, "x"), (None, "y z"), (9, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -5,13 +5,15 @@ of the retained hashes give pairs that overlap, the sketch of a pair's union est
 and drops pairs far below the limit, and the full sets decide.
 
 Long lists are not expanded into all pairs. A document most of whose retained hashes lie in long lists
-(a member of a large group of copies) is looked up under several combinations of retained hashes instead;
-in a large group with one combination every member is first compared with the group's smallest member. After the
+(a member of a large group of copies) is looked up under other keys instead: a set that its sketch holds whole under as
+many of its rarest shingles as a similar set cannot lack (a prefix filter, which loses no pair), a larger one
+under several combinations of shingles, each the smallest of its whole set under an order of its own;
+in a large group with one key every member is first compared with the group's smallest member. After the
 components of those links are known, members outside a group's largest component are compared with a few of its
 members, and those that stay outside with every other member that the counts of their common shingles
 allow (a document cannot reach the similarity with shingles that no other member has), within a join that puts out
 the links alone. So every pair that shares a
-short list or a combination is compared, already connected, or too far apart by its counts.
+short list or a key is compared, already connected, or too far apart by its counts.
 """
 
 from __future__ import annotations
@@ -35,10 +37,10 @@ PERCENT = 75
 RETAINED, LISTED = 64, 24
 #: A list of up to this many documents is expanded into pairs.
 SHORT = 24
-#: A document with more long lists than this is looked up by combinations: at most a third of its lists, so that
+#: A document with more long lists than this is looked up by other keys: at most a third of its lists, so that
 #: the others meet for a pair at the limit but for one in ten million.
 LONG_LISTS = 8
-#: Combinations of retained hashes: so many, of so many hashes. 0.75^4 each, so 5 in a million pairs are missed.
+#: Combinations of shingles: so many, of so many hashes. 0.75^4 each, so 5 in a million pairs are missed.
 COMBINATIONS, COMBINED = 32, 4
 #: A pair goes on if this share of its union's sketch is common: five deviations below the limit.
 SKETCH_SHARE = 0.48
@@ -91,21 +93,44 @@ def sketches(docs: DataFrame, width: int = SHINGLE, retained: int = RETAINED) ->
     )
 
 
-def full_sets(docs: DataFrame, nodes: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(node, shingles) for the nodes (doc_id, node): the texts of these documents are read once more."""
+def combination_keys(values: np.ndarray) -> np.ndarray:
+    """Keys of the smallest of a whole set's shingles under COMBINATIONS orders."""
+    v, out = values.view(np.uint64), []
+    seeds = _mixed(np.arange(1, COMBINATIONS + 1, dtype=np.uint64))
+    at_once = max(1, (1 << 16) // max(1, len(v)))
+    with np.errstate(over="ignore"):
+        for i in range(0, COMBINATIONS, at_once):
+            seed = seeds[i : i + at_once]
+            order = _mixed(v[None, :] ^ seed[:, None])
+            if len(v) > COMBINED:
+                order = np.partition(order, COMBINED - 1, axis=1)[:, :COMBINED]
+            key = seed
+            for column in np.sort(order, axis=1).T:
+                key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
+            out.append(key)
+    return np.concatenate(out).view(np.int64)
+
+
+def _of_sets(docs: DataFrame, nodes: DataFrame, width: int, column: str, of_set) -> DataFrame:
+    """(node, column) for the nodes (doc_id, node): the texts of these documents are read once more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "text", 1 << 20):
             sets = [shingle_set(t, width) for t in as_bytes(b.column("text"))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(map(_node, sets), pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
+                [pa.array(map(_node, sets), pa.binary()), pa.array(map(of_set, sets), pa.list_(pa.int64()))], ["node", column]
             )
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         nodes.select("doc_id").distinct(), "doc_id", "left_semi"
     )
-    sets = wanted.select("text").mapInArrow(run, "node binary, shingles array<long>")
-    return sets.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    found = wanted.select("text").mapInArrow(run, f"node binary, {column} array<long>")
+    return found.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first(column).alias(column))
+
+
+def full_sets(docs: DataFrame, nodes: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """(node, shingles) for the nodes (doc_id, node)."""
+    return _of_sets(docs, nodes, width, "shingles", lambda s: s)
 
 
 def _fits(a: Column | str, b: Column | str, percent: int) -> Column:
@@ -123,14 +148,26 @@ def _pairs_within(members: DataFrame, key: str, percent: int) -> DataFrame:
     )
 
 
-def _combinations(sketch: Column) -> Column:
-    """Keys of the smallest retained hashes under COMBINATIONS orders."""
+def _prefix_keys(whole: DataFrame, percent: int) -> DataFrame:
+    """(node, n, key): of whole sets (node, n, sketch) the rarest shingles, one more than a similar set may lack."""
+    values = whole.select("node", "n", F.explode("sketch").alias("value"))
+    holders = values.groupBy("value").agg(F.count("*").alias("holders"))
+    ranked = values.join(holders, "value").groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("holders", "value"))).alias("rarest")
+    )
+    taken = (F.col("n") - F.ceil(percent * F.col("n") / 100) + 1).cast("int")
+    keys = ranked.select("node", "n", F.explode(F.slice("rarest", F.lit(1), taken)).alias("r")).where("r.holders > 1")
+    return keys.select("node", "n", F.xxhash64(F.lit("prefix"), "r.value").alias("key"))
 
-    def key(seed: int) -> Column:
-        order = F.sort_array(F.transform(sketch, lambda v: F.struct(F.xxhash64(v, F.lit(seed)).alias("o"), v.alias("v"))))
-        return F.xxhash64(F.lit(seed), F.slice(order, 1, COMBINED)["v"])
 
-    return F.array(*(key(s) for s in range(COMBINATIONS)))
+def _keyed(docs: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, n, key) of nodes (node, doc_id, n, sketch): exact keys of sets no larger than a sketch, combinations of those above.
+
+    A set that is similar to a larger one than a sketch has combinations as well.
+    """
+    larger = members.where(100 * F.col("n") > percent * RETAINED).select("node", "doc_id", "n")
+    combined = _of_sets(docs, larger, width, "keys", combination_keys).join(larger.select("node", "n"), "node")
+    return _prefix_keys(members.where(F.col("n") <= RETAINED), percent).union(combined.select("node", "n", F.explode("keys").alias("key")))
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, percent: int, sets: DataFrame | None, docs: DataFrame, width: int) -> DataFrame:
@@ -179,10 +216,8 @@ def near_duplicates(
         .groupBy("node").agg(F.count("*").alias("long"), F.first("n").alias("n"))
         .where(F.col("long") > F.least(F.lit(LONG_LISTS), F.floor(F.col("n") / 3)))
     )
-    keyed = materialize(
-        reps.join(crowded.select("node"), "node").select("node", "n", F.explode(_combinations(F.col("sketch"))).alias("key")),
-        "near-keys",
-    )
+    members = materialize(reps.join(crowded.select("node"), "node"), "near-crowded")
+    keyed = materialize(_keyed(docs, members, width, percent), "near-keys")
     groups = keyed.groupBy("key").agg(
         F.count("*").alias("size"), F.min(F.struct("node", "n")).alias("lead")
     ).where("size > 1")
