@@ -35,3 +35,26 @@ def test_query_rows(spark):
     got = sorted(map(tuple, html_text.extract(pages).collect()), key=str)
     assert got == sorted([(1, "u", f"é {LONG}", len(LONG) + 2), (None, None, "", 0), (1, "u", "", 0)], key=str)
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_names_only_weigh():
+    for page in (
+        f"<body class='has-sidebar'><p>{LONG}</p></body>", f"<body class='no-sidebar'><p>{LONG}</p></body>",
+        f"<body><div id='content' class='with-widget'><p>{LONG}</p></div></body>", f"<article class='post related-3'><p>{LONG}</p></article>",
+        f"<div class='comment-free'><p>{LONG}</p></div>",
+    ):
+        assert html_text.main_text(page) == LONG, page
+    side = f"<div class='side'><p>Title</p><p>{LONG} <b>Bold</b> end.</p><p>{LONG}</p></div>"
+    assert html_text.main_text(side) == f"Title\n{LONG} Bold end.\n{LONG}"
+    assert html_text.main_text(f"<div class='sidebar'><p>{LONG}</p></div><p>{LONG} Text.</p>") == f"{LONG} Text."
+    assert html_text.main_text(f"<main><p>{LONG}</p></main>{side}") == LONG
+
+
+def test_other_languages(spark):
+    polish = "W domu nie ma nikogo i nie wiem, czy to jest to, co się stało na ulicy, gdy się do niej zbliżał."
+    japanese = "これは長い段落です。" * 12
+    rows = [(i, "u", f"<html lang=pl-PL><p>{polish}</p><p>{'Kup teraz tanie buty zimowe ' * 4}</p></html>") for i in range(100)]
+    rows += [(200, "u", f"<html lang=ja><p>{japanese}</p></html>"), (201, "u", f"<p>{japanese}</p>"), (202, "u", f"<p>{polish}</p>")]
+    got = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i].startswith(polish) for i in range(100))
+    assert got[200] == got[201] == japanese and got[202] == polish

@@ -1,23 +1,36 @@
 """Main text of web pages by two passes of block rules.
 
-The first pass calls a block bad by its container (menus, footers, adverts and the like) or its link density, good by
+The first pass calls a block bad by its element (menus, footers, forms and the like) or its link density, good by
 length and stop-word density, and leaves short blocks open. The second pass gives open blocks the label of the nearest
 decided neighbours. A page's article or main element, where there is one, bounds the search for neighbours.
+
+Class names and ids only weigh: a container with a bad name is bad as long as the page has main text elsewhere, that is
+in an article or main container or more of it; else its blocks are judged like any others. Frequent words are counted
+over the whole table per stated language; where they do not tell prose apart, length and link density decide.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillwise.llm.common import small_batches
+from tillwise.session import materialize
 
+#: Languages of the fixed list of frequent words.
+FIXED = {"en", "de", "fr", "es"}
 #: Links' share of a bad block's characters; stop words' share of a good block's words; characters of a decided block.
 LINKS, STOPS, LONG = 0.5, 0.15, 70
+#: A language's frequent words have this share of its words each; words of a language from which they are told; longest one.
+FREQUENT, EVIDENCE, WORD = 0.005, 1000, 30
+#: Characters of good blocks from which a container is judged without its name.
+NAMED = 3 * LONG
 
 # Elements of HTML by their role, and frequent words of four languages.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -33,6 +46,8 @@ BAD_NAMES = set(
     "replies share sharing social related recommended newsletter subscribe signup login search breadcrumb breadcrumbs widget form".split()
 )
 BAD_OUTSIDE_MAIN = {"header", "masthead", "topbar", "toolbar"}
+UNNAMED = {"html", "body", "main", "article"}
+NEGATED = {"has", "no", "not", "with", "without", "hide", "show"}
 GOOD_NAMES = {"article", "content", "main", "post", "entry", "story"}
 STOP_WORDS = set(
     "the of and to in a is that it was for on are as with his they be at this have from or by not but what all were when we there an "
@@ -42,15 +57,30 @@ STOP_WORDS = set(
 )
 
 
+Block = tuple[str, int, bool, int, int]
+#: The parts of blocks as columns.
+PARTS = {"texts": pa.string(), "linked": pa.int32(), "bad": pa.bool_(), "mains": pa.int32(), "named": pa.int32()}
+
+
+def _names(values: dict[str, str]) -> tuple[set[str], set[str]]:
+    """Whole class names and ids, and those with their first and last parts; names such as has-sidebar say nothing."""
+    whole = set(" ".join((values.get("class", ""), values.get("id", ""))).lower().replace("_", "-").split())
+    parts = [n.split("-") for n in whole]
+    parts = [p for p in parts if p[0] not in NEGATED and p[-1] != "free"]
+    return whole, whole | {p[0] for p in parts} | {p[-1] for p in parts}
+
+
 class _Blocks(HTMLParser):
-    """Blocks of a page in order: [text, characters in links, in a bad container, main container number or 0]."""
+    """Blocks of a page in order: (text, characters in links, in a bad container, main container number or 0, number of the
+    container with a bad name or 0)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.blocks: list[tuple[str, int, bool, int]] = []
-        self.open: list[tuple[str, bool, int]] = []
+        self.blocks: list[Block] = []
+        self.open: list[tuple[str, bool, int, int]] = []
         self.count: Counter = Counter()
-        self.mains = 0
+        self.mains = self.named = 0
+        self.language = ""
         self.parts: list[str] = []
         self.linked = self.in_link = 0
 
@@ -59,8 +89,8 @@ class _Blocks(HTMLParser):
         end = self.rawdata.find(">", i)
         return end + 1 if end >= 0 else -1
 
-    def _state(self) -> tuple[bool, int]:
-        return self.open[-1][1:] if self.open else (False, 0)
+    def _state(self) -> tuple[bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, 0, 0)
 
     def _end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -91,26 +121,33 @@ class _Blocks(HTMLParser):
             return
         block = tag not in INLINE
         values = {k: v or "" for k, v in attrs}
-        bad, main = self._state()
-        names = set(" ".join((values.get("class", ""), values.get("id", ""))).lower().replace("-", " ").replace("_", " ").split())
+        bad, main, named = self._state()
+        if tag == "html":
+            found = re.match("[a-z]{2,3}(?![a-z])", values.get("lang", "").strip().lower())
+            self.language = found.group() if found else self.language
+        whole, names = _names(values)
         hidden = "hidden" in values or "display:none" in values.get("style", "").replace(" ", "").lower()
         worse = (
-            tag in HIDDEN or tag in OUTSIDE or hidden or values.get("role", "").lower() in BAD_ROLES or names & BAD_NAMES
-            or (not main and (tag == "header" or names & BAD_OUTSIDE_MAIN))
+            tag in HIDDEN or tag in OUTSIDE or hidden or values.get("role", "").lower() in BAD_ROLES
+            or (not main and tag == "header")
         )
-        if block or worse:
+        doubted = tag not in UNNAMED and not whole & GOOD_NAMES and (names & BAD_NAMES or (not main and names & BAD_OUTSIDE_MAIN))
+        if block or worse or doubted:
             self._end_block()
             if block:
                 self._drop({"p"}, INLINE | {"p"})
                 if tag in SELF_CLOSING:
                     self._drop(SELF_CLOSING[tag], INLINE | {"p"})
-                bad, main = self._state()
+                bad, main, named = self._state()
         elif tag == "a":
             self.in_link += 1
         if not bad and not worse and not main and (tag in MAIN or (block and names & GOOD_NAMES)):
             self.mains += 1
             main = self.mains
-        self.open.append((tag, bad or bool(worse), main))
+        if doubted and not named:
+            self.named += 1
+            named = self.named
+        self.open.append((tag, bad or bool(worse), main, named))
         self.count[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -121,10 +158,15 @@ class _Blocks(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "a":
             self.in_link = max(0, self.in_link - 1)
-        if tag not in INLINE or self._state()[0]:
+        if tag not in INLINE or self._state()[0] or self._starts_named(tag):
             self._end_block()
         self._drop({tag}, INLINE if tag in INLINE else None)
 
+    def _starts_named(self, tag: str) -> bool:
+        """Whether the innermost element is of this tag and the one with the bad name."""
+        before = self.open[-2][3] if len(self.open) > 1 else 0
+        return bool(self.open) and self.open[-1][0] == tag and self.open[-1][3] != before
+
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
         if self.in_link:
@@ -135,21 +177,28 @@ class _Blocks(HTMLParser):
         self._end_block()
 
 
-def blocks_of(html: str) -> list[tuple[str, int, bool, int]]:
+def blocks_of(html: str) -> tuple[str, list[Block]]:
+    """The page's stated language ("" if none) and its blocks."""
     parser = _Blocks()
     parser.feed(html)
     parser.close()
-    return parser.blocks
+    return parser.language, parser.blocks
+
 
+def _words(text: str) -> list[str]:
+    return [w.strip(".,;:!?") for w in text.lower().split()]
 
-def first_pass(text: str, linked: int, bad: bool, main: int) -> bool | None:
-    """True for a good block, False for a bad one, None for an open one."""
+
+def first_pass(text: str, linked: int, bad: bool, main: int, stops: frozenset[str] | None) -> bool | None:
+    """True for a good block, False for a bad one, None for an open one. Without stop words length and links decide."""
     if bad or linked > LINKS * len(text):
         return False
     if len(text) < LONG:
         return None
-    words = [w.strip(".,;:!?") for w in text.lower().split()]
-    return bool(main) or sum(w in STOP_WORDS for w in words) >= STOPS * len(words)
+    if main or stops is None:
+        return True
+    words = _words(text)
+    return sum(w in stops for w in words) >= STOPS * len(words)
 
 
 def second_pass(first: list[bool | None], mains: list[int]) -> list[bool]:
@@ -171,27 +220,112 @@ def second_pass(first: list[bool | None], mains: list[int]) -> list[bool]:
     return out
 
 
+def _doubted(blocks: list[Block], first: list[bool | None]) -> set[int]:
+    """Numbers of the containers that stay bad by their names: all, if the page has main text elsewhere."""
+    named = {b[4] for b in blocks if b[4]}
+    good = Counter()
+    for b, label in zip(blocks, first, strict=True):
+        if label:
+            good[b[4]] += len(b[0])
+            if b[3] and not b[4]:
+                return named
+    return {k for k in named if good[k] < NAMED or good[k] <= good[0]}
+
+
 def main_text(html: str | None) -> str:
     """The page's main text: good blocks, one a line. Null and empty pages have none."""
-    blocks = blocks_of(html or "")
-    labels = second_pass([first_pass(*b) for b in blocks], [b[3] for b in blocks])
+    language, blocks = blocks_of(html or "")
+    return text_of(blocks, language, {})
+
+
+def text_of(blocks: list[Block], language: str, frequent: dict[str, frozenset[str] | None]) -> str:
+    """Good blocks, one a line; frequent has the stop words of languages, or None where they tell nothing."""
+    stops = frequent.get(language, frozenset(STOP_WORDS))
+    first = [first_pass(*b[:4], stops) for b in blocks]
+    if not language and not any(first):
+        # no language is stated and no frequent word of a known one marks a block
+        first = [first_pass(*b[:4], None) for b in blocks]
+    if any(b[4] for b in blocks):
+        doubted = _doubted(blocks, first)
+        first = [False if b[4] in doubted else label for b, label in zip(blocks, first, strict=True)]
+    labels = second_pass(first, [b[3] for b in blocks])
     inside = any(good and b[3] for b, good in zip(blocks, labels, strict=True))
     return "\n".join(b[0] for b, good in zip(blocks, labels, strict=True) if good and (b[3] or not inside))
 
 
+def frequent_words(blocks: DataFrame) -> dict[str, frozenset[str] | None]:
+    """Stop words of the languages stated in blocks (lang, texts, linked, bad), counted over all long blocks.
+
+    None for a language of which there are too few words, or whose frequent words are no great part of its words. The
+    four languages of the fixed list keep that, and pages without a language have the words of all.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: dict[str, Counter] = {}
+            for lang, texts, linked, bad in zip(*(batch.column(c).to_pylist() for c in ("lang", "texts", "linked", "bad")), strict=True):
+                own = seen.setdefault(lang, Counter())
+                for t, n, b in zip(texts, linked, bad, strict=True):
+                    if not b and len(t) >= LONG and n <= LINKS * len(t):
+                        own.update(w if len(w) <= WORD else "" for w in _words(t))
+            rows = [(lang, w, n) for lang, own in seen.items() for w, n in own.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names) if rows else empty
+
+    names, kinds = ["lang", "word", "n"], [pa.string(), pa.string(), pa.int64()]
+    empty = pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds], names)
+    counts = blocks.select("lang", "texts", "linked", "bad").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = materialize(counts, "html-words")
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    whole = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    # bounded: 1 / FREQUENT words a language
+    often = counts.join(whole, "lang").where((F.col("n") >= FREQUENT * F.col("total")) & (F.col("word") != "")).select("lang", "word", "n").collect()
+    out: dict[str, frozenset[str] | None] = {}
+    every = set(STOP_WORDS)
+    by_lang: dict[str, dict[str, int]] = {lang: {} for lang in totals}
+    for r in often:
+        by_lang[r["lang"]][r["word"]] = r["n"]
+    for lang in sorted(totals, reverse=True):
+        own = by_lang[lang]
+        told = totals[lang] >= EVIDENCE and sum(own.values()) >= 2 * STOPS * totals[lang]
+        every |= set(own) if told else set()
+        known = told or lang in FIXED
+        out[lang] = (frozenset(STOP_WORDS | set(own)) if told else frozenset(STOP_WORDS)) if known else None
+    if "" in out:
+        out[""] = frozenset(every)
+    return out
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of pages (page_id, url, html, any more columns).
 
     Null and empty html give an empty text; null ids and URLs stay null; repeated rows are read each.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches, "html"):
-            texts = [main_text(x) for x in b.column("html").to_pylist()]
+            pages = [blocks_of(x or "") for x in b.column("html").to_pylist()]
+            parts = [pa.array([[x[i] for x in blocks] for _, blocks in pages], pa.list_(k)) for i, k in enumerate(PARTS.values())]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("page_id"), b.column("url"), pa.array([lang for lang, _ in pages], pa.string()), *parts],
+                ["page_id", "url", "lang", *PARTS],
+            )
+
+    kind = pages.schema["page_id"].dataType.simpleString()
+    blocks = materialize(
+        pages.select("page_id", "url", "html").mapInArrow(
+            parse, f"page_id {kind}, url string, lang string, texts array<string>, linked array<int>, bad array<boolean>, mains array<int>, named array<int>"
+        ),
+        "html-blocks",
+    )
+    frequent = frequent_words(blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(b.column("lang").to_pylist(), *(b.column(c).to_pylist() for c in PARTS), strict=True)
+            texts = [text_of(list(zip(*parts, strict=True)), lang, frequent) for lang, *parts in rows]
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), b.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", "url", "html").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return blocks.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
