@@ -29,6 +29,19 @@ def test_ids_and_texts(spark):
     assert sentence_pieces.verify(docs.limit(0), PATH).count() == 0
 
 
+def test_round_trip_decodes_every_text_in_both_libraries():
+    class Other(sentencepiece.SentencePieceProcessor):
+        seen = 0
+
+        def decode(self, ids, **more):
+            self.seen += len(ids)
+            return [x + "!" if x.startswith("wrong") else x for x in super().decode(ids, **more)]
+
+    own, other = sentence_pieces.codec(PATH), Other(model_file=PATH)
+    ids = own.encode([t.encode() for t in ("", "two words", "wrong words", "two words")])
+    assert sentence_pieces._same_texts(own, other, ids, 1) == [True, True, False, True] and other.seen == 4
+
+
 def _message(*fields):
     out = b""
     for number, value in fields:

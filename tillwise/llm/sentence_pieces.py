@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 import zlib
@@ -32,24 +31,6 @@ def _split(text: bytes) -> list[bytes]:
     return _WORDS.findall(text)
 
 
-class _CheckedWords(WordEncoder):
-    """Words whose ids were decoded again once; good tells by place which came back whole."""
-
-    def _clear(self) -> None:
-        super()._clear()
-        self.good = np.empty(0, bool)
-
-    def _learn(self, words: set[bytes]) -> None:
-        known = len(self.index)
-        super()._learn(words)
-        fresh = list(itertools.islice(self.index, known, None))
-        ids = [self.ids[a:b].tolist() for a, b in itertools.pairwise(self.start[known:])]
-        back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        # decoding drops the space before a text's first word
-        whole = [x.encode() == w.removeprefix(b" ") for x, w in zip(back, fresh, strict=True)]
-        self.good = np.concatenate([self.good, np.array(whole, bool)])
-
-
 class Codec:
     """Encoder and decoder of one model file. Where no piece reaches over a space, words are looked up one by one."""
 
@@ -65,7 +46,7 @@ class Codec:
             bare: Tokenizer = model.tokenizer()
             bare.normalizer = normalizers.Replace(" ", MARK)
             # a mark in the text itself is a space to the model, so it is one here
-            self.words = _CheckedWords(bare, _split)
+            self.words = WordEncoder(bare, _split)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if self.words is not None:
@@ -73,15 +54,6 @@ class Codec:
         found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(x.ids, np.uint32) for x in found]
 
-    def encode_checked(self, texts: list[bytes]) -> tuple[list[np.ndarray], list[bool]]:
-        """Ids of each text, and whether they decode to it (a mark counts as the space it stands for)."""
-        if self.words is not None:
-            ids, at = self.words.looked_up([self.prefix + t if t else t for t in texts])
-            return ids, [bool(self.words.good[x].all()) for x in at]
-        ids = self.encode(texts)
-        back = self.decode(ids)
-        return ids, [x == t.decode("utf-8", "replace").replace(MARK, " ") for x, t in zip(back, texts, strict=True)]
-
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.tokenizer.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)
 
@@ -121,6 +93,11 @@ def decode(encoded: DataFrame, model: str, threads: int = THREADS) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, text string")
 
 
+def _same_texts(own: Codec, other, ids: list[np.ndarray], threads: int) -> list[bool]:
+    """Whether each text's ids decode to the same whole text in both libraries."""
+    return [x == y for x, y in zip(own.decode(ids), other.decode([x.tolist() for x in ids], num_threads=threads), strict=True)]
+
+
 def verify(docs: DataFrame, model: str, threads: int = THREADS) -> DataFrame:
     """(doc_id, n_ids, ids_crc32, same_ids, round_trip) of every row of docs (doc_id, text, any more columns).
 
@@ -134,10 +111,9 @@ def verify(docs: DataFrame, model: str, threads: int = THREADS) -> DataFrame:
         own, other = codec(model, threads), sentencepiece.SentencePieceProcessor(model_file=model)
         for b in small_batches(batches, "text", 2 << 20):
             texts = as_bytes(b.column("text"))
-            ids, restored = own.encode_checked(texts)
+            ids = own.encode(texts)
             same = [x.tolist() == y for x, y in zip(ids, other.encode([t.decode("utf-8", "replace") for t in texts], num_threads=threads), strict=True)]
-            # a normaliser may change the text: then the other library's decoding is the measure
-            restored = [ok or own.decode([i])[0] == other.decode(i.tolist()) for ok, i in zip(restored, ids, strict=True)]
+            restored = _same_texts(own, other, ids, threads)
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("doc_id"), pa.array(map(len, ids), pa.int64()),
