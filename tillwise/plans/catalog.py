@@ -888,19 +888,27 @@ def _as_events(raw):
     )
 
 
-def _late_event_stream(t, files=4):
-    """The events as several files in the order of time but for up to six minutes, one micro-batch each."""
+def _late_event_stream(t, slices=4, file_rows=1_000_000):
+    """The events in slices in the order of time but for up to six minutes, one micro-batch each.
+
+    Every slice has the same number of files, of about file_rows events at most, so that a micro-batch is one slice.
+    """
     path = scratch_path(t.spark, "late-events")
     raw = t.raw("events")
     arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 7 * F.lit(60_000_000)
     raw = materialize(raw.withColumn("_at", arrival), "late-events")
-    cuts = raw.approxQuantile("_at", [i / files for i in range(1, files)], 0.01)
-    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-        part = raw if low is None else raw.where(F.col("_at") >= low)
-        part = part if high is None else part.where(F.col("_at") < high)
-        part.drop("_at").coalesce(1).write.mode("append").parquet(path)
+    cuts = raw.approxQuantile("_at", [i / slices for i in range(1, slices)], 0.01)
+    number = sum((F.coalesce(F.col("_at") >= cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    sizes = raw.groupBy(number.alias("slice")).count().agg(F.max("count")).first()[0] or 0
+    files = max(1, -(-sizes // file_rows))
+    for i in range(len(cuts) + 1):
+        part = raw.where(number == i)
+        part.repartitionByRange(files, "_at", "event_id").drop("_at").write.mode("append").parquet(path)
+        # a range without events has no file
+        for _ in range((i + 1) * files - len(t.spark.read.parquet(path).inputFiles())):
+            part.drop("_at").limit(0).write.mode("append").parquet(path)
     return _as_events(
-        stream_events.read_event_files(t.spark, path, raw.drop("_at").schema, max_files=1)
+        stream_events.read_event_files(t.spark, path, raw.drop("_at").schema, max_files=files)
     )
 
 
