@@ -60,3 +60,19 @@ own AS (SELECT i, arg_max(h || p, length(h) + length(p)) AS rule, arg_max(verdic
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN k IN (SELECT x FROM blocked) THEN 'block' END, 'allow') AS verdict
 FROM parts LEFT JOIN own USING (i)
 """
+
+FILL_IN_MIDDLE = r"""
+WITH units AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+ sha256('7:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+drawn AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS c2,
+ CASE WHEN doc_id IS NULL OR t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+ OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 100 THEN 'plain'
+ WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM units),
+parts AS (SELECT doc_id, t, CAST(len(u) AS BIGINT) AS n, form, array_to_string(u[1:least(c1, c2)], '') AS p,
+ array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m, array_to_string(u[greatest(c1, c2) + 1:], '') AS s FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+ CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+ ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM parts
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwise.llm import (
     exact_topk,
+    fill_in_middle,
     html_text,
     lm_scoring,
     near_dedup,
@@ -74,6 +75,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(fill_in_middle.transform(table(spark, sf_dir, "documents")))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_topk,
         op9_url_filters,
         op10_toxicity,
+        op11_fill_in_middle,
     )
 }
 
@@ -103,4 +109,5 @@ ORACLES: dict[str, str] = {
     "op5_minhash_near_dedup": oracles.NEAR_DEDUP,
     "op8_exact_topk": oracles.EXACT_TOPK,
     "op9_url_filters": oracles.URL_FILTERS,
+    "op11_fill_in_middle": oracles.FILL_IN_MIDDLE,
 }
