@@ -76,3 +76,17 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
  ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
 FROM parts
 """
+
+HARD_NEGATIVES = """
+WITH v AS (SELECT row_number() OVER () AS i, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+ list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+ WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+ AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.i, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+ FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e) WHERE a.vec_id % 50 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, vec_id) AS r FROM s WHERE same),
+n AS (SELECT p.i, p.r, p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+ s.score AS negative_score, row_number() OVER (PARTITION BY p.i, p.r ORDER BY s.score DESC, s.vec_id) AS rank
+ FROM p JOIN s ON s.i = p.i AND NOT s.same WHERE p.r <= 5 AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""

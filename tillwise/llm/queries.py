@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillwise.llm import (
     exact_topk,
     fill_in_middle,
+    hard_negatives,
     html_text,
     lm_scoring,
     near_dedup,
@@ -79,6 +80,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digest(fill_in_middle.transform(table(spark, sf_dir, "documents")))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hard_negatives.noisy_labels(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_url_filters,
         op10_toxicity,
         op11_fill_in_middle,
+        op13_hard_negatives,
     )
 }
 
@@ -110,4 +117,5 @@ ORACLES: dict[str, str] = {
     "op8_exact_topk": oracles.EXACT_TOPK,
     "op9_url_filters": oracles.URL_FILTERS,
     "op11_fill_in_middle": oracles.FILL_IN_MIDDLE,
+    "op13_hard_negatives": oracles.HARD_NEGATIVES,
 }
