@@ -13,6 +13,7 @@ from tillwise.llm import (
     fill_in_middle,
     hard_negatives,
     html_text,
+    language_id,
     lm_scoring,
     near_dedup,
     oracles,
@@ -80,6 +81,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.digest(fill_in_middle.transform(table(spark, sf_dir, "documents")))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = hard_negatives.noisy_labels(table(spark, sf_dir, "embeddings"))
     return hard_negatives.mine(vectors, vectors.where("vec_id % 50 = 0"))
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_url_filters,
         op10_toxicity,
         op11_fill_in_middle,
+        op12_language_id,
         op13_hard_negatives,
     )
 }
