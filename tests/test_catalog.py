@@ -1,7 +1,5 @@
 """Every named query with a SQL twin agrees with it; plans stay as designed."""
 
-import datetime as dt
-
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +7,6 @@ from pyspark.sql import functions as F
 from tillwise.operators import anomaly, cohort, facts
 from tillwise.plans import catalog, reports
 from tillwise.sources.star import Commerce
-from tillwise.streaming import windows
 from tools.check import TABLES, canonical
 
 from .conftest import SMALL
@@ -89,21 +86,3 @@ def test_root_cause_reads_items_once(spark):
     text = plan(anomaly.dimension_days(t, days))
     assert "l_extendedprice" not in text  # the few items that are asked for were written first
     assert "GreaterThanOrEqual(o_orderdate" in text
-
-
-def test_late_events_come_in_equal_slices_of_several_files(spark):
-    """A micro-batch is one slice, whatever its number of files, and no event is late for its window."""
-    t = Commerce(spark, SMALL)
-    whole = catalog._late_event_stream(t)
-    cut = catalog._late_event_stream(t, file_rows=60)
-    batches = []
-    query = cut.writeStream.trigger(availableNow=True).foreachBatch(
-        lambda b, _: batches.append((b.rdd.getNumPartitions(), *b.agg(F.count("*"), F.min("ts"), F.max("ts")).first()))
-    ).start()
-    query.awaitTermination()
-    assert len(batches) == 4 and sum(b[1] for b in batches) == t.raw("events").count()
-    assert all(b[2] >= a[3] - dt.timedelta(minutes=6) for a, b in zip(batches, batches[1:], strict=False))
-    kpis = [
-        sorted(map(str, catalog._run_updates(t, windows.stream_window_kpis(s), ["window_start"]).collect())) for s in (whole, cut)
-    ]
-    assert kpis[0] == kpis[1]

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tillwise.operators import trailing
 from tillwise.session import scratch_path
 from tillwise.streaming import events as ev
-from tillwise.streaming import scoring, sinks, windows
+from tillwise.streaming import merged, scoring, sinks, windows
+from tillwise.streaming import replay as replays
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = (
@@ -139,16 +140,63 @@ def test_stream_windows_equal_batch(spark, batches):
     assert out and all(every[r["window_start"]] == r for r in out)
 
 
-def test_stream_scores_equal_batch(spark, batches):
-    path, df, rows = batches
-    stream = scoring.stream_event_zscore(replay(spark, path, df.schema), history=5, delay="1 day")
-    out = sinks.read_output(spark, sinks.run_available(stream, "t-z"), stream.schema).collect()
+def scored(spark, df, **options):
+    """All scores of events that come in slices, in any order within a slice."""
+    events = replays.Replay(df, slices=3, closing=True)
+    out = events.run(lambda feed: scoring.stream_event_zscore(feed, delay=events.delay, quiet_ms=10**9, **options), "t-z")
+    return out.collect()
+
+
+@pytest.mark.parametrize("span_ms", [1_000, 200_000])
+def test_stream_scores_equal_batch(spark, span_ms):
+    df, rows = make(spark, n=120)
+    out = scored(spark, df.orderBy(F.rand(1)), history=5, span_ms=span_ms)
     assert len(out) == len(rows)
     want = brute_scores(rows)
     for r in out:
         assert r["z_score"] == pytest.approx(want[r["event_id"]], abs=0.0006)
 
 
+def test_a_late_event_is_scored_in_its_place(spark):
+    """It comes a slice later than its neighbours, which wait for it; one behind the watermark is left out."""
+    at = lambda s: START + dt.timedelta(seconds=s)
+    slices = [[(1, at(0), 10), (3, at(20), 30)], [(2, at(10), 20), (4, at(400), 40)], [(5, at(5), 99), (6, at(900), 1)], [(None, at(5000), None)]]
+    base, feed = scratch_path(spark, "late-scores"), scratch_path(spark, "late-feed")
+    for i, part in enumerate(slices):
+        spark.createDataFrame([(e, t, 1, "a", None if v is None else Decimal(v)) for e, t, v in part], SCHEMA).write.json(f"{feed}/{i}")
+        stream = scoring.stream_event_zscore(
+            ev.read_event_files(spark, f"{feed}/*", spark.createDataFrame([], SCHEMA).schema, "json", max_files=None),
+            delay="60 seconds", span_ms=1_000, quiet_ms=10**9,
+        )  # started anew for every slice: the state comes from the checkpoint
+        out = sinks.run_available(stream, "t-late", base=base)
+    got = {r["event_id"]: r["history_count"] for r in spark.read.parquet(out).collect()}
+    assert got == {1: 0, 2: 1, 3: 2, 4: 3, 6: 4}
+
+
+def test_a_quiet_key_is_forgotten(spark):
+    at = lambda s: START + dt.timedelta(seconds=s)
+    slices = [[(1, at(0), 1)], [(9, at(3000), 2)], [(2, at(3100), 1)], [(None, at(90_000), 3)]]
+    base, feed = scratch_path(spark, "quiet"), scratch_path(spark, "quiet-feed")
+    for i, part in enumerate(slices):
+        spark.createDataFrame([(e, t, c, "a", Decimal(5)) for e, t, c in part], SCHEMA).write.json(f"{feed}/{i}")
+        stream = scoring.stream_event_zscore(
+            ev.read_event_files(spark, f"{feed}/*", spark.createDataFrame([], SCHEMA).schema, "json", max_files=None),
+            delay="10 seconds", span_ms=1_000, quiet_ms=1_000_000,
+        )
+        out = sinks.run_available(stream, "t-quiet", base=base)
+    got = {r["event_id"]: r["history_count"] for r in spark.read.parquet(out).collect()}
+    assert got == {1: 0, 9: 0, 2: 0}
+
+
+def test_scores_of_large_revenues_are_exact():
+    """Beyond 64 bits the sums are whole numbers of any size; a deviation of cents among billions is seen."""
+    values = np.array([9e12, 9e12 + 0.01, 9e12 + 0.02, 9e12 + 0.05])
+    columns, past = scoring.score_rows(np.array([]), values, 50, 2.5)
+    mean, sd = 9e12 + 0.01, np.std([0.0, 0.01, 0.02])
+    assert columns["z_score"][3] == pytest.approx((values[3] - mean) / max(sd, 0.01), rel=0.1)
+    assert columns["history_count"].tolist() == [0, 1, 2, 3] and past == values.tolist()
+
+
 def test_stream_dedupe_and_late_data(spark):
     path = scratch_path(spark, "late")
     at = lambda s: START + dt.timedelta(seconds=s)
@@ -168,21 +216,71 @@ def test_stream_dedupe_and_late_data(spark):
 
 
 def test_daily_merge_and_kpis(spark):
-    path = scratch_path(spark, "t-days")
-    write = sinks.parquet_sink(path)
+    table = merged.MergedTable(spark, scratch_path(spark, "t-days"), ["day"])
     first = spark.createDataFrame(
         [(dt.date(2024, 1, 1), 2, 5.0), (dt.date(2024, 1, 2), 1, 1.0)],
         "day date, orders bigint, revenue double",
     )
-    write(first, 0)
-    write(spark.createDataFrame([(dt.date(2024, 1, 2), 4, 8.0)], first.schema), 1)
-    merged = sinks.newest_rows(spark, path, ["day"])
-    now = windows.kpis_as_of(merged, dt.date(2024, 1, 2)).first()
+    table.merge(first, 0)
+    table.merge(spark.createDataFrame([(dt.date(2024, 1, 2), 4, 8.0)], first.schema), 1)
+    now = windows.kpis_as_of(table.read(), dt.date(2024, 1, 2)).first()
     assert tuple(now) == (4, 8.0, 6, 13.0)
-    empty = windows.kpis_as_of(merged, dt.date(2024, 2, 1)).first()
+    empty = windows.kpis_as_of(table.read(), dt.date(2024, 2, 1)).first()
     assert tuple(empty) == (0, None, 0, None)
 
 
+def test_merged_table_rewrites_touched_buckets_only(spark):
+    table = merged.MergedTable(spark, scratch_path(spark, "t-merged"), ["k"], buckets=8, keep=1)
+    rows = lambda pairs: spark.createDataFrame(pairs, "k bigint, v string")
+    table.merge(rows([(i, "old") for i in range(200)]), 0)
+    before = table.folders()
+    assert len(before) == 8
+    for epoch in range(1, 12):
+        table.merge(rows([(7, f"new{epoch}"), (500, "added")]), epoch)
+        # no reader opens more than a folder a bucket, and at most two of them changed
+        assert len(table.folders()) == 8 and len(set(table.folders()) - set(before)) <= 2
+    got = dict(table.read().collect())
+    assert len(got) == 201 and got[7] == "new11" and got[500] == "added" and got[8] == "old"
+    held = table.folders()
+    table.merge(rows([(7, "again")]), 11)  # an epoch that comes again, or late, changes nothing
+    table.merge(rows([(7, "late")]), 3)
+    assert table.folders() == held and dict(table.read().collect()) == got
+    assert len(table.manifests.numbers()) == 1
+    table.merge(rows([]), 12)
+    assert dict(table.read().collect()) == got
+
+
+def test_merged_table_survives_a_failed_epoch(spark):
+    table = merged.MergedTable(spark, scratch_path(spark, "t-failed"), ["k"], buckets=2)
+    rows = lambda pairs: spark.createDataFrame(pairs, "k bigint, v string")
+    with pytest.raises(ValueError):
+        table.read()
+    assert table.read(rows([]).schema).count() == 0
+    table.merge(rows([(1, "a"), (None, "n")]), 0)
+    broken = rows([(1, "b")]).withColumn("v", F.expr("raise_error('lost')").cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        table.merge(broken, 1)
+    assert dict(table.read().collect()) == {1: "a", None: "n"}
+    table.merge(rows([(1, "b")]), 1)
+    assert dict(table.read().collect()) == {1: "b", None: "n"}
+
+
+def test_stream_top_is_ranked_in_the_stream(spark):
+    df, rows = make(spark, n=150)
+    rows += [(1000 + i, START + dt.timedelta(seconds=700), 1, None, Decimal(1)) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    events = replays.Replay(df, slices=3, closing=True)
+    got = events.run(lambda feed: windows.stream_top(feed, "category", 2, delay=events.delay), "t-top").collect()
+    best = {}
+    for r in got:
+        best.setdefault(r["window_start"], []).append((r["rank"], r["key"], r["count"]))
+    starts = {START + dt.timedelta(seconds=60 * i) for i in range(-4, 31)}
+    for start in starts:
+        inside = [r[3] for r in rows if start <= r[1] < start + dt.timedelta(seconds=300)]
+        want = sorted(((-inside.count(c), c is not None, c or "") for c in set(inside)))[:2]
+        assert sorted(best.get(start, [])) == [(i, c or None, -n) for i, (n, _, c) in enumerate(want, 1)]
+
+
 def test_fan_out_survives_a_broken_sink(spark):
     got = []
 
@@ -214,12 +312,8 @@ def test_events_without_revenue(spark):
     at = lambda s: START + dt.timedelta(seconds=s)
     values = [10, None, 11, 500]
     rows = [(i, at(i), 1, "a", None if v is None else Decimal(v)) for i, v in enumerate(values)]
-    path = scratch_path(spark, "nulls")
     df = spark.createDataFrame(rows, SCHEMA)
-    df.coalesce(1).write.json(path)
-    stream = scoring.stream_event_zscore(replay(spark, path, df.schema), history=5, delay="1 day")
-    out = sinks.read_output(spark, sinks.run_available(stream, "t-null"), stream.schema)
-    got = {r["event_id"]: r for r in out.collect()}
+    got = {r["event_id"]: r for r in scored(spark, df, history=5, span_ms=100)}
     assert got[1]["z_score"] is None or got[1]["z_score"] != got[1]["z_score"]
     assert got[1]["anomaly_severity"] is None and not got[1]["is_anomaly"]
     assert [got[i]["history_count"] for i in range(4)] == [0, 1, 1, 2]
@@ -228,6 +322,26 @@ def test_events_without_revenue(spark):
     assert [windowed[i]["event_count"] for i in range(4)] == [1, 1, 2, 3]
 
 
+def test_replay_delivers_every_row_once_and_in_slices(spark):
+    df, rows = make(spark, n=300, hot=False)
+    got = []
+    events = replays.Replay(df, slices=4, late=True, twice=True)
+    events.run(lambda feed: feed, "t-replay", handler=lambda b, e: got.append(sorted(r[0] for r in b.select("event_id").collect())))
+    again = [i for i, *_ in rows if i % 3 == 0 or i % 11 == 0]
+    assert len(got) == 4 and sorted(sum(got, [])) == sorted([i for i, *_ in rows] + again)
+    first = {i: min(n for n, part in enumerate(got) if i in part) for i, *_ in rows}
+    by_id = {r[0]: r[1] for r in rows}
+    low = min(by_id.values())
+    for i, n in first.items():
+        own = int((by_id[i] - low) / dt.timedelta(microseconds=1)) // events.width
+        if i % 97 == 0:
+            assert n == min(own + 2, 3)
+        elif i % 89 == 0:
+            assert n == min(own + 4, 3)
+        else:
+            assert own <= n
+
+
 def test_a_stream_goes_on_where_it_stopped(spark):
     path, base = scratch_path(spark, "resumed"), scratch_path(spark, "resumed-out")
     schema = spark.createDataFrame([], SCHEMA).schema

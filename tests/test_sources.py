@@ -6,6 +6,7 @@ from tillwise.operators import quality
 from tillwise.schemas import DATASETS, FOREIGN_KEYS, PRIMARY_KEYS
 from tillwise.session import scratch_path
 from tillwise.sources import files, relational
+from tillwise.sources.manifests import Manifests
 from tillwise.sources.model import CommerceTables
 from tillwise.sources.tables import Tables
 from tillwise.streaming import events
@@ -97,12 +98,46 @@ def test_typed_tables_and_sql_columns(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [(5.5, "a,b"), (6.0, "a,b")]
 
 
-def test_replace_keeps_one_folder(spark, tmp_path):
+def folders(tmp_path, name):
+    return len(list((tmp_path / "tables" / name / "rows").iterdir()))
+
+
+def test_a_reader_of_the_old_version_finishes(spark, tmp_path):
     store = Tables(spark, str(tmp_path / "tables"))
+    store.replace("versions", spark.range(3))
+    before = store.get("versions")
     for i in range(3):
+        store.replace("versions", spark.range(i))
+    assert before.count() == 3 and store.get("versions").count() == 2
+    assert store.version("versions") == 4 and folders(tmp_path, "versions") == 4
+
+
+def test_versions_beyond_the_retention_go_with_the_next_replace(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    for i in range(3):  # as if every replace came from another session
+        store = Tables(spark, root, retention=0)
         store.replace("versions", spark.range(i + 1) if i == 0 else store.get("versions").union(spark.range(1)))
     assert store.get("versions").count() == 3
-    assert len(list((tmp_path / "tables").iterdir())) == 1
+    assert store.version("versions") == 3 and folders(tmp_path, "versions") == 1
+    Tables(spark, root, retention=3600).replace("versions", spark.range(9))
+    assert folders(tmp_path, "versions") == 2
+
+
+def test_another_session_opens_the_newest_versions(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    store = Tables(spark, root)
+    for i in range(2):
+        store.replace("opened", spark.range(i + 5))
+    spark.sql("DROP VIEW opened")
+    assert Tables(spark, root).open() == ["opened"]
+    assert spark.table("opened").count() == 6
+
+
+def test_a_manifest_number_is_given_once(spark, tmp_path):
+    one, other = (Manifests(spark, str(tmp_path / "m")) for _ in range(2))
+    assert one.newest() is None and one.numbers() == []
+    assert one.commit(1, {"a": [1]}) and not other.commit(1, {"a": [2]})
+    assert other.newest() == (1, {"a": [1]}) and len([f for f in (tmp_path / "m").iterdir() if f.suffix == ".draft"]) == 0
 
 
 def test_quality_report_finds_defects(spark, shop):

@@ -186,8 +186,24 @@ ti AS (SELECT review_id, sum(pol*wt*CASE WHEN ng THEN -0.5e0 ELSE 1e0 END) AS to
 BAND = """CASE WHEN cb >= 0.5 THEN 'Very Positive' WHEN cb >= 0.2 THEN 'Positive' WHEN cb >= -0.2 THEN 'Neutral'
   WHEN cb >= -0.5 THEN 'Negative' ELSE 'Very Negative' END"""
 
-EVENT_Z = f"""
-ezc AS (SELECT event_id, ts, customer_id, revenue, CAST(revenue*100 AS HUGEINT) AS c FROM v_events),
+
+def replayed(slices: int = 4) -> str:
+    """The events by the slice of their arrival, two or four slices late by their id, and the watermark at each slice:
+    the newest time of the slices before, less two and a half slices."""
+    return f"""
+rp_span AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi, (epoch_us(max(ts)) - epoch_us(min(ts)) + 1)//{slices} + 1 AS w FROM v_events),
+rp_events AS (SELECT e.*, w, least({slices - 1}, (epoch_us(ts) - lo + CASE WHEN event_id % 97 = 0 THEN 2*w WHEN event_id % 89 = 0 THEN 4*w
+    ELSE event_id % 7*60000000 END)//w) AS slice FROM v_events e, rp_span),
+rp_marks AS (SELECT s AS slice, (SELECT (max(epoch_us(ts))//1000 - any_value(w)*5//2//1000)*1000 FROM rp_events WHERE slice < s) AS mark
+  FROM range({slices + 1}) x(s))"""
+
+
+KEPT = "kept AS (SELECT e.* FROM rp_events e JOIN rp_marks USING (slice) WHERE mark IS NULL OR epoch_us(ts) > mark)"
+
+
+def event_z(source: str) -> str:
+    return f"""
+ezc AS (SELECT event_id, ts, customer_id, revenue, CAST(revenue*100 AS HUGEINT) AS c FROM {source}),
 ez0 AS (SELECT event_id, ts, customer_id, revenue, count(*) OVER w AS history_count, sum(revenue) OVER w AS s,
     sqrt(CAST((count(*) OVER w)*(sum(c*c) OVER w) - (sum(c) OVER w)*(sum(c) OVER w) AS DOUBLE)/1e4)/CAST(count(*) OVER w AS DOUBLE) AS sd FROM ezc
     WINDOW w AS (PARTITION BY customer_id ORDER BY ts, event_id ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING)),
@@ -198,6 +214,9 @@ ez AS (SELECT event_id, ts, customer_id, {d('revenue')} AS revenue, history_coun
 """
 
 
+EVENT_Z = event_z("v_events")
+
+
 def event_kpis(seconds: int) -> str:
     return f"""n AS event_count, s AS total_revenue, {r('a', 2)} AS avg_revenue, hi AS max_revenue, lo AS min_revenue,
   {r('sd', 2)} AS std_revenue, {r('pm', 2)} AS events_per_min"""
@@ -427,8 +446,11 @@ SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, {event_kpis
 SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, {event_kpis(300)} FROM g""",
         "window_top3": f"""WITH e AS ({PANES}), g AS (SELECT window_start, category AS key, count(*) AS count FROM e GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, key) AS rank FROM g) SELECT window_start, key, count, rank FROM k WHERE rank <= 3""",
-        "stream_top3": f"""WITH e AS ({PANES}), g AS (SELECT window_start, category AS key, count(*) AS count FROM e GROUP BY 1, 2),
-k AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, key) AS rank FROM g) SELECT window_start, key, count, rank FROM k WHERE rank <= 3""",
+        "stream_top3": f"""WITH {replayed()}, e AS (SELECT *, time_bucket(INTERVAL 1 MINUTE, ts) - to_seconds(60*k) AS window_start
+   FROM rp_events JOIN rp_marks USING (slice), (SELECT unnest(range(5)) AS k)),
+g AS (SELECT window_start, category AS key, count(*) AS count FROM e WHERE mark IS NULL OR epoch_us(window_start) + 300000000 > mark GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, key) AS rank FROM g)
+SELECT window_start, key, count, rank FROM k WHERE rank <= 3 AND epoch_us(window_start) + 300000000 <= (SELECT mark FROM rp_marks WHERE slice = 4)""",
         "trailing_per_event": f"""WITH t AS (SELECT event_id, ts, {d('revenue')} AS revenue, count(*) OVER w AS n, {d('sum(revenue) OVER w')} AS s,
    {div('sum(revenue) OVER w', 'count(*) OVER w')} AS a, {d('max(revenue) OVER w')} AS hi, {d('min(revenue) OVER w')} AS lo,
    {spread('(count(*) OVER w)', 'revenue', ' OVER w')} AS sd, (count(*) OVER w)/5e0 AS pm FROM v_events
@@ -438,9 +460,10 @@ SELECT event_id, ts, revenue, {event_kpis(300)} FROM t""",
         "spike_last25": f"""WITH {EVENT_Z} SELECT event_id, CAST(sum(is_spike::BIGINT) OVER (ORDER BY ts, event_id ROWS 24 PRECEDING) AS BIGINT) AS spikes_last,
   row_number() OVER (ORDER BY ts, event_id) AS running_events, {d('sum(revenue::DECIMAL(12,2)) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)')} AS running_revenue,
   CAST(sum(is_anomaly::BIGINT) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_anomalies FROM ez""",
-        "stream_dedupe": f"SELECT event_id, ts, customer_id, category, {d('revenue')} AS revenue FROM v_events",
+        "stream_dedupe": f"WITH {replayed()}, {KEPT} SELECT event_id, ts, customer_id, category, {d('revenue')} AS revenue FROM kept",
         "stream_daily_kpis": f"SELECT CAST(ts AS DATE) AS day, count(*) AS orders, {d('sum(revenue)')} AS revenue FROM v_events GROUP BY 1",
-        "stream_event_zscore": f"WITH {EVENT_Z} SELECT * FROM ez",
+        "stream_event_zscore": f"""WITH {replayed()}, {KEPT},
+{event_z('kept')} SELECT * FROM ez""",
         "stream_top_states_60s": """WITH g AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start, customer_state AS key, count(*) AS count
    FROM v_events JOIN v_customers USING (customer_id) GROUP BY 1, 2),
 k AS (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY count DESC, key) AS rank FROM g) SELECT window_start, key, count, rank FROM k WHERE rank <= 3""",

@@ -30,7 +30,7 @@ from ..sources import files
 from ..sources.star import Commerce
 from ..sources.tables import Tables
 from ..streaming import events as stream_events
-from ..streaming import scoring, sinks, windows
+from ..streaming import merged, replay, scoring, sinks, windows
 from . import analysis_oracles, layers, oracles, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -871,14 +871,8 @@ def _spike_last25(t):
     )
 
 
-def _event_stream(t):
-    """The recorded events as a stream, with event time in UTC."""
-    raw = t.raw("events")
-    replay = stream_events.read_event_files(t.spark, f"{t.folder}/events.parquet*", raw.schema)
-    return _as_events(replay)
-
-
 def _as_events(raw):
+    """Event columns with event time in UTC."""
     return raw.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
@@ -888,77 +882,58 @@ def _as_events(raw):
     )
 
 
-def _late_event_stream(t, slices=4, file_rows=1_000_000):
-    """The events in slices in the order of time but for up to six minutes, one micro-batch each.
-
-    Every slice has the same number of files, of about file_rows events at most, so that a micro-batch is one slice.
-    """
-    path = scratch_path(t.spark, "late-events")
-    raw = t.raw("events")
-    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 7 * F.lit(60_000_000)
-    raw = materialize(raw.withColumn("_at", arrival), "late-events")
-    cuts = raw.approxQuantile("_at", [i / slices for i in range(1, slices)], 0.01)
-    number = sum((F.coalesce(F.col("_at") >= cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
-    sizes = raw.groupBy(number.alias("slice")).count().agg(F.max("count")).first()[0] or 0
-    files = max(1, -(-sizes // file_rows))
-    for i in range(len(cuts) + 1):
-        part = raw.where(number == i)
-        part.repartitionByRange(files, "_at", "event_id").drop("_at").write.mode("append").parquet(path)
-        # a range without events has no file
-        for _ in range((i + 1) * files - len(t.spark.read.parquet(path).inputFiles())):
-            part.drop("_at").limit(0).write.mode("append").parquet(path)
-    return _as_events(
-        stream_events.read_event_files(t.spark, path, raw.drop("_at").schema, max_files=files)
-    )
+def _replay(t, **options):
+    return replay.Replay(_as_events(t.raw("events")), **options)
 
 
-def _run_updates(t, stream, keys):
+def _run_updates(t, build, keys):
     """A stream in update mode, and the last state of every key."""
-    path = scratch_path(t.spark, "stream-states")
-    sinks.run_available(stream, "stream", mode="update", handler=sinks.parquet_sink(path))
-    return sinks.newest_rows(t.spark, path, keys)
+    table = merged.MergedTable(t.spark, scratch_path(t.spark, "stream-states"), keys)
+    _replay(t).run(build, "stream", mode="update", handler=table.merge)
+    return table.read()
 
 
 @query("stream_window_kpis")
 def _stream_window_kpis(t):
-    stream = windows.stream_window_kpis(_late_event_stream(t))
-    return plain(_run_updates(t, stream, ["window_start"]))
+    return plain(_run_updates(t, windows.stream_window_kpis, ["window_start"]))
 
 
 @query("stream_top3")
 def _stream_top3(t):
-    counts = windows.stream_key_counts(_late_event_stream(t), "category")
-    return plain(windows.rank_windows(_run_updates(t, counts, ["window_start", "key"])))
+    """Top categories of the windows that closed while the events came, some of them too late."""
+    events = _replay(t, late=True)
+    return plain(events.run(lambda feed: windows.stream_top(feed, "category", delay=events.delay), "stream-top"))
 
 
 @query("stream_top_states_60s")
 def _stream_top_states(t):
     """Top states of each minute; the state comes from the customers, a static table."""
     places = t.customers.select("customer_id", F.col("customer_state").alias("state"))
-    events = _late_event_stream(t).join(places, "customer_id")
-    counts = windows.stream_key_counts(events, "state", 60, 60)
-    return plain(windows.rank_windows(_run_updates(t, counts, ["window_start", "key"])))
+    events = _replay(t, closing=True)
+    # the closing row has no customer, and must not be lost before the time is taken from it
+    return plain(
+        events.run(
+            lambda feed: windows.stream_top(feed.join(places, "customer_id", "left"), "state", 3, 60, 60), "stream-states"
+        ).where("key IS NOT NULL")
+    )
 
 
 @query("stream_dedupe")
 def _stream_dedupe(t):
-    """Every event arrives twice; one of each must remain."""
-    once = _event_stream(t)
-    twice = once.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    stream = stream_events.deduplicated(twice)
-    path = sinks.run_available(stream, "stream-dedupe")
-    return plain(sinks.read_output(t.spark, path, stream.schema))
+    """Copies of events come one or four slices later; one of each event must remain, and none that came too late."""
+    events = _replay(t, late=True, twice=True)
+    return plain(events.run(lambda feed: stream_events.deduplicated(feed, events.delay), "stream-dedupe"))
 
 
 @query("stream_daily_kpis")
 def _stream_daily_kpis(t):
-    return _run_updates(t, windows.stream_daily_kpis(_late_event_stream(t)), ["day"])
+    return _run_updates(t, windows.stream_daily_kpis, ["day"])
 
 
 @query("stream_kpis_as_of")
 def _stream_kpis_as_of(t):
     """Today and month to date on the last day of the stream."""
-    days = materialize(_stream_daily_kpis(t), "stream-days")
+    days = _stream_daily_kpis(t)
     return windows.kpis_as_of(days, days.agg(F.max("day")).first()[0])
 
 
@@ -970,8 +945,8 @@ def _stream_fanout(t):
     def broken(batch, epoch):
         raise RuntimeError("this sink is down")
 
-    sinks.run_available(
-        _event_stream(t),
+    _replay(t, late=True).run(
+        lambda feed: feed,
         "fanout",
         handler=sinks.fan_out(
             {
@@ -996,9 +971,15 @@ def _stream_fanout(t):
 
 @query("stream_event_zscore")
 def _stream_event_zscore(t):
-    stream = scoring.stream_event_zscore(_event_stream(t))
-    path = sinks.run_available(stream, "stream-scores")
-    return plain(sinks.read_output(t.spark, path, stream.schema))
+    """Scores in the order of time of events that come up to four slices late; the too late ones are left out."""
+    events = _replay(t, late=True, closing=True)
+    scored = events.run(
+        lambda feed: scoring.stream_event_zscore(
+            feed, delay=events.delay, span_ms=max(60_000, events.width // 2_000), quiet_ms=events.slices * events.width // 1000
+        ),
+        "stream-scores",
+    )
+    return plain(scored)
 
 
 ORACLES: dict[str, str] = {

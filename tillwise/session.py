@@ -15,6 +15,10 @@ SCALE_SETTINGS = {
     # split hot join keys even where a later aggregation then needs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # keyed state lives on disk, beyond the memory of an executor
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _local_scratch: str | None = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -12,6 +13,10 @@ from pyspark.sql.types import StructType
 from ..schemas import DATASETS, DERIVED
 from ..session import scratch_path
 from .files import MULTI_LINE, read_csv
+from .manifests import Manifests
+
+#: Seconds after which rows that no version names count as left by a replace that failed.
+ABANDONED = 86_400
 
 
 def clean_name(name: str) -> str:
@@ -23,26 +28,64 @@ def with_clean_names(df: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """Tables of a Spark catalog; their files live below `root` (the shared folder)."""
+    """Tables of a Spark catalog; their files live below `root` (the shared folder).
+
+    Each replace writes a new version. A version stays for `retention` seconds after the next one took its place, so that
+    whoever reads it finishes; the next replace after that removes it, also in another session on the same root.
+    """
 
-    def __init__(self, spark: SparkSession, root: str | None = None) -> None:
+    def __init__(self, spark: SparkSession, root: str | None = None, retention: float = 86_400) -> None:
         self.spark = spark
-        self.root = root or scratch_path(spark, "tables")
-        self._written: dict[str, str] = {}
+        self.root = (root or scratch_path(spark, "tables")).rstrip("/")
+        self.retention = retention
+
+    def _versions(self, name: str) -> Manifests:
+        return Manifests(self.spark, f"{self.root}/{name}/versions")
 
     def replace(self, name: str, df: DataFrame) -> None:
-        """Overwrite a table. The rows go to a new folder first; then the name, a view over its newest
-        folder, is switched in one step, so there is always a table, also for a query on itself. At the end the
-        folder that this object wrote before is removed."""
-        path = f"{self.root}/{scratch_path(self.spark, name).rsplit('/', 1)[-1]}"
+        """Overwrite a table. The rows go to a new folder first, then a manifest with the next number names that folder, and
+        the view of the table's name is switched in one step: there is always a table, also for a query on itself."""
+        path = f"{self.root}/{name}/rows/{uuid.uuid4().hex}"
         df.write.parquet(path)
+        versions = self._versions(name)
+        number = max(versions.numbers(), default=0) + 1
+        while not versions.commit(number, {"path": path}):  # somebody else replaced it meanwhile
+            number += 1
+        self._switch(name, path)
+        self._expire(name)
+
+    def _switch(self, name: str, path: str) -> None:
         self.spark.catalog.dropTempView(name)  # a view of that name would hide the table
         if self.spark.catalog.tableExists(name) and self.spark.catalog.getTable(name).tableType != "VIEW":
             self.spark.sql(f"DROP TABLE `{name}`")
         self.spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT * FROM parquet.`{path}`")
-        old, self._written[name] = self._written.get(name), path
-        if old:
-            _remove(self.spark, old)
+
+    def _expire(self, name: str) -> None:
+        """Remove versions that were replaced longer ago than the retention, and rows of a replace that failed before."""
+        versions = self._versions(name)
+        numbers = versions.numbers()
+        for number, following in zip(numbers, numbers[1:], strict=False):
+            if versions.age(following) >= self.retention:
+                versions.remove(versions.read(number)["path"])
+                versions.forget(number)
+        named = {versions.read(n)["path"].rsplit("/", 1)[-1] for n in versions.numbers()}
+        for folder, age in versions.folders(f"{self.root}/{name}/rows"):
+            if folder.rsplit("/", 1)[-1] not in named and age >= max(self.retention, ABANDONED):
+                versions.remove(folder)
+
+    def version(self, name: str) -> int:
+        """The number of the newest version; 0 without one."""
+        return max(self._versions(name).numbers(), default=0)
+
+    def open(self) -> list[str]:
+        """Give every table below the root its name, in a session that did not write them."""
+        top = Manifests(self.spark, self.root)
+        found = [folder.rsplit("/", 1)[-1] for folder, _ in top.folders(self.root)]
+        named = [(name, self._versions(name).newest()) for name in found]
+        for name, newest in named:
+            if newest is not None:
+                self._switch(name, newest[1]["path"])
+        return sorted(name for name, newest in named if newest is not None)
 
     def attach(self, name: str, path: str) -> None:
         """Name parquet files that something else wrote, and owns."""
@@ -115,9 +158,3 @@ class Tables:
             .where("review_score IS NOT NULL")
             .withColumn("sentiment_score", (F.col("review_score") - 3) / F.lit(2.0))
         )
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete one folder in whatever store holds it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -80,5 +80,6 @@ def write_kafka(events: DataFrame, servers: str, checkpoint: str, topic: str = "
 
 
 def deduplicated(events: DataFrame, delay: str = "10 minutes", ts: str = "ts") -> DataFrame:
-    """First arrival of each event id; ids older than the watermark are forgotten."""
-    return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["event_id"])
+    """First arrival of each event id, also across micro-batches and restarts. Events behind the watermark are left out, and
+    their ids are forgotten a delay later, so that a copy either meets its id or is late itself. Without a time no event counts."""
+    return events.where(F.col(ts).isNotNull()).withWatermark(ts, delay).dropDuplicatesWithinWatermark(["event_id"])

@@ -1,12 +1,13 @@
-"""Per-event scores with keyed state.
+"""Per-event scores with keyed state that outlives micro-batches and restarts.
 
-Each key keeps its last revenues (a bounded list) and forgets them after a quiet time,
-measured in event time.
-A key's events of one micro-batch are scored in the order of time, however they arrive in Arrow
-batches; the source bounds a micro-batch by files and bytes. Events without revenue get no score and are
-no part of the history.
+Events wait in the state until the watermark has passed them, and are then scored in the order of (time, id),
+however late, and in whatever order, they arrived. A key keeps its waiting events in pieces by spans of event
+time, so that only the spans that are due are read, one after another; it keeps its last revenues as a bounded
+list, and forgets them after a quiet time. Events without revenue get no score and are no part of the history.
 """
 
+from __future__ import annotations
+
 from collections.abc import Iterator
 
 import pandas as pd
@@ -18,56 +19,123 @@ OUTPUT = (
 )
 # Upper borders of the severity bands.
 SEVERITY_BANDS = [(2.0, "none"), (2.5, "low"), (3.5, "medium"), (5.0, "high")]
-STATE = "revenues array<double>"
-
-
-def _scorer(history: int, threshold: float, quiet_ms: int):
-    def score(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
-        if state.hasTimedOut:
-            state.remove()
-            return
-        seen = np.array(state.get[0] if state.exists else [], dtype=float)
-        rows = pd.concat(list(batches)).sort_values(["ts", "event_id"])
-        values = rows["revenue"].to_numpy(dtype=float)
-        there = ~np.isnan(values)
-        known = np.concatenate([seen, values[there]])
-        # events before each one, without those that have no revenue
-        before = len(seen) + np.cumsum(there) - there
-        counts = np.minimum(before, history)
-        total = np.maximum(counts, 1)
-        # sums over whole cents are exact, as long as their squares fit
-        cents = np.rint(known * 100)
-        kind = np.int64 if not len(cents) or np.abs(cents).max() < 1e8 else np.longdouble
-        padded = np.concatenate([np.zeros(history), cents]).astype(kind)
-        past = np.lib.stride_tricks.sliding_window_view(padded, history)[before]
-        first, second = past.sum(1), (past * past).sum(1)
-        mean = np.where(counts > 0, first / 100.0 / total, values)
-        spread = np.sqrt(np.maximum(total * second - first * first, 0) / 1e4) / total
-        z = (values - mean) / np.maximum(np.where(counts > 1, spread, 1.0), 0.01)
-        size = np.abs(z)
-        bands = np.select([size < b for b, _ in SEVERITY_BANDS], [n for _, n in SEVERITY_BANDS], "critical")
-        yield pd.DataFrame(
-            {
-                "customer_id": key[0],
-                "event_id": rows["event_id"].to_numpy(),
-                "ts": rows["ts"].to_numpy(),
-                "revenue": values,
-                "history_count": counts,
-                "z_score": np.sign(z) * np.floor(size * 1000 + 0.5) / 1000,
-                "is_spike": z > threshold,
-                "is_drop": z < -threshold,
-                "is_anomaly": size > threshold,
-                "anomaly_severity": np.where(there, bands, None),
-            }
-        )
-        seen = known[-history:].tolist()
-        newest = int(rows["ts"].max().timestamp() * 1000)
-        state.update((seen,))
-        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + quiet_ms)
 
-    return score
+
+def score_rows(seen, values, history: int, threshold: float) -> tuple[dict, list[float]]:
+    """Scores of revenues in order, each against the `history` ones before it, and the history after them."""
+    import numpy as np
+
+    there = ~np.isnan(values)
+    known = np.concatenate([seen, values[there]])
+    # events before each one, without those that have no revenue
+    before = len(seen) + np.cumsum(there) - there
+    counts = np.minimum(before, history)
+    total = np.maximum(counts, 1)
+    cents = np.rint(np.concatenate([np.zeros(history), known]) * 100)
+    if len(cents) and np.abs(cents).max() * history >= 2**31:  # squares pass 64 bits: whole numbers of any size
+        cents = np.array([int(c) for c in cents], dtype=object)
+    else:
+        cents = cents.astype(np.int64)
+    past = np.lib.stride_tricks.sliding_window_view(cents, history)[before]
+    first, second = past.sum(1), (past * past).sum(1)
+    mean = np.where(counts > 0, first.astype(float) / 100.0 / total, values)
+    spread = np.sqrt(np.maximum(total * second - first * first, 0).astype(float) / 1e4) / total
+    z = (values - mean) / np.maximum(np.where(counts > 1, spread, 1.0), 0.01)
+    size = np.abs(z)
+    bands = np.select([size < b for b, _ in SEVERITY_BANDS], [n for _, n in SEVERITY_BANDS], "critical")
+    columns = {
+        "history_count": counts,
+        "z_score": np.sign(z) * np.floor(size * 1000 + 0.5) / 1000,
+        "is_spike": z > threshold,
+        "is_drop": z < -threshold,
+        "is_anomaly": size > threshold,
+        "anomaly_severity": np.where(there, bands, None),
+    }
+    return columns, known[max(0, len(known) - history) :].tolist()
+
+
+def _processor(history: int, threshold: float, quiet_ms: int, span_ms: int):
+    import numpy as np
+    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+    class EventScores(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            #: the last revenues, and the newest event time seen
+            self.past = handle.getValueState("past", "revenues array<double>, newest bigint")
+            #: spans with waiting events, and in how many pieces each lies
+            self.spans = handle.getValueState("spans", "spans array<bigint>, pieces array<int>")
+            self.pieces = handle.getMapState(
+                "pieces", "span bigint, piece int", "ts array<bigint>, event_id array<bigint>, revenue array<double>"
+            )
+
+        def _open_spans(self) -> dict[int, int]:
+            if not self.spans.exists():
+                return {}
+            spans, pieces = self.spans.get()
+            return dict(zip(spans, pieces, strict=True))
+
+        def _keep(self, spans: dict[int, int]) -> None:
+            if spans:
+                self.spans.update(([int(s) for s in spans], [int(n) for n in spans.values()]))
+            elif self.spans.exists():
+                self.spans.clear()
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            spans, newest = self._open_spans(), None
+            known = set(spans)
+            for frame in rows:  # a key's rows of a micro-batch come in Arrow batches of bounded size
+                # rows without an id only move the time
+                frame = frame[frame["event_id"].notna() & frame["ts"].notna()]
+                if not len(frame):
+                    continue
+                micros = frame["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+                newest = max(newest or 0, int(micros.max()) // 1000)
+                ids, revenue = frame["event_id"].to_numpy(np.int64), frame["revenue"].to_numpy(float)
+                of = micros // (span_ms * 1000)
+                for span in np.unique(of):
+                    at = of == span
+                    piece = spans.get(int(span), 0)
+                    self.pieces.updateValue((int(span), piece), (micros[at].tolist(), ids[at].tolist(), revenue[at].tolist()))
+                    spans[int(span)] = piece + 1
+            if newest is not None:
+                revenues, before = self.past.get() if self.past.exists() else ([], newest)
+                self.past.update((list(revenues), max(newest, before)))
+                self._keep(spans)
+                if not known or min(spans) < min(known):
+                    self.handle.registerTimer((min(spans) + 1) * span_ms)
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            now, spans = timerValues.getCurrentWatermarkInMs(), self._open_spans()
+            if not self.past.exists():
+                return
+            seen, newest = self.past.get()
+            due = [s for s in sorted(spans) if (s + 1) * span_ms <= now]
+            for span in due:
+                parts = [self.pieces.getValue((span, i)) for i in range(spans[span])]
+                ts, ids, revenue = (np.concatenate([np.asarray(p[i], dtype=t) for p in parts]) for i, t in enumerate((np.int64, np.int64, float)))
+                order = np.lexsort((ids, ts))
+                columns, seen = score_rows(np.asarray(seen, float), revenue[order], history, threshold)
+                yield pd.DataFrame(
+                    {"customer_id": key[0], "event_id": ids[order], "ts": pd.to_datetime(ts[order], unit="us"), "revenue": revenue[order], **columns}
+                )
+                for i in range(spans.pop(span)):
+                    self.pieces.removeKey((span, i))
+            if due:
+                self.past.update((list(seen), newest))
+                self._keep(spans)
+            if spans:
+                self.handle.registerTimer((min(spans) + 1) * span_ms)
+            elif newest + quiet_ms <= now:
+                self.past.clear()
+            else:
+                self.handle.registerTimer(newest + quiet_ms)
+
+        def close(self) -> None:
+            pass
+
+    return EventScores()
 
 
 def stream_event_zscore(
@@ -76,17 +144,21 @@ def stream_event_zscore(
     threshold: float = 2.5,
     quiet_ms: int = 7 * 86_400_000,
     delay: str = "10 minutes",
+    span_ms: int = 60_000,
 ) -> DataFrame:
-    """Score of each event against the last `history` events of its customer."""
+    """Score of each event against the last `history` events of its customer, in event time.
+
+    An event is scored when the watermark has passed the end of its span of `span_ms`; a task holds one span of one
+    customer at a time. Events that come after the watermark are left out. Rows without an event id only move the time.
+    """
     return (
         events.withWatermark("ts", delay)
         .selectExpr("customer_id", "event_id", "ts", "CAST(revenue AS DOUBLE) AS revenue")
         .groupBy("customer_id")
-        .applyInPandasWithState(
-            _scorer(history, threshold, quiet_ms),
+        .transformWithStateInPandas(
+            _processor(history, threshold, quiet_ms, span_ms),
             outputStructType=OUTPUT,
-            stateStructType=STATE,
             outputMode="append",
-            timeoutConf="EventTimeTimeout",
+            timeMode="EventTime",
         )
     )

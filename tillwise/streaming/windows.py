@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +19,7 @@ def stream_window_kpis(
     ts: str = "ts",
 ) -> DataFrame:
     """Sliding-window KPIs. In append mode a window is emitted once the watermark has passed its end;
-    in update mode also before, each time it changes (`sinks.newest_rows` then keeps its last state)."""
+    in update mode also before, each time it changes (`merged.MergedTable` then keeps its last state)."""
     spans = F.window(ts, f"{window_seconds} seconds", f"{slide_seconds} seconds")
     return (
         events.withWatermark(ts, delay)
@@ -49,13 +52,63 @@ def stream_key_counts(
     )
 
 
-def rank_windows(counts: DataFrame, n: int = 3) -> DataFrame:
-    """Top keys per window; counts must hold all keys of each of its windows."""
-    from pyspark.sql import Window
+def _best_of_window(n: int, window_ms: int):
+    from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+    class BestOfWindow(StatefulProcessor):
+        """Keeps the n best keys of a window, whatever the number of its keys, until the window is closed."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.best = handle.getValueState("best", "counts array<bigint>, keys array<string>")
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            best = list(zip(*self.best.get(), strict=True)) if self.best.exists() else []
+            if not best:
+                self.handle.registerTimer(int(key[0].timestamp() * 1000) + window_ms)
+            for frame in rows:
+                best += zip(frame["count"].tolist(), frame["key"].tolist(), strict=True)
+                # greater counts first, then smaller keys; a null key comes first
+                best = sorted(best, key=lambda e: (-e[0], e[1] is not None, e[1] or ""))[:n]
+            self.best.update(([c for c, _ in best], [k for _, k in best]))
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            if self.best.exists():
+                counts, keys = self.best.get()
+                self.best.clear()
+                yield pd.DataFrame({"window_start": key[0], "key": list(keys), "count": list(counts), "rank": range(1, len(keys) + 1)})
 
-    best = Window.partitionBy("window_start").orderBy(F.desc("count"), "key")
-    return counts.withColumn("rank", F.row_number().over(best).cast("bigint")).where(
-        F.col("rank") <= n
+        def close(self) -> None:
+            pass
+
+    return BestOfWindow()
+
+
+def stream_top(
+    events: DataFrame,
+    key: str,
+    n: int = 3,
+    window_seconds: int = 300,
+    slide_seconds: int = 60,
+    delay: str = "10 minutes",
+    ts: str = "ts",
+) -> DataFrame:
+    """The n most frequent keys of every closed window, in append mode: a count per window and key, and then a list of
+    at most n keys per window. A window comes out once, when the watermark has passed its end."""
+    spans = F.window(ts, f"{window_seconds} seconds", f"{slide_seconds} seconds")
+    counts = (
+        events.withWatermark(ts, delay)
+        .groupBy(spans.alias("_w"), F.col(key).cast("string").alias("key"))
+        .agg(F.count(F.lit(1)).alias("count"))
+        # the window's own time goes on to the second aggregation, which closes windows by it
+        .select(F.col("_w.start").alias("window_start"), F.window_time("_w").alias("_time"), "key", "count")
+    )
+    return counts.groupBy("window_start").transformWithStateInPandas(
+        _best_of_window(n, window_seconds * 1000),
+        outputStructType="window_start timestamp, key string, count bigint, rank bigint",
+        outputMode="append",
+        timeMode="EventTime",
     )
 
 
