@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillwise.operators import anomaly, cohort, facts
 from tillwise.plans import catalog, reports
-from tillwise.sources.star import Commerce
+from tillwise.sources.star import BucketedCommerce, Commerce
 from tools.check import TABLES, canonical
 
 from .conftest import SMALL
@@ -86,3 +86,30 @@ def test_root_cause_reads_items_once(spark):
     text = plan(anomaly.dimension_days(t, days))
     assert "l_extendedprice" not in text  # the few items that are asked for were written first
     assert "GreaterThanOrEqual(o_orderdate" in text
+
+
+def scans(df, column):
+    """Scans of a plan that read a column."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return sum("FileScan" in line and column in line.split("ReadSchema")[1] for line in text.split("\n"))
+
+
+def test_sellers_read_items_and_orders_once(spark):
+    metrics = reports.seller_metrics(Commerce(spark, SMALL))
+    assert scans(metrics, "l_extendedprice") == scans(metrics, "l_orderkey") == 1
+    assert scans(metrics, "o_orderdate") == 1
+
+
+def test_master_dataset_folds_items_once(spark):
+    assert scans(facts.master_dataset(Commerce(spark, SMALL)), "l_orderkey") == 1
+
+
+def test_bucketed_orders_meet_without_an_exchange(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = facts.master_dataset(BucketedCommerce(spark, SMALL, 4), grain="order")
+        text = plan(wide)
+        assert "order_id" not in "".join(line for line in text.split("\n") if "Exchange hashpartitioning" in line)
+        assert "Exchange hashpartitioning(customer_id" in text and text.count("Bucketed: true") >= 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -46,3 +46,26 @@ def test_partitions_follow_the_month(spark, out):
     master = out.load(spark, "master_dataset")
     text = master.where("year = 1996 AND month = 2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in text
+
+
+def test_a_rerun_replaces_its_months_only(spark, tmp_path):
+    tables = Commerce(spark, SMALL)
+    out = layers.Output(scratch_path(spark, "months"))
+    layers.ingest(tables, out)
+    names = ("master_dataset", "category_revenue", "daily_revenue")
+    files = {n: set(out.load(spark, n).inputFiles()) for n in names}
+    rows = {n: sorted(map(str, out.load(spark, n).collect())) for n in names}
+    layers.ingest(tables, out, [(1996, 2), (1997, 11)])
+    for name in names:
+        again = out.load(spark, name)
+        fresh = set(again.inputFiles()) - files[name]
+        assert sorted(map(str, again.collect())) == rows[name]
+        parts = {f.rsplit("/", 1)[0].split(name + "/")[1] for f in fresh}
+        assert parts == ({"year=1996/month=2", "year=1997/month=11"} if name == "master_dataset" else {"part_month=1996-02", "part_month=1997-11"})
+
+
+def test_the_command_line_run_names_its_results(spark):
+    done = layers.run_all(Commerce(spark, SMALL), scratch_path(spark, "run"), ["ingest", "anomaly"])
+    assert {"master_dataset", "category_revenue", "daily_revenue", "anomaly_detection", "root_cause"} <= set(done.store.names())
+    assert done.store.anomalies(only_anomalies=False).count() == done.store.daily_revenue().count()
+    assert done.store.get("master_dataset", where="year = 1996").count() > 0

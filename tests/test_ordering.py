@@ -67,6 +67,45 @@ def test_tiles_match_ntile(spark, skewed, rows):
     assert wrong == 0 and got.count() == n
 
 
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_tiles_break_ties_by_any_id(spark, kind):
+    """All rows share three values, so that the borders lie among equal values; ids need more than a double holds."""
+    rng = np.random.default_rng(2)
+    ids = rng.choice(np.arange(-(2**62), 2**62, 2**50 + 7), 400, replace=False)
+    rows = [(float(rng.integers(3)), f"id-{abs(i)}é{'x' * (i % 3)}" if kind == "string" else int(i)) for i in ids]
+    df = spark.createDataFrame(rows + [(None, rows[0][1])], f"v double, id {kind}")
+    got = ordering.with_tiles(df, 7, "id", {"t": F.col("v"), "r": -F.col("v")}).where("v IS NOT NULL")
+    got.createOrReplaceTempView("tied")
+    wrong = spark.sql("SELECT * FROM (SELECT *, ntile(7) OVER (ORDER BY v, id) a, ntile(7) OVER (ORDER BY -v, id) b FROM tied) WHERE a <> t OR b <> r")
+    assert wrong.count() == 0 and got.count() == 400
+
+
+def test_selection_of_wild_values(spark):
+    values = [float("-inf"), -1e308, -1e300, -5e-324, 0.0, 5e-324, 1e-9, 3.0, 3.0, 3.0, 1e300, 1.7e308, float("inf"), float("inf")]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(3)
+    n, found = ordering._select(df, {"v": F.col("v")}, lambda _, n: range(n))["v"]
+    assert n == len(values) and [found[i][0] for i in range(n)] == values
+    assert [found[i][1] for i in range(n)] == [values.index(v) for v in values]
+    odd = spark.createDataFrame([(float("nan"),), (1.0,), (float("nan"),)], "v double")
+    n, found = ordering._select(odd, {"v": F.col("v")}, lambda _, n: range(n))["v"]
+    assert found[0][0] == 1.0 and np.isnan(found[1][0]) and np.isnan(found[2][0])
+
+
+def test_nothing_is_sorted_for_borders(spark, skewed, monkeypatch):
+    def no_sort(*_):
+        raise AssertionError("sorted")
+
+    monkeypatch.setattr(ordering, "_slots", no_sort)
+    plans = []
+    frame_type = type(skewed[0])
+    collect = frame_type.collect
+    monkeypatch.setattr(frame_type, "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    df = skewed[0]
+    ordering.with_tiles(df, 5, "id", {"up": F.col("value")})
+    ordering.exact_quantiles(df, {"value": [0.2, 0.4]})
+    assert plans and not any("Sort" in p or "rangepartitioning" in p for p in plans)
+
+
 def test_score_collapses_tied_edges(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "v double")
     scores = df.select(ordering.score_by_edges(F.col("v"), [1.0, 1.0, 2.0, 2.0])).collect()

@@ -16,15 +16,6 @@ from ..functions.calendar import day_of, instant, month_of, order_calendar, whol
 from ..functions.rounding import ratio
 
 
-def items_per_order(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(
-        F.count("order_item_id").alias("item_count"),
-        F.sum("price").alias("revenue"),
-        F.sum("freight_value").alias("freight"),
-        F.countDistinct("product_id").alias("unique_products"),
-    )
-
-
 def item_value_per_order(items: DataFrame) -> DataFrame:
     """Price + freight per order, without the distinct count of the full rollup."""
     return items.groupBy("order_id").agg(
@@ -77,7 +68,7 @@ def master_dataset(tables, grain: str = "rows") -> DataFrame:
     grain="order": payments and reviews folded to one row per order.
     """
     # all joins on order_id share one partitioning; customers come last
-    base = tables.orders.join(items_per_order(tables.order_items), "order_id", "left")
+    base = tables.orders_with_items()
     if grain == "rows":
         wide = base.join(
             tables.payments.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,70 +52,141 @@ def global_row_index(df: DataFrame, order_by: Sequence[Column | str], name: str
     )
 
 
-def _pick(
-    rows: DataFrame, order_by: Sequence[str], wanted: Callable[[int], Sequence[int]], label: str
-) -> dict[str, tuple[int, dict[int, dict]]]:
-    """Total count and the rows at wanted 0-based positions, for each `metric`.
+@dataclass
+class _Span:
+    """Rows of a metric from low to high, both included, with a number of rows before them and the positions looked for."""
 
-    `rows` has the columns metric, n (how often the row counts) and the order columns.
-    The driver sees one number per sort partition and the few picked rows.
+    metric: str
+    low: float
+    high: float
+    before: int
+    rows: int
+    wanted: list[int]
+
+
+#: Bins of one refinement, per span.
+BINS = 512
+
+
+def _bin(value: Column, low: float, high: float) -> Column:
+    """The bin of a value in [low, high]: equal widths, or classes where a border is not finite."""
+    if math.isfinite(low) and math.isfinite(high) and math.isfinite(high - low):
+        scaled = F.floor((value - F.lit(low)) / F.lit((high - low) or 1.0) * BINS)
+        return F.least(F.greatest(scaled, F.lit(0)), F.lit(BINS - 1)).cast("int")
+    signs = F.when(value == float("-inf"), 0).when(value < 0, 1)
+    return signs.when(F.isnan(value), 4).when(value == float("inf"), 3).otherwise(2)
+
+
+def _in_span(value: Column, span: _Span) -> Column:
+    # Spark orders NaN above every number, here as in a sort
+    return (value >= F.lit(span.low)) & (value <= F.lit(span.high))
+
+
+def _select(df: DataFrame, columns: dict[str, Column], wanted: Callable[[str, int], Sequence[int]]):
+    """{metric: (rows, {position: (value, first position of that value)})} at 0-based positions of each column's order.
+
+    Selection by refined histograms: every round counts, in one pass and without a sort, the rows per bin of the spans
+    that still hold a wanted position, and goes on with the bins that do. A round ends with a few numbers per
+    bin on the driver; the spans narrow to single values, however the values are spread.
     """
-    placed = _slots(rows, ["metric", *order_by], label)
-    parts: dict[str, list[tuple[int, int]]] = {}
-    for row in placed.groupBy("metric", "_part").agg(F.sum("n").alias("n")).collect():
-        parts.setdefault(row["metric"], []).append((row["_part"], row["n"]))
-
-    picked = {metric: (sum(n for _, n in sizes), {}) for metric, sizes in parts.items()}
-    targets = []
-    for metric, sizes in parts.items():
-        before = 0
-        for part, n in sorted(sizes):
-            inside = [p - before for p in set(wanted(picked[metric][0])) if before <= p < before + n]
-            if inside:
-                targets.append((metric, part, before, inside))
-            before += n
-    if not targets:
-        return picked
-
-    here = [
-        (F.col("metric") == metric) & (F.col("_part") == part) for metric, part, _, _ in targets
-    ]
-    running = (
-        Window.partitionBy("metric", "_part")
-        .orderBy("_pos")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    counted = placed.where(reduce(Column.__or__, here)).withColumn(
-        "_upto", F.sum("n").over(running)
-    )
-    hits = [
-        condition & (F.col("_upto") > p) & (F.col("_upto") - F.col("n") <= p)
-        for condition, (_, _, _, inside) in zip(here, targets)
-        for p in inside
-    ]
-    found = counted.where(reduce(Column.__or__, hits)).collect()
-    for metric, part, before, inside in targets:
-        for row in found:
-            if row["metric"] == metric and row["_part"] == part:
-                for p in inside:
-                    if row["_upto"] - row["n"] <= p < row["_upto"]:
-                        picked[metric][1][before + p] = row.asDict()
-    return picked
-
-
-def _stacked(df: DataFrame, columns: dict[str, Column], *keep: Column) -> DataFrame:
-    """(metric, value, kept columns) rows, one per metric, without NULL values."""
-    entries = F.array(
-        *[
-            F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"))
-            for name, value in columns.items()
-        ]
-    )
-    return (
-        df.select(F.explode(entries).alias("_e"), *keep)
-        .select("_e.*", *[F.col(c) for c in df.select(*keep).columns])
-        .where(F.col("value").isNotNull())
-    )
+    numbers = {name: column.cast("double") for name, column in columns.items()}
+    if not numbers:
+        return {}
+    first = df.agg(
+        *[f(c).alias(f"{name}_{i}") for name, c in numbers.items() for i, f in enumerate((F.count, F.min, F.max))]
+    ).first()
+    found = {name: (first[f"{name}_0"], {}) for name in columns}
+    open_spans = []
+    for name, (n, _) in found.items():
+        positions = sorted({p for p in wanted(name, n) if 0 <= p < n})
+        if positions:
+            open_spans.append(_Span(name, first[f"{name}_1"], first[f"{name}_2"], 0, n, positions))
+    while open_spans:
+        rest = []
+        for span in open_spans:
+            if span.low == span.high or math.isnan(span.low):
+                found[span.metric][1].update({p: (span.low, span.before) for p in span.wanted})
+            else:
+                rest.append(span)
+        open_spans = rest
+        if not open_spans:
+            break
+        entries = []
+        for name in dict.fromkeys(s.metric for s in open_spans):
+            v, entry = numbers[name], None
+            for i, span in enumerate(open_spans):
+                if span.metric == name:
+                    place = F.struct(F.lit(i).alias("span"), _bin(v, span.low, span.high).alias("bin"), v.alias("value"))
+                    entry = F.when(_in_span(v, span), place) if entry is None else entry.when(_in_span(v, span), place)
+            entries.append(entry)
+        counts = (
+            df.select(F.explode(F.array(*entries)).alias("_e"))
+            .where(F.col("_e").isNotNull())
+            .groupBy("_e.span", "_e.bin")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("_e.value").alias("low"), F.max("_e.value").alias("high"))
+            .collect()  # BINS rows a span at most
+        )
+        narrowed = []
+        for i, span in enumerate(open_spans):
+            before = span.before
+            for row in sorted((r for r in counts if r["span"] == i), key=lambda r: r["bin"]):
+                inside = [p for p in span.wanted if before <= p < before + row["n"]]
+                if inside:
+                    narrowed.append(_Span(span.metric, row["low"], row["high"], before, row["n"], inside))
+                before += row["n"]
+        open_spans = narrowed
+    return found
+
+
+def _nth_text(rows: DataFrame, column: str, positions: Sequence[int]) -> dict[int, str]:
+    """The texts at 0-based positions of their order, by counting the next two characters, then the next two, and so on."""
+    spans, found = [("", 0, sorted(set(positions)))], {}
+    while spans:
+        text, following = F.col(column), []
+        entry = None
+        for i, (prefix, _, _) in enumerate(spans):
+            place = F.struct(F.lit(i).alias("span"), F.substring(text, 1, len(prefix) + 2).alias("head"), text.alias("text"))
+            entry = F.when(text.startswith(prefix), place) if entry is None else entry.when(text.startswith(prefix), place)
+        counts = (
+            rows.select(entry.alias("_e")).where(F.col("_e").isNotNull()).groupBy("_e.span", "_e.head")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("_e.text").alias("low"), F.max("_e.text").alias("high"))
+            .collect()  # two more characters a span
+        )
+        for i, (_, before, wanted) in enumerate(spans):
+            for row in sorted((r for r in counts if r["span"] == i), key=lambda r: r["head"].encode()):
+                inside = [p for p in wanted if before <= p < before + row["n"]]
+                if inside and row["low"] == row["high"]:
+                    found.update({p: row["low"] for p in inside})
+                elif inside:
+                    following.append((row["head"], before, inside))
+                before += row["n"]
+        spans = following
+    return found
+
+
+def _nth_ids(df: DataFrame, id_column: str, ties: dict[str, tuple[Column, list[int]]]) -> dict[str, dict]:
+    """For each tie, (which rows, positions): the ids at 0-based positions among these rows. All ties are counted together."""
+    kind = df.schema[id_column].dataType.simpleString()
+    if kind == "string":
+        return {name: _nth_text(df.where(rows).select(id_column), id_column, at) for name, (rows, at) in ties.items()}
+    if kind not in ("bigint", "int", "smallint", "tinyint"):
+        raise ValueError(f"ids of type {kind} have no order here")
+    # a double holds the halves of a number exactly, which come one after the other: the high one, and the low one of its rows
+    number = F.col(id_column).cast("bigint")
+    high = F.shiftright(number, 31)
+    halves = _select(df, {name: F.when(rows, high) for name, (rows, _) in ties.items()}, lambda name, _: ties[name][1])
+    parts, places = {}, {}
+    for name, (rows, _) in ties.items():
+        for position, (half, start) in halves[name][1].items():
+            part = f"{name}h{int(half)}".replace("-", "m")
+            parts[part] = F.when(rows & (high == F.lit(int(half))), number.bitwiseAND(F.lit(2**31 - 1)))
+            places.setdefault(part, []).append((name, position, position - start, int(half)))
+    lows = _select(df, parts, lambda part, _: [q for *_, q, _ in places[part]])
+    out: dict[str, dict] = {name: {} for name in ties}
+    for part, wanted in places.items():
+        for name, position, q, half in wanted:
+            out[name][position] = half * 2**31 + int(lows[part][1][q][0])
+    return out
 
 
 def exact_quantiles(
@@ -123,24 +194,17 @@ def exact_quantiles(
     probabilities: dict[str, Sequence[float]],
     clip_upper: dict[str, float] | None = None,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of several columns with one sort.
+    """Linearly interpolated quantiles of several columns, without a sort (see `_select`).
 
-    Equal values are folded before the sort, so a hot value costs one row. With
-    clip_upper={"c": p} the quantiles of c are those of the column clipped at its own
-    p-quantile.
+    With clip_upper={"c": p} the quantiles of c are those of the column clipped at its own p-quantile.
     """
     clip_upper = clip_upper or {}
-    histogram = (
-        _stacked(df, {name: F.col(name) for name in probabilities})
-        .groupBy("metric", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    levels = {p for ps in probabilities.values() for p in ps} | set(clip_upper.values())
 
-    def wanted(n: int) -> list[int]:
+    def wanted(name: str, n: int) -> list[int]:
+        levels = {*probabilities[name], *([clip_upper[name]] if name in clip_upper else [])}
         return [f((n - 1) * p) for p in levels for f in (math.floor, math.ceil)]
 
-    picked = _pick(histogram, ["value"], wanted, "quantiles")
+    picked = _select(df, {name: F.col(name) for name in probabilities}, wanted)
     result: dict[str, list[float | None]] = {}
     for name, ps in probabilities.items():
         n, rows = picked.get(name, (0, {}))
@@ -150,8 +214,8 @@ def exact_quantiles(
 
         def at(p: float, top: float = math.inf) -> float:
             place = (n - 1) * p
-            low = min(rows[math.floor(place)]["value"], top)
-            high = min(rows[math.ceil(place)]["value"], top)
+            low = min(rows[math.floor(place)][0], top)
+            high = min(rows[math.ceil(place)][0], top)
             return low + (high - low) * (place - math.floor(place))
 
         top = at(clip_upper[name]) if name in clip_upper else math.inf
@@ -164,8 +228,9 @@ def with_tiles(
 ) -> DataFrame:
     """NTILE(tiles) over the whole set for several orders at once, ties broken by id.
 
-    Only the last row of each tile is looked up; the tile of any row then follows from
-    comparing (value, id) with those few rows, so `df` itself is never sorted.
+    Only the last row of each tile is looked up, by histograms of the values and then of the ids of its value; the tile of
+    any row then follows from comparing (value, id) with those few rows, so nothing is sorted. df is read once a round:
+    pass a written table.
     """
 
     def last_rows(n: int) -> list[int]:
@@ -177,19 +242,21 @@ def with_tiles(
                 ends.append(upto - 1)
         return ends
 
-    rows = _stacked(df, columns, F.col(id_column)).withColumn("n", F.lit(1))
-    picked = _pick(rows, ["value", id_column], last_rows, "tiles")
+    picked = _select(df, columns, lambda _, n: last_rows(n))
+    borders = {name: sorted(set(found.values())) for name, (_, found) in picked.items()}
+    ties = {}
+    for name, (_, found) in picked.items():
+        for i, (border, start) in enumerate(borders[name]):
+            positions = [p - start for p, (v, _) in found.items() if v == border]
+            ties[f"{name}_{i}"] = (columns[name].cast("double").eqNullSafe(F.lit(border)), positions)
+    ids = _nth_ids(df, id_column, ties) if ties else {}
     scored = {}
     for name, value in columns.items():
-        n, found = picked.get(name, (0, {}))
-        tile = F.lit(1)
-        for position in last_rows(n):
-            edge = found[position]
-            number = value.cast("double")
-            beyond = (number > F.lit(edge["value"])) | (
-                (number == F.lit(edge["value"])) & (F.col(id_column) > F.lit(edge[id_column]))
-            )
-            tile = tile + beyond.cast("int")
+        tile, number = F.lit(1), value.cast("double")
+        for i, (border, _) in enumerate(borders[name]):
+            for last in ids[f"{name}_{i}"].values():
+                beyond = (number > F.lit(border)) | ((number == F.lit(border)) & (F.col(id_column) > F.lit(last)))
+                tile = tile + beyond.cast("int")
         scored[name] = tile.cast("bigint")
     return df.withColumns(scored)
 

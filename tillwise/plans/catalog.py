@@ -27,7 +27,8 @@ from ..operators import (
 from ..schemas import FOREIGN_KEYS, MONEY, PRIMARY_KEYS
 from ..session import materialize, scratch_path
 from ..sources import files
-from ..sources.star import Commerce
+from ..sources.model import CommerceTables, in_months
+from ..sources.star import BucketedCommerce, Commerce
 from ..sources.tables import Tables
 from ..streaming import events as stream_events
 from ..streaming import merged, replay, scoring, sinks, windows
@@ -100,6 +101,28 @@ def _master_dataset(t):
     return plain(facts.master_dataset(t))
 
 
+@query("master_dataset_bucketed")
+def _master_bucketed(t):
+    """The master dataset over tables bucketed by order."""
+    return plain(facts.master_dataset(BucketedCommerce(t.spark, t.folder)))
+
+
+@query("master_month_rerun")
+def _master_month_rerun(t):
+    """A full run over orders of which two months were wrong, then a rerun of these months alone."""
+    wrong = [(1995, 3), (1996, 7)]
+    out = layers.Output(scratch_path(t.spark, "rerun"))
+    damaged = t.orders.withColumn(
+        "order_status", F.when(in_months("order_purchase_timestamp", wrong), "lost").otherwise(F.col("order_status"))
+    )
+    frames = {name: getattr(t, name) for name in ("customers", "products", "sellers", "order_items", "payments", "reviews")}
+    layers.ingest(CommerceTables(t.spark, {**frames, "orders": damaged}), out)
+    layers.ingest(t, out, wrong)
+    return plain(out.load(t.spark, "master_dataset")).withColumns(
+        {c: F.col(c).cast("bigint") for c in ("year", "month")}
+    )
+
+
 @query("master_dataset_order_grain")
 def _master_order_grain(t):
     wide = facts.master_dataset(t, grain="order")

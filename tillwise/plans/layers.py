@@ -18,6 +18,8 @@ from ..sources.files import write_csv, write_parquet
 from ..sources.tables import Tables
 
 log = logging.getLogger(__name__)
+#: Partition column of results by month that have no column of that kind.
+PART = "part_month"
 
 
 @dataclass
@@ -30,8 +32,11 @@ class Output:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def save(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        write_parquet(df, self.path(name), partition_by)
+    def save(
+        self, name: str, df: DataFrame, partition_by: tuple[str, ...] = (), only_partitions: bool = False
+    ) -> DataFrame:
+        """With only_partitions, partitions that df has no rows of stay as they are."""
+        write_parquet(df, self.path(name), partition_by, only_partitions)
         log.info("wrote %s", name)
         if self.store is not None:
             self.store.attach(name, self.path(name))
@@ -44,11 +49,18 @@ class Output:
         return spark.read.parquet(self.path(name))
 
 
-def ingest(tables, out: Output) -> None:
-    """Master dataset by month, category revenue, daily series."""
-    out.save("master_dataset", facts.master_dataset(tables), ("year", "month"))
-    out.save("category_revenue", facts.category_month_revenue(tables))
-    out.save("daily_revenue", facts.daily_series(tables))
+def ingest(tables, out: Output, months: list[tuple[int, int]] | None = None) -> None:
+    """Master dataset, category revenue and daily series, all by month.
+
+    With months, only the orders of these (year, month) are read and only their partitions are replaced: what a
+    rerun after a correction needs.
+    """
+    part = tables if months is None else tables.of_months(months)
+    only = months is not None
+    out.save("master_dataset", facts.master_dataset(part), ("year", "month"), only)
+    out.save("category_revenue", facts.category_month_revenue(part).withColumn(PART, F.date_format("month_year", "yyyy-MM")), (PART,), only)
+    daily = facts.daily_series(part).withColumn(PART, F.date_format("date", "yyyy-MM"))
+    out.save("daily_revenue", daily, (PART,), only)
 
 
 def customers(tables, out: Output, k: int | None = None) -> None:
@@ -59,7 +71,7 @@ def customers(tables, out: Output, k: int | None = None) -> None:
 
 def anomalies(tables, out: Output, contamination: float | None = 0.05) -> None:
     """Flagged days, root causes of all of them, alerts."""
-    daily = out.load(tables.spark, "daily_revenue")
+    daily = out.load(tables.spark, "daily_revenue").drop(PART)
     detected = out.save("anomaly_detection", anomaly.detect(daily, contamination=contamination))
     flagged = detected.where("is_anomaly").select("date")
     causes = out.save("root_cause", anomaly.root_cause(anomaly.dimension_days(tables, flagged), flagged))
@@ -68,7 +80,7 @@ def anomalies(tables, out: Output, contamination: float | None = 0.05) -> None:
 
 def forecasts(tables, out: Output, horizon: int = 30, **boosting) -> None:
     """Seasonal, boosted and combined forecasts, and their backtest."""
-    daily = out.load(tables.spark, "daily_revenue")
+    daily = out.load(tables.spark, "daily_revenue").drop(PART)
 
     def combined(history: DataFrame) -> DataFrame:
         return forecast.ensemble(
@@ -118,8 +130,14 @@ LAYERS: dict[str, Callable] = {
 }
 
 
-def run_all(tables, folder: str, layers: list[str] | None = None) -> Output:
-    out = Output(folder)
+def run_all(
+    tables, folder: str, layers: list[str] | None = None, months: list[tuple[int, int]] | None = None
+) -> Output:
+    """All or some layers; the results are named in the catalogue. With months the ingest layer redoes only these."""
+    out = Output(folder, Tables(tables.spark, f"{folder}/tables"))
     for name in layers or LAYERS:
-        LAYERS[name](tables, out)
+        if name == "ingest":
+            ingest(tables, out, months)
+        else:
+            LAYERS[name](tables, out)
     return out

@@ -244,3 +244,4 @@ WHERE o.customer_id = 42""",
 }
 
 REPORTS["geo_revenue"] = REPORTS["q9_geo_revenue"]
+REPORTS["master_dataset_bucketed"] = REPORTS["master_month_rerun"] = REPORTS["master_dataset"]

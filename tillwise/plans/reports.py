@@ -291,37 +291,41 @@ def cohort_lifetime_value(tables) -> DataFrame:
 def seller_metrics(tables) -> DataFrame:
     """Totals per seller. Several reviews on an order weigh its items, as a row join would.
 
-    Orders and months are counted by folding seller x order to seller x month to seller:
-    the first fold keeps the order partitioning of the join and needs no exchange. Only
-    the different products need a distinct count of their own.
+    Items meet their orders once. One fold with two grouping sets gives a row per seller, order and month, whose
+    number per month and seller counts orders and months, and a row per seller and product, whose number counts products.
     """
     scores = reviews_per_order(tables.reviews)
     weight = F.greatest(F.coalesce("n_reviews", F.lit(0)), F.lit(1))
-    sold = tables.order_items.select("order_id", "product_id", "seller_id", "price").join(
-        delivered(tables).select("order_id", "order_purchase_timestamp"), "order_id"
+    sold = (
+        tables.order_items.select("order_id", "product_id", "seller_id", "price")
+        .join(delivered(tables).select("order_id", "order_purchase_timestamp"), "order_id")
+        .join(scores, "order_id", "left")
+        .withColumn("_month", month_of(F.col("order_purchase_timestamp")))
     )
-    month = month_of(F.col("order_purchase_timestamp")).alias("_month")
-    per_order = (
-        sold.join(scores, "order_id", "left")
-        .groupBy("seller_id", "order_id", month)
-        .agg(
-            F.sum(F.col("price") * weight).alias("_revenue"),
-            F.sum(weight).alias("_rows"),
-            F.sum("score_sum").alias("_score_sum"),
-            F.sum("n_scores").alias("_scores"),
-        )
-    )
-    add_up = [F.sum(c).alias(c) for c in ("_revenue", "_rows", "_score_sum", "_scores")]
-    per_month = per_order.groupBy("seller_id", "_month").agg(
-        F.count(F.lit(1)).alias("_orders"), *add_up
+    by = {c: F.col(c) for c in ("seller_id", "order_id", "_month", "product_id")}
+    sums = ("_revenue", "_rows", "_score_sum", "_scores")
+    folded = sold.groupingSets(
+        [[by["seller_id"], by["order_id"], by["_month"]], [by["seller_id"], by["product_id"]]], *by.values()
+    ).agg(
+        F.grouping("order_id").cast("boolean").alias("_is_product"),
+        F.sum(F.col("price") * weight).alias("_revenue"),
+        F.sum(weight).alias("_rows"),
+        F.sum("score_sum").alias("_score_sum"),
+        F.sum("n_scores").alias("_scores"),
     )
-    per_seller = per_month.groupBy("seller_id").agg(
-        F.sum("_orders").alias("total_orders"), F.count(F.lit(1)).alias("active_months"), *add_up
+    product = F.col("_is_product")
+    per_month = folded.groupBy("seller_id", "_is_product", "_month").agg(
+        F.count(F.when(~product, F.lit(1))).alias("_orders"),
+        F.count(F.when(product, F.col("product_id"))).alias("_products"),
+        *[F.sum(F.when(~product, F.col(c))).alias(c) for c in sums],
     )
-    products = sold.groupBy("seller_id").agg(
-        F.countDistinct("product_id").alias("unique_products")
+    totals = per_month.groupBy("seller_id").agg(
+        F.sum("_orders").alias("total_orders"),
+        F.count(F.when(~product, F.lit(1))).alias("active_months"),
+        F.sum("_products").alias("unique_products"),
+        *[F.sum(c).alias(c) for c in sums],
     )
-    totals = per_seller.withColumnRenamed("_revenue", "total_revenue").join(products, "seller_id")
+    totals = totals.withColumnRenamed("_revenue", "total_revenue")
     return totals.join(tables.sellers, "seller_id").select(
         "seller_id",
         "seller_city",
@@ -372,6 +376,7 @@ def seller_performance(tables, n: int = 50) -> DataFrame:
     ranked = spark.createDataFrame(
         rows, f"seller_id {id_type}, revenue_rank bigint, review_rank bigint, _pct double"
     )
+    # n rows, 50 in the report
     return metrics.join(F.broadcast(ranked), "seller_id").select(
         "seller_id",
         "seller_city",

@@ -77,19 +77,24 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), only_partitions: bool = False
+) -> None:
     """Parquet, optionally partitioned (rows of a partition value are gathered first, and
-    adaptive rebalancing splits large ones)."""
+    adaptive rebalancing splits large ones). With only_partitions the partitions that df has rows of are
+    replaced, and the others stay."""
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite")
+    mode = "dynamic" if only_partitions else "static"
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
-    """Table bucketed and sorted by a join key: later joins on it need no shuffle."""
+    """Table bucketed and sorted by a join key: later joins on it need no shuffle. Each bucket is one file."""
     (
-        df.write.mode("overwrite")
+        df.repartition(buckets, key)
+        .write.mode("overwrite")
         .option("path", path)
         .bucketBy(buckets, key)
         .sortBy(key)

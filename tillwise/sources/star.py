@@ -6,14 +6,17 @@ the order in which partitions arrive; timestamps are read as UTC.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MONEY
-from ..session import apply_settings
-from .model import CommerceTables
+from ..session import apply_settings, scratch_path
+from .files import write_bucketed
+from .model import CommerceTables, in_months, item_sums
 
 STATUS = {"F": "delivered", "O": "shipped", "P": "processing"}
 
@@ -49,29 +52,37 @@ class Commerce(CommerceTables):
             )
         )
 
-    def _orders(self, stored: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    def _orders(self, stored: DataFrame, items: DataFrame | None = None, *sums: Column) -> DataFrame:
+        """Orders, with the last shipment of their items and any other sums over these, in one fold."""
         status = F.col("o_orderstatus")
         *most, (_, last) = STATUS.items()
         named = F.when(status == most[0][0], most[0][1])
         for code, name in most[1:]:
             named = named.when(status == code, name)
+        lines = self.raw("lineitem") if items is None else items
         shipped = (
-            (self.raw("lineitem") if items is None else items)
-            .groupBy("l_orderkey")
-            .agg(F.max("l_shipdate").alias("_last_ship"))
+            lines.select(*self._item_columns(), F.col("l_shipdate"))
+            .groupBy("order_id")
+            .agg(F.max("l_shipdate").alias("_last_ship"), *sums)
         )
+        folded = [c for c in shipped.columns if c not in ("order_id", "_last_ship")]
         return (
-            stored.join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+            stored.withColumnRenamed("o_orderkey", "order_id")
+            .join(shipped, "order_id", "left")
             .select(
-                F.col("o_orderkey").alias("order_id"),
+                "order_id",
                 F.col("o_custkey").alias("customer_id"),
                 named.otherwise(last).alias("order_status"),
                 # left without zone: a cast would keep time filters away from the scan
                 F.col("o_orderdate").alias("order_purchase_timestamp"),
                 F.when(status == "F", F.col("_last_ship")).alias("order_delivered_customer_date"),
+                *folded,
             )
         )
 
+    def orders_with_items(self) -> DataFrame:
+        return self._orders(self.raw("orders"), None, *item_sums())
+
     @cached_property
     def orders(self) -> DataFrame:
         return self._orders(self.raw("orders"))
@@ -90,23 +101,32 @@ class Commerce(CommerceTables):
         return self._orders(self.raw("orders").where(wanted))
 
     def of_customer(self, customer_id) -> CommerceTables:
-        stored = self.raw("orders").where(F.col("o_custkey") == F.lit(customer_id))
+        return self._of(F.col("o_custkey") == F.lit(customer_id))
+
+    def of_months(self, months: Sequence[tuple[int, int]]) -> CommerceTables:
+        return self._of(in_months("o_orderdate", months))
+
+    def _of(self, wanted: Column) -> CommerceTables:
+        stored = self.raw("orders").where(wanted)
         ids = stored.select(F.col("o_orderkey").alias("order_id"))
         keys = ids.withColumnRenamed("order_id", "l_orderkey")
         items = self.raw("lineitem").join(keys, "l_orderkey", "left_semi")
         return self._narrowed(self._orders(stored, items), ids)
 
-    @cached_property
-    def order_items(self) -> DataFrame:
+    def _item_columns(self) -> list[Column]:
         tax = F.col("l_tax").cast("decimal(4,2)")
-        return self.raw("lineitem").select(
+        return [
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("order_item_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("seller_id"),
             _money("l_extendedprice").alias("price"),
             (_money("l_extendedprice") * tax).cast(MONEY).alias("freight_value"),
-        )
+        ]
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return self.raw("lineitem").select(*self._item_columns())
 
     @cached_property
     def payments(self) -> DataFrame:
@@ -203,3 +223,22 @@ class Commerce(CommerceTables):
             _money("value").alias("revenue"),
             "props",
         )
+
+
+class BucketedCommerce(Commerce):
+    """The commerce tables over copies of orders and items that are bucketed and sorted by order.
+
+    The copies are written once; every fold and join by order_id after that reads a bucket where it lies, without an
+    exchange. The number of buckets should keep a bucket below the memory of a task.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = 16) -> None:
+        super().__init__(spark, folder)
+        self._copies = {}
+        for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+            table = f"by_order_{name}_{uuid.uuid4().hex}"
+            write_bucketed(super().raw(name), table, key, buckets, scratch_path(spark, table))
+            self._copies[name] = table
+
+    def raw(self, table: str) -> DataFrame:
+        return self.spark.table(self._copies[table]) if table in self._copies else super().raw(table)
