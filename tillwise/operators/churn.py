@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import instant, whole_days
 from ..functions.labels import churn_risk, churn_risk_five, next_best_action, retention_action
 from ..functions.rounding import ratio, round_half_up
-from ..session import materialize
+from ..session import materialize, packed
 from .facts import item_value_per_order, order_value, payments_per_order, reviews_per_order
 
 # The label is a function of days_since_last, so that column is no default feature.
@@ -91,9 +91,11 @@ def distinct_categories(tables) -> DataFrame:
 
 def _training(features: DataFrame, columns: Sequence[str]) -> DataFrame:
     filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns]
-    return materialize(
-        features.select("customer_id", F.col("is_churned").cast("double").alias("label"), *filled),
-        "churn-training",
+    return packed(
+        materialize(
+            features.select("customer_id", F.col("is_churned").cast("double").alias("label"), *filled),
+            "churn-training",
+        )
     )
 
 

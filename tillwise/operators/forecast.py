@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import cyclic, series_calendar
 from ..functions.rounding import round_half_up
-from ..session import materialize
+from ..session import materialize, packed
 
 LAGS = (1, 2, 3, 7, 14, 28)
 WINDOWS = (3, 7, 14, 30)
@@ -129,7 +129,9 @@ def boosted_metrics(
     )
     split = F.greatest(F.col("_n") - holdout, F.floor(F.col("_n") * 0.8))
     rows = materialize(rows.withColumn("_train", F.col("_row") <= split), "boosted-rows")
-    model = _boosted(inputs, trees, depth, rate, subsample, seed).fit(rows.where("_train"))
+    known = packed(rows.where("_train")).persist()
+    model = _boosted(inputs, trees, depth, rate, subsample, seed).fit(known)
+    known.unpersist()
     judged = model.transform(rows.where("NOT _train"))
     metrics = _errors(judged, F.col("label"), F.greatest("_predicted", F.lit(0.0)))
     return model, metrics.select(*[F.round(c, 2).alias(c) for c in ("mae", "rmse", "mape")])
@@ -181,9 +183,9 @@ def boosted_forecast(
     )
     rows = materialize(rows, "forecast-rows")
     inputs = ["step", *CALENDAR, *HISTORY]
-    model = _boosted(inputs, trees, depth, rate, subsample, seed).fit(
-        rows.where(F.col("label").isNotNull())
-    )
+    known = packed(rows.where(F.col("label").isNotNull())).persist()
+    model = _boosted(inputs, trees, depth, rate, subsample, seed).fit(known)
+    known.unpersist()
     return model.transform(rows.where("_last")).select(
         *series, "step", "date", F.greatest("_predicted", F.lit(0.0)).alias("forecast")
     )

@@ -63,7 +63,7 @@ def _tree_samples(
 
 def _grower(seed: int, size: int):
     extra_depth = [_average_path(n) for n in range(size + 1)]
-    limit = math.ceil(math.log2(max(size, 2)))
+    limit = deepest(size)
 
     def grow(pdf):
         import numpy as np
@@ -117,21 +117,28 @@ def _scorer(forest, normal: float):
     return score
 
 
-def isolation_forest(
+def deepest(size: int) -> int:
+    """The greatest depth of a tree over a sample of this size."""
+    return math.ceil(math.log2(max(size, 2)))
+
+
+def normal_path(size: int) -> float:
+    """The path length that a score of one half stands for."""
+    return _average_path(size) or 1.0
+
+
+def grown(
     df: DataFrame,
     columns: Sequence[str],
-    contamination: float = 0.05,
     key: Sequence[str] = ("date",),
     trees: int = 200,
     sample: int = 256,
     seed: int = 42,
-) -> DataFrame:
-    """Adds `score` (higher = more unusual, 0 at the cut) and `is_outlier`.
+) -> tuple[DataFrame, DataFrame, int]:
+    """The rows with their standardised inputs `_x`, the nodes of all trees, and the size of a sample.
 
-    Missing inputs take the column mean; inputs are standardised. The cut is the
-    (1 - contamination) quantile of the raw scores.
+    Missing inputs take the column mean.
     """
-    spark = df.sparkSession
     stats = df.agg(
         *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],
@@ -141,9 +148,26 @@ def isolation_forest(
         mean, spread = stats[f"m{i}"] or 0.0, stats[f"s{i}"] or 1.0
         scaled.append((F.coalesce(F.col(c).cast("double"), F.lit(mean)) - mean) / F.lit(spread))
     points = materialize(df.withColumn("_x", F.array(*scaled)), "forest-input")
-
     samples = _tree_samples(points.select("_x", *key), key, trees, sample, seed)
     nodes = samples.groupBy("tree").applyInPandas(_grower(seed, sample), NODE_SCHEMA)
+    return points, materialize(nodes, "forest-nodes"), min(sample, points.count())
+
+
+def isolation_forest(
+    df: DataFrame,
+    columns: Sequence[str],
+    contamination: float = 0.05,
+    key: Sequence[str] = ("date",),
+    trees: int = 200,
+    sample: int = 256,
+    seed: int = 42,
+) -> DataFrame:
+    """Adds `score` (higher = more unusual, 0 at the cut) and `is_outlier`.
+
+    Inputs are standardised. The cut is the
+    (1 - contamination) quantile of the raw scores.
+    """
+    points, nodes, size = grown(df, columns, key, trees, sample, seed)
     table = nodes.orderBy("tree", "node").toPandas()  # at most trees x 2 x sample rows
     forest = [
         (
@@ -155,9 +179,8 @@ def isolation_forest(
         )
         for _, part in table.groupby("tree")
     ]
-    size = min(sample, points.count())
     scorer = F.pandas_udf(
-        _scorer(spark.sparkContext.broadcast(forest), _average_path(size) or 1.0), "double"
+        _scorer(df.sparkSession.sparkContext.broadcast(forest), normal_path(size)), "double"
     )
     scored = materialize(points.withColumn("_raw", scorer("_x")), "forest-scores")
     cut = exact_quantiles(scored, {"_raw": [1.0 - contamination]})["_raw"][0]

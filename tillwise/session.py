@@ -76,3 +76,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def packed(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """A written table in partitions of about so many rows: an iterative fit over few rows then pays for few tasks a job."""
+    return df.coalesce(max(1, -(-df.count() // rows)))
