@@ -33,9 +33,9 @@ def test_planted_words_and_prefixes(spark):
         assert by_id[i]["predicted"] == y and 0 <= by_id[i]["score"] <= 1
         assert by_id[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
     assert [by_id[i]["predicted"] for i in (9001, 9002, None, 9003)] == [0, 0, 1, 1]
-    kept = toxicity.keep(docs.drop("hits"), labels)
+    kept = toxicity.keep(docs, labels)
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in by_id.items() if not r["predicted"]}
-    assert kept.columns == docs.drop("hits").columns
+    assert kept.columns == docs.columns
 
 
 def test_no_labels_and_empty(spark):

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 _shipped: set[str] = set()
+_memories: dict[str, Callable[[], None]] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -28,6 +29,13 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def only_memory(owner: str, clear: Callable[[], None]) -> None:
+    """In a worker that jobs of several operators share, forget what the others remembered of words: one memory at a time."""
+    for other in [name for name in _memories if name != owner]:
+        _memories.pop(other)()
+    _memories[owner] = clear
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -21,7 +21,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import as_bytes, fold_of, small_batches
+from tillwise.llm.common import as_bytes, fold_of, only_memory, small_batches
 from tillwise.session import materialize
 
 #: Labelled rows of either class that the patterns are found on, at most.
@@ -91,6 +91,7 @@ def _hits(docs: DataFrame, patterns: list[str], keys: list[str]) -> DataFrame:
     own = hash(tuple(patterns))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_memory("patterns", _known.clear)
         if own not in _known:
             _known.clear()
         known = _known.setdefault(own, {})
@@ -218,9 +219,11 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
 
 
 def keep(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of docs that are not predicted toxic, with all their columns (none of them named hits)."""
+    """The rows of docs that are not predicted toxic, with all their columns."""
     scorer = Scorer(docs, labels, sample)
-    return _hits(docs, scorer.patterns, docs.columns).where(scorer.score(F.col("hits")) < 0.5).drop("hits")
+    slim = docs.withColumnsRenamed({c: f"own_{c}" for c in docs.columns if c != "text"})
+    kept = _hits(slim, scorer.patterns, slim.columns).where(scorer.score(F.col("hits")) < 0.5).drop("hits")
+    return kept.toDF(*docs.columns)
 
 
 def _fit(rows: DataFrame, patterns: list[str]) -> tuple[float, np.ndarray]:

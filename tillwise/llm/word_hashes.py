@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from tillwise.llm.common import only_memory
+
 #: Words remembered by one worker; the memory is emptied beyond it.
 REMEMBERED = 500_000
 
@@ -12,6 +14,7 @@ _hashes: dict[bytes, int] = {}
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
+    only_memory("hashes", _hashes.clear)
     if len(_hashes) > REMEMBERED:
         _hashes.clear()
     for w in words:

@@ -10,6 +10,8 @@ from itertools import chain
 import numpy as np
 from tokenizers import Tokenizer
 
+from tillwise.llm.common import only_memory
+
 #: Words remembered by one worker; the memory is emptied beyond it.
 REMEMBERED = 600_000
 
@@ -99,6 +101,7 @@ class WordEncoder:
 
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder of a tokenizer file that drops white space, kept between tasks."""
+    only_memory("ids", _encoders.clear)
     if path not in _encoders:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         _encoders[path] = WordEncoder(Tokenizer.from_file(path), bytes.split, runs=True)
