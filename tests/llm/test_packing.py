@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -59,6 +60,35 @@ def test_little_padding_and_repeated_rows(spark):
     assert used * 4096 < 1.02 * sum(n for *_, n in rows) + 4096
 
 
+@pytest.mark.parametrize("low, high, rows", [(1, 8, 30_000), (9, 24, 12_000), (2049, 2049, 60), (1300, 1500, 90)])
+def test_little_padding_whatever_the_lengths(spark, low, high, rows):
+    """A text of n words that the vocabulary knows is n ids and the end."""
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(low, high + 1, rows)
+    docs = spark.createDataFrame([(i, "the " * (int(n) - 1)) for i, n in enumerate(sizes)], "doc_id long, text string")
+    out = packing.pack_documents(docs, PATH, 2).collect()
+    total = sum(r["length"] for r in out)
+    assert total == sizes.sum()
+    used = check_places(out)
+    assert used * packing.CAPACITY <= 1.02 * total + 2 * packing.CAPACITY  # the last ones of either cut
+    covered = defaultdict(list)
+    for r in out:
+        covered[r["doc_id"]].append((r["start"], r["length"], r["doc_tokens"]))
+    for parts in covered.values():
+        at = 0
+        for start, length, tokens in sorted(parts):
+            assert start == at
+            at += length
+        assert at == tokens
+
+
+def test_fine_cuts_cover_every_id():
+    for n in [*range(1, 40), 511, 512, 513, 4095, 4096, 4097, 9001]:
+        parts = packing.cuts(n, 4096, True)
+        assert [a for a, _ in parts] == [0, *[b for _, b in parts[:-1]]] and parts[-1][1] == n
+        assert all((b - a) % packing.GRAIN == 0 or b - a < packing.GRAIN for a, b in parts)
+
+
 def test_sequences_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
     whole = packing.sequences(packing.pack_documents(docs, PATH, 2, keep_ids=True)).collect()

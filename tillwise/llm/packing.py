@@ -1,7 +1,8 @@
 """Packing of tokenized documents into sequences of one length, by cutting-stock column generation.
 
-A document's ids are cut into pieces of at most the sequence length; only its last piece may be shorter. The
-histogram of the pieces' lengths, in steps of GRAIN, goes to the driver (at most capacity / GRAIN numbers); the patterns
+A document's ids are cut into pieces of at most the sequence length; only its last piece may be shorter. Where that would
+leave more than PADDING of the sequences empty, documents are cut finer: at FINE ids, and what is left at a multiple of GRAIN,
+so that pieces fill sequences to the last id. The histogram of the pieces' lengths, in steps of GRAIN, goes to the driver (at most capacity / GRAIN numbers); the patterns
 found there come back as a table of intervals of ranks. The pieces of a length are ranked in buckets of bounded
 size, and a join with the intervals gives each its sequence and slot.
 """
@@ -23,12 +24,24 @@ from tillwise.llm.word_ids import encoder
 from tillwise.session import materialize
 
 CAPACITY, GRAIN = 4096, 8
+#: Ids of a fine cut, and the padding (beyond one sequence) that calls for it.
+FINE, PADDING = 512, 0.01
 #: Pieces ranked by one task.
 BUCKET_ROWS = 20_000
 
 
+def cuts(n: int, capacity: int, fine: bool) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of n ids."""
+    if not fine:
+        return [(i, min(i + capacity, n)) for i in range(0, n, capacity)]
+    step = min(FINE, capacity)
+    whole, even = n - n % step, n - n % GRAIN
+    edges = sorted({*range(0, whole + 1, step), even, n})
+    return list(zip(edges[:-1], edges[1:], strict=True))
+
+
 def pieces(
-    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, keep_ids: bool = True
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, keep_ids: bool = True, fine: bool = False
 ) -> DataFrame:
     """Cut every document: (doc_id, start, length, ids_crc32, doc_tokens, ids); ids are null without keep_ids.
 
@@ -41,8 +54,8 @@ def pieces(
             out = []
             for doc_id, ids in zip(b.column("doc_id").to_pylist(), own.encode(as_bytes(b.column("text"))), strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                for start in range(0, len(ids), capacity):
-                    cut = ids[start : start + capacity]
+                for start, end in cuts(len(ids), capacity, fine):
+                    cut = ids[start:end]
                     out.append((doc_id, start, len(cut), zlib.crc32(cut.tobytes()), len(ids), cut if keep_ids else None))
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema, strict=True)], schema=schema)
 
@@ -67,7 +80,23 @@ def _intervals(bins: list[tuple[cutting_stock.Pattern, int]]) -> list[tuple[int,
     return out
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFrame:
+class Plan:
+    """The patterns for the lengths of pieces, how many pieces there are, and the share of the sequences, beyond one, that stays empty."""
+
+    def __init__(self, cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN):
+        sizes = cut.groupBy(F.ceil(F.col("length") / grain).cast("int").alias("units")).agg(
+            F.count("*").alias("n"), F.sum("length").alias("ids")
+        ).collect()  # capacity / grain rows at most
+        demand = np.zeros(capacity // grain, np.int64)
+        for row in sizes:
+            demand[row["units"] - 1] = row["n"]
+        self.pieces = int(demand.sum())
+        self.bins = cutting_stock.plan(demand, capacity // grain)
+        used = capacity * sum(times for _, times in self.bins)
+        self.padding = max(0, used - capacity - sum(r["ids"] for r in sizes)) / used if used else 0.0
+
+
+def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN, plan: Plan | None = None) -> DataFrame:
     """Add sequence_id and offset to pieces (doc_id, start, length, any more columns); cut must give the same rows each time.
 
     Every piece gets one place; a sequence holds at most capacity ids, without gaps from offset 0.
@@ -76,15 +105,12 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFr
     spark = cut.sparkSession
     units = F.ceil(F.col("length") / grain).cast("int")
     keyed = cut.withColumn("units", units)
-    sizes = keyed.groupBy("units").count().collect()
-    demand = np.zeros(capacity // grain, np.int64)
-    for row in sizes:
-        demand[row["units"] - 1] = row["count"]
+    plan = plan or Plan(cut, capacity, grain)
     places = spark.createDataFrame(
-        _intervals(cutting_stock.plan(demand, capacity // grain)),
+        _intervals(plan.bins),
         "units int, first long, last long, sequence long, each long",
     )
-    buckets = max(1, int(demand.sum()) // BUCKET_ROWS)
+    buckets = max(1, plan.pieces // BUCKET_ROWS)
     keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
     within = Window.partitionBy("units", "bucket").orderBy("doc_id", "start")
     numbered = materialize(keyed.withColumn("number", F.row_number().over(within) - 1), "packing-numbers")
@@ -109,6 +135,15 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFr
     return placed.withColumn("offset", offset).drop("units", "slot")
 
 
+def pack_fine(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Places of pieces whose lengths are multiples of GRAIN or below it; the short ones fill sequences of their own to the last id."""
+    even = pack(cut.where(F.col("length") % GRAIN == 0), capacity)
+    even = materialize(even, "packing-even")
+    first = even.agg(F.max("sequence_id")).first()[0]
+    short = pack(cut.where(F.col("length") % GRAIN != 0), capacity, 1)
+    return even.unionByName(short.withColumn("sequence_id", F.col("sequence_id") + F.lit(0 if first is None else first + 1)))
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """(sequence_id, ids) of packed pieces that kept their ids."""
     return packed.groupBy("sequence_id").agg(
@@ -119,4 +154,9 @@ def sequences(packed: DataFrame) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their places."""
     cut = materialize(pieces(docs, tokenizer, end_id, capacity, keep_ids), "packing-pieces")
-    return pack(cut if keep_ids else cut.drop("ids"), capacity)
+    slim = cut if keep_ids else cut.drop("ids")
+    plan = Plan(slim, capacity)
+    if plan.padding <= PADDING:
+        return pack(slim, capacity, plan=plan)
+    cut = materialize(pieces(docs, tokenizer, end_id, capacity, keep_ids, fine=True), "packing-pieces")
+    return pack_fine(cut if keep_ids else cut.drop("ids"), capacity)
