@@ -103,5 +103,41 @@ def test_one_short_document_is_trained_on(spark):
     df = spark.createDataFrame([(1, [False], [4], ids)], "block long, held array<boolean>, n_ids array<long>, ids binary")
     class_of = lm_scoring.deal_classes(np.arange(50257)[::-1], 64, 48)
     start = attention.flat(attention.initial(np.full(64, 1 / 64))).astype(float)
-    rounds = [lm_scoring._train(df, class_of, start, 64, r) for r in range(lm_scoring.ROUNDS)]
+    rounds = [lm_scoring._train(df, 1, class_of, start, 64, r) for r in range(lm_scoring.ROUNDS)]
     assert sum(not np.array_equal(r, start) for r in rounds) == 1
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", 6000)
+    rows = [*corpus(), (None, "the cat"), (None, None)]
+    schema = "doc_id long, text string"
+    one = spark.createDataFrame(rows, schema).coalesce(1)
+    four = spark.createDataFrame(rows[::-1], schema).repartition(4)
+    scores = [
+        sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in lm_scoring.score_documents(d, *ARGS).collect()) for d in (one, four)
+    ]
+    assert len(scores[0]) == len(rows) and [x[:2] for x in scores[0]] == [x[:2] for x in scores[1]]
+    assert np.allclose([x[2] for x in scores[0]], [x[2] for x in scores[1]], rtol=1e-5)
+
+
+def test_blocks_hold_each_row_once_and_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARD_BYTES", 3000)
+    rows = [*corpus(), *[(900, "the same text")] * 300]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held", F.lit(False))
+    blocks = lm_scoring._blocks(docs, *ARGS[:3]).select("block", "doc_ids").collect()
+    assert len({b["block"] for b in blocks}) == len(blocks) > 15
+    assert sorted(str(i) for b in blocks for i in b["doc_ids"]) == sorted(str(i) for i, _ in rows)
+
+    monkeypatch.setattr(lm_scoring, "BLOCK_BYTES", 2000)
+    batches = lm_scoring._sharded(docs).select("shard", "doc_id", "held", "text").toArrow().to_batches(max_chunksize=7)
+    pieces = list(lm_scoring._pieces(iter(batches)))
+    assert len({n for n, _ in pieces}) == len(pieces)
+    assert sorted((str(i), t.decode()) for _, p in pieces for i, _, t in p) == sorted((str(i), t or "") for i, t in rows)
+    assert all(sum(len(t) for _, _, t in p) <= 2000 or len(p) == 1 for _, p in pieces)
+    assert max(len(p) for _, p in pieces if p[0][0] == 900) > 50
+
+
+def test_vectors_are_added_up_in_groups(spark):
+    vectors = spark.createDataFrame([(i, bytearray(np.array([i, 1]).tobytes())) for i in range(600)], "slot long, vector binary")
+    assert lm_scoring._vector_sum(vectors, 600, 2, np.int64).tolist() == [sum(range(600)), 600]
+    assert lm_scoring._vector_sum(vectors.limit(0), 0, 2, np.int64).tolist() == [0, 0]

@@ -145,7 +145,9 @@ def gradients(p: Params, x: np.ndarray, real: np.ndarray, target: np.ndarray, va
     d_h[:, -STEP:] += d_top + d_q @ p["query"].T
     d_h *= real[..., None]
     embed = np.zeros_like(p["embed"])
-    np.add.at(embed, x.ravel(), d_h.reshape(-1, width))
+    order = np.argsort(x.ravel(), kind="stable")
+    found, starts = np.unique(x.ravel()[order], return_index=True)
+    embed[found] = np.add.reduceat(d_h.reshape(-1, width)[order], starts)
     flat_ask, flat_h = ask.reshape(-1, width), h.reshape(-1, width)
     return out | {
         "embed": embed, "place": d_h.sum(0), "query": flat_ask.T @ d_q.reshape(-1, width),

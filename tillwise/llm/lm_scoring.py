@@ -1,32 +1,41 @@
 """Language-model scores of documents by a causal self-attention model on subword ids.
 
-Documents are cut into blocks of bounded text once: each block keeps its distinct words with their counts in
+Documents are dealt to shards by a hash of id and text and cut into blocks of bounded text once, so a block's documents
+and their order follow from the table alone: each block keeps its distinct words with their counts in
 training documents, which words each document holds, and its subword ids. Counting and looking up words
 is one grouping by ranges of word hashes, so a frequent word costs one number a block. The ids' counts over all
 training documents deal the ids to classes; the attention model predicts a token's class from the classes before it, and
-the token's share within its class comes from the counts. Tasks train on the windows of every training document, each
-window in one of the rounds, and their parameters are averaged, weighted by windows, round after round.
+the token's share within its class comes from the counts. In each round every block trains from the same parameters on
+the windows of its training documents, each window in one of the rounds, and the blocks' parameters are averaged, weighted
+by windows. A task adds up its blocks' parameters and puts out one vector; vectors are added up in groups of bounded size.
+Scores depend on how the table is partitioned only by the rounding of these sums.
 """
 
 from __future__ import annotations
 
 import base64
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.llm import attention
-from tillwise.llm.common import as_bytes, fold_of, small_batches
+from tillwise.llm.common import fold_of
 from tillwise.llm.word_hashes import word_hashes
 from tillwise.session import materialize
 
-#: Text of a block, and words of one range of hashes.
-BLOCK_BYTES, RANGE_WORDS = 8 << 20, 500_000
+#: Text of a block at most (or one document), of a shard on average, and words of one range of hashes.
+BLOCK_BYTES, SHARD_BYTES, RANGE_WORDS = 4 << 20, 3 << 20, 500_000
+#: Shards of a partition at most, where the cluster's cores do not ask for more partitions.
+SHARDS_READ = 128
+#: Blocks of a shard are told apart by these low digits of their number.
+SHARD_BITS = 20
+#: Vectors added up at once.
+ADDED = 16
 CLASSES, OWN_CLASS = 1024, 960
 #: Rounds of averaging, which share out the windows; windows of a step.
 ROUNDS, BATCH, RATE = 3, 64, 0.015
@@ -58,13 +67,46 @@ def _unpack(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), kind)
 
 
+def _sharded(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, held) with their shard, a shard's documents together and in an order of their own.
+
+    The number of shards follows from the bytes of text and the rows. Rows that agree in id and text share a shard.
+    """
+    size, rows = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    shards = -(-((size or 0) + 64 * rows) // SHARD_BYTES) or 1
+    parts = max(min(shards, 2 * docs.sparkSession.sparkContext.defaultParallelism), shards // SHARDS_READ)
+    keyed = docs.withColumns(
+        {"shard": F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)), "place": F.xxhash64(F.lit("place"), "doc_id", "text")}
+    )
+    dealt = keyed.repartitionById(parts, F.pmod("shard", F.lit(parts)).cast("int"))
+    return dealt.sortWithinPartitions("shard", "place", "doc_id")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """(block number, rows (doc_id, held, text)): a shard's rows in order, cut where they exceed the text of a block."""
+    shard, number, rows, size = None, 0, [], 0
+    for batch in batches:
+        for own, doc_id, held, text in zip(
+            *(batch.column(c).to_pylist() for c in ("shard", "doc_id", "held")), batch.column("text").cast(pa.binary()).to_pylist(), strict=True
+        ):
+            if rows and (own != shard or size + len(text or b"") > BLOCK_BYTES):
+                yield (shard << SHARD_BITS) + number, rows
+                number, rows, size = number + 1, [], 0
+            if own != shard:
+                shard, number = own, 0
+            rows.append((doc_id, held, text or b""))
+            size += len(text or b"")
+    if rows:
+        yield (shard << SHARD_BITS) + number, rows
+
+
 def _blocks(docs: DataFrame, ranks_file: str, pattern: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(ranks_file, pattern)
         end = int(word_hashes([b""]).view(np.int64)[0])
-        for b in small_batches(batches, "text", BLOCK_BYTES):
-            texts = [t.lower() for t in as_bytes(b.column("text"))]
-            held = np.array(b.column("held").to_pylist(), bool)
+        for block, rows in _pieces(batches):
+            texts = [t.lower() for _, _, t in rows]
+            held = np.array([h for _, h, _ in rows], bool)
             split = [t.split() for t in texts]
             n_words = np.array([len(w) + 1 for w in split])
             hashes = np.concatenate([np.append(word_hashes(w).view(np.int64), end) for w in split])
@@ -74,7 +116,7 @@ def _blocks(docs: DataFrame, ranks_file: str, pattern: str, end_id: int) -> Data
             yield pa.RecordBatch.from_pylist(
                 [
                     {
-                        "block": uuid.uuid4().int >> 65, "doc_ids": b.column("doc_id").to_pylist(), "held": held.tolist(),
+                        "block": block, "doc_ids": [i for i, _, _ in rows], "held": held.tolist(),
                         "words": words, "counts": counts, "doc_words": _pack(local.astype(np.uint32)), "n_words": n_words,
                         "ids": _pack(np.concatenate(ids)), "n_ids": [len(x) for x in ids],
                     }
@@ -87,7 +129,7 @@ def _blocks(docs: DataFrame, ranks_file: str, pattern: str, end_id: int) -> Data
         [("block", pa.int64()), ("doc_ids", longs), ("held", pa.list_(pa.bool_())), ("words", longs), ("counts", longs),
          ("doc_words", pa.binary()), ("n_words", longs), ("ids", pa.binary()), ("n_ids", longs)]
     )
-    return docs.mapInArrow(run, BLOCK)
+    return _sharded(docs).select("shard", "doc_id", "held", "text").mapInArrow(run, BLOCK)
 
 
 def _ranges(blocks: DataFrame, parts: int) -> DataFrame:
@@ -156,7 +198,34 @@ def _base_scores(looked_up: DataFrame, tokens: int, distinct: int) -> DataFrame:
     return looked_up.mapInArrow(run, "block long, i int, n_tokens long, n_known long, base_score double")
 
 
-def _id_counts(blocks: DataFrame, size: int) -> np.ndarray:
+def _vector_batch(slot: int, vector: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([slot], pa.int64()), pa.array([vector.tobytes()], pa.binary())], ["slot", "vector"])
+
+
+def _task_vector(vector: np.ndarray) -> pa.RecordBatch:
+    """One vector of a task, by the number of its partition."""
+    return _vector_batch(TaskContext.get().partitionId(), vector)
+
+
+def _vector_sum(vectors: DataFrame, at_most: int, size: int, kind) -> np.ndarray:
+    """The sum of at most so many vectors (slot, vector), added up in groups until a few are left for the driver."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros(size, kind)
+        for v in rows["vector"]:
+            total += np.frombuffer(v.as_py(), kind)
+        return pa.Table.from_batches([_vector_batch(rows["slot"][0].as_py(), total)])
+
+    while at_most > ADDED:
+        at_most = -(-at_most // ADDED)
+        vectors = vectors.withColumn("slot", F.col("slot") % at_most).groupBy("slot").applyInArrow(add, "slot long, vector binary")
+    out = np.zeros(size, kind)
+    for row in vectors.orderBy("slot").collect():
+        out += np.frombuffer(row["vector"], kind)
+    return out
+
+
+def _id_counts(blocks: DataFrame, n_blocks: int, size: int) -> np.ndarray:
     """How often each subword id occurs in training documents; as many numbers as the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,14 +234,11 @@ def _id_counts(blocks: DataFrame, size: int) -> np.ndarray:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 train = np.repeat(~np.asarray(row["held"], bool), row["n_ids"])
                 total += np.bincount(_unpack(row["ids"], np.uint32)[train], minlength=size)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["id", "n"])
+        if total.any():
+            yield _task_vector(total)
 
-    out = np.zeros(size, np.int64)
-    found = blocks.select("held", "n_ids", "ids").mapInArrow(run, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    for row in found.collect():
-        out[row["id"]] = row["n"]
-    return out
+    found = blocks.select("held", "n_ids", "ids").mapInArrow(run, "slot long, vector binary")
+    return _vector_sum(found, n_blocks, size, np.int64)
 
 
 def deal_classes(counts: np.ndarray, classes: int = CLASSES, own: int = OWN_CLASS) -> np.ndarray:
@@ -191,32 +257,31 @@ def _windows_of_round(held: np.ndarray, doc: np.ndarray, number: np.ndarray, rou
     return np.flatnonzero(~held[doc] & ((number + doc) % ROUNDS == round_))
 
 
-def _train(blocks: DataFrame, class_of: np.ndarray, start: np.ndarray, classes: int, round_: int) -> np.ndarray:
-    """Parameters after one round: every task trains from start on its blocks' windows, and the results are averaged."""
+def _train(blocks: DataFrame, n_blocks: int, class_of: np.ndarray, start: np.ndarray, classes: int, round_: int) -> np.ndarray:
+    """Parameters after one round: every block trains from start on its windows, and the results are averaged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        adam, seen = attention.Adam(attention.unflat(start, classes), RATE / (1 + round_)), 0
+        total = np.zeros(len(start) + 1)
         for batch in batches:
             for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 n, held = np.asarray(row["n_ids"]), np.asarray(row["held"], bool)
-                x = class_of[_unpack(row["ids"], np.uint32)]
                 doc, first, number = attention.windows(n)
                 taken = np.random.default_rng(round_).permutation(_windows_of_round(held, doc, number, round_))
+                if not len(taken):
+                    continue
+                adam = attention.Adam(attention.unflat(start, classes), RATE / (1 + round_))
+                x, starts = class_of[_unpack(row["ids"], np.uint32)], np.cumsum(n) - n
                 for i in range(0, len(taken), BATCH):
                     t = taken[i : i + BATCH]
-                    adam.update(attention.gradients(adam.params, *attention.gather(x, np.cumsum(n) - n, n, doc[t], first[t], classes)))
-                seen += len(taken)
-        if seen:
-            values = attention.flat(adam.params).astype(float) * seen
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(values)), pa.int32()), pa.array(values), pa.array([seen] * len(values), pa.int64())], ["at", "value", "weight"]
-            )
+                    adam.update(attention.gradients(adam.params, *attention.gather(x, starts, n, doc[t], first[t], classes)))
+                total[:-1] += attention.flat(adam.params).astype(float) * len(taken)
+                total[-1] += len(taken)
+        if total[-1]:
+            yield _task_vector(total)
 
-    summed = blocks.select("block", "held", "n_ids", "ids").mapInArrow(run, "at int, value double, weight long")
-    out = start.astype(float).copy()
-    for row in summed.groupBy("at").agg((F.sum("value") / F.sum("weight")).alias("value")).collect():
-        out[row["at"]] = row["value"]
-    return out
+    trained = blocks.select("held", "n_ids", "ids").mapInArrow(run, "slot long, vector binary")
+    total = _vector_sum(trained, n_blocks, len(start) + 1, np.float64)
+    return total[:-1] / total[-1] if total[-1] else start.astype(float)
 
 
 def _model_scores(blocks: DataFrame, class_of: np.ndarray, log_within: np.ndarray, values: np.ndarray, classes: int) -> DataFrame:
@@ -253,13 +318,14 @@ def score_documents(docs: DataFrame, ranks_file: str, pattern: str, end_id: int,
 
     Null and empty texts are the end token alone. Rows without an id are training rows; repeated rows count and are scored
     each. Words are told apart by 64-bit hashes. Without training rows the scores are those of the uniform smoothing.
+    Rows that agree in id and text train in one shard, in blocks of bounded text.
     """
     doc_id = F.col("doc_id").cast("long")
     held = F.coalesce(fold_of(doc_id) == 1, F.lit(False))
     blocks = materialize(
         _blocks(docs.select(doc_id.alias("doc_id"), "text", held.alias("held")), ranks_file, pattern, end_id), "lm-blocks"
     )
-    entries = blocks.agg(F.sum(F.size("words"))).first()[0] or 0
+    entries, n_blocks = blocks.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)), F.count("*")).first()
     parts = max(16, entries // RANGE_WORDS)
     totals = materialize(
         _ranges(blocks, parts).groupBy("part").applyInArrow(
@@ -271,14 +337,14 @@ def score_documents(docs: DataFrame, ranks_file: str, pattern: str, end_id: int,
     found = totals.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("part", "totals")).alias("found"))
     base = _base_scores(blocks.select("block", "doc_words", "n_words").join(found, "block"), tokens, distinct)
 
-    counts = _id_counts(blocks, vocabulary)
+    counts = _id_counts(blocks, n_blocks, vocabulary)
     class_of = deal_classes(counts)
     sizes, mass = np.bincount(class_of, minlength=CLASSES), np.bincount(class_of, counts, CLASSES)
     log_within = np.log(counts + 0.5) - np.log(mass + 0.5 * sizes)[class_of]
     values = attention.flat(attention.initial((mass + 0.5 * sizes) / (mass + 0.5 * sizes).sum()))
     if counts.any():
         for round_ in range(ROUNDS):
-            values = _train(blocks, class_of, values, CLASSES, round_)
+            values = _train(blocks, n_blocks, class_of, values, CLASSES, round_)
     scores = _model_scores(blocks, class_of, log_within, values, CLASSES)
     return scores.join(base, ["block", "i"]).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"), "base_score", "score"
