@@ -71,3 +71,28 @@ def quality(text):
     return (
         len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(covered), failed,
     )
+
+
+def labels(blocks, stops):
+    """Which blocks of a page are main text: rules on each block, then the nearest decided block of its container."""
+    first = []
+    for text, linked, bad, main, _ in blocks:
+        w = [x.strip(".,;:!?") for x in text.lower().split()]
+        if bad or linked > 0.5 * len(text):
+            first.append(False)
+        elif len(text) < 70:
+            first.append(None)
+        else:
+            first.append(bool(main) or stops is None or sum(x in stops for x in w) >= 0.15 * len(w))
+    out = []
+    for i, (own, block) in enumerate(zip(first, blocks, strict=True)):
+        main = block[3]
+        if own is None:
+            near = [
+                (abs(i - j), first[j])
+                for j in range(len(blocks))
+                if blocks[j][3] == main and first[j] is not None and (first[j] or not main)
+            ]
+            own = min(near)[1] if near else bool(main)
+        out.append(own)
+    return out

@@ -7,6 +7,10 @@ decided neighbours. A page's article or main element, where there is one, bounds
 Class names and ids only weigh: a container with a bad name is bad as long as the page has main text elsewhere, that is
 in an article or main container or more of it; else its blocks are judged like any others. Frequent words are counted
 over the whole table per stated language; where they do not tell prose apart, length and link density decide.
+
+Hidden elements (scripts, icons, form fields, elements that hide themselves) give no text, no block and no border: a
+paragraph goes on behind them. Formulas belong to their sentence. A comment, tag or declaration that never ends takes the
+rest of the page with it, as in browsers, so a page is read in linear time.
 """
 
 from __future__ import annotations
@@ -29,13 +33,21 @@ FIXED = {"en", "de", "fr", "es"}
 LINKS, STOPS, LONG = 0.5, 0.15, 70
 #: A language's frequent words have this share of its words each; words of a language from which they are told; longest one.
 FREQUENT, EVIDENCE, WORD = 0.005, 1000, 30
+#: Marks that are no part of a word at its ends, and distinct tokens that a task counts before it hands them on.
+MARKS, HELD = ".,;:!?", 200_000
 #: Characters of good blocks from which a container is judged without its name.
 NAMED = 3 * LONG
 
 # Elements of HTML by their role, and frequent words of four languages.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
-HIDDEN = set("head script style noscript template svg math iframe object canvas audio video select textarea button datalist".split())
+FORMULA = set("math semantics mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mstyle".split())
+WITHIN = INLINE | FORMULA
+HIDDEN = set(
+    "head title script style noscript template svg iframe object canvas audio video select textarea button datalist annotation "
+    "annotation-xml".split()
+)
+IN_HEAD = set("head title script style noscript template meta link base".split())
 OUTSIDE = set("nav footer aside form dialog menu fieldset".split())
 MAIN = {"article", "main"}
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -43,7 +55,7 @@ BAD_ROLES = set("navigation banner contentinfo complementary search dialog alert
 BAD_NAMES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "sidebar side footer cookie cookies consent gdpr notice notices alert popup modal overlay comment comments disqus respond "
-    "replies share sharing social related recommended newsletter subscribe signup login search breadcrumb breadcrumbs widget form".split()
+    "discussion discussions responses reactions feedback replies share sharing social related recommended newsletter subscribe signup login search breadcrumb breadcrumbs widget form".split()
 )
 BAD_OUTSIDE_MAIN = {"header", "masthead", "topbar", "toolbar"}
 UNNAMED = {"html", "body", "main", "article"}
@@ -72,32 +84,68 @@ def _names(values: dict[str, str]) -> tuple[set[str], set[str]]:
 
 class _Blocks(HTMLParser):
     """Blocks of a page in order: (text, characters in links, in a bad container, main container number or 0, number of the
-    container with a bad name or 0)."""
+    container with a bad name or 0). Blocks that are bad whatever they say have no text.
+
+    A page is fed whole, so what has no end in it has none."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, bool, int, int]] = []
+        self.open: list[tuple[str, bool, int, int, bool]] = []
         self.count: Counter = Counter()
         self.mains = self.named = 0
         self.language = ""
         self.parts: list[str] = []
-        self.linked = self.in_link = 0
+        self.linked = self.links = self.in_link = 0
+        self.sections = True
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
-        """Sections that are no HTML end at the next angle bracket."""
+        """Sections that are no HTML end at the next angle bracket, those of character data behind their brackets."""
+        if self.sections and self.rawdata.startswith("<![CDATA[", i):
+            end = self.rawdata.find("]]>", i)
+            if end >= 0:
+                return end + 3
+            self.sections = False
         end = self.rawdata.find(">", i)
         return end + 1 if end >= 0 else -1
 
+    def _or_all(self, end: int) -> int:
+        return end if end >= 0 else len(self.rawdata)
+
+    def parse_starttag(self, i: int) -> int:
+        return self._or_all(super().parse_starttag(i))
+
+    def parse_endtag(self, i: int) -> int:
+        return self._or_all(super().parse_endtag(i))
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        """Comments end at --> or --!>; <!--> and <!---> are whole ones."""
+        found = re.compile("--!?>|(?<=<!--)-?>").search(self.rawdata, i + 4)
+        return found.end() if found else len(self.rawdata)
+
+    def parse_pi(self, i: int) -> int:
+        return self._or_all(super().parse_pi(i))
+
+    def parse_html_declaration(self, i: int) -> int:
+        return self._or_all(super().parse_html_declaration(i))
+
     def _state(self) -> tuple[bool, int, int]:
-        return self.open[-1][1:] if self.open else (False, 0, 0)
+        return self.open[-1][1:4] if self.open else (False, 0, 0)
+
+    def _hidden(self) -> bool:
+        return bool(self.open) and self.open[-1][4]
 
     def _end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append((text, self.linked, *self._state()))
+            bad, main, named = self._state()
+            # prose of an article that is wholly a link is no list of links
+            linked = 0 if main and self.linked >= LONG * self.links else self.linked
+            if bad or linked > LINKS * len(text):
+                text, linked, bad = "", 0, True
+            self.blocks.append((text, linked, bad, main, named))
         self.parts.clear()
-        self.linked = self.in_link = 0
+        self.linked = self.links = self.in_link = 0
 
     def _drop(self, tags: set[str], through: set[str] | None = None) -> None:
         """Close the innermost open element of tags, if no block element outside through lies above it."""
@@ -113,54 +161,84 @@ class _Blocks(HTMLParser):
             if through is not None and tag not in through:
                 return
 
+    def _imply_ends(self, tag: str) -> None:
+        """A block ends an open paragraph, and an item or cell the one before."""
+        self._drop({"p"}, INLINE | {"p"})
+        if tag in SELF_CLOSING:
+            self._drop(SELF_CLOSING[tag], INLINE | {"p"})
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD and self.open and self.open[-1][0] == "head":
+            self._drop({"head"})
+        block = tag not in WITHIN and tag not in HIDDEN
+        if self._hidden() and block and tag not in VOID:
+            self._imply_ends(tag)
+        if self._hidden():
+            if tag not in VOID:
+                self.open.append((tag, *self._state(), True))
+                self.count[tag] += 1
+            return
         if tag in VOID:
             self.parts.append(" ")
             if tag == "hr":
                 self._end_block()
             return
-        block = tag not in INLINE
         values = {k: v or "" for k, v in attrs}
         bad, main, named = self._state()
         if tag == "html":
             found = re.match("[a-z]{2,3}(?![a-z])", values.get("lang", "").strip().lower())
             self.language = found.group() if found else self.language
         whole, names = _names(values)
-        hidden = "hidden" in values or "display:none" in values.get("style", "").replace(" ", "").lower()
-        worse = (
-            tag in HIDDEN or tag in OUTSIDE or hidden or values.get("role", "").lower() in BAD_ROLES
-            or (not main and tag == "header")
+        hidden = tag in HIDDEN or "hidden" in values or "display:none" in values.get("style", "").replace(" ", "").lower()
+        worse = not hidden and (
+            tag in OUTSIDE or values.get("role", "").lower() in BAD_ROLES or (not main and tag == "header")
         )
-        doubted = tag not in UNNAMED and not whole & GOOD_NAMES and (names & BAD_NAMES or (not main and names & BAD_OUTSIDE_MAIN))
+        doubted = not hidden and tag not in UNNAMED and not whole & GOOD_NAMES and (names & BAD_NAMES or (not main and names & BAD_OUTSIDE_MAIN))
         if block or worse or doubted:
             self._end_block()
             if block:
-                self._drop({"p"}, INLINE | {"p"})
-                if tag in SELF_CLOSING:
-                    self._drop(SELF_CLOSING[tag], INLINE | {"p"})
+                self._imply_ends(tag)
                 bad, main, named = self._state()
         elif tag == "a":
             self.in_link += 1
+            self.links += 1
         if not bad and not worse and not main and (tag in MAIN or (block and names & GOOD_NAMES)):
             self.mains += 1
             main = self.mains
         if doubted and not named:
             self.named += 1
             named = self.named
-        self.open.append((tag, bad or bool(worse), main, named))
+        self.open.append((tag, bad or bool(worse), main, named, hidden))
         self.count[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        closes = tag in HIDDEN or tag in FORMULA or self._hidden()
         self.handle_starttag(tag, attrs)
-        if tag in HIDDEN:
+        if closes:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
+        if self._hidden():
+            self._end_hidden(tag)
+            return
         if tag == "a":
             self.in_link = max(0, self.in_link - 1)
-        if tag not in INLINE or self._state()[0] or self._starts_named(tag):
+        if (tag not in WITHIN and tag not in HIDDEN) or self._state()[0] or self._starts_named(tag):
+            self._end_block()
+        self._drop({tag}, WITHIN if tag in WITHIN else None)
+
+    def _end_hidden(self, tag: str) -> None:
+        """An end tag within a hidden element closes one of its elements, itself, or a block around it."""
+        if not self.count[tag]:
+            return
+        i = len(self.open) - 1
+        while i >= 0 and self.open[i][4] and self.open[i][0] != tag:
+            i -= 1
+        if i >= 0 and self.open[i][4]:
+            self._drop({tag})
+        elif tag not in WITHIN:
             self._end_block()
-        self._drop({tag}, INLINE if tag in INLINE else None)
+            self._drop({tag})
 
     def _starts_named(self, tag: str) -> bool:
         """Whether the innermost element is of this tag and the one with the bad name."""
@@ -168,6 +246,8 @@ class _Blocks(HTMLParser):
         return bool(self.open) and self.open[-1][0] == tag and self.open[-1][3] != before
 
     def handle_data(self, data: str) -> None:
+        if self._hidden():
+            return
         self.parts.append(data)
         if self.in_link:
             self.linked += len(data)
@@ -186,7 +266,7 @@ def blocks_of(html: str) -> tuple[str, list[Block]]:
 
 
 def _words(text: str) -> list[str]:
-    return [w.strip(".,;:!?") for w in text.lower().split()]
+    return [w.strip(MARKS) for w in text.lower().split()]
 
 
 def first_pass(text: str, linked: int, bad: bool, main: int, stops: frozenset[str] | None) -> bool | None:
@@ -198,7 +278,7 @@ def first_pass(text: str, linked: int, bad: bool, main: int, stops: frozenset[st
     if main or stops is None:
         return True
     words = _words(text)
-    return sum(w in stops for w in words) >= STOPS * len(words)
+    return sum(map(stops.__contains__, words)) >= STOPS * len(words)
 
 
 def second_pass(first: list[bool | None], mains: list[int]) -> list[bool]:
@@ -233,9 +313,12 @@ def _doubted(blocks: list[Block], first: list[bool | None]) -> set[int]:
 
 
 def main_text(html: str | None) -> str:
-    """The page's main text: good blocks, one a line. Null and empty pages have none."""
+    """The page's main text: good blocks, one a line. Null and empty pages have none.
+
+    One page does not tell the frequent words of a language beyond the fixed lists: length and link density decide there.
+    """
     language, blocks = blocks_of(html or "")
-    return text_of(blocks, language, {})
+    return text_of(blocks, language, {} if language in FIXED else {language: None} if language else {})
 
 
 def text_of(blocks: list[Block], language: str, frequent: dict[str, frozenset[str] | None]) -> str:
@@ -261,24 +344,30 @@ def frequent_words(blocks: DataFrame) -> dict[str, frozenset[str] | None]:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, Counter] = {}
         for batch in batches:
-            seen: dict[str, Counter] = {}
             for lang, texts, linked, bad in zip(*(batch.column(c).to_pylist() for c in ("lang", "texts", "linked", "bad")), strict=True):
                 own = seen.setdefault(lang, Counter())
                 for t, n, b in zip(texts, linked, bad, strict=True):
                     if not b and len(t) >= LONG and n <= LINKS * len(t):
-                        own.update(w if len(w) <= WORD else "" for w in _words(t))
-            rows = [(lang, w, n) for lang, own in seen.items() for w, n in own.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names) if rows else empty
+                        own.update(t.lower().split())
+            if sum(map(len, seen.values())) > HELD:
+                yield handed(seen)
+                seen = {}
+        yield handed(seen)
+
+    def handed(seen: dict[str, Counter]) -> pa.RecordBatch:
+        rows = [(lang, w.strip(MARKS), n) for lang, own in seen.items() for w, n in own.items()]
+        columns = zip(*((lang, w if len(w) <= WORD else "", n) for lang, w, n in rows), strict=True) if rows else [[]] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     names, kinds = ["lang", "word", "n"], [pa.string(), pa.string(), pa.int64()]
-    empty = pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds], names)
     counts = blocks.select("lang", "texts", "linked", "bad").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "html-words")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     whole = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    # bounded: 1 / FREQUENT words a language
-    often = counts.join(whole, "lang").where((F.col("n") >= FREQUENT * F.col("total")) & (F.col("word") != "")).select("lang", "word", "n").collect()
+    # bounded: 1 / FREQUENT words a language of which there is evidence
+    often = counts.join(whole, "lang").where((F.col("total") >= EVIDENCE) & (F.col("n") >= FREQUENT * F.col("total")) & (F.col("word") != "")).select("lang", "word", "n").collect()
     out: dict[str, frozenset[str] | None] = {}
     every = set(STOP_WORDS)
     by_lang: dict[str, dict[str, int]] = {lang: {} for lang in totals}
