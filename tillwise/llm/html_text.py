@@ -362,12 +362,17 @@ def frequent_words(blocks: DataFrame) -> dict[str, frozenset[str] | None]:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     names, kinds = ["lang", "word", "n"], [pa.string(), pa.string(), pa.int64()]
+    # a block's words lie one space apart; so the sums need no table of all words
+    block = blocks.select("lang", F.explode(F.arrays_zip("texts", "linked", "bad")).alias("b")).select("lang", "b.*")
+    size = F.length("texts")
+    long = block.where(~F.col("bad") & (size >= LONG) & (F.col("linked") <= LINKS * size))
+    # bounded: a row for each name of two or three letters
+    totals = {r["lang"]: r["n"] for r in long.groupBy("lang").agg(F.sum(F.size(F.split("texts", " "))).alias("n")).collect()}
+    evident = [(lang, n) for lang, n in totals.items() if n >= EVIDENCE]
     counts = blocks.select("lang", "texts", "linked", "bad").mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "html-words")
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    whole = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    whole = F.broadcast(blocks.sparkSession.createDataFrame(evident, "lang string, total long"))
     # bounded: 1 / FREQUENT words a language of which there is evidence
-    often = counts.join(whole, "lang").where((F.col("total") >= EVIDENCE) & (F.col("n") >= FREQUENT * F.col("total")) & (F.col("word") != "")).select("lang", "word", "n").collect()
+    often = counts.join(whole, "lang").where((F.col("n") >= FREQUENT * F.col("total")) & (F.col("word") != "")).select("lang", "word", "n").collect()
     out: dict[str, frozenset[str] | None] = {}
     every = set(STOP_WORDS)
     by_lang: dict[str, dict[str, int]] = {lang: {} for lang in totals}
