@@ -1,10 +1,12 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from tillwise.functions import geo
 from tillwise.operators import quality
 from tillwise.schemas import DATASETS, FOREIGN_KEYS, PRIMARY_KEYS
-from tillwise.session import scratch_path
+from tillwise.session import discard, materialize, scratch_path
 from tillwise.sources import files, relational
 from tillwise.sources.manifests import Manifests
 from tillwise.sources.model import CommerceTables
@@ -175,3 +177,13 @@ def test_geo_defaults_to_zero(spark):
     states = spark.createDataFrame([("SP",), ("??",)], "state string")
     got = {r["state"]: (r["lat"], r["lon"]) for r in geo.with_coordinates(states, geo.coordinates(spark)).collect()}
     assert got == {"SP": (-22.2, -48.8), "??": (0.0, 0.0)} and len(geo.STATE_COORDINATES) == 27
+
+
+def test_scratch_tables_are_deleted_when_told(spark):
+    first = materialize(spark.range(5), "first")
+    second = materialize(first.where("id > 2"), "second")
+    folder = Path(first.inputFiles()[0].removeprefix("file:").removeprefix("//")).parent
+    assert folder.exists()
+    discard(first, spark.range(1))
+    assert not folder.exists() and second.count() == 2
+    discard(first)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +23,8 @@ SCALE_SETTINGS = {
 }
 
 _local_scratch: str | None = None
+#: Folders of the tables that materialize wrote, as long as somebody holds the table.
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
@@ -74,8 +77,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _written[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialize wrote, once everything that reads them is written itself."""
+    for table in tables:
+        spark, path = table.sparkSession, _written.pop(table, None)
+        if path is not None:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def packed(df: DataFrame, rows: int = 10_000) -> DataFrame:
