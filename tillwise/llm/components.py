@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.session import materialize
+from tillwise.session import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -43,7 +43,9 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
     while True:
-        now = materialize(_small_star(_large_star(now)), label)
+        before, now = now, materialize(_small_star(_large_star(now)), label)
+        # the first round reads the caller's edges, which discard leaves alone
+        discard(before)
         if not _open_nodes(now):
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(

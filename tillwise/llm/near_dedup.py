@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tillwise.llm.common import as_bytes, small_batches
 from tillwise.llm.components import connected_components
 from tillwise.llm.word_hashes import word_hashes
-from tillwise.session import materialize
+from tillwise.session import discard, materialize
 
 SHINGLE = 5
 PERCENT = 75
@@ -180,7 +180,8 @@ def _verified(pairs: DataFrame, reps: DataFrame, percent: int, sets: DataFrame |
     shared = F.when(common == 0, 0).otherwise(F.size(F.array_intersect(union, F.array_intersect("sa", "sb"))))
     likely = pairs.join(left, "a").join(right, "b").where(shared >= SKETCH_SHARE * F.size(union)).select("a", "b")
     likely = materialize(likely, "near-likely")
-    if sets is None:
+    own_sets = sets is None
+    if own_sets:
         nodes = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         sets = materialize(full_sets(docs, nodes.join(reps.select("node", "doc_id"), "node"), width), "near-sets")
     both = likely.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
@@ -188,7 +189,9 @@ def _verified(pairs: DataFrame, reps: DataFrame, percent: int, sets: DataFrame |
     )
     inter = F.size(F.array_intersect("sa", "sb"))
     linked = both.where(100 * inter >= percent * (F.size("sa") + F.size("sb") - inter))
-    return materialize(linked.select("a", "b"), "near-links")
+    links = materialize(linked.select("a", "b"), "near-links")
+    discard(likely, *([sets] if own_sets else []))
+    return links
 
 
 def near_duplicates(
@@ -227,18 +230,22 @@ def near_duplicates(
         F.col("lead.node").alias("a"), F.col("node").alias("b")
     )
     pairs = materialize(short_pairs.union(few_pairs).union(stars).distinct(), "near-pairs")
+    discard(members, keyed)
     links = _verified(pairs, reps, percent, None, docs, width)
+    discard(pairs)
     found = connected_components(links, "near-components")
 
     members = materialize(_open_members(large.select("key", "node", "n"), found), "near-open")
+    discard(large)
     if members.limit(1).count():
         nodes = members.select("node").distinct().join(reps.select("node", "doc_id"), "node")
         sets = materialize(full_sets(docs, nodes, width), "near-open-sets")
         able = members.join(_common_counts(sets), "node").where(100 * F.col("common") >= percent * F.col("n"))
         able = materialize(able, "near-able")
-        led = _verified(materialize(_to_leaders(able, percent), "near-pairs"), reps, percent, sets, docs, width)
-        able = _still_outside(able, led, found)
-        rest = materialize(_outside_links(able, sets, percent), "near-links")
+        pairs = materialize(_to_leaders(able, percent), "near-pairs")
+        led = _verified(pairs, reps, percent, sets, docs, width)
+        rest = materialize(_outside_links(_still_outside(able, led, found), sets, percent), "near-links")
+        discard(sets, able, pairs)
         found = connected_components(links.union(led).union(rest), "near-components")
 
     ids = reps.join(found.withColumnRenamed("component", "root"), "node", "left").select(
