@@ -54,3 +54,26 @@ def test_clusters(spark):
     assert got.count() == segments.count()
     means = {r[0]: r[1] for r in got.groupBy("cluster_label").agg(F.avg(F.col("monetary").cast("double"))).collect()}
     assert means["Cluster_1_High"] >= means["Cluster_2_Mid"] >= means["Cluster_3_Low"]
+
+
+def test_churn_metrics_fit_only_the_folds(features, monkeypatch):
+    """The metrics query fits one model per fold, no refit on all rows, with CrossValidator's figures."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    training = churn._stratified(churn._training(features, churn.FEATURES), 3, 42)
+    search = CrossValidator(
+        estimator=Pipeline(stages=[*churn._stages(churn.FEATURES), churn.boosted_model(trees=5)]),
+        estimatorParamMaps=ParamGridBuilder().build(),
+        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
+        numFolds=3,
+        foldCol="_part",
+    ).fit(training)
+    fits, real = [], Pipeline._fit
+    monkeypatch.setattr(Pipeline, "_fit", lambda self, df: fits.append(1) or real(self, df))
+    row = churn.churn_metrics(features, trees=5, folds=3, parallelism=3).first()
+    assert len(fits) == 3
+    assert row["cv_auc_mean"] == round(search.avgMetrics[0], 3)
+    assert row["cv_auc_std"] == round(search.stdMetrics[0], 3)
+    assert row["churn_rate"] == 0.4 and row["customers"] == 400
