@@ -187,3 +187,25 @@ def test_scratch_tables_are_deleted_when_told(spark):
     discard(first, spark.range(1))
     assert not folder.exists() and second.count() == 2
     discard(first)
+
+
+def test_bucketed_copies_get_more_buckets_as_the_tables_grow(spark, tmp_path):
+    from tillwise.sources.star import BucketedCommerce
+
+    orders = spark.range(2000).selectExpr(
+        "id AS o_orderkey", "id % 50 AS o_custkey", "'F' AS o_orderstatus", "CAST(id AS DOUBLE) AS o_totalprice",
+        "DATE'1995-01-01' + CAST(id % 300 AS INT) AS o_orderdate", "'1-URGENT' AS o_orderpriority",
+    )
+    items = orders.selectExpr(
+        "o_orderkey AS l_orderkey", "o_orderkey % 7 AS l_partkey", "o_orderkey % 3 AS l_suppkey", "1 AS l_linenumber",
+        "1.0 AS l_quantity", "o_totalprice AS l_extendedprice", "0.0 AS l_discount", "0.05 AS l_tax",
+        "'N' AS l_returnflag", "'F' AS l_linestatus", "o_orderdate AS l_shipdate",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    items.write.parquet(str(tmp_path / "lineitem.parquet"))
+    stored = sum(p.stat().st_size for p in tmp_path.rglob("*.parquet") if p.is_file())
+    tables = BucketedCommerce(spark, str(tmp_path), bucket_bytes=stored // 40)
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {tables._copies['lineitem']}").collect()
+    assert int(next(r.data_type for r in details if r.col_name == "Num Buckets")) >= 40
+    assert tables.raw("lineitem").count() == 2000
+    assert tables.orders_with_items().where("order_delivered_customer_date IS NOT NULL").count() == 2000

@@ -229,11 +229,15 @@ class BucketedCommerce(Commerce):
     """The commerce tables over copies of orders and items that are bucketed and sorted by order.
 
     The copies are written once; every fold and join by order_id after that reads a bucket where it lies, without an
-    exchange. The number of buckets should keep a bucket below the memory of a task.
+    exchange. The number of buckets should keep a bucket below the memory of a task: without a number, there are 16
+    or more, one for each `bucket_bytes` of the stored orders and items, so a bucket stays the same size as they grow.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, buckets: int = 16) -> None:
+    def __init__(self, spark: SparkSession, folder: str, buckets: int | None = None, bucket_bytes: int = 8 << 20) -> None:
         super().__init__(spark, folder)
+        if buckets is None:
+            stored = sum(self._stored_bytes(name) for name in ("orders", "lineitem"))
+            buckets = max(16, -(-stored // bucket_bytes))
         self._copies = {}
         for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
             table = f"by_order_{name}_{uuid.uuid4().hex}"
@@ -242,3 +246,8 @@ class BucketedCommerce(Commerce):
 
     def raw(self, table: str) -> DataFrame:
         return self.spark.table(self._copies[table]) if table in self._copies else super().raw(table)
+
+    def _stored_bytes(self, table: str) -> int:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}.parquet")
+        store = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return int(store.getContentSummary(path).getLength())
