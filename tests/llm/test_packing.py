@@ -109,3 +109,12 @@ def test_cutting_stock_is_near_its_bound():
     # 970 of 45 + 34 + 21, 2565 of 34 + 34 + 21 and 104 of four 21 hold everything
     assert sum(t for _, t in bins) <= 970 + 2565 + 104
     assert cutting_stock.plan(np.zeros(100, np.int64), 100) == []
+
+
+def test_one_tokenization_gives_both_cuts(spark):
+    texts = [None, "a b", " ".join(f"word{i}" for i in range(1500)), "the " * 700]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    both = packing.pieces(docs, PATH, 2, both=True).collect()
+    for fine in (False, True):
+        alone = packing.pieces(docs, PATH, 2, fine=fine).collect()
+        assert sorted(tuple(r)[:-1] for r in both if r["fine"] == fine) == sorted(tuple(r) for r in alone)

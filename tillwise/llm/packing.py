@@ -41,12 +41,15 @@ def cuts(n: int, capacity: int, fine: bool) -> list[tuple[int, int]]:
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, keep_ids: bool = True, fine: bool = False
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, keep_ids: bool = True, fine: bool = False,
+    both: bool = False,
 ) -> DataFrame:
     """Cut every document: (doc_id, start, length, ids_crc32, doc_tokens, ids); ids are null without keep_ids.
 
     Null and empty texts are the end id alone. Rows are cut each for itself, also with a null or repeated doc_id.
+    With both, each document is tokenized once and cut both ways, and a last column fine tells the cuts apart.
     """
+    kinds = (False, True) if both else (fine,)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
@@ -54,16 +57,19 @@ def pieces(
             out = []
             for doc_id, ids in zip(b.column("doc_id").to_pylist(), own.encode(as_bytes(b.column("text"))), strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                for start, end in cuts(len(ids), capacity, fine):
-                    cut = ids[start:end]
-                    out.append((doc_id, start, len(cut), zlib.crc32(cut.tobytes()), len(ids), cut if keep_ids else None))
+                for kind in kinds:
+                    for start, end in cuts(len(ids), capacity, kind):
+                        cut = ids[start:end]
+                        row = (doc_id, start, len(cut), zlib.crc32(cut.tobytes()), len(ids), cut if keep_ids else None)
+                        out.append((*row, kind) if both else row)
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema, strict=True)], schema=schema)
 
     schema = pa.schema(
         [(x, pa.int64()) for x in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")] + [("ids", pa.list_(pa.int32()))]
+        + ([("fine", pa.bool_())] if both else [])
     )
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>"
+        run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids array<int>" + (", fine boolean" if both else "")
     )
 
 
@@ -152,11 +158,11 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
-    """Pieces of all documents with their places."""
-    cut = materialize(pieces(docs, tokenizer, end_id, capacity, keep_ids), "packing-pieces")
-    slim = cut if keep_ids else cut.drop("ids")
+    """Pieces of all documents with their places; the texts are tokenized once, for either cut."""
+    cut = materialize(pieces(docs, tokenizer, end_id, capacity, keep_ids, both=True), "packing-pieces")
+    coarse, finer = (cut.where(F.col("fine") == kind).drop("fine") for kind in (False, True))
+    slim = coarse if keep_ids else coarse.drop("ids")
     plan = Plan(slim, capacity)
     if plan.padding <= PADDING:
         return pack(slim, capacity, plan=plan)
-    cut = materialize(pieces(docs, tokenizer, end_id, capacity, keep_ids, fine=True), "packing-pieces")
-    return pack_fine(cut if keep_ids else cut.drop("ids"), capacity)
+    return pack_fine(finer if keep_ids else finer.drop("ids"), capacity)
