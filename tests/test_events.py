@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +189,90 @@ def test_a_quiet_key_is_forgotten(spark):
     assert got == {1: 0, 9: 0, 2: 0}
 
 
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_customers_of_a_bucket_are_scored_apart(spark, buckets):
+    """Also events without a customer, which have a history of their own, and a customer with the id that stands for them."""
+    rng = np.random.default_rng(5)
+    rows = [
+        (i, START + dt.timedelta(seconds=int(rng.integers(0, 900))), int(rng.integers(0, 40)), "a", Decimal(int(rng.integers(1, 90))))
+        for i in range(500)
+    ]
+    rows = [(i, ts, None if i % 9 == 0 else customer, c, v) for i, ts, customer, c, v in rows]
+    out = scored(spark, spark.createDataFrame(rows, SCHEMA), history=5, span_ms=100_000, buckets=buckets)
+    assert sorted((r["event_id"], r["customer_id"]) for r in out if r["customer_id"] is not None) == [r[:3:2] for r in rows if r[2] is not None]
+    want = brute_scores([(i, ts, -1 if customer is None else customer, c, v) for i, ts, customer, c, v in rows])
+    assert len(out) == len(rows)
+    for r in out:
+        assert r["z_score"] == pytest.approx(want[r["event_id"]], abs=0.0006)
+
+
+class Calls:
+    """A handle that keeps states in dictionaries and counts the calls."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, []
+
+    def __getattr__(self, name):
+        def state(*_):
+            self.calls += 1
+            rows, calls = {}, self
+
+            class State:
+                def __getattr__(self, call):
+                    calls.calls += 1
+                    return {
+                        "exists": lambda: None in rows, "get": lambda: rows[None], "update": lambda v: rows.update({None: v}), "clear": rows.clear,
+                        "getValue": rows.get, "updateValue": rows.__setitem__, "removeKey": rows.pop,
+                    }[call]
+
+            return State()
+
+        return state
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+
+def test_state_calls_do_not_grow_with_customers():
+    found = []
+    for customers in (3, 3000):
+        handle, processor = Calls(), scoring._processor(5, 2.5, 10_000, 1_000)
+        processor.init(handle)
+        n = 2 * customers
+        frame = pd.DataFrame(
+            {"customer": np.arange(n) % customers, "event_id": np.arange(n), "named": True, "revenue": 5.0,
+             "ts": pd.to_datetime(np.where(np.arange(n) < customers, 100, 200), unit="ms")}
+        )
+        assert list(processor.handleInputRows((0, False), iter([frame]), None)) == []
+        late = type("Late", (), {"getCurrentWatermarkInMs": lambda self: 1_000})()
+        out = pd.concat(processor.handleExpiredTimer((0, False), late, None))
+        assert sorted(out["history_count"]) == [0] * customers + [1] * customers
+        assert handle.timers == [1_000, 10_200] and len(processor._past().customers) == customers
+        late = type("Late", (), {"getCurrentWatermarkInMs": lambda self: 10_200})()
+        assert list(processor.handleExpiredTimer((0, False), late, None)) == [] and not processor.newest.exists()
+        found.append(handle.calls)
+    assert found[0] == found[1] < 40
+
+
+def test_one_quiet_customer_of_a_bucket_is_forgotten():
+    handle, processor = Calls(), scoring._processor(5, 2.5, 10_000, 1_000)
+    processor.init(handle)
+
+    def feed(rows, now):
+        frame = pd.DataFrame([(c, e, True, 5.0, pd.Timestamp(ms, unit="ms")) for c, e, ms in rows], columns=["customer", "event_id", "named", "revenue", "ts"])
+        list(processor.handleInputRows((0, False), iter([frame]), None))
+        late = type("Late", (), {"getCurrentWatermarkInMs": lambda self: now})()
+        return {e: n for out in processor.handleExpiredTimer((0, False), late, None) for e, n in zip(out["event_id"], out["history_count"], strict=True)}
+
+    assert feed([(1, 10, 0), (2, 20, 0), (2, 21, 9_000)], 9_500) == {10: 0, 20: 0}
+    # customer 1 is quiet, customer 2 still has an event that waits
+    assert feed([(3, 30, 11_000)], 9_999) == {}
+    assert feed([(3, 31, 11_001)], 10_000) == {21: 1}
+    assert processor._past().customers.tolist() == [2]
+    assert feed([(1, 11, 12_000), (2, 22, 12_000)], 13_000) == {30: 0, 31: 1, 11: 0, 22: 2}
+
+
 def test_scores_of_large_revenues_are_exact():
     """Beyond 64 bits the sums are whole numbers of any size; a deviation of cents among billions is seen."""
     values = np.array([9e12, 9e12 + 0.01, 9e12 + 0.02, 9e12 + 0.05])
