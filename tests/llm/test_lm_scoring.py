@@ -53,6 +53,42 @@ def test_no_token_sees_itself_or_later_ones(monkeypatch):
     assert np.allclose(scores(x)[:40], scores(y)[:40]) and not np.allclose(scores(x)[41:], scores(y)[41:])
 
 
+def test_products_taken_once_a_class_give_the_same_attention():
+    rng = np.random.default_rng(9)
+    params = attention.initial(np.full(64, 1 / 64))
+    lengths = np.array([50, 3, 1, 200])
+    doc, first, _ = attention.windows(lengths)
+    x, real, *_ = attention.gather(rng.integers(0, 64, 254), np.cumsum(lengths) - lengths, lengths, doc, first, 64)
+    assert np.allclose(attention._top(params, x, real), attention._forward(params, x, real)[-1], atol=1e-5)
+
+
+def test_targets_of_few_groups_leave_the_others_alone():
+    rng = np.random.default_rng(10)
+    params = attention.initial(np.full(64, 1 / 64))
+    lengths = np.array([40])
+    doc, first, _ = attention.windows(lengths)
+    parts = attention.gather(np.resize([8, 9, 63], 40), np.array([0]), lengths, doc, first, 64)
+    grads = attention.gradients(params, *parts)
+    assert [g for g in range(8) if grads["inner"][g].any() or grads["inner_bias"][g].any()] == [1, 7]
+    assert np.flatnonzero(grads["embed"].any(1)).tolist() == [8, 9, 63, 64]
+    for i in rng.permutation(8):
+        order = rng.permutation(40)[: i + 1]
+        found, ranges = attention._sorted_by(order % 8, 8)
+        assert sorted(found) == list(range(len(order))) and all((order[found[a:b]] % 8 == g).all() and a < b for g, a, b in ranges)
+
+
+def test_parameters_are_updated_in_place():
+    start = attention.initial(np.full(64, 1 / 64))
+    adam, rng = attention.Adam(attention.unflat(attention.flat(start), 64), 0.01), np.random.default_rng(11)
+    m = v = 0.0
+    for step in (1, 2, 3):
+        grads = {k: rng.standard_normal(x.shape).astype(np.float32) for k, x in start.items()}
+        m, v = 0.9 * m + 0.1 * grads["out"], 0.99 * v + 0.01 * grads["out"] ** 2
+        start["out"] = start["out"] - 0.01 * (m / (1 - 0.9**step) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8))
+        adam.update(grads)
+        assert np.allclose(adam.params["out"], start["out"], atol=1e-6) and np.shares_memory(adam.params["out"], adam.vector)
+
+
 def corpus():
     rng = np.random.default_rng(4)
     docs = [(i, " ".join(rng.choice(["the cat", "a Dog", "sat on", "mat.", "RUNS"], 40))) for i in range(120)]

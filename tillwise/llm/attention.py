@@ -85,86 +85,141 @@ def _softmax(logits: np.ndarray, mask: np.ndarray | None = None) -> np.ndarray:
     np.exp(logits, out=logits)
     if mask is not None:
         logits *= mask
-    logits /= (logits @ np.ones(logits.shape[-1], logits.dtype))[..., None]
+    rows = logits.reshape(-1, logits.shape[-1])
+    rows /= (rows @ np.ones(rows.shape[1], rows.dtype))[:, None]
     return logits
 
 
+def _attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    s = (q / q.dtype.type(WIDTH**0.5)) @ k.transpose(0, 2, 1)
+    a = _softmax(s, _PAST if real.all() else _PAST & real[:, None, :] | ~real[:, -STEP:, None])
+    return a, a @ v
+
+
 def _forward(p: Params, x: np.ndarray, real: np.ndarray):
-    h = p["embed"][x]
+    h = p["embed"].take(x, 0)
     h += p["place"]
     ask = h[:, -STEP:]
     q, k, v = ask @ p["query"], h @ p["key"], h @ p["value"]
-    s = q @ k.transpose(0, 2, 1)
-    s /= np.float32(WIDTH**0.5)
-    a = _softmax(s, _PAST & real[:, None, :] | ~real[:, -STEP:, None])
-    return h, ask, q, k, v, a, ask + a @ v
+    a, seen = _attend(q, k, v, real)
+    return h, ask, q, k, v, a, ask + seen
+
+
+def _top(p: Params, x: np.ndarray, real: np.ndarray) -> np.ndarray:
+    """The last of _forward's results, for many windows: the products of every class and place are taken once."""
+    names = ("query", "key", "value")
+    classes, places = ([p[k], *(p[k] @ p[n] for n in names)] for k in ("embed", "place"))
+    out = np.empty((len(x), STEP, WIDTH), p["embed"].dtype)
+    # few windows at a time, whose parts then stay in a processor's cache
+    for i in range(0, len(x), PART):
+        part, own = x[i : i + PART], x[i : i + PART, -STEP:]
+        ask, q = (classes[j].take(own, 0) + places[j][-STEP:] for j in (0, 1))
+        k, v = (classes[j].take(part, 0) + places[j] for j in (2, 3))
+        np.add(ask, _attend(q, k, v, real[i : i + PART])[1], out=out[i : i + PART])
+    return out
+
+
+def _sorted_by(group: np.ndarray, groups: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The rows in the order of their groups, and each group that occurs with its first row and the one after its last."""
+    ends = np.cumsum(np.bincount(group, minlength=groups)).tolist()
+    order = np.argsort(group.astype(np.int16), kind="stable")
+    return order, [(g, a, b) for g, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if a < b]
+
 
+def _with_bias(p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Weights with the biases as a last row, for inputs with a last column of ones."""
+    return np.concatenate([p["out"], p["bias"][None]]), np.concatenate([p["inner"], p["inner_bias"][:, None]], 1)
 
-def _by_group(group: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Each group with the rows whose target is in it."""
-    order = np.argsort(group, kind="stable")
-    found, starts = np.unique(group[order], return_index=True)
-    return list(zip(found.tolist(), np.split(order, starts[1:]), strict=True))
+
+def _with_one(top: np.ndarray) -> np.ndarray:
+    return np.concatenate([top, np.ones((len(top), 1), top.dtype)], 1)
+
+
+def _inner_shares(tops: np.ndarray, inner: np.ndarray, parts: list[tuple[int, int, int]]) -> np.ndarray:
+    """Of rows in the order of their groups the shares within the group."""
+    logits = np.empty((len(tops), inner.shape[2]), tops.dtype)
+    for g, a, b in parts:
+        np.matmul(tops[a:b], inner[g], out=logits[a:b])
+    return _softmax(logits)
 
 
 def log_shares(p: Params, x: np.ndarray, real: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log probability of each target class."""
-    # few windows at a time for the attention, whose parts then stay in a processor's cache, many for the groups
-    parts = [_forward(p, x[i : i + PART], real[i : i + PART])[-1] for i in range(0, len(x), PART)]
-    top = np.concatenate(parts).reshape(-1, p["out"].shape[0])
-    group, member = np.divmod(target.ravel(), p["inner_bias"].shape[1])
-    share = _softmax(top @ p["out"] + p["bias"])[np.arange(len(top)), group]
-    for g, rows in _by_group(group):
-        inner = _softmax(top[rows] @ p["inner"][g] + p["inner_bias"][g])
-        share[rows] *= inner[np.arange(len(rows)), member[rows]]
+    top, (out, inner) = _with_one(_top(p, x, real).reshape(-1, p["out"].shape[0])), _with_bias(p)
+    group, member = np.divmod(target.ravel(), inner.shape[2])
+    order, parts = _sorted_by(group, len(inner))
+    tops, rows = top.take(order, 0), np.arange(len(top))
+    share = np.empty(len(top), top.dtype)
+    share[order] = _softmax(tops @ out)[rows, group[order]] * _inner_shares(tops, inner, parts)[rows, member[order]]
     return np.log(np.maximum(share, 1e-30)).reshape(target.shape)
 
 
 def gradients(p: Params, x: np.ndarray, real: np.ndarray, target: np.ndarray, valid: np.ndarray) -> Params:
     """Gradients of the mean cross entropy over the valid targets."""
     h, ask, q, k, v, a, top = _forward(p, x, real)
-    width = top.shape[2]
-    flat_top, weight = top.reshape(-1, width), valid.ravel() / top.dtype.type(max(1, valid.sum()))
+    width, kind = top.shape[2], top.dtype.type
     group, member = np.divmod(target.ravel(), p["inner_bias"].shape[1])
-    d = _softmax(flat_top @ p["out"] + p["bias"])
-    d[np.arange(len(d)), group] -= 1
-    d *= weight[:, None]
-    out = {"out": flat_top.T @ d, "bias": d.sum(0), "inner": np.zeros_like(p["inner"]), "inner_bias": np.zeros_like(p["inner_bias"])}
-    d_top = d @ p["out"].T
-    for g, rows in _by_group(group):
-        d = _softmax(flat_top[rows] @ p["inner"][g] + p["inner_bias"][g])
-        d[np.arange(len(rows)), member[rows]] -= 1
-        d *= weight[rows, None]
-        out["inner"][g], out["inner_bias"][g] = flat_top[rows].T @ d, d.sum(0)
-        d_top[rows] += d @ p["inner"][g].T
-    d_top = d_top.reshape(top.shape)
+    order, parts = _sorted_by(group, len(p["inner"]))
+    tops, (out, inner) = _with_one(top.reshape(-1, width).take(order, 0)), _with_bias(p)
+    rows, weight = np.arange(len(tops)), (valid.ravel()[order] / kind(max(1, valid.sum())))[:, None]
+    d = _softmax(tops @ out)
+    d[rows, group[order]] -= 1
+    d *= weight
+    d_out, d_tops = tops.T @ d, d @ p["out"].T
+    d = _inner_shares(tops, inner, parts)
+    d[rows, member[order]] -= 1
+    d *= weight
+    d_inner, back = np.zeros_like(inner), np.empty_like(d_tops)
+    for g, i, j in parts:
+        np.matmul(tops[i:j].T, d[i:j], out=d_inner[g])
+        np.matmul(d[i:j], p["inner"][g].T, out=back[i:j])
+    d_tops += back
+    d_top = np.empty_like(top)
+    d_top.reshape(-1, width)[order] = d_tops
     d_a = d_top @ v.transpose(0, 2, 1)
-    d_s = a * (d_a - (d_a * a).sum(2, keepdims=True)) / top.dtype.type(width**0.5)
+    d_a -= np.einsum("ijk,ijk->ij", d_a, a)[..., None]
+    d_a *= a
+    d_s = d_a / kind(width**0.5)
     d_q, d_k, d_v = d_s @ k, d_s.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ d_top
-    d_h = d_k @ p["key"].T + d_v @ p["value"].T
+    d_h = d_k @ p["key"].T
+    d_h += d_v @ p["value"].T
     d_h[:, -STEP:] += d_top + d_q @ p["query"].T
-    d_h *= real[..., None]
-    embed = np.zeros_like(p["embed"])
-    order = np.argsort(x.ravel(), kind="stable")
-    found, starts = np.unique(x.ravel()[order], return_index=True)
-    embed[found] = np.add.reduceat(d_h.reshape(-1, width)[order], starts)
+    if not real.all():
+        d_h *= real[..., None]
+    seen, classes = x.ravel(), len(p["embed"])
+    embed = np.stack([np.bincount(seen, column, classes) for column in d_h.reshape(-1, width).T], 1).astype(kind)
     flat_ask, flat_h = ask.reshape(-1, width), h.reshape(-1, width)
-    return out | {
+    return {
+        "out": d_out[:-1], "bias": d_out[-1], "inner": d_inner[:, :-1], "inner_bias": d_inner[:, -1],
         "embed": embed, "place": d_h.sum(0), "query": flat_ask.T @ d_q.reshape(-1, width),
         "key": flat_h.T @ d_k.reshape(-1, width), "value": flat_h.T @ d_v.reshape(-1, width),
     }
 
 
 class Adam:
+    """All parameters lie in one vector, which is updated in place; params are views of it."""
+
     def __init__(self, params: Params, rate: float):
-        self.params, self.rate, self.step = params, rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in params.items()}
-        self.v = {k: np.zeros_like(v) for k, v in params.items()}
+        self.vector, self.rate, self.step = flat(params), rate, 0
+        self.params, at = {}, 0
+        for k in NAMES:
+            self.params[k] = self.vector[at : at + params[k].size].reshape(params[k].shape)
+            at += params[k].size
+        self.m, self.v = np.zeros_like(self.vector), np.zeros_like(self.vector)
 
     def update(self, grads: Params) -> None:
         self.step += 1
-        for k, g in grads.items():
-            self.m[k] = 0.9 * self.m[k] + 0.1 * g
-            self.v[k] = 0.99 * self.v[k] + 0.01 * g * g
-            up = self.m[k] / (1 - 0.9**self.step) / (np.sqrt(self.v[k] / (1 - 0.99**self.step)) + 1e-8)
-            self.params[k] = (self.params[k] - self.rate * up).astype(np.float32)
+        g = flat(grads)
+        squares = 0.01 * g
+        squares *= g
+        self.v *= 0.99
+        self.v += squares
+        g *= 0.1
+        self.m *= 0.9
+        self.m += g
+        down = np.sqrt(np.divide(self.v, 1 - 0.99**self.step, out=squares), out=squares)
+        down += 1e-8
+        up = np.divide(self.m, 1 - 0.9**self.step, out=g)
+        up /= down
+        up *= self.rate
+        self.vector -= up

@@ -37,8 +37,9 @@ SHARD_BITS = 20
 #: Vectors added up at once.
 ADDED = 16
 CLASSES, OWN_CLASS = 1024, 960
-#: Rounds of averaging, which share out the windows; windows of a step.
+#: Rounds of averaging, which share out the windows; windows of a step; steps whose windows are gathered at once.
 ROUNDS, BATCH, RATE = 3, 64, 0.015
+GATHERED = 16
 #: Windows scored at once.
 SCORED = 720
 BLOCK = (
@@ -271,9 +272,11 @@ def _train(blocks: DataFrame, n_blocks: int, class_of: np.ndarray, start: np.nda
                     continue
                 adam = attention.Adam(attention.unflat(start, classes), RATE / (1 + round_))
                 x, starts = class_of[_unpack(row["ids"], np.uint32)], np.cumsum(n) - n
-                for i in range(0, len(taken), BATCH):
-                    t = taken[i : i + BATCH]
-                    adam.update(attention.gradients(adam.params, *attention.gather(x, starts, n, doc[t], first[t], classes)))
+                for i in range(0, len(taken), GATHERED * BATCH):
+                    t = taken[i : i + GATHERED * BATCH]
+                    gathered = attention.gather(x, starts, n, doc[t], first[t], classes)
+                    for j in range(0, len(t), BATCH):
+                        adam.update(attention.gradients(adam.params, *(g[j : j + BATCH] for g in gathered)))
                 total[:-1] += attention.flat(adam.params).astype(float) * len(taken)
                 total[-1] += len(taken)
         if total[-1]:
