@@ -39,6 +39,32 @@ def test_matches_brute_force(spark):
     assert got == want
 
 
+def test_shared_values_are_counted_some_columns_at_a_time(monkeypatch):
+    monkeypatch.setattr(near_dedup, "COLUMNS", 7)
+    rng = np.random.default_rng(3)
+    sides = [[rng.permutation(60)[: rng.integers(1, 40)] - 20 for _ in range(n)] for n in (9, 4)]
+    x, y = ((np.array([len(s) for s in side]), np.concatenate(side)) for side in sides)
+    assert near_dedup._intersections(x, y).tolist() == [[len(np.intersect1d(a, b)) for b in sides[1]] for a in sides[0]]
+    assert not near_dedup._intersections((np.array([2]), np.array([1, 2])), (np.array([1]), np.array([3]))).any()
+
+
+def test_members_outside_meet_all_others_of_their_group_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_SETS", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 100)
+    rng = np.random.default_rng(4)
+    sets = [np.unique(np.concatenate([rng.permutation(16)[:13], rng.integers(16, 22, 2)])).tolist() for _ in range(60)]
+    rows = [(g, bytes([i]), len(s), i % 7, i % 3 == 0, s) for i, s in enumerate(sets) for g in ("g", "h") if g == "g" or i % 2]
+    df = spark.createDataFrame(rows, "main string, node binary, n long, part int, outside boolean, shingles array<long>")
+    df = df.select("*", F.lit("key").alias("key"), F.col("n").alias("common"), F.col("part").cast("string").cast("binary").alias("component"))
+    got = near_dedup._outside_links(df.drop("shingles"), df.select("node", "shingles").distinct(), 75).collect()
+    want = {
+        (i, j) for i in range(60) for j in range(i)
+        if (i % 3 == 0 or j % 3 == 0) and i % 7 != j % 7
+        and 100 * len({*sets[i]} & {*sets[j]}) >= 75 * len({*sets[i]} | {*sets[j]})
+    }
+    assert want and sorted((r["b"][0], r["a"][0]) for r in got) == sorted(want)
+
+
 def test_small_sets_in_long_lists_match_brute_force(spark):
     rng = random.Random(8)
     docs = []

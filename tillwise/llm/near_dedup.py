@@ -11,8 +11,8 @@ under several combinations of shingles, each the smallest of its whole set under
 in a large group with one key every member is first compared with the group's smallest member. After the
 components of those links are known, members outside a group's largest component are compared with a few of its
 members, and those that stay outside with every other member that the counts of their common shingles
-allow (a document cannot reach the similarity with shingles that no other member has), within a join that puts out
-the links alone. So every pair that shares a
+allow (a document cannot reach the similarity with shingles that no other member has), block by block of bounded size,
+each pair of blocks by itself and as a product of matrices, which puts out the links alone. So every pair that shares a
 short list or a key is compared, already connected, or too far apart by its counts.
 """
 
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +47,8 @@ COMBINATIONS, COMBINED = 32, 4
 SKETCH_SHARE = 0.48
 #: Members of a large component that the others of its groups are compared with, in turns.
 LEADERS = 24
+#: Members of a block on average at most, and their shingles; columns of a matrix of members and shingles.
+BLOCK_SETS, BLOCK_SHINGLES, COLUMNS = 512, 1 << 17, 4096
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -295,31 +298,73 @@ def _still_outside(members: DataFrame, led: DataFrame, found: DataFrame) -> Data
     return members.join(joined, ["node", "main"], "left").withColumn("outside", ~inside)
 
 
+def _intersections(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """How many values each set of x shares with each of y; sets are given by their lengths and values, one after another.
+
+    The sets are rows of ones and zeros, with columns for the values that both sides hold, some of these at a time.
+    """
+    both = np.intersect1d(x[1], y[1])
+    out = np.zeros((len(x[0]), len(y[0])), np.float32)
+    entries = []
+    for lengths, values in (x, y):
+        at = np.searchsorted(both, values)
+        there = np.flatnonzero(both[np.minimum(at, len(both) - 1)] == values) if len(both) else at[:0]
+        there = there[np.argsort(at[there], kind="stable")]
+        entries.append((np.repeat(np.arange(len(lengths)), lengths)[there], at[there]))
+    for first in range(0, len(both), COLUMNS):
+        width, sides = min(COLUMNS, len(both) - first), []
+        for (row, column), n in zip(entries, out.shape, strict=True):
+            i, j = np.searchsorted(column, [first, first + width])
+            sides.append(np.zeros((n, width), np.float32))
+            sides[-1][row[i:j], column[i:j] - first] = 1
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _linked_in_blocks(percent: int):
+    """Links (a, b) of a block of members outside (first) with a block of any members; each pair of outside ones once."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        x, y = (rows.filter(rows["first"] if first else pc.invert(rows["first"])).combine_chunks() for first in (True, False))
+        links = []
+        if x.num_rows and y.num_rows:
+            lists = [t["shingles"].combine_chunks() for t in (x, y)]
+            (nx, ax), (ny, ay) = ((s.value_lengths().to_numpy().astype(np.int64), s.flatten().to_numpy()) for s in lists)
+            inter = _intersections((nx, ax), (ny, ay)).astype(np.int64)
+            linked = 100 * inter >= percent * (nx[:, None] + ny - inter)
+            (of_x, in_x), (of_y, in_y) = ([t[c].to_pylist() for c in ("node", "component")] for t in (x, y))
+            outside = y["outside"].to_pylist()
+            for i, j in np.argwhere(linked).tolist():
+                if in_x[i] != in_y[j] and (not outside[j] or of_x[i] < of_y[j]):
+                    links.append((min(of_x[i], of_y[j]), max(of_x[i], of_y[j])))
+        return pa.table({k: pa.array([link[i] for link in links], pa.binary()) for i, k in enumerate("ab")})
+
+    return run
+
+
 def _outside_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between members outside a group's largest component and any others of the groups with that component.
 
-    The join compares counts, then whole sets, and puts out the links alone.
+    Both are dealt to blocks of bounded size, and every pair of blocks is a group of its own. Members whose counts of
+    common shingles allow no link with any other are left out.
     """
     rows = members.groupBy("main", "node").agg(
-        *(F.first(c).alias(c) for c in ("n", "common", "component")), F.max("outside").alias("outside")
-    ).join(sets, "node")
-    x = rows.where("outside").select(
-        "main", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("common").alias("sx"),
-        F.col("shingles").alias("ax"),
-    )
-    y = rows.select(
-        "main", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), F.col("common").alias("sy"),
-        F.col("shingles").alias("ay"), F.col("outside").alias("oy"),
+        *(F.first(c).alias(c) for c in ("n", "component")), F.max("outside").alias("outside")
     )
-    # what only one of the two holds is in their union, and not in what they share
-    union = F.greatest(F.col("nx") + F.col("ny") - F.col("sy"), F.col("ny") + F.col("nx") - F.col("sx"))
-    near = 100 * F.least("sx", "sy") >= percent * union
-    once = ~F.col("oy") | (F.col("x") < F.col("y"))
-    inter = F.size(F.array_intersect("ax", "ay"))
-    linked = 100 * inter >= percent * (F.size("ax") + F.size("ay") - inter)
-    return x.join(y, [x["main"] == y["main"], (F.col("cx") != F.col("cy")) & once & near & linked]).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).distinct()
+    # of either kind as many blocks as its members or their shingles need
+    parts = lambda rows, n: F.greatest(F.lit(1), F.ceil(F.greatest(rows / BLOCK_SETS, n / BLOCK_SHINGLES))).cast("int")
+    out, n = F.col("outside").cast("long"), F.col("n")
+    blocks = rows.groupBy("main").agg(
+        F.sum(out).alias("some"), parts(F.sum(out), F.sum(out * n)).alias("xs"), parts(F.count("*"), F.sum(n)).alias("ys")
+    ).where("some > 0").drop("some")
+    block = lambda count: f"CAST(pmod(xxhash64(node), {count}) AS INT)"
+    pairs = F.expr(f"""concat(
+        transform(sequence(0, ys - 1), k -> named_struct('i', {block('xs')}, 'j', k, 'first', true)),
+        transform(sequence(0, xs - 1), k -> named_struct('i', k, 'j', {block('ys')}, 'first', false)))""")
+    dealt = rows.join(blocks, "main").select("main", "node", "component", "outside", F.explode(pairs).alias("at"))
+    dealt = dealt.where("outside OR NOT at.first").select("main", "at.*", "node", "component", "outside")
+    found = dealt.join(sets, "node").groupBy("main", "i", "j").applyInArrow(_linked_in_blocks(percent), "a binary, b binary")
+    return found.distinct()
 
 
 def keep(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
